@@ -100,7 +100,7 @@ def with_cyclic(df: DataFrame, **spec: tuple[str, int]) -> DataFrame:
     return df.withColumns(added)
 
 
-def derived(df: DataFrame) -> DataFrame:
+def derived(df: DataFrame, only: Iterable[str] | None = None) -> DataFrame:
     """Optional features, each added only when its inputs are present."""
     have = set(df.columns)
     added: dict[str, Column] = {}
@@ -117,6 +117,8 @@ def derived(df: DataFrame) -> DataFrame:
         added["Renewables"] = renewables
         if "load_mw" in have:
             added["Net_Load"] = F.col("load_mw") - renewables
+    if only is not None:
+        added = {name: column for name, column in added.items() if name in set(only)}
     return df.withColumns(added) if added else df
 
 
@@ -149,7 +151,7 @@ def sanitize(column: str | Column) -> Column:
 def stress_sign(df: DataFrame, column: str = "grid_stress", strong: float = 2000.0) -> DataFrame:
     stress = F.col(column)
     return df.withColumns({
-        "stress_label": F.when(stress > 0, "Over-forecast").when(stress <= 0, "Under-forecast"),
+        "stress_label": F.when(stress > 0, "Over-forecast").when(stress < 0, "Under-forecast"),
         "stress_positive": F.coalesce(stress, F.lit(0.0)) > 0,
         "stress_strong": F.abs(stress) > strong,
     })
