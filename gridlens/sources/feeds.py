@@ -66,7 +66,7 @@ def normalize_demand(raw: DataFrame, kind: str = "D", value_name: str = "load_mw
 def pair_forecast(demand: DataFrame, forecast: DataFrame, position: str = "pos",
                   zero_is_missing: bool = False) -> DataFrame:
     """Attach the forecast of the same period; of several, the last in feed order."""
-    single = forecast.groupBy("period").agg(F.max_by("forecast_mw", position).alias("forecast_mw"))
+    single = forecast.where(F.col("forecast_mw").isNotNull()).groupBy("period").agg(F.max_by("forecast_mw", position).alias("forecast_mw"))
     given = F.col("forecast_mw").isNotNull()
     if zero_is_missing:
         given = given & (F.col("forecast_mw") != 0)

@@ -120,7 +120,8 @@ def stream_anomaly(rows: DataFrame, history: LogTable, events: LogTable, checkpo
     def write(df: DataFrame, n: int) -> None:
         history.append(df, n)
         stored = history.log()
-        first = df.agg(F.min("ts")).first()[0]
+        batch = stored.where(F.col("_batch") == n)
+        first = batch.agg(F.min("ts")).first()[0]
         if first is None:
             return
         start = F.lit(first) - F.make_dt_interval(days=F.lit(lookback_days))
@@ -128,7 +129,7 @@ def stream_anomaly(rows: DataFrame, history: LogTable, events: LogTable, checkpo
                                & (F.col("dt") >= F.to_date(start)))
         unique = latest_per_key(context.select(*keys, *features, "_batch", "_pos"), keys, ["_batch", "_pos"])
         windows = scoring_windows(unique.dropna(subset=list(features)), features, series)
-        fresh = windows.join(df.select(*series, F.col("ts").alias("window_ts")).distinct(),
+        fresh = windows.join(batch.select(*series, F.col("ts").alias("window_ts")).distinct(),
                              [*series, "window_ts"], "left_semi")
         flagged = flag(reconstruction_score(fresh, model), threshold)
         events.append(event_record(anomaly_events(flagged)), n)
