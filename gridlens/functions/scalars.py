@@ -23,15 +23,18 @@ def days_before(as_of: datetime | str | Column | None, days: int) -> Column:
     return moment(as_of) - F.make_dt_interval(days=F.lit(int(days)))
 
 
-def recent(df: DataFrame, days: int, as_of=None, ts: str = "ts", dt: str = "dt") -> DataFrame:
-    """Rows strictly newer than ``as_of`` minus ``days``.
+def since(df: DataFrame, start: Column, grain: str = "day", dt: str = "dt") -> DataFrame:
+    """The partition predicate of ``ts >= start``, which Spark cannot derive itself.
 
-    A table partitioned by day also gets the day predicate, which Spark cannot
-    derive from the timestamp, so that old partitions are never listed.
+    ``grain`` is that of the table's ``dt`` column; tables without one pass through.
     """
+    return df.where(F.col(dt) >= F.to_date(F.date_trunc(grain, start))) if dt in df.columns else df
+
+
+def recent(df: DataFrame, days: int, as_of=None, ts: str = "ts", grain: str = "day") -> DataFrame:
+    """Rows strictly newer than ``as_of`` minus ``days``; old partitions are never listed."""
     start = days_before(as_of, days)
-    out = df.where(F.col(ts) > start)
-    return out.where(F.col(dt) >= F.to_date(start)) if dt in df.columns else out
+    return since(df.where(F.col(ts) > start), start, grain)
 
 
 def date_range(df: DataFrame, first, last, ts: str = "ts") -> DataFrame:
@@ -153,7 +156,7 @@ def stress_sign(df: DataFrame, column: str = "grid_stress", strong: float = 2000
     return df.withColumns({
         "stress_label": F.when(stress > 0, "Over-forecast").when(stress < 0, "Under-forecast"),
         "stress_positive": F.coalesce(stress, F.lit(0.0)) > 0,
-        "stress_strong": F.abs(stress) > strong,
+        "stress_strong": F.coalesce(F.abs(stress) > strong, F.lit(False)),
     })
 
 

@@ -33,7 +33,8 @@ def union_records(frames: Sequence[DataFrame]) -> DataFrame:
 
 def with_absent(records: DataFrame, names: Sequence[str], column: str = "model_name") -> DataFrame:
     """One row per wanted name; names without a record are kept, empty."""
-    wanted = records.sparkSession.createDataFrame([(n,) for n in names], f"{column} string")
+    one = records.sparkSession.range(1)
+    wanted = one.select(F.explode(F.array(*[F.lit(n) for n in names])).alias(column))
     return wanted.join(records, column, "left")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.functions.scalars import days_before, matching, moment, or_zero, recent
+from gridlens.functions.scalars import days_before, matching, moment, or_zero, recent, since
 from gridlens.operators.aggregates import price_rollup, zone_average
 from gridlens.operators.joins import hour_join
 from gridlens.operators.reports import REPORT_ROWS, recent_top, time_ordered
@@ -133,8 +133,7 @@ def refresh_rollup(prices: DataFrame, as_of=None) -> DataFrame:
     """Buckets lying wholly inside the refresh range, rebuilt from the raw rows."""
     first, last = rollup_range(as_of)
     in_range = prices.where((F.col("ts") >= first) & (F.col("ts") < last))
-    if "dt" in prices.columns:
-        in_range = in_range.where(F.col("dt") >= F.to_date(first))
+    in_range = since(in_range, first)
     hour = F.make_dt_interval(hours=F.lit(1))
     return price_rollup(in_range).where(
         (F.col("bucket") >= first) & (F.col("bucket") + hour <= last))

@@ -14,7 +14,7 @@ from gridlens.session import tune
 
 # Both sides round the same way. The bias keeps exact ties on one side whatever the
 # last bits of a sum, which depend on the order of addition, may be.
-_SCALE, _BIAS = 10_000.0, 0.500001
+_SCALE, _BIAS = 10_000.0, 0.5001
 
 
 def rounded(column: Column) -> Column:
@@ -37,8 +37,9 @@ class Query:
         cells = []
         for name in [*self.keys, *self.doubles]:
             cell = rounded(F.col(name).cast("double")) if name in self.doubles else F.col(name)
-            if out.schema[name].dataType.typeName() == "timestamp":
-                cell = cell.cast("timestamp_ntz")
+            kind = out.schema[name].dataType.typeName()
+            if kind in ("timestamp", "date"):
+                cell = cell.cast("timestamp_ntz" if kind == "timestamp" else "string")
             cells.append(cell.alias(name))
         return out.select(*cells)
 

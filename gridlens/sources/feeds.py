@@ -205,44 +205,64 @@ def _plain(markup: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
-def extract_cells(pages: DataFrame, key: str = "page_id", html: str = "html",
-                  block: str = "(?is)<table[^>]*>(.*?)</table>",
-                  row: str = "(?is)<tr[^>]*>(.*?)</tr>",
-                  cell: str = "(?is)<t[dh][^>]*>(.*?)</t[dh]>",
-                  header: str = "(?is)<th[ >]") -> DataFrame:
-    """Table cells of each page as rows ``(key, block, row, cell, text, is_header)``."""
+def extract_rows(pages: DataFrame, key: str = "page_id", html: str = "html",
+                 block: str = "(?is)<table[^>]*>(.*?)</table>",
+                 row: str = "(?is)<tr[^>]*>(.*?)</tr>",
+                 cell: str = "(?is)<t[dh][^>]*>(.*?)</t[dh]>",
+                 header: str = "(?is)<th[ >]") -> DataFrame:
+    """Table rows of each page: ``(key, block, row, is_header, cells)``. Needs no shuffle."""
     blocks = pages.select(key, F.posexplode(
         F.regexp_extract_all(html, F.lit(block), 1)).alias("block", "_block"))
     rows = blocks.select(key, "block", F.posexplode(
         F.regexp_extract_all("_block", F.lit(row), 1)).alias("row", "_row"))
-    cells = rows.select(key, "block", "row", F.col("_row").rlike(header).alias("is_header"), F.posexplode(
-        F.regexp_extract_all("_row", F.lit(cell), 1)).alias("cell", "_cell"))
-    return cells.select(key, "block", "row", "cell", _plain(F.col("_cell")).alias("text"), "is_header")
+    return rows.select(key, "block", "row", F.col("_row").rlike(header).alias("is_header"),
+                       F.transform(F.regexp_extract_all("_row", F.lit(cell), 1), _plain).alias("cells"))
+
+
+def extract_cells(pages: DataFrame, key: str = "page_id", html: str = "html", **patterns: str) -> DataFrame:
+    """Cells of each page as rows ``(key, block, row, cell, text, is_header)``."""
+    return extract_rows(pages, key, html, **patterns).select(
+        key, "block", "row", "is_header", F.posexplode("cells").alias("cell", "text"))
+
+
+# The patterns that read a list item as a row of one cell.
+LIST_PATTERNS = {"block": "(?is)<[uo]l[^>]*>(.*?)</[uo]l>", "row": "(?is)<li[^>]*>(.*?)</li>",
+                 "cell": "(?is)^(.*)$"}
 
 
 def extract_list_items(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """List items of each page in the same shape, one cell per row."""
-    return extract_cells(pages, key, html, block="(?is)<[uo]l[^>]*>(.*?)</[uo]l>",
-                         row="(?is)<li[^>]*>(.*?)</li>", cell="(?is)^(.*)$", header="(?is)<th[ >]")
+    return extract_cells(pages, key, html, **LIST_PATTERNS)
+
+
+def rows_of_cells(cells: DataFrame, key: str = "page_id") -> DataFrame:
+    """Cells back to rows, for cell tables from elsewhere."""
+    packed = F.sort_array(F.collect_list(F.struct("cell", "text")))
+    return cells.groupBy(key, "block", "row", "is_header").agg(
+        F.transform(packed, lambda c: c["text"]).alias("cells"))
 
 
 def kv_from_cells(cells: DataFrame, key: str = "page_id") -> DataFrame:
+    return kv_from_rows(rows_of_cells(cells, key), key)
+
+
+def kv_from_rows(rows: DataFrame, key: str = "page_id") -> DataFrame:
     """First cell as label, last as value, per row of at least two filled cells.
 
     Rows ``(key, name, pos, text, value)``: ``pos`` is where the label first came,
     the value is the last one given.
     """
-    filled = cells.where((F.col("text") != "") & ~F.col("is_header"))
-    at = F.struct("block", "row")
-    rows = filled.groupBy(key, at.alias("_at")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min_by("text", "cell").alias("_first"),
-        F.max_by("text", "cell").alias("_last")).where(F.col("_n") >= 2)
-    name = F.translate(F.lower("_first"), " ()", "_")
-    value = F.col("_last")
+    # Held in a one-element array and exploded, so that the cells are parsed once.
+    filled = F.array(F.filter("cells", lambda c: c != ""))
+    pairs = F.transform(filled, lambda f: F.struct(
+        F.size(f).alias("n"), F.get(f, F.lit(0)).alias("label"), F.get(f, F.size(f) - 1).alias("text")))
+    usable = (rows.where(~F.col("is_header"))
+              .select(key, F.struct("block", "row").alias("_at"), F.inline(pairs))
+              .where(F.col("n") >= 2))
+    value = F.col("text")
     for unit in VALUE_UNITS:
         value = F.replace(value, F.lit(unit), F.lit(""))
-    named = rows.select(key, "_at", name.alias("name"), F.col("_last").alias("text"),
-                        value.try_cast("double").alias("value"))
+    named = usable.select(key, "_at", F.translate(F.lower("label"), " ()", "_").alias("name"),
+                          "text", value.try_cast("double").alias("value"))
     return named.groupBy(key, "name").agg(
         F.min("_at").alias("pos"),
         F.max_by(F.struct("text", "value"), "_at").alias("_v")).select(

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlens.functions.scalars import days_before
+from gridlens.functions.scalars import days_before, since
 from gridlens.operators.ordered import first_per_key, latest_per_key
 
 _MANIFEST = T.StructType([
@@ -29,12 +29,16 @@ _ORDER = ["_batch", "_pos"]
 
 
 class LogTable:
-    """One table; ``keys`` is its unique key, empty for plain append tables."""
+    """One table; ``keys`` is its unique key, empty for plain append tables.
+
+    ``grain`` is the span of a ``dt`` partition: days for the large tables, months
+    for small ones kept over years.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
-                 keys: Sequence[str] = (), ts: str = "ts"):
+                 keys: Sequence[str] = (), ts: str = "ts", grain: str = "day"):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.keys, self.ts = list(keys), ts
+        self.keys, self.ts, self.grain = list(keys), ts, grain
         self._stored = T.StructType([
             *schema.fields, T.StructField("_pos", T.LongType()), T.StructField("dt", T.DateType())])
 
@@ -50,7 +54,9 @@ class LogTable:
         cells = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
                  for f in self.schema.fields]
         pos = F.col(position).cast("long") if position else F.xxhash64(*[c for c in rows.columns])
-        out = rows.select(*cells, pos.alias("_pos")).withColumn("dt", F.to_date(self.ts))
+        span = F.to_date(F.date_trunc(self.grain, self.ts))
+        out = rows.select(*cells, pos.alias("_pos")).withColumn("dt", span)
+        out = out.repartitionByRange("dt", self.ts, "_pos")
         out.write.mode("overwrite").partitionBy("dt").parquet(f"{self.path}/log/batch={int(batch)}")
 
     # Reading -----------------------------------------------------------------------
@@ -118,7 +124,7 @@ class LogTable:
         if self.keys and mode in ("latest", "first"):
             log = (upsert_last if mode == "latest" else insert_ignore)(log, self.keys, _ORDER)
         if keep_days is not None:
-            log = retain(log, keep_days, as_of, self.ts)
+            log = retain(log, keep_days, as_of, self.ts, self.grain)
         current = self._manifest()
         version = (current["version"] if current else 0) + 1
         target = f"base/v{version}"
@@ -145,11 +151,10 @@ def insert_ignore(log: DataFrame, keys: Sequence[str], order: Sequence[str] = ("
     return first_per_key(log, list(keys), list(order))
 
 
-def retain(rows: DataFrame, days: int, as_of=None, ts: str = "ts") -> DataFrame:
-    """Drop rows older than the retention; whole day partitions are pruned."""
+def retain(rows: DataFrame, days: int, as_of=None, ts: str = "ts", grain: str = "day") -> DataFrame:
+    """Drop rows older than the retention; whole partitions are pruned."""
     limit = days_before(as_of, days)
-    out = rows.where(F.col(ts) >= limit)
-    return out.where(F.col("dt") >= F.to_date(limit)) if "dt" in rows.columns else out
+    return since(rows.where(F.col(ts) >= limit), limit, grain)
 
 
 def cluster(rows: DataFrame, segment_by: Sequence[str], ts: str = "ts") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gridlens.functions.scalars import since
 from gridlens.operators.datasets import scoring_windows
 from gridlens.operators.detect import (
     Reconstruction, anomaly_events, condition_alerts, condition_snapshot, flag,
@@ -125,8 +126,7 @@ def stream_anomaly(rows: DataFrame, history: LogTable, events: LogTable, checkpo
         if first is None:
             return
         start = F.lit(first) - F.make_dt_interval(days=F.lit(lookback_days))
-        context = stored.where((F.col("_batch") <= n) & (F.col("ts") >= start)
-                               & (F.col("dt") >= F.to_date(start)))
+        context = since(stored.where((F.col("_batch") <= n) & (F.col("ts") >= start)), start, history.grain)
         unique = latest_per_key(context.select(*keys, *features, "_batch", "_pos"), keys, ["_batch", "_pos"])
         windows = scoring_windows(unique.dropna(subset=list(features)), features, series)
         fresh = windows.join(batch.select(*series, F.col("ts").alias("window_ts")).distinct(),
