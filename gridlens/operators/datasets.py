@@ -142,11 +142,11 @@ def sliding_windows(df: DataFrame, features: Sequence[str], target: str = "load_
     """Rows ``i .. i+seq_len-1`` as one array and the target ``horizon`` rows later.
 
     ``n_windows`` is the count per series, so splits need no second pass. Columns:
-    series, window, window_ts (last row), target_ts, x, y, n_windows.
+    series, window_id, window_ts (last row), target_ts, x, y, n_windows.
     """
     columns = list(dict.fromkeys([*series, *order, *features, target]))
     complete = drop_missing(df.select(*columns))
-    numbered = number_rows(complete, series, order, rn="window", total="_n")
+    numbered = number_rows(complete, series, order, rn="window_id", total="_total")
     reach = seq_len - 1 + horizon
 
     def build(w):
@@ -157,30 +157,30 @@ def sliding_windows(df: DataFrame, features: Sequence[str], target: str = "load_
             "target_ts": F.lead(order[0], reach).over(w),
             "y": F.lead(target, reach).over(w)}
 
-    built = over_slices(numbered, series, "window", build, ahead=reach, size=size)
-    whole = built.where(F.col("window") + reach < F.col("_n"))
-    return whole.select(*series, "window", "window_ts", "target_ts", "x", "y",
-                        (F.col("_n") - reach).alias("n_windows"))
+    built = over_slices(numbered, series, "window_id", build, ahead=reach, size=size)
+    whole = built.where(F.col("window_id") + reach < F.col("_total"))
+    return whole.select(*series, "window_id", "window_ts", "target_ts", "x", "y",
+                        (F.col("_total") - reach).alias("n_windows"))
 
 
 def scoring_windows(df: DataFrame, features: Sequence[str], series: Sequence[str] = (),
                     order: Sequence[str] = ("ts",), seq_len: int = SEQ_LEN,
                     size: int = SLICE_ROWS) -> DataFrame:
     """Windows without a target, labelled by their last row; the newest row included."""
-    numbered = number_rows(df.select(*series, *order, *features), series, order, rn="window")
+    numbered = number_rows(df.select(*series, *order, *features), series, order, rn="window_id")
 
     def build(w):
         frame = w.rowsBetween(1 - seq_len, 0)
         return {"x": F.collect_list(F.array(*[F.col(c).cast("double") for c in features])).over(frame)}
 
-    built = over_slices(numbered, series, "window", build, back=seq_len - 1, size=size)
+    built = over_slices(numbered, series, "window_id", build, back=seq_len - 1, size=size)
     return (built.where(F.size("x") == seq_len)
             .select(*series, F.col(order[0]).alias("window_ts"), "x"))
 
 
 def window_split(windows: DataFrame, ratio: float = 0.85) -> DataFrame:
     """Split on the window index; windows near the cut share rows with both sides."""
-    return windows.withColumn("is_train", F.col("window") < F.floor(F.col("n_windows") * F.lit(ratio)))
+    return windows.withColumn("is_train", F.col("window_id") < F.floor(F.col("n_windows") * F.lit(ratio)))
 
 
 def latest_window(df: DataFrame, features: Sequence[str], series: Sequence[str] = (),

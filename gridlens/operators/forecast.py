@@ -47,11 +47,12 @@ def fit_boosted_load(rows: DataFrame, features: Sequence[str], target: str = "lo
                      **params) -> BoostedLoad:
     """Boosted trees with the later rows as validation for stopping early."""
     settings = BOOSTED | params
+    if early_stop:
+        settings |= {"validationIndicatorCol": "_validation", "validationTol": 0.001}
     packed = _assemble(rows.dropna(subset=[target]), features)
     trees = GBTRegressor(featuresCol="_features", labelCol=target, seed=seed, **settings)
     if early_stop:
         packed = packed.withColumn("_validation", ~F.col(is_train))
-        trees = trees.setValidationIndicatorCol("_validation").setValidationTol(0.001)
     else:
         packed = packed.where(is_train)
     return BoostedLoad(trees.fit(packed), list(features))

@@ -165,19 +165,21 @@ def interpolate_numbered(df: DataFrame, series: Sequence[str], column: str,
     known = F.when(F.col(column).isNotNull(), F.struct(F.col(rn).alias("at"), F.col(column).alias("v")))
     edges = sliced.groupBy(*series, "_slice").agg(
         F.min(known).alias("_lo"), F.max(known).alias("_hi"))
-    by_slice = Window.partitionBy(*series).orderBy("_slice")
+    # Looking ahead is looking back in reverse order: Spark extends a frame that grows
+    # from the start, but rebuilds one that runs to the end for every row.
+    upward = Window.partitionBy(*series).orderBy("_slice")
+    downward = Window.partitionBy(*series).orderBy(F.col("_slice").desc())
+    before = (Window.unboundedPreceding, -1)
     edges = edges.select(
         *series, "_slice",
-        F.last("_hi", ignorenulls=True).over(
-            by_slice.rowsBetween(Window.unboundedPreceding, -1)).alias("_from"),
-        F.first("_lo", ignorenulls=True).over(
-            by_slice.rowsBetween(1, Window.unboundedFollowing)).alias("_to"))
-    inside = Window.partitionBy(*series, "_slice").orderBy(rn)
+        F.last("_hi", ignorenulls=True).over(upward.rowsBetween(*before)).alias("_from"),
+        F.last("_lo", ignorenulls=True).over(downward.rowsBetween(*before)).alias("_to"))
+    inside = Window.partitionBy(*series, "_slice")
+    so_far = (Window.unboundedPreceding, 0)
     marked = sliced.withColumns({
-        "_prev": F.last(known, ignorenulls=True).over(
-            inside.rowsBetween(Window.unboundedPreceding, 0)),
-        "_next": F.first(known, ignorenulls=True).over(
-            inside.rowsBetween(0, Window.unboundedFollowing)),
+        "_prev": F.last(known, ignorenulls=True).over(inside.orderBy(rn).rowsBetween(*so_far)),
+        "_next": F.last(known, ignorenulls=True).over(
+            inside.orderBy(F.col(rn).desc()).rowsBetween(*so_far)),
     })
     joined = join_on(marked, edges, [*series, "_slice"])
     prev, following = F.coalesce("_prev", "_from"), F.coalesce("_next", "_to")

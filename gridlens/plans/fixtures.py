@@ -51,6 +51,12 @@ FROM {{events}} GROUP BY 1, 2""",
 SELECT ts, event_id, 40000 + value * 100 AS demand,
   CASE WHEN event_id % 97 = 0 THEN 0.0E0 ELSE 75000.0E0 END AS capacity,
   value * 10 AS wind, value * 5 AS solar, 60 + ({_K} - 50) / 400 AS freq
+FROM {{events}}""",
+    "fx_readings": f"""
+SELECT ts, event_id, CASE WHEN event_id % 50 = 0 THEN 0.0E0 ELSE value * 800 END AS load_mw,
+  CASE WHEN event_id % 7 <> 0 THEN value * 790 END AS forecast_mw,
+  {_K} / 4 AS temperature_2m, value / 10 AS wind_speed_10m, CAST(user_id AS DOUBLE) AS direct_radiation,
+  CASE WHEN event_type = 'click' THEN value END AS Wind, CASE WHEN event_type = 'view' THEN value END AS Solar
 FROM {{events}}""",
     "fx_fuel": """
 SELECT date_trunc('hour', ts) AS ts,
@@ -132,6 +138,11 @@ class Fixtures:
     def fuel(self) -> DataFrame:
         return self.view("fx_fuel")
 
+    @cached_property
+    def readings(self) -> DataFrame:
+        """One long series: every event as a meter reading."""
+        return self.view("fx_readings")
+
     @cached_property
     def pred(self) -> DataFrame:
         return self.view("fx_pred")

@@ -69,6 +69,11 @@ def stream_rollup(prices: DataFrame, table: LogTable, checkpoint: str, feed: str
                   checkpoint, feed, mode="update")
 
 
+def stream_append(rows: DataFrame, table: LogTable, checkpoint: str, feed: str | None = None) -> StreamingQuery:
+    """Every row of each batch into the log."""
+    return _start(rows, lambda df, n: table.append(df, n), checkpoint, feed)
+
+
 def stream_upsert(rows: DataFrame, table: LogTable, checkpoint: str, position: str,
                   feed: str | None = None) -> StreamingQuery:
     """Last row per key of each batch into the log."""
