@@ -96,25 +96,27 @@ def positional(df: DataFrame, series: Sequence[str], order: Sequence[str],
     return out if keep else out.drop("_rn")
 
 
-def renumber(df: DataFrame, series: Sequence[str], rn: str = "rn", size: int = SLICE_ROWS,
-             total: str | None = None) -> DataFrame:
+def renumber(df: DataFrame, series: Sequence[str], rn: str = "rn", size: int = SLICE_ROWS) -> DataFrame:
     """Close the gaps a filter left in ``rn``.
 
-    The old positions still cut the series into bounded slices: count per slice,
-    add up the counts, rank inside the slice.
+    The old positions still cut the series into bounded slices. The number of rows
+    before each slice travels as one marker row at its head, so that ranking inside
+    the slice needs a single shuffle and no join.
     """
     sliced = with_slice(df, rn, size)
     counts = sliced.groupBy(*series, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     by_slice = Window.partitionBy(*series).orderBy("_slice")
     before = F.sum("_n").over(by_slice.rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.withColumn("_before", F.coalesce(before, F.lit(0)))
-    if total:
-        counts = counts.withColumn(total, F.sum("_n").over(Window.partitionBy(*series)))
+    heads = counts.select(*series, "_slice", F.lit(-1).cast("bigint").alias(rn),
+                          F.coalesce(before, F.lit(0)).alias("_before"))
     inside = Window.partitionBy(*series, "_slice").orderBy(rn)
-    ranked = sliced.withColumn("_inside", F.row_number().over(inside) - 1)
-    out = join_on(ranked, counts, [*series, "_slice"])
-    return (out.withColumn(rn, F.col("_before") + F.col("_inside"))
-            .drop("_slice", "_inside", "_n", "_before"))
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    ranked = sliced.unionByName(heads, allowMissingColumns=True).withColumns({
+        "_rank": F.row_number().over(inside),
+        "_base": F.max("_before").over(so_far)})
+    return (ranked.where(F.col(rn) >= 0)
+            .withColumn(rn, F.col("_base") + F.col("_rank") - 2)
+            .drop("_slice", "_before", "_rank", "_base"))
 
 
 # Window columns -------------------------------------------------------------
@@ -157,8 +159,8 @@ def interpolate_numbered(df: DataFrame, series: Sequence[str], column: str,
                          rn: str = "rn", size: int = SLICE_ROWS) -> DataFrame:
     """Fill gaps on a straight line between the nearest known rows, by position.
 
-    Leading gaps stay empty; trailing gaps hold the last value. The nearest known
-    row may lie many slices away, so each slice also sees the last known row
+    Leading gaps stay empty; trailing gaps hold the last value. The nearest known row
+    may lie many slices away: each slice therefore gets copies of the last known row
     before it and the first after it, found on one summary row per slice.
     """
     sliced = with_slice(df, rn, size)
@@ -170,28 +172,28 @@ def interpolate_numbered(df: DataFrame, series: Sequence[str], column: str,
     upward = Window.partitionBy(*series).orderBy("_slice")
     downward = Window.partitionBy(*series).orderBy(F.col("_slice").desc())
     before = (Window.unboundedPreceding, -1)
-    edges = edges.select(
+    anchors = edges.select(
         *series, "_slice",
         F.last("_hi", ignorenulls=True).over(upward.rowsBetween(*before)).alias("_from"),
         F.last("_lo", ignorenulls=True).over(downward.rowsBetween(*before)).alias("_to"))
+    anchors = anchors.select(*series, "_slice", F.explode(F.array("_from", "_to")).alias("_anchor"))
+    anchors = anchors.where(F.col("_anchor").isNotNull()).select(
+        *series, "_slice", F.col("_anchor.at").alias(rn), F.col("_anchor.v").alias(column),
+        F.lit(True).alias("_copy"))
     inside = Window.partitionBy(*series, "_slice")
     so_far = (Window.unboundedPreceding, 0)
-    marked = sliced.withColumns({
-        "_prev": F.last(known, ignorenulls=True).over(inside.orderBy(rn).rowsBetween(*so_far)),
-        "_next": F.last(known, ignorenulls=True).over(
+    marked = sliced.unionByName(anchors, allowMissingColumns=True).withColumns({
+        "_a": F.last(known, ignorenulls=True).over(inside.orderBy(rn).rowsBetween(*so_far)),
+        "_b": F.last(known, ignorenulls=True).over(
             inside.orderBy(F.col(rn).desc()).rowsBetween(*so_far)),
-    })
-    joined = join_on(marked, edges, [*series, "_slice"])
-    prev, following = F.coalesce("_prev", "_from"), F.coalesce("_next", "_to")
-    joined = joined.withColumns({"_a": prev, "_b": following})
+    }).where(F.col("_copy").isNull())
     gap = F.col("_b.at") - F.col("_a.at")
     line = F.col("_a.v") + (F.col("_b.v") - F.col("_a.v")) * (F.col(rn) - F.col("_a.at")) / gap
     filled = (F.when(F.col(column).isNotNull(), F.col(column))
               .when(F.col("_a").isNull(), F.lit(None))
               .when(F.col("_b").isNull(), F.col("_a.v"))
               .otherwise(line))
-    return joined.withColumn(column, filled).drop(
-        "_slice", "_prev", "_next", "_from", "_to", "_a", "_b")
+    return marked.withColumn(column, filled).drop("_slice", "_copy", "_a", "_b")
 
 
 def interpolate_linear(df: DataFrame, series: Sequence[str], order: Sequence[str],
@@ -228,36 +230,43 @@ def chrono_split(df: DataFrame, series: Sequence[str], order: Sequence[str],
     return numbered.withColumn("is_train", F.col("rn") < F.floor(F.col("n") * F.lit(ratio)))
 
 
-def exact_percentile(df: DataFrame, column: str, p: float, accuracy: int = 100_000) -> float | None:
+# Values ordered in one task by ``exact_percentile``; more are ranked range by range.
+BRACKET_ROWS = 1_000_000
+
+
+def exact_percentile(df: DataFrame, column: str, p: float, accuracy: int = 10_000,
+                     bracket_rows: int = BRACKET_ROWS) -> float | None:
     """Linearly interpolated percentile, ``0 <= p <= 1``.
 
-    A sketch brackets the wanted rank; only the values inside the bracket, grouped
-    by value, are ordered. No task holds the distinct values of the whole column.
+    A sketch brackets the wanted rank and one pass counts what lies below. Only the
+    values inside the bracket, grouped by value, are ordered: in one task when their
+    counted number is small, else by ranges.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where(
         F.col("v").isNotNull() & ~F.isnan("v"))
     slack = 4.0 / accuracy
-    low, high = max(0.0, p - slack), min(1.0, p + slack)
-    n, lo, hi, smallest, largest = values.agg(
-        F.count("v"), F.percentile_approx("v", low, accuracy),
-        F.percentile_approx("v", high, accuracy), F.min("v"), F.max("v")).first()
+    bounds = F.percentile_approx("v", [max(0.0, p - slack), min(1.0, p + slack)], accuracy)
+    n, around, smallest, largest = values.agg(
+        F.count("v"), bounds, F.min("v"), F.max("v")).first()
     if not n:
         return None
+    lo, hi = around
     rank = p * (n - 1)
-    below = values.where(F.col("v") < lo).count()
-    upto = values.where(F.col("v") <= hi).count()
-    last_rank = int(rank) + (1 if rank > int(rank) else 0)
-    if below > int(rank) or upto <= last_rank:
-        lo, hi, below = smallest, largest, 0
+    first, last = int(rank), int(rank) + (rank > int(rank))
+    below, upto = values.agg(F.count_if(F.col("v") < lo), F.count_if(F.col("v") <= hi)).first()
+    if below > first or upto <= last:
+        lo, hi, below, upto = smallest, largest, 0, n
     groups = (values.where(F.col("v").between(lo, hi))
               .groupBy("v").agg(F.count(F.lit(1)).alias("k")))
-    ranks = _value_ranks(groups)
-    wanted = F.lit(rank - below)
-    hits = ranks.agg(
-        F.max(F.when(F.col("start") <= F.floor(wanted), F.col("v"))),
-        F.min(F.when(F.col("start") + F.col("k") > F.ceil(wanted), F.col("v")))).first()
-    a, b = hits
-    return a + (b - a) * (rank - int(rank))
+    if upto - below <= bracket_rows:
+        before = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+        ranks = groups.withColumn("start", F.coalesce(F.sum("k").over(before), F.lit(0)))
+    else:
+        ranks = _value_ranks(groups)
+    a, b = ranks.agg(
+        F.max(F.when(F.col("start") <= first - below, F.col("v"))),
+        F.max(F.when(F.col("start") <= last - below, F.col("v")))).first()
+    return a + (b - a) * (rank - first)
 
 
 def _value_ranks(groups: DataFrame) -> DataFrame:

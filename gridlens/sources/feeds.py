@@ -198,11 +198,17 @@ def rtm_wide_to_long(rows: DataFrame, hubs: Sequence[str] = HUBS, keep: Sequence
 _ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
 
 
+def _spaced(text: Column) -> Column:
+    return F.regexp_replace(text, r"\s+", " ")
+
+
 def _plain(markup: Column) -> Column:
-    text = F.regexp_replace(markup, "<[^>]*>", " ")
+    """Text of a cell. Most cells hold neither tags nor entities and skip that work."""
+    untagged = F.when(markup.contains("<"), _spaced(F.regexp_replace(markup, "<[^>]*>", " "))).otherwise(markup)
+    decoded = untagged
     for entity, char in _ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return F.trim(F.when(markup.contains("&"), _spaced(decoded)).otherwise(untagged))
 
 
 def extract_rows(pages: DataFrame, key: str = "page_id", html: str = "html",
@@ -212,7 +218,7 @@ def extract_rows(pages: DataFrame, key: str = "page_id", html: str = "html",
                  header: str = "(?is)<th[ >]") -> DataFrame:
     """Table rows of each page: ``(key, block, row, is_header, cells)``. Needs no shuffle."""
     blocks = pages.select(key, F.posexplode(
-        F.regexp_extract_all(html, F.lit(block), 1)).alias("block", "_block"))
+        F.regexp_extract_all(_spaced(F.col(html)), F.lit(block), 1)).alias("block", "_block"))
     rows = blocks.select(key, "block", F.posexplode(
         F.regexp_extract_all("_block", F.lit(row), 1)).alias("row", "_row"))
     return rows.select(key, "block", "row", F.col("_row").rlike(header).alias("is_header"),
