@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gridlens.functions.scalars import capacity_text, frequency_text, or_zero
 from gridlens.operators.ordered import exact_percentile
+from gridlens.session import materialise
 
 THRESHOLD_PERCENT = 98.0
 HIGH_FACTOR = 1.5
@@ -224,7 +225,7 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str], key: Sequence[s
     limit = int(np.ceil(np.log2(max(size, 2))))
     names = list(features)
 
-    def grow(key_, pdf: pd.DataFrame) -> pd.DataFrame:
+    def grow(key_: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         points = pdf[names].sort_values(names).to_numpy()
         made = _grow(points, np.random.RandomState(seed + int(key_[0])), limit)
         return pd.DataFrame({"tree": [int(key_[0])], **{k: [v] for k, v in made.items()}})
@@ -266,7 +267,7 @@ def isolation_forest(df: DataFrame, features: Sequence[str], key: Sequence[str],
                      seed: int = 42) -> DataFrame:
     """Label -1 for the most isolated share of rows, 1 for the rest."""
     model = fit_isolation_forest(df, features, key, trees, sample, seed)
-    scored = isolation_score(df, model)
+    scored = materialise(isolation_score(df, model), "isolation")
     cut = exact_percentile(scored, "score", 1.0 - contamination)
     return scored.withColumn("label", F.when(F.col("score") > F.lit(cut), F.lit(-1)).otherwise(F.lit(1)))
 
@@ -277,36 +278,52 @@ def _usable() -> Column:
     return F.coalesce((F.col("demand") != 0) & (F.col("capacity") != 0), F.lit(False))
 
 
+def _capacity_alert(threshold: float) -> Column:
+    ratio = F.col("ratio")
+    title, text = capacity_text()
+    level = F.when(ratio > CAPACITY_CRITICAL, "critical").otherwise("warning")
+    return F.when(ratio > threshold, _alert("capacity_stress", level, title, text))
+
+
+def _frequency_alert() -> Column:
+    freq = F.col("freq")
+    title, text = frequency_text(FREQ_NOMINAL)
+    level = F.when(F.abs(freq - FREQ_NOMINAL) < FREQ_WARNING, "warning").otherwise("critical")
+    off = (freq != 0) & ((freq < FREQ_LOW) | (freq > FREQ_HIGH))
+    return F.when(off, _alert("frequency_deviation", level, title, text))
+
+
+def _alert(kind: str, level: Column, title: Column, text: Column) -> Column:
+    return F.struct(F.lit(kind).alias("alert_type"), level.alias("severity"),
+                    title.alias("title"), text.alias("description"))
+
+
+def _raise_alerts(conditions: DataFrame, rules: Sequence[Column], source: str) -> DataFrame:
+    """All rules in one pass; texts are made only where a rule holds."""
+    rated = conditions.where(_usable()).withColumn("ratio", F.col("demand") / F.col("capacity"))
+    raised = F.filter(F.array(*rules), lambda alert: alert.isNotNull())
+    return (rated.select(*_keys(conditions), F.inline(raised))
+            .withColumns({"acknowledged": F.lit(False), "source": F.lit(source)}))
+
+
 def capacity_rule(conditions: DataFrame, threshold: float = CAPACITY_ALERT,
                   source: str = "system_conditions") -> DataFrame:
     """An alert per snapshot whose demand comes too close to capacity."""
-    rated = conditions.where(_usable()).withColumn("ratio", F.col("demand") / F.col("capacity"))
-    title, text = capacity_text()
-    return rated.where(F.col("ratio") > threshold).select(
-        *_keys(conditions), F.lit("capacity_stress").alias("alert_type"),
-        F.when(F.col("ratio") > CAPACITY_CRITICAL, "critical").otherwise("warning").alias("severity"),
-        title.alias("title"), text.alias("description"), F.lit(False).alias("acknowledged"),
-        F.lit(source).alias("source"))
+    return _raise_alerts(conditions, [_capacity_alert(threshold)], source)
 
 
 def frequency_rule(conditions: DataFrame, source: str = "system_conditions") -> DataFrame:
     """An alert per snapshot with demand and capacity known and frequency off its band."""
-    freq = F.col("freq")
-    off = (freq != 0) & ((freq < FREQ_LOW) | (freq > FREQ_HIGH))
-    title, text = frequency_text(FREQ_NOMINAL)
-    return conditions.where(_usable()).where(off).select(
-        *_keys(conditions), F.lit("frequency_deviation").alias("alert_type"),
-        F.when(F.abs(freq - FREQ_NOMINAL) < FREQ_WARNING, "warning").otherwise("critical").alias("severity"),
-        title.alias("title"), text.alias("description"), F.lit(False).alias("acknowledged"),
-        F.lit(source).alias("source"))
+    return _raise_alerts(conditions, [_frequency_alert()], source)
 
 
-def _keys(conditions: DataFrame) -> list[str]:
-    return [c for c in ("ts", "event_id", "page_id") if c in conditions.columns]
+def condition_alerts(conditions: DataFrame, threshold: float = CAPACITY_ALERT,
+                     source: str = "system_conditions") -> DataFrame:
+    return _raise_alerts(conditions, [_capacity_alert(threshold), _frequency_alert()], source)
 
 
-def condition_alerts(conditions: DataFrame, threshold: float = CAPACITY_ALERT) -> DataFrame:
-    return capacity_rule(conditions, threshold).unionByName(frequency_rule(conditions))
+def _keys(conditions: DataFrame) -> list[str]:
+    return [c for c in ("ts", "event_id", "page_id") if c in conditions.columns]
 
 
 def condition_snapshot(conditions: DataFrame, threshold: float = CAPACITY_ALERT,

@@ -205,6 +205,21 @@ def write_registry(spark: SparkSession, path: str, rows: Sequence[tuple]) -> Non
     spark.createDataFrame(list(rows), REGISTRY).coalesce(1).write.mode("append").parquet(path)
 
 
+def registry_of(models: DataFrame, kind: str, version: int, hub: str,
+                features: Sequence[str]) -> DataFrame:
+    """Fitted group models as registry rows: sample size, intercept, coefficients."""
+    given = {
+        "model_id": F.concat_ws("_", F.lit(kind), F.col(hub), F.concat(F.col("horizon").cast("string"), F.lit("h"))),
+        "kind": F.lit(kind), "hub": F.col(hub), "horizon": F.col("horizon"), "version": F.lit(version),
+        "features": F.array(*[F.lit(c) for c in features]),
+        "weights": F.concat(F.array(F.col("n").cast("double"), F.col("intercept")), F.col("coefficients"))}
+    return models.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in REGISTRY.fields])
+
+
+def append_registry(rows: DataFrame, path: str) -> None:
+    rows.write.mode("append").parquet(path)
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete row of each model."""
     try:

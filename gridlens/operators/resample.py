@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlens.functions.scalars import hour_index, hour_of
-from gridlens.operators.ordered import SLICE_ROWS, forward_fill, join_on, over_slices
+from gridlens.operators.ordered import SLICE_ROWS, forward_fill, over_slices
 
 
 def hour_spine(df: DataFrame, series: Sequence[str] = (), ts: str = "ts") -> DataFrame:
@@ -51,9 +51,21 @@ def _nan(df: DataFrame, column: str):
 
 def resample_first(df: DataFrame, columns: Sequence[str], series: Sequence[str] = (),
                    ts: str = "ts", order: Sequence[str] = ()) -> DataFrame:
-    """``first_per_hour`` on the full grid: hours without rows are kept, empty."""
+    """``first_per_hour`` on the full grid: hours without rows are kept, empty.
+
+    Each hour also lays out the empty hours up to the next one, so the input is read
+    once and nothing is joined. The window sees one row per hour, a number the
+    calendar bounds.
+    """
     hourly = first_per_hour(df, columns, series, ts, order)
-    return join_on(hour_spine(df, series, ts), hourly, [*series, "ts"], "left")
+    following = F.lead("ts").over(Window.partitionBy(*series).orderBy("ts"))
+    hour = F.expr("interval 1 hour")
+    last = F.coalesce(F.col("_next") - hour, F.col("_at"))
+    laid = (hourly.withColumn("_next", following).withColumnRenamed("ts", "_at")
+            .where(F.col("_at").isNotNull())
+            .withColumn("ts", F.explode(F.sequence(F.col("_at"), last, hour))))
+    held = F.col("ts") == F.col("_at")
+    return laid.select(*series, "ts", *[F.when(held, F.col(c)).alias(c) for c in columns])
 
 
 def ffill_hourly(grid: DataFrame, columns: Sequence[str], series: Sequence[str] = (),

@@ -371,12 +371,10 @@ def _(v):
     rows = forecast.with_targets(v.prices, "price_usd_mwh", ["settlement_point"], ORDER, [1])
     models = forecast.fit_price(rows, ["price_usd_mwh"], ["settlement_point"], [1])
     path = scratch_path(v.spark, "registry")
+    models = materialise(models, "models")
     for version in (1, 2):
-        made = [forecast.registry_row(
-            f"price_{m['settlement_point']}_{m['horizon']}h", "price", version, m["settlement_point"], m["horizon"],
-            features=["price_usd_mwh"], weights=[float(m["n"]), m["intercept"], *m["coefficients"]])
-            for m in models.collect()]
-        forecast.write_registry(v.spark, path, made)
+        forecast.append_registry(
+            forecast.registry_of(models, "price", version, "settlement_point", ["price_usd_mwh"]), path)
     weights = F.col("weights")
     return forecast.read_registry(v.spark, path).withColumns({
         "n": weights[0].cast("long"), "intercept": weights[1], "slope": weights[2],

@@ -262,7 +262,8 @@ def kv_from_rows(rows: DataFrame, key: str = "page_id") -> DataFrame:
     pairs = F.transform(filled, lambda f: F.struct(
         F.size(f).alias("n"), F.get(f, F.lit(0)).alias("label"), F.get(f, F.size(f) - 1).alias("text")))
     usable = (rows.where(~F.col("is_header"))
-              .select(key, F.struct("block", "row").alias("_at"), F.inline(pairs))
+              .select(key, F.shiftleft(F.col("block").cast("bigint"), 32).bitwiseOR(
+                  F.col("row").cast("bigint")).alias("_at"), F.inline(pairs))
               .where(F.col("n") >= 2))
     value = F.col("text")
     for unit in VALUE_UNITS:
@@ -270,9 +271,8 @@ def kv_from_rows(rows: DataFrame, key: str = "page_id") -> DataFrame:
     named = usable.select(key, "_at", F.translate(F.lower("label"), " ()", "_").alias("name"),
                           "text", value.try_cast("double").alias("value"))
     return named.groupBy(key, "name").agg(
-        F.min("_at").alias("pos"),
-        F.max_by(F.struct("text", "value"), "_at").alias("_v")).select(
-            key, "name", "pos", "_v.text", "_v.value")
+        F.min("_at").alias("pos"), F.max_by("text", "_at").alias("text"),
+        F.max_by("value", "_at").alias("value"))
 
 
 def kv_maps(kv: DataFrame, key: str = "page_id") -> DataFrame:
@@ -286,11 +286,9 @@ def pick_metric(kv: DataFrame, wanted: Mapping[str, Sequence[str]] = CONDITION_K
     """Per page and figure: best fragment first, then the label that came first."""
     picks = []
     for figure, fragments in wanted.items():
-        rank = F.lit(None).cast("int")
-        for k in reversed(range(len(fragments))):
-            rank = F.when(F.col("name").contains(fragments[k]), F.lit(k)).otherwise(rank)
-        usable = rank.isNotNull() & F.col("value").isNotNull()
-        picks.append(F.min_by("value", F.when(usable, F.struct(rank.alias("r"), F.col("pos")))).alias(figure))
+        found = [F.min_by("value", F.when(
+            F.col("name").contains(fragment) & F.col("value").isNotNull(), F.col("pos"))) for fragment in fragments]
+        picks.append(F.coalesce(*found).alias(figure))
     return kv.groupBy(key).agg(*picks)
 
 

@@ -56,8 +56,8 @@ class LogTable:
         pos = F.col(position).cast("long") if position else F.xxhash64(*[c for c in rows.columns])
         span = F.to_date(F.date_trunc(self.grain, self.ts))
         out = rows.select(*cells, pos.alias("_pos")).withColumn("dt", span)
-        out = out.repartitionByRange("dt", self.ts, "_pos")
-        out.write.mode("overwrite").partitionBy("dt").parquet(f"{self.path}/log/batch={int(batch)}")
+        # A day's rows go together, and a day too large for one task is split at run time.
+        out.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(f"{self.path}/log/batch={int(batch)}")
 
     # Reading -----------------------------------------------------------------------
 
@@ -99,12 +99,16 @@ class LogTable:
         return self._plain(self.log())
 
     def latest(self) -> DataFrame:
-        """Upsert reading: the last row written per key."""
-        return self._plain(upsert_last(self.log(), self.keys, _ORDER))
+        """Upsert reading: the last row written per key.
+
+        ``dt`` follows from the key's time; grouping by it too lets a predicate on it
+        through to the partitions.
+        """
+        return self._plain(upsert_last(self.log(), [*self.keys, "dt"], _ORDER))
 
     def first(self) -> DataFrame:
         """Insert-once reading: the first row written per key."""
-        return self._plain(insert_ignore(self.log(), self.keys, _ORDER))
+        return self._plain(insert_ignore(self.log(), [*self.keys, "dt"], _ORDER))
 
     # Maintenance -------------------------------------------------------------------
 
@@ -122,7 +126,7 @@ class LogTable:
             return
         log = log.where(F.col("_batch") <= upto)
         if self.keys and mode in ("latest", "first"):
-            log = (upsert_last if mode == "latest" else insert_ignore)(log, self.keys, _ORDER)
+            log = (upsert_last if mode == "latest" else insert_ignore)(log, [*self.keys, "dt"], _ORDER)
         if keep_days is not None:
             log = retain(log, keep_days, as_of, self.ts, self.grain)
         current = self._manifest()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,16 @@ def _start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoin
             .option("checkpointLocation", checkpoint).trigger(**cadence(feed)).start())
 
 
+@contextmanager
+def _kept(df: DataFrame) -> Iterator[DataFrame]:
+    """A micro-batch read more than once; lost pieces are computed again from the source."""
+    kept = df.persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def rollup_stream(prices: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Hourly price rollup with bounded state. The whole window is the key: grouping by
     its start alone would lose the watermark."""
@@ -86,12 +97,16 @@ def stream_insert_ignore(rows: DataFrame, table: LogTable, checkpoint: str, posi
                          feed: str | None = None) -> StreamingQuery:
     """First row per key of each batch, unless an earlier batch holds the key.
 
-    The table is read up to the batch before, so that a replay decides the same.
+    The table is read up to the batch before, so that a replay decides the same, and
+    only in the partitions the batch falls into.
     """
     def write(df: DataFrame, n: int) -> None:
-        known = table.log().where(F.col("_batch") < n)
-        fresh = without_known(first_per_key(df, table.keys, [position]), known, table.keys)
-        table.append(fresh, n, position)
+        with _kept(df) as batch:
+            span = [F.to_date(F.date_trunc(table.grain, edge(table.ts))) for edge in (F.min, F.max)]
+            first, last = batch.agg(*span).first()
+            known = table.log().where((F.col("_batch") < n) & F.col("dt").between(F.lit(first), F.lit(last)))
+            fresh = without_known(first_per_key(batch, table.keys, [position]), known, table.keys)
+            table.append(fresh, n, position)
     return _start(rows, write, checkpoint, feed)
 
 
@@ -100,8 +115,9 @@ def stream_alerts(conditions: DataFrame, alerts: LogTable, outages: LogTable, ch
                   feed: str | None = None) -> StreamingQuery:
     """Rules and snapshot of every condition row, by the row's own time."""
     def write(df: DataFrame, n: int) -> None:
-        alerts.append(assign_id(condition_alerts(df, threshold)), n)
-        outages.append(condition_snapshot(df, threshold), n)
+        with _kept(df) as batch:
+            alerts.append(assign_id(condition_alerts(batch, threshold)), n)
+            outages.append(condition_snapshot(batch, threshold), n)
     return _start(conditions, write, checkpoint, feed)
 
 
