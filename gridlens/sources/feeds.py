@@ -168,18 +168,33 @@ def _prices(rows: DataFrame, hubs: Sequence[str], market: str, keep: Sequence[st
             .select("ts", "settlement_point", "price_usd_mwh", F.lit(market).alias("market_type"), *keep))
 
 
+# Time formats of price pages besides the standard one.
+PAGE_TIMES = ["M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy"]
+
+
+def page_time(text: Column) -> Column:
+    """A page's date or time; missing when it cannot be read."""
+    return F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in PAGE_TIMES])
+
+
 def dam_wide_to_long(rows: DataFrame, fallback_date=None, hubs: Sequence[str] = HUBS,
                      keep: Sequence[str] = ()) -> DataFrame:
-    """Day-ahead page: date plus hour ending; hour 24 is the next midnight."""
+    """Day-ahead page: date plus hour ending; hour 24 is the next midnight.
+
+    The fallback date stands in for a missing date only; an unreadable one drops the row.
+    """
     hour_name = resolve_column(rows.columns, HOUR_HEADERS, ["hour"])
     if hour_name is None:
         raise ValueError("no hour column on the page")
     date_name = resolve_column(rows.columns, DATE_HEADERS, ["day", "date"])
     fallback = F.to_date(moment(fallback_date))
-    date = F.coalesce(F.col(f"`{date_name}`").cast("string").try_cast("date"), fallback) if date_name else fallback
+    date = fallback
+    if date_name:
+        given = F.col(f"`{date_name}`").cast("string")
+        date = F.when(given.isNull(), fallback).otherwise(page_time(given).cast("date"))
     hour = F.col(f"`{hour_name}`").cast("string").try_cast("int")
     ts = date.cast("timestamp") + F.make_dt_interval(hours=hour)
-    stamped = rows.withColumn("ts", ts).where(hour.isNotNull())
+    stamped = rows.withColumn("ts", ts).where(F.col("ts").isNotNull())
     return _prices(stamped, _hub_columns(rows, hubs), "DAM", keep)
 
 
@@ -189,7 +204,7 @@ def rtm_wide_to_long(rows: DataFrame, hubs: Sequence[str] = HUBS, keep: Sequence
     if time_name is None:
         return _prices(rows.withColumn("ts", F.lit(None).cast("timestamp")).where(F.lit(False)),
                        _hub_columns(rows, hubs), "RTM", keep)
-    stamped = rows.withColumn("ts", F.try_to_timestamp(F.col(f"`{time_name}`").cast("string")))
+    stamped = rows.withColumn("ts", page_time(F.col(f"`{time_name}`").cast("string")))
     return _prices(stamped.where(F.col("ts").isNotNull()), _hub_columns(rows, hubs), "RTM", keep)
 
 
