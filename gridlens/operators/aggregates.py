@@ -46,29 +46,27 @@ def load_heatmap(load: DataFrame, dates: Sequence | None = None) -> DataFrame:
     return parts.groupBy("hour", "date").agg(F.avg("load_mw").alias("load_mw"))
 
 
-def _pairwise(x: str, y: str, complete: bool = False) -> Column:
+def _pairwise(x: str, y: str) -> Column:
     """Pearson correlation over rows where both are present; empty for a constant.
 
     Constants are found by max = min: merged variances need not be exactly zero.
     """
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     px, py = F.when(both, F.col(x)), F.when(both, F.col(y))
-    if complete:
-        px, py = F.col(x), F.col(y)
     flat = (F.max(px) == F.min(px)) | (F.max(py) == F.min(py))
     ratio = F.try_divide(F.covar_pop(px, py), F.stddev_pop(px) * F.stddev_pop(py))
     return F.when(~flat, ratio)
 
 
-def corr_matrix(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
-                complete: bool = False) -> DataFrame:
+def corr_matrix(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """All pairs as rows ``(i, j, r)``, both orders and the diagonal, from one pass.
 
-    ``complete`` says no value is missing: pairs then share each column's moments.
+    Meant for the handful of columns of a report; the variable graph of a model has
+    its own operator.
     """
     pairs = list(combinations(range(len(columns)), 2))
     doubles = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    moments = [_pairwise(columns[a], columns[b], complete).alias(f"_r{a}_{b}") for a, b in pairs]
+    moments = [_pairwise(columns[a], columns[b]).alias(f"_r{a}_{b}") for a, b in pairs]
     own = [F.when(F.max(c) != F.min(c), F.lit(1.0)).alias(f"_d{k}") for k, c in enumerate(columns)]
     row = doubles.groupBy(*by).agg(*moments, *own)
     cells = []

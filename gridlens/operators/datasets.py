@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -212,11 +214,34 @@ def enough_or_raw(engineered: DataFrame, raw: DataFrame, need: int = SEQ_LEN) ->
 Graph = Mapping[str, Mapping[str, float]]
 
 
-def correlation_graph(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+# Up to this many columns the pairs are plain aggregates, read in one pass; beyond it
+# the aggregate would grow past what compiles well and a matrix is summed instead.
+NARROW_COLUMNS = 8
+
+
+def correlation_graph(df: DataFrame, columns: Sequence[str], narrow: int = NARROW_COLUMNS) -> DataFrame:
     """Absolute correlations of complete rows as edges ``(i, j, w)``, diagonal 1."""
-    edges = corr_matrix(drop_missing(df.select(*columns)), columns, complete=True)
-    weight = F.least(F.lit(1.0), F.greatest(F.lit(0.0), sanitize(F.abs("r"))))
-    return edges.select("i", "j", F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(weight).alias("w"))
+    complete = drop_missing(df.select(*columns))
+    if len(columns) > narrow:
+        return _matrix_graph(complete, columns)
+    weight = F.least(F.lit(1.0), F.coalesce(F.abs("r"), F.lit(0.0)))
+    return corr_matrix(complete, columns).select(
+        "i", "j", F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(weight).alias("w"))
+
+
+def _matrix_graph(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One matrix of products per task; a constant column, found by max = min, has no edges."""
+    rows = complete.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    spread = rows.agg(*[F.coalesce(F.max(c) != F.min(c), F.lit(False)) for c in columns]).first()
+    varying = [c for c, moves in zip(columns, spread) if moves]
+    weight = {}
+    if varying:
+        packed = VectorAssembler(inputCols=varying, outputCol="_v").transform(rows).select("_v")
+        matrix = Correlation.corr(packed, "_v").first()[0].toArray()
+        weight = {(a, b): min(1.0, abs(float(matrix[i, j])))
+                  for i, a in enumerate(varying) for j, b in enumerate(varying)}
+    edges = [(a, b, 1.0 if a == b else weight.get((a, b), 0.0)) for a in columns for b in columns]
+    return complete.sparkSession.createDataFrame(edges, "i string, j string, w double")
 
 
 def collect_graph(edges: DataFrame) -> dict[str, dict[str, float]]:

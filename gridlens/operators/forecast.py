@@ -237,20 +237,19 @@ def scaler_of(row: Mapping) -> Scaler:
 
 
 def resolve_model(requests: DataFrame, registry: DataFrame) -> DataFrame:
-    """Most specific model per request: hub and horizon, then horizon, then the default."""
+    """Most specific model per request: hub and horizon, then horizon, then the default.
+
+    Each request asks by three keys at once, so one join finds all candidates.
+    """
+    def key(kind, hub, horizon):
+        return F.concat_ws("|", kind, F.coalesce(hub, F.lit("")), F.coalesce(horizon.cast("string"), F.lit("")))
+
+    nothing, no_horizon = F.lit(None).cast("string"), F.lit(None).cast("int")
+    kind, hub, horizon = F.col("kind"), F.col("hub"), F.col("horizon")
+    asked = [key(kind, hub, horizon), key(kind, nothing, horizon), key(kind, nothing, no_horizon)]
     wanted = requests.select("kind", "hub", "horizon").distinct()
-    models = registry.select("model_id", "kind", F.col("hub").alias("_hub"), F.col("horizon").alias("_h"))
-    exact = wanted.join(
-        models.where(F.col("_hub").isNotNull() & F.col("_h").isNotNull())
-        .withColumnsRenamed({"_hub": "hub", "_h": "horizon"}), ["kind", "hub", "horizon"])
-    by_horizon = wanted.join(
-        models.where(F.col("_hub").isNull() & F.col("_h").isNotNull()).drop("_hub")
-        .withColumnRenamed("_h", "horizon"), ["kind", "horizon"])
-    default = wanted.join(models.where(F.col("_hub").isNull() & F.col("_h").isNull()).drop("_hub", "_h"), ["kind"])
-    ranked = None
-    for rank, part in enumerate((exact, by_horizon, default)):
-        part = part.select("kind", "hub", "horizon", "model_id", F.lit(rank).alias("_rank"))
-        ranked = part if ranked is None else ranked.unionByName(part)
-    best = ranked.groupBy("kind", "hub", "horizon").agg(
-        F.min_by("model_id", F.struct("_rank", "model_id")).alias("model_id"))
-    return wanted.join(best, ["kind", "hub", "horizon"], "left")
+    candidates = wanted.select("*", F.posexplode(F.array(*asked)).alias("_rank", "_key"))
+    models = registry.select(key(kind, hub, horizon).alias("_key"), "model_id")
+    found = candidates.join(models, "_key", "left")
+    best = F.min_by("model_id", F.when(F.col("model_id").isNotNull(), F.struct("_rank", "model_id")))
+    return found.groupBy("kind", "hub", "horizon").agg(best.alias("model_id"))

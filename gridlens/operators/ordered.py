@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gridlens.session import materialise
 
-SLICE_ROWS = 100_000
+SLICE_ROWS = 32_768
 
 _PID_BITS = 33
 

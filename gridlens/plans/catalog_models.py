@@ -266,22 +266,21 @@ def _(v):
 _WINDOW = ["load_mw", "temperature_2m", "hour_sin", "hour_cos"]
 
 
-def _graph_windows(v, horizon):
-    rows = materialise(engineered(v), "engineered")
-    features = ds.available_features(rows, _WINDOW)
-    train = ordered.chrono_split(rows, [], READING_ORDER).where("is_train")
-    scaler = ds.fit_scaler(train, features)
-    graph = ds.collect_graph(ds.correlation_graph(rows, features))
-    smooth, names = forecast.smoothed_features(rows.withColumn("target", F.col("load_mw")), scaler, graph)
-    windows = ds.sliding_windows(smooth, names, "target", order=READING_ORDER, horizon=horizon)
-    return materialise(ds.window_split(windows), "windows")
+def _smoothed(v):
+    """Scaled readings with their neighbour means, the scaler fitted on training rows only."""
+    rows = _split_readings(v)
+    scaler = ds.fit_scaler(rows.where("is_train"), _WINDOW)
+    graph = ds.collect_graph(ds.correlation_graph(rows, _WINDOW))
+    return forecast.smoothed_features(rows.withColumn("target", F.col("load_mw")), scaler, graph)
 
 
 @query("f2_fit_graph_load", "horizon metric", "value")
 def _(v):
+    smooth, names = _smoothed(v)
     parts = []
     for horizon in forecast.HORIZONS:
-        windows = _graph_windows(v, horizon)
+        windows = ds.sliding_windows(smooth, names, "target", order=READING_ORDER, horizon=horizon)
+        windows = materialise(ds.window_split(windows), "windows")
         model = forecast.fit_graph_load(windows, horizon, max_iter=10)
         scored = model.predict(windows.where(~F.col("is_train")))
         parts.append(scored.agg(ev.mape("y").alias("mape"), ev.mae("y").alias("mae"))

@@ -90,14 +90,17 @@ def test_latest_window_needs_enough_rows(rows, spark):
     assert ds.enough_or_raw(few, df) is df and ds.enough_or_raw(few, few) is few
 
 
-def test_graph_invariants(views):
+@pytest.mark.parametrize("narrow", [0, 8])
+def test_graph_invariants(views, narrow):
     columns = ["load_mw", "temperature_2m", "wind_speed_10m"]
     rows = views.readings.withColumn("flat", F.lit(1.0))
-    graph = ds.collect_graph(ds.correlation_graph(rows, [*columns, "flat"]))
+    graph = ds.collect_graph(ds.correlation_graph(rows, [*columns, "flat"], narrow))
+    expected = rows.select(*columns).toPandas().corr().abs()
     for i, row in graph.items():
         assert row[i] == 1.0 and len(row) == 4
         for j, w in row.items():
             assert 0.0 <= w <= 1.0 and w == graph[j][i]
+            assert "flat" in (i, j) or w == pytest.approx(expected.loc[i, j], abs=1e-9)
     assert graph["flat"]["load_mw"] == 0.0
 
 
