@@ -137,7 +137,8 @@ def _(v):
 
 def _stream(v, view):
     """The view over the events table, read as a stream."""
-    events = jobs.read_stream(v.spark, v.sf_dir, TABLES["events"], "events.parquet")
+    # As a pattern the path may name one file or a folder of files; a plain path only the latter.
+    events = jobs.read_stream(v.spark, f"{v.sf_dir}/events.parque[t]", TABLES["events"])
     return v.spark.sql(VIEWS[view], events=events)
 
 

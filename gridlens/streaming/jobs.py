@@ -31,11 +31,8 @@ def cadence(feed: str | None) -> dict:
     return {"processingTime": f"{POLL_SECONDS[feed]} seconds"}
 
 
-def read_stream(spark: SparkSession, path: str, schema, pattern: str | None = None,
-                files_per_batch: int | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
