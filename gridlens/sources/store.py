@@ -44,11 +44,14 @@ class LogTable:
 
     # Writing ---------------------------------------------------------------------
 
-    def append(self, rows: DataFrame, batch: int, position: str | None = None) -> None:
+    def append(self, rows: DataFrame, batch: int, position: str | None = None,
+               small_days: bool = False) -> None:
         """Store a batch. The same number again replaces it, so a replay adds nothing.
 
         ``position`` names the column that orders rows within the batch; without one,
-        rows of equal key are ordered by their content.
+        rows of equal key are ordered by their content. ``small_days`` says a day fits
+        one task. It is needed for the output of stateful streams, whose plans Spark
+        does not adapt at run time, and holds for rollups.
         """
         have = set(rows.columns)
         cells = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -57,7 +60,8 @@ class LogTable:
         span = F.to_date(F.date_trunc(self.grain, self.ts))
         out = rows.select(*cells, pos.alias("_pos")).withColumn("dt", span)
         # A day's rows go together, and a day too large for one task is split at run time.
-        out.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(f"{self.path}/log/batch={int(batch)}")
+        laid = out.repartition("dt") if small_days else out.hint("rebalance", "dt")
+        laid.write.mode("overwrite").partitionBy("dt").parquet(f"{self.path}/log/batch={int(batch)}")
 
     # Reading -----------------------------------------------------------------------
 
@@ -138,8 +142,8 @@ class LogTable:
             out = cluster(out, segment_by, self.ts)
         else:
             old = F.col(self.ts) <= days_before(as_of, older_than_days)
-            out = cluster(out.where(old), segment_by, self.ts).unionByName(
-                out.where(~old | F.col(self.ts).isNull()))
+            young = out.where(~old | F.col(self.ts).isNull()).hint("rebalance", "dt")
+            out = cluster(out.where(old), segment_by, self.ts).unionByName(young)
         out.write.mode("overwrite").partitionBy("dt").parquet(f"{self.path}/{target}")
         (self.spark.createDataFrame([(version, upto, target)], _MANIFEST).coalesce(1)
          .write.mode("append").json(f"{self.path}/manifest"))

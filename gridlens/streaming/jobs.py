@@ -73,7 +73,7 @@ def rollup_table(spark: SparkSession, path: str) -> LogTable:
 def stream_rollup(prices: DataFrame, table: LogTable, checkpoint: str, feed: str | None = None,
                   lateness: str = LATENESS) -> StreamingQuery:
     """Changed buckets of each micro-batch are upserted; ``table.latest()`` is the rollup."""
-    return _start(rollup_stream(prices, lateness), lambda df, n: table.append(df, n),
+    return _start(rollup_stream(prices, lateness), lambda df, n: table.append(df, n, small_days=True),
                   checkpoint, feed, mode="update")
 
 

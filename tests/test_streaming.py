@@ -53,6 +53,8 @@ def test_rollup_in_three_batches_equals_batch(spark, views, place):
     worst = both.select(F.max(F.abs(F.col("g.avg_price_usd_mwh") - F.col("w.avg_price_usd_mwh"))),
                         F.max(F.abs(F.col("g.max_price_usd_mwh") - F.col("w.max_price_usd_mwh")))).first()
     assert both.count() == want.count() and max(worst) < 1e-9
+    days = want.select(F.to_date("bucket")).distinct().count()
+    assert len(table.log().inputFiles()) <= days + len(CUTS)
 
 
 def test_late_rows_are_dropped_and_repaired(spark, rows, place):
