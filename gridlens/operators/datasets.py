@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlens.functions.scalars import (
-    above, calendar, derived, drop_missing, nan_as_null, sanitize, select_available,
-    wind_proxy, with_cyclic, zero_as_missing)
+    above, calendar, derived, drop_missing, nan_as_null, sanitize, wind_proxy, with_cyclic, zero_as_missing)
 from gridlens.operators.aggregates import corr_matrix, dedupe_mean
 from gridlens.operators.ordered import (
     SLICE_ROWS, interpolate_numbered, lags, number_rows, over_slices, past_rolling_mean,
@@ -260,7 +259,3 @@ def graph_smooth(df: DataFrame, graph: Graph, prefix: str = "nb_") -> DataFrame:
         terms = [F.col(j) * F.lit(w / total) for j, w in sorted(row.items())]
         added[f"{prefix}{i}"] = sum(terms[1:], terms[0])
     return df.withColumns(added)
-
-
-def available_features(df: DataFrame, wanted: Sequence[str]) -> list[str]:
-    return select_available(df, wanted).columns

@@ -21,11 +21,6 @@ def hour_spine(df: DataFrame, series: Sequence[str] = (), ts: str = "ts") -> Dat
     return _hours(spans.where(F.col("_first").isNotNull()), series)
 
 
-def hours_between(spans: DataFrame, first: str, last: str, series: Sequence[str] = ()) -> DataFrame:
-    named = spans.select(*series, hour_of(first).alias("_first"), hour_of(last).alias("_last"))
-    return _hours(named, series)
-
-
 def _hours(spans: DataFrame, series: Sequence[str]) -> DataFrame:
     day = F.expr("interval 1 day")
     hour = F.expr("interval 1 hour")
@@ -81,7 +76,7 @@ def ffill_hourly(grid: DataFrame, columns: Sequence[str], series: Sequence[str]
     return filled.drop("_at")
 
 
-def stack_aligned(*frames: DataFrame, keys: Sequence[str] = ("ts",)) -> DataFrame:
+def stack_aligned(*frames: DataFrame) -> DataFrame:
     """All frames under one header; columns a frame lacks stay empty.
 
     Followed by ``first_per_hour`` this equals a full outer join on ``ts`` and then

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from gridlens import schemas
 from gridlens.functions import scalars as fn
-from gridlens.operators import detect
+from gridlens.operators import aggregates, detect
 from gridlens.operators import datasets as ds
 from gridlens.operators.ordered import exact_percentile
 from gridlens.plans import queries as q
@@ -97,6 +97,13 @@ def _(v):
     return q.outage_history(detect.condition_snapshot(v.conditions), 7, AS_OF)
 
 
+@query("a8_stress_counts", "total high_stress normal", "", """
+SELECT count(*) AS total, count(*) FILTER (status = 'high_stress') AS high_stress,
+  count(*) FILTER (status <> 'high_stress') AS normal FROM h_outages""")
+def _(v):
+    return aggregates.stress_counts(detect.condition_snapshot(v.conditions))
+
+
 @query("r5_grid_status", "load_ts active_alerts alert_type alert_severity stress_events_24h", "current_mw forecast_mw stress", f"""
 SELECT l.ts AS load_ts, l.load_mw AS current_mw, l.forecast_mw, l.load_mw - l.forecast_mw AS stress,
   a.n AS active_alerts, a.alert_type, a.severity AS alert_severity, o.n AS stress_events_24h

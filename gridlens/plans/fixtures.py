@@ -166,13 +166,6 @@ class Fixtures:
         return self.view("fx_rtm_page").withColumnsRenamed({
             "interval_ending": "Interval Ending", "hb_south": "HB_SOUTH", "hb_west": "HB_WEST"})
 
-    @cached_property
-    def hourly_prices(self) -> DataFrame:
-        """One price per hub, market and hour: the key the price table promises."""
-        from gridlens.operators.ordered import first_per_key
-        rows = self.prices.withColumn("ts", F.date_trunc("hour", "ts"))
-        return first_per_key(rows, ["ts", "settlement_point", "market_type"], ["event_id"])
-
 
 def duck(text: str) -> str:
     """The view text for DuckDB, whose tables go by their plain names."""
