@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.llm import line_dedup, minmax_dedup, suffix_dedup, url_rules
+from gridlens.llm import bpe, chat_format, language, line_dedup, minmax_dedup, suffix_dedup, url_rules
 from gridlens.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,11 +42,55 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_ESCAPED = "replace(coalesce(text, ''), '\\', '\\\\')"
+for _mark in chat_format.CONTROL:
+    _ESCAPED = f"replace({_ESCAPED}, '{_mark}', '{_mark[0]}\\{_mark[1:]}')"
+#: The conversation that the query adds.
+ADDED_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query("op1_chat_format", f"""
+WITH c AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, length({_ESCAPED}) + CASE
+    WHEN role = 'user' THEN length('<s>[INST]  [/INST]') WHEN role = 'assistant' THEN length('<s> </s>')
+    ELSE length('<s>[ROLE][/ROLE] </s>') + length(coalesce(role, '')) END AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+         AS turns_sha256, CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars, count(*) FILTER (role = 'assistant') AS n_examples
+FROM t GROUP BY conv_id""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(ADDED_CONVERSATION, given.schema)
+    return chat_format.read_back(chat_format.expand_prefix_targets(given.unionByName(added)))
+
+
 @query("op4_minmax_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op5_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               ids_as="binary")
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op7_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = language.train(docs, ~held_out)
+    out = language.predict(docs, model)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 @query("op8_line_dedup", rf"""
 WITH l AS (
   SELECT doc_id, i, line, regexp_replace(translate(line, '{_UPPER}', '{_LOWER}'),
