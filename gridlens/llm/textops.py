@@ -23,6 +23,8 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Bytes that are neither ASCII letters nor part of a longer character.
+NOT_LETTERS = np.array([not (65 <= b <= 90 or 97 <= b <= 122 or b >= 128) for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -126,10 +128,11 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of the lower-cased (A-Z) texts: hash, first byte and text of each."""
+def words(buf: np.ndarray, offs: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the lower-cased (A-Z) texts: hash, first byte and text of each. ``between`` marks the bytes that
+    part words, by default ``[\\x20\\x09-\\x0D]``."""
     low = _LOWER[buf]
-    inside = ~_SPACE[low]
+    inside = ~between[low]
     if not inside.any():
         none = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), none, none
