@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.llm import bpe, chat_format, language, line_dedup, minmax_dedup, suffix_dedup, url_rules
+from gridlens.llm import (
+    bpe, chat_format, decontaminate, language, line_dedup, minmax_dedup, quality, suffix_dedup, url_rules)
+from gridlens.llm.store import written
 from gridlens.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +71,15 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.expand_prefix_targets(given.unionByName(added)))
 
 
+@query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = written(quality.evidence(docs, model, F.col("source"), F.col("lang"), ["doc_id"]), "evidence")
+    out = quality.combine(scored, quality.site_levels(scored))
+    return out.select("doc_id", "evidence", "host_posterior", "path_posterior", "score", "kept")
+
+
 @query("op4_minmax_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -82,6 +93,47 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _word_list(text: str) -> str:
+    """DuckDB SQL: the words of a text."""
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+')"
+
+
+@query("op6_decontaminate", f"""
+WITH bw AS (SELECT item_id, {_word_list('text')} AS w FROM benchmark),
+half AS (SELECT greatest(max(len(w)), 5) AS h FROM bw),
+part AS (
+  SELECT item_id, 0 AS side, w[1:(len(w) + 1) // 2] AS w FROM bw
+  UNION ALL SELECT item_id, 1, w[(len(w) + 1) // 2 + 1:] FROM bw),
+bs AS (
+  SELECT DISTINCT item_id, side, array_to_string(w[j:j + 4], ' ') AS s
+  FROM (SELECT item_id, side, w, unnest(range(1, len(w) - 3)) AS j FROM part)),
+need AS (SELECT item_id, side, count(*) AS n FROM bs GROUP BY item_id, side),
+dw AS (SELECT doc_id, {_word_list('text')} AS w FROM documents),
+ds AS (
+  SELECT doc_id, j - 1 AS p, greatest(1, CAST(ceil(len(w) / h) AS BIGINT) - 1) AS passages, h,
+         array_to_string(w[j:j + 4], ' ') AS s
+  FROM (SELECT doc_id, w, h, unnest(range(1, len(w) - 3)) AS j FROM dw, half)),
+hit AS (SELECT ds.*, bs.item_id, bs.side FROM ds JOIN bs USING (s)),
+seen AS (
+  SELECT doc_id, item_id, side, k, count(DISTINCT s) AS n
+  FROM (SELECT *, unnest([p // h, p // h - 1]) AS k FROM hit)
+  WHERE k >= 0 AND k < passages AND p + 5 <= (k + 2) * h GROUP BY doc_id, item_id, side, k),
+found AS (
+  SELECT DISTINCT doc_id, item_id FROM (
+    SELECT doc_id, item_id, k FROM seen JOIN need USING (item_id, side)
+    WHERE seen.n >= 0.75 * need.n GROUP BY doc_id, item_id, k HAVING count(*) = 2)),
+of_doc AS (
+  SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items
+  FROM found GROUP BY doc_id)
+SELECT doc_id, n IS NOT NULL AS contaminated, coalesce(n, 0) AS n_items, coalesce(items, '') AS items
+FROM documents LEFT JOIN of_doc USING (doc_id)""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.mark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    n = F.size("leaked_items")
+    return out.select("doc_id", (n > 0).alias("contaminated"), n.cast("long").alias("n_items"),
+                      F.array_join("leaked_items", ",").alias("items"))
+
+
 @query("op7_language")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
