@@ -30,8 +30,6 @@ KEEP_BYTES = 24 << 20
 #: Fixed value: the word pattern of byte-level BPE files of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_ENGINES: dict[int, "Engine"] = {}
-
 
 def _byte_letters() -> dict[str, int]:
     """Which byte each letter of a byte-level vocabulary stands for: printable bytes for themselves, the rest for
@@ -105,9 +103,11 @@ class Engine:
 
 
 def engine(vocabulary: Broadcast) -> Engine:
-    if vocabulary.id not in _ENGINES:
-        _ENGINES[vocabulary.id] = Engine(vocabulary.value)
-    return _ENGINES[vocabulary.id]
+    """The worker's engine; it stays with the broadcast value from one task to the next."""
+    held = vocabulary.value
+    if "engine" not in held:
+        held["engine"] = Engine(held)
+    return held["engine"]
 
 
 def cut_places(buf: np.ndarray, offs: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
