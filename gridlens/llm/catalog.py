@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlens.llm import (
-    bpe, chat_format, decontaminate, language, line_dedup, minmax_dedup, quality, suffix_dedup, url_rules)
+    bpe, chat_format, decontaminate, embedding_links, language, line_dedup, minmax_dedup, quality, suffix_dedup,
+    url_rules)
 from gridlens.llm.store import written
 from gridlens.session import tune
 
@@ -71,6 +72,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.expand_prefix_targets(given.unionByName(added)))
 
 
+@query("op2_embedding_links")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op3_quality")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
