@@ -29,7 +29,9 @@ WIDTH, GRAM = 50, 24
 REACH = WIDTH - GRAM
 SPAN = REACH + WIDTH
 #: Bytes of text that a task sorts by itself before it passes entries on.
-HOARD = 12 << 20
+HOARD = 8 << 20
+#: Entries whose windows are ordered at once.
+RUN = 1 << 15
 #: Hash groups of entries for each shuffle partition.
 SPREAD = 4
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -86,6 +88,16 @@ def _least(doc: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out
 
 
+def _whole_groups(entries: np.ndarray, gram: np.ndarray) -> Iterator[np.ndarray]:
+    """Entries in runs of about ``RUN``, none of which parts a group of equal grams."""
+    edges = np.concatenate([np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])), [len(gram)]])
+    first = 0
+    while first < len(entries):
+        last = int(edges[np.searchsorted(edges, min(first + RUN, len(entries)))])
+        yield entries[first:last]
+        first = last
+
+
 def resolve(doc: np.ndarray, gram: np.ndarray, ctx: np.ndarray, left: np.ndarray,
             right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each entry the removed stretch around its anchor (from, to; to 0 if none), and whether any window
@@ -111,20 +123,16 @@ def resolve(doc: np.ndarray, gram: np.ndarray, ctx: np.ndarray, left: np.ndarray
     alone = np.repeat(size == 1, size)
     open_[order[alone]] = True
     many = order[~alone]
-    if len(many):
-        keys = np.empty((len(many), REACH + 1), np.uint64)
-        for i in range(0, len(many), 1 << 14):
-            part = many[i : i + (1 << 14)]
-            sums = np.zeros((len(part), SPAN + 1), np.uint64)
-            np.cumsum(_BYTE[ctx[part]] * _UP[:SPAN], axis=1, out=sums[:, 1:])
-            begin = REACH - np.arange(REACH + 1)
-            keys[i : i + (1 << 14)] = mix((sums[:, begin + WIDTH] - sums[:, begin]) * _DOWN[begin]) + gram[part][:, None]
+    for part in _whole_groups(many, gram[many]):
+        sums = np.zeros((len(part), SPAN + 1), np.uint64)
+        np.cumsum(_BYTE[ctx[part]] * _UP[:SPAN], axis=1, out=sums[:, 1:])
         for i in range(REACH + 1):
-            has = np.flatnonzero((first_i[many] <= i) & (i <= last_i[many]))
+            has = np.flatnonzero((first_i[part] <= i) & (i <= last_i[part]))
             if not len(has):
                 continue
-            entry = many[has]
-            lost = doc[entry] > _least(doc[entry], keys[has, i])
+            entry, begin = part[has], REACH - i
+            key = mix((sums[has, begin + WIDTH] - sums[has, begin]) * _DOWN[begin]) + gram[entry]
+            lost = doc[entry] > _least(doc[entry], key)
             out = entry[lost]
             low[out] = np.minimum(low[out], i)
             high[out] = np.maximum(high[out], i)
@@ -153,6 +161,16 @@ def _texts(held: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return buf, offs, doc, mark, table
 
 
+def _pack(ctx: np.ndarray) -> bytes:
+    """Neighbouring contexts overlap and are text: entropy coding halves what the shuffle writes."""
+    return pa.Codec("zstd", 1).compress(ctx.tobytes(), asbytes=True)
+
+
+def _unpack(raw: bytes, n: int) -> np.ndarray:
+    flat = pa.Codec("zstd").decompress(raw, decompressed_size=n * SPAN, asbytes=True)
+    return np.frombuffer(flat, np.uint8).reshape(n, SPAN)
+
+
 def _six(grams: np.ndarray) -> bytes:
     return np.ascontiguousarray((grams >> U64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
@@ -298,7 +316,7 @@ def _pass_two(spread: int):
                 e = keep[own]
                 t = text[e]
                 rows.append((k, np.diff(doc[t], prepend=0).tobytes(), mark[t].tobytes(),
-                             (at[e] - offs[t]).astype(np.int64).tobytes(), None, gram[e].tobytes(), ctx[e].tobytes(),
+                             (at[e] - offs[t]).astype(np.int64).tobytes(), None, gram[e].tobytes(), _pack(ctx[e]),
                              np.concatenate([left[e], right[e]]).tobytes()))
             yield _blob(rows)
     return run
@@ -316,7 +334,7 @@ def _pass_two_groups(table: pa.Table) -> pa.Table:
         marks.append(mark)
         ats.append(a)
         grams.append(np.frombuffer(row["gram"], "<u8"))
-        ctxs.append(np.frombuffer(row["ctx"], np.uint8).reshape(-1, SPAN))
+        ctxs.append(_unpack(row["ctx"], len(a)))
         reach = np.frombuffer(row["reach"], np.uint8).reshape(2, -1)
         lefts.append(reach[0])
         rights.append(reach[1])
