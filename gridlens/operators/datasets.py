@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gridlens.functions.scalars import (
     above, calendar, derived, drop_missing, nan_as_null, sanitize, wind_proxy, with_cyclic, zero_as_missing)
-from gridlens.operators.aggregates import corr_matrix, dedupe_mean
+from gridlens.operators.aggregates import dedupe_mean
 from gridlens.operators.ordered import (
     SLICE_ROWS, interpolate_numbered, lags, number_rows, over_slices, past_rolling_mean,
     positional, renumber, rolling_mean, rolling_mean_full)
@@ -176,7 +176,7 @@ def scoring_windows(df: DataFrame, features: Sequence[str], series: Sequence[str
 
     built = over_slices(numbered, series, "window_id", build, back=seq_len - 1, size=size)
     return (built.where(F.size("x") == seq_len)
-            .select(*series, F.col(order[0]).alias("window_ts"), "x"))
+            .select(*series, F.col(order[0]).alias("window_ts"), *order[1:], "x"))
 
 
 def window_split(windows: DataFrame, ratio: float = 0.85) -> DataFrame:
@@ -185,51 +185,40 @@ def window_split(windows: DataFrame, ratio: float = 0.85) -> DataFrame:
 
 
 def latest_window(df: DataFrame, features: Sequence[str], series: Sequence[str] = (),
-                  ts: str = "ts", seq_len: int = SEQ_LEN) -> DataFrame:
-    """The newest ``seq_len`` rows of each series as one array, oldest first."""
-    rows = df.select(*series, ts, *features)
+                  ts: str = "ts", seq_len: int = SEQ_LEN, ties: Sequence[str] = ()) -> DataFrame:
+    """The newest ``seq_len`` rows of each series as one array, oldest first.
+
+    Rows of equal time are ordered by ``ties`` and then by the features themselves,
+    so that the same rows are picked every time.
+    """
+    order = list(dict.fromkeys([ts, *ties, *features]))
+    rows = df.select(*dict.fromkeys([*series, *order]))
     if series:
-        newest = Window.partitionBy(*series).orderBy(F.col(ts).desc())
+        newest = Window.partitionBy(*series).orderBy(*[F.col(c).desc() for c in order])
         rows = rows.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= seq_len)
     else:
-        rows = rows.orderBy(F.col(ts).desc()).limit(seq_len)
+        rows = rows.orderBy(*[F.col(c).desc() for c in order]).limit(seq_len)
     cells = F.array(*[F.col(c).cast("double") for c in features])
-    packed = rows.groupBy(*series).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), cells.alias("c")))).alias("_rows"))
+    keys = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    packed = rows.groupBy(*series).agg(F.sort_array(F.collect_list(F.struct(
+        keys.alias("k"), F.col(ts).alias("t"), cells.alias("c")))).alias("_rows"))
     return (packed.where(F.size("_rows") == seq_len)
             .select(*series, F.element_at("_rows", -1)["t"].alias("window_ts"),
                     F.transform("_rows", lambda r: r["c"]).alias("x")))
 
 
-def enough_or_raw(engineered: DataFrame, raw: DataFrame, need: int = SEQ_LEN) -> DataFrame:
-    """The raw frame when feature building leaves too few rows and the raw frame has them."""
-    if engineered.limit(need).count() < need <= raw.limit(need).count():
-        return raw
-    return engineered
-
-
 # Variable graph -------------------------------------------------------------------
 
 Graph = Mapping[str, Mapping[str, float]]
 
 
-# Up to this many columns the pairs are plain aggregates, read in one pass; beyond it
-# the aggregate would grow past what compiles well and a matrix is summed instead.
-NARROW_COLUMNS = 8
+def correlation_graph(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Absolute correlations of complete rows as edges ``(i, j, w)``, diagonal 1.
 
-
-def correlation_graph(df: DataFrame, columns: Sequence[str], narrow: int = NARROW_COLUMNS) -> DataFrame:
-    """Absolute correlations of complete rows as edges ``(i, j, w)``, diagonal 1."""
+    One matrix of products per task, whatever the number of columns; a constant
+    column, found by max = min, has no edges.
+    """
     complete = drop_missing(df.select(*columns))
-    if len(columns) > narrow:
-        return _matrix_graph(complete, columns)
-    weight = F.least(F.lit(1.0), F.coalesce(F.abs("r"), F.lit(0.0)))
-    return corr_matrix(complete, columns).select(
-        "i", "j", F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(weight).alias("w"))
-
-
-def _matrix_graph(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One matrix of products per task; a constant column, found by max = min, has no edges."""
     rows = complete.select(*[F.col(c).cast("double").alias(c) for c in columns])
     spread = rows.agg(*[F.coalesce(F.max(c) != F.min(c), F.lit(False)) for c in columns]).first()
     varying = [c for c, moves in zip(columns, spread) if moves]

@@ -110,6 +110,11 @@ def anomaly_severity(flagged: DataFrame, score: str = "score") -> DataFrame:
         F.when(F.col(score) > F.col("threshold") * HIGH_FACTOR, "high").otherwise("medium")))
 
 
+def _plain_decimal(value: Column) -> Column:
+    """A number rounded to four places without trailing zeros but the first place, never in powers of ten."""
+    return F.regexp_replace(F.format_string("%.4f", value), r"(\.\d+?)0+$", "$1")
+
+
 def anomaly_events(flagged: DataFrame, ts: str = "window_ts", score: str = "score",
                    training: bool = False) -> DataFrame:
     """Event rows for flagged windows, ready for the store."""
@@ -120,7 +125,7 @@ def anomaly_events(flagged: DataFrame, ts: str = "window_ts", score: str = "scor
         value = F.col(score)
     else:
         value = F.round(score, 4)
-        text = F.concat(F.lit("Score "), value.cast("string"), F.lit(" ("), F.col("severity"), F.lit(")"))
+        text = F.format_string("Score %s (%s)", _plain_decimal(value), F.col("severity"))
     rows = anomaly_severity(flagged, score) if "severity" not in flagged.columns else flagged
     return rows.where("is_anomaly").select(
         F.col(ts).alias("ts"), F.col(ts).alias("detected_at"),
@@ -200,27 +205,26 @@ class IsolationForest:
 
 def fit_isolation_forest(df: DataFrame, features: Sequence[str], key: Sequence[str],
                          trees: int = 100, sample: int = 256, seed: int = 42) -> IsolationForest:
-    """Each tree is grown from ``sample`` rows picked by key hash, one task per tree.
+    """Each tree is grown from ``sample`` rows, a parameter of the method, picked by a hash
+    of tree and key; one task per tree.
 
-    A hash threshold keeps about twice the rows needed before any are ordered, so
-    only a bounded number reaches the shuffle.
+    A row goes to a tree if that hash is under a bound, which lets about ``2 * sample``
+    rows of each tree through to the shuffle, however many there are. Of these the
+    ``sample`` of least hash are taken, so the draw is the same rule for any table.
     """
     rows = df.select(*key, *[F.col(c).cast("double").alias(c) for c in features]).dropna()
     n = rows.count()
     if n == 0:
         raise ValueError("no complete rows to fit on")
     size = min(sample, n)
-    each = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
-    if n <= trees * sample:
-        drawn = rows.select("*", each)
-    else:
-        share = min(1.0, 2.0 * trees * sample / n + 64.0 / n)
-        bucket = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1 << 40))
-        drawn = rows.where(bucket < int(share * (1 << 40))).withColumn(
-            "tree", F.pmod(F.xxhash64(F.lit(seed + 1), *key), F.lit(trees)).cast("int"))
-    draw = F.xxhash64(F.lit(seed + 2), F.col("tree"), *key)
+    share = min(1.0, (2.0 * sample + 64.0) / n)
+    span = 1 << 40
+    own = F.xxhash64(F.lit(seed), *key)
+    draws = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
+        t.alias("tree"), F.pmod(F.xxhash64(t, own), F.lit(span)).alias("_draw")))
+    chosen = F.filter(draws, lambda d: d["_draw"] < int(share * span))
     order = Window.partitionBy("tree").orderBy("_draw", *key)
-    picked = (drawn.withColumn("_draw", draw).withColumn("_k", F.row_number().over(order))
+    picked = (rows.select("*", F.inline(chosen)).withColumn("_k", F.row_number().over(order))
               .where(F.col("_k") <= size).select("tree", *features))
     limit = int(np.ceil(np.log2(max(size, 2))))
     names = list(features)

@@ -19,11 +19,17 @@ def align_outer(*frames: DataFrame, on: Sequence[str] = ("ts",)) -> DataFrame:
 
 def align_inner(load: DataFrame, weather: DataFrame, forecast: DataFrame | None = None,
                 on: Sequence[str] = ("ts",)) -> DataFrame:
-    """Inner alignment; an absent or empty forecast is left out."""
+    """Inner alignment; an absent or empty forecast is left out.
+
+    A count of the forecast's rows, one row, says whether unmatched rows stay: all do
+    when there is no forecast at all, with its columns missing.
+    """
     out = load.join(weather, list(on), "inner")
-    if forecast is not None and not forecast.isEmpty():
-        out = out.join(forecast, list(on), "inner")
-    return out
+    if forecast is None:
+        return out
+    marked = out.join(forecast.withColumn("_given", F.lit(True)), list(on), "left")
+    absent = forecast.limit(1).agg(F.count(F.lit(1)) == 0).scalar()
+    return marked.where(F.col("_given").isNotNull() | absent).drop("_given")
 
 
 def hour_join(load: DataFrame, weather: DataFrame, zone: str = "houston") -> DataFrame:

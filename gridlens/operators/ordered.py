@@ -230,17 +230,17 @@ def chrono_split(df: DataFrame, series: Sequence[str], order: Sequence[str],
     return numbered.withColumn("is_train", F.col("rn") < F.floor(F.col("n") * F.lit(ratio)))
 
 
-# Values ordered in one task by ``exact_percentile``; more are ranked range by range.
-BRACKET_ROWS = 1_000_000
+# Cells that a pass of ``exact_percentile`` cuts the remaining values into.
+CELLS = 4096
+_LARGEST = 1.7976931348623157e308
 
 
-def exact_percentile(df: DataFrame, column: str, p: float, accuracy: int = 10_000,
-                     bracket_rows: int = BRACKET_ROWS) -> float | None:
+def exact_percentile(df: DataFrame, column: str, p: float, accuracy: int = 10_000) -> float | None:
     """Linearly interpolated percentile, ``0 <= p <= 1``.
 
-    A sketch brackets the wanted rank and one pass counts what lies below. Only the
-    values inside the bracket, grouped by value, are ordered: in one task when their
-    counted number is small, else by ranges.
+    A sketch brackets the wanted rank. Passes over the bracket then count its values
+    in equal cells and go on with the cell that holds the rank, until one value is
+    left. Nothing is ordered or written; a pass returns one small row per cell.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where(
         F.col("v").isNotNull() & ~F.isnan("v"))
@@ -255,28 +255,31 @@ def exact_percentile(df: DataFrame, column: str, p: float, accuracy: int = 10_00
     first, last = int(rank), int(rank) + (rank > int(rank))
     below, upto = values.agg(F.count_if(F.col("v") < lo), F.count_if(F.col("v") <= hi)).first()
     if below > first or upto <= last:
-        lo, hi, below, upto = smallest, largest, 0, n
-    groups = (values.where(F.col("v").between(lo, hi))
-              .groupBy("v").agg(F.count(F.lit(1)).alias("k")))
-    if upto - below <= bracket_rows:
-        before = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-        ranks = groups.withColumn("start", F.coalesce(F.sum("k").over(before), F.lit(0)))
-    else:
-        ranks = _value_ranks(groups)
-    a, b = ranks.agg(
-        F.max(F.when(F.col("start") <= first - below, F.col("v"))),
-        F.max(F.when(F.col("start") <= last - below, F.col("v")))).first()
-    return a + (b - a) * (rank - first)
-
-
-def _value_ranks(groups: DataFrame) -> DataFrame:
-    """Rank at which each distinct value starts, from counts per range."""
-    ranged = materialise(
-        groups.repartitionByRange("v").withColumn("_pid", F.spark_partition_id()), "values")
-    per_range = ranged.groupBy("_pid").agg(F.sum("k").alias("_n"))
-    by_range = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per_range = per_range.select("_pid", F.coalesce(F.sum("_n").over(by_range), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    return (ranged.withColumn("_inside", F.coalesce(F.sum("k").over(inside), F.lit(0)))
-            .join(per_range, "_pid")
-            .select("v", "k", (F.col("_before") + F.col("_inside")).alias("start")))
+        lo, hi, below = smallest, largest, 0
+    a = _ranked(values, lo, hi, first - below)
+    if last == first:
+        return a
+    upto, above_a = values.agg(F.count_if(F.col("v") <= a), F.min(F.when(F.col("v") > a, F.col("v")))).first()
+    return a if upto > last else a + (above_a - a) * (rank - first)
+
+
+def _ranked(values: DataFrame, lo: float, hi: float, rank: int) -> float:
+    """The value of zero-based ``rank`` among those from ``lo`` to ``hi``."""
+    while lo < hi:
+        inside = values.where(F.col("v").between(lo, hi))
+        # Halves, since the distance of two huge values of unlike sign is no double.
+        least, most = max(lo, -_LARGEST) / 2, min(hi, _LARGEST) / 2
+        share = (F.col("v") / 2 - least) / F.lit(most - least) if most > least else F.lit(0.0)
+        cell = F.floor(F.least(F.greatest(share, F.lit(0.0)), F.lit(1 - 1 / CELLS)) * CELLS)
+        cells = (inside.groupBy(cell.alias("cell"))
+                 .agg(F.count(F.lit(1)).alias("k"), F.min("v").alias("low"), F.max("v").alias("high"))
+                 .orderBy("cell").collect())
+        if len(cells) == 1:  # neighbouring doubles, of which there are few
+            cells = (inside.groupBy("v").agg(F.count(F.lit(1)).alias("k")).orderBy("v")
+                     .select("k", F.col("v").alias("low"), F.col("v").alias("high")).collect())
+        for row in cells:
+            if rank < row["k"]:
+                lo, hi = row["low"], row["high"]
+                break
+            rank -= row["k"]
+    return lo

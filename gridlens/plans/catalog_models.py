@@ -428,8 +428,9 @@ def _(v):
     return detect.anomaly_severity(detect.flag(_scores(v), threshold=2000.0))
 
 
-@query("d5_anomaly_events", "detected_at anomaly_type level", "severity", """
-SELECT ts AS detected_at, 'reconstruction' AS anomaly_type, round(score, 4) AS severity, severity AS level
+@query("d5_anomaly_events", "detected_at anomaly_type level description", "severity", r"""
+SELECT ts AS detected_at, 'reconstruction' AS anomaly_type, round(score, 4) AS severity, severity AS level,
+  'Score ' || regexp_replace(printf('%.4f', round(score, 4)), '(\.\d+?)0+$', '\1') || ' (' || severity || ')' AS description
 FROM h_flagged WHERE is_anomaly""")
 def _(v):
     events = detect.anomaly_events(detect.flag(_scores(v)))

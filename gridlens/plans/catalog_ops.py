@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from gridlens import schemas
 from gridlens.functions import scalars as fn
 from gridlens.operators import aggregates, detect
+from gridlens.operators.aggregates import price_rollup
 from gridlens.operators import datasets as ds
 from gridlens.operators.ordered import exact_percentile
 from gridlens.plans import queries as q
@@ -65,10 +66,10 @@ SELECT alert_id, event_id, acknowledged OR event_id % 5 = 0 AS acknowledged, eve
 def _(v):
     schema = T.StructType([*schemas.ALERTS.fields, T.StructField("event_id", T.LongType())])
     log = store.LogTable(v.spark, scratch_path(v.spark, "alerts"), schema, schemas.KEYS["alerts"], grain="month")
-    log.append(alert_table(v), 0)
+    log.append(alert_table(v), 0, "event_id")
     ids = log.latest().where("event_id % 5 = 0").select("alert_id")
     changed, report = store.acknowledge(log.latest(), ids)
-    log.append(materialise(changed, "acknowledged"), 1)
+    log.append(materialise(changed, "acknowledged"), 1, "event_id")
     return log.latest().join(report, "alert_id", "left").withColumn(
         "matched", F.coalesce("matched", F.lit(False)))
 
@@ -108,7 +109,7 @@ def _(v):
 SELECT l.ts AS load_ts, l.load_mw AS current_mw, l.forecast_mw, l.load_mw - l.forecast_mw AS stress,
   a.n AS active_alerts, a.alert_type, a.severity AS alert_severity, o.n AS stress_events_24h
 FROM (SELECT * FROM fx_grid_load WHERE ts > {_CUT1} ORDER BY ts DESC LIMIT 1) l,
-  (SELECT least(count(*), 200) AS n, arg_max(alert_type, (ts, alert_id)) AS alert_type,
+  (SELECT count(*) AS n, arg_max(alert_type, (ts, alert_id)) AS alert_type,
           arg_max(severity, (ts, alert_id)) AS severity FROM h_alert_ids WHERE ts > {_CUT1} AND NOT acknowledged) a,
   (SELECT count(*) AS n FROM h_outages WHERE ts > {_CUT1} AND status = 'high_stress') o""")
 def _(v):
@@ -165,7 +166,11 @@ def _(v):
 @query("x2_refresh_rollup", *ROLLUP, """
 SELECT * FROM h_rollup WHERE bucket >= TIMESTAMP '2024-01-17 12:00:00' AND bucket <= TIMESTAMP '2024-01-20 10:00:00'""")
 def _(v):
-    return q.refresh_rollup(v.prices, "2024-01-20 12:00:00")
+    rollup = jobs.rollup_table(v.spark, scratch_path(v.spark, "rollup"))
+    rollup.append(price_rollup(v.prices).withColumn("avg_price_usd_mwh", F.lit(0.0)), 0, unique=True, small_days=True)
+    q.refresh_into(rollup, v.prices, "2024-01-20 12:00:00")
+    shown = q.visible_rollup(rollup.latest(), "2024-01-20 12:00:00")
+    return shown.where(F.col("bucket") >= q.rollup_range("2024-01-20 12:00:00")[0])
 
 
 @query("x3_stream_upsert", "ts", "load_mw", """
@@ -203,23 +208,29 @@ def _(v):
 
 
 def windows_schema():
-    return T.StructType([schemas.GRID_LOAD["ts"], schemas.GRID_LOAD["load_mw"], schemas.WEATHER["temperature_2m"]])
+    return T.StructType([schemas.GRID_LOAD["ts"], T.StructField("event_id", T.LongType()),
+                         schemas.GRID_LOAD["load_mw"], schemas.WEATHER["temperature_2m"]])
+
+
+READING_ORDER = ["ts", "event_id"]
+READING_KEY = ["window_ts", "event_id"]
 
 
 @query("x6_stream_anomaly", "ts anomaly_type", "severity")
 def _(v):
     features = ["load_mw", "temperature_2m"]
-    rows = v.readings.select("ts", *features).dropna()
+    rows = v.readings.select("ts", "event_id", *features).dropna()
     scaler = ds.fit_scaler(rows, features)
-    windows = materialise(ds.scoring_windows(scaler.transform(rows), features), "windows")
-    model = detect.fit_reconstruction(windows, ks=(4, 8))
+    windows = materialise(ds.scoring_windows(scaler.transform(rows), features, order=READING_ORDER), "windows")
+    model = detect.fit_reconstruction(windows, READING_KEY)
     scores = materialise(detect.reconstruction_score(windows, model), "scores")
     threshold = exact_percentile(scores, "score", 0.98)
     history_path, events_path, checkpoint = _paths(v, "history", "events", "checkpoint")
-    history = store.LogTable(v.spark, history_path, windows_schema(), ["ts"])
+    history = store.LogTable(v.spark, history_path, windows_schema(), READING_ORDER)
     events = store.LogTable(v.spark, events_path, schemas.ANOMALY_EVENTS)
-    stream = scaler.transform(_stream(v, "fx_readings").select("ts", *features))
-    jobs.stream_anomaly(stream, history, events, checkpoint, model, features, threshold).awaitTermination()
+    stream = scaler.transform(_stream(v, "fx_readings").select("ts", "event_id", *features))
+    jobs.stream_anomaly(stream, history, events, checkpoint, model, features, threshold,
+                        ties=["event_id"]).awaitTermination()
     return events.rows()
 
 
@@ -237,7 +248,14 @@ def _(v):
 @query("l1_retain", "metric_id ts model_name", "metric_value", """
 SELECT metric_id, ts, model_name, metric_value FROM fx_metrics WHERE ts >= TIMESTAMP '1999-01-01' - INTERVAL 400 DAY""")
 def _(v):
-    return store.retain(v.metrics, schemas.RETENTION_DAYS["model_metrics"], "1999-01-01 00:00:00")
+    """Months wholly beyond the retention are deleted from a table, the rest of the last month is filtered."""
+    schema = T.StructType([T.StructField("metric_id", v.metrics.schema["metric_id"].dataType), *schemas.MODEL_METRICS.fields])
+    log = store.LogTable(v.spark, scratch_path(v.spark, "metrics"), schema, grain="month")
+    log.append(v.metrics, 0)
+    days, as_of = schemas.RETENTION_DAYS["model_metrics"], "1999-01-01 00:00:00"
+    log.expire(days, as_of)
+    log.vacuum(grace_seconds=0)
+    return store.retain(log.rows(), days, as_of, grain="month")
 
 
 @query("l2_compact", "ts settlement_point market_type", "price_usd_mwh", """
@@ -251,5 +269,6 @@ def _(v):
     log.compact(segment_by=schemas.SEGMENT_BY["spp_prices"], as_of=AS_OF,
                 older_than_days=schemas.COMPACT_AFTER_DAYS["spp_prices"])
     log.append(rows.where(F.col("ts") >= half), 1, "event_id")
+    log.vacuum(grace_seconds=0)
     return log.latest()
 

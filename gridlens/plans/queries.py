@@ -11,6 +11,7 @@ from gridlens.operators.joins import hour_join
 from gridlens.operators.reports import REPORT_ROWS, recent_top, time_ordered
 from gridlens.operators.resample import build_training_frame
 from gridlens.schemas import HUBS
+from gridlens.sources.store import LogTable
 
 ROLLUP_START_DAYS = 3
 ROLLUP_END_HOURS = 1
@@ -90,7 +91,7 @@ def grid_status(load: DataFrame, alert_rows: DataFrame, outages: DataFrame, as_o
     active = recent(alert_rows, 1, as_of).where(~F.col("acknowledged"))
     last = F.max_by(F.struct("alert_type", "severity", "title"), F.struct("ts", "alert_id")).alias("_a")
     b = active.agg(F.count(F.lit(1)).alias("_n"), last).select(
-        F.least("_n", F.lit(REPORT_ROWS["recent"])).alias("active_alerts"),
+        F.col("_n").alias("active_alerts"),
         F.col("_a.alert_type").alias("alert_type"), F.col("_a.severity").alias("alert_severity"),
         F.col("_a.title").alias("alert_title"))
     c = recent(outages, 1, as_of).agg(
@@ -139,6 +140,11 @@ def refresh_rollup(prices: DataFrame, as_of=None) -> DataFrame:
         (F.col("bucket") >= first) & (F.col("bucket") + hour <= last))
 
 
+def refresh_into(table: LogTable, prices: DataFrame, as_of=None) -> None:
+    """The scheduled refresh: rebuilt buckets are upserted on the bucket key."""
+    table.append(refresh_rollup(prices, as_of), writer="refresh", unique=True, small_days=True)
+
+
 def visible_rollup(rollup: DataFrame, as_of=None) -> DataFrame:
     """Buckets old enough to be shown."""
     return rollup.where(F.col("bucket") + F.make_dt_interval(hours=F.lit(1)) <= rollup_range(as_of)[1])

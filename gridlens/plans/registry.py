@@ -17,8 +17,12 @@ from gridlens.session import tune
 _SCALE, _BIAS = 10_000.0, 0.5001
 
 
+_WHOLE = 2.0 ** 52  # doubles from here on have no places after the point
+
+
 def rounded(column: Column) -> Column:
-    return F.floor(column * _SCALE + _BIAS) / _SCALE
+    moved = column * _SCALE + _BIAS
+    return F.when(F.abs(moved) < _WHOLE, F.floor(moved).cast("double")).otherwise(moved) / _SCALE
 
 
 def rounded_sql(name: str) -> str:

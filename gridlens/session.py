@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_roots: dict[str, tempfile.TemporaryDirectory] = {}
+#: Intermediate tables that this process has written, each with what deletes it.
+_written: dict[str, tuple] = {}
 
 
 def build_session(app: str = "gridlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,7 +49,26 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{checkpoint_root(spark)}/gridlens/{label}-{uuid.uuid4().hex}"
+    """A new folder for an intermediate table. It is deleted by `release`, at the latest when the driver ends."""
+    path = f"{checkpoint_root(spark)}/gridlens/{label}-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    _written[path] = (sc._jvm.org.apache.hadoop.fs.Path, sc._jsc.hadoopConfiguration())
+    return path
+
+
+def release(paths=None) -> None:
+    """Delete the given intermediate tables, or all of this process. Nothing may read them any more."""
+    for path in list(_written) if paths is None else list(paths):
+        make, conf = _written.pop(path, (None, None))
+        if make is not None:
+            at = make(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        release()
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

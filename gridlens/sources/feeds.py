@@ -14,8 +14,6 @@ from gridlens.schemas import FUELS, HUBS, WEATHER_DEFAULTS
 
 # How many newest rows each poll asks for.
 LATEST_LIVE = 48
-LATEST_DEFAULT = 5000
-LATEST_TWO_YEARS = 18000
 
 # Header names of price pages, in order of preference.
 DATE_HEADERS = ["Operating Day", "Oper Day", "OperDay"]
@@ -40,10 +38,6 @@ SNAPSHOT_KEYS = {
 VALUE_UNITS = [",", " MW", " Hz", " %"]
 
 
-def backfill_length(days: int) -> int:
-    return min(days * 24, LATEST_DEFAULT)
-
-
 def number(column: str | Column) -> Column:
     """A finite or missing number; junk and NaN become missing."""
     column = F.col(column) if isinstance(column, str) else column
@@ -109,15 +103,16 @@ def source_fallback(spine: DataFrame, archive: DataFrame | None, forecast: DataF
                     mode: str = "row", keys: Sequence[str] = ("ts",)) -> DataFrame:
     """Weather on every spine hour: archive, else forecast, else the defaults.
 
-    ``mode="row"`` decides per hour and column; ``mode="feed"`` takes the first
-    source that has any row at all, as it is.
+    ``mode="row"`` decides per hour and column; ``mode="feed"`` is all or nothing: the
+    rows of the first source that has any, as they are, and the spine with defaults
+    if none has.
     """
     sources = [s for s in (archive, forecast) if s is not None]
     if mode == "feed":
-        for source in sources:
-            if not source.isEmpty():
-                return source.select(*keys, *columns)
-        return spine.select(*keys, *[F.lit(defaults[c]).alias(c) for c in columns])
+        plain = spine.select(*keys, *[F.lit(defaults[c]).alias(c) for c in columns])
+        ranked = [s.select(*keys, *columns).withColumn("_rank", F.lit(k)) for k, s in enumerate([*sources, plain])]
+        stacked = reduce(lambda a, b: a.unionByName(b), ranked)
+        return stacked.where(F.col("_rank") == stacked.agg(F.min("_rank")).scalar()).drop("_rank")
     out = spine
     for k, source in enumerate(sources):
         named = source.select(*keys, *[F.col(c).alias(f"_{k}_{c}") for c in columns])
@@ -192,7 +187,10 @@ def dam_wide_to_long(rows: DataFrame, fallback_date=None, hubs: Sequence[str] =
     if date_name:
         given = F.col(f"`{date_name}`").cast("string")
         date = F.when(given.isNull(), fallback).otherwise(page_time(given).cast("date"))
-    hour = F.col(f"`{hour_name}`").cast("string").try_cast("int")
+    # Pages give whole hours as 1, 01, 1.0 or with minutes; a broken hour is no hour.
+    given = F.col(f"`{hour_name}`").cast("string")
+    number_ = F.regexp_replace(F.trim(given), ":00$", "").try_cast("double")
+    hour = F.when(number_ == F.floor(number_), number_).try_cast("int")
     ts = date.cast("timestamp") + F.make_dt_interval(hours=hour)
     stamped = rows.withColumn("ts", ts).where(F.col("ts").isNotNull())
     return _prices(stamped, _hub_columns(rows, hubs), "DAM", keep)
@@ -202,8 +200,7 @@ def rtm_wide_to_long(rows: DataFrame, hubs: Sequence[str] = HUBS, keep: Sequence
     """Real-time page: explicit time column; unreadable times are dropped."""
     time_name = resolve_column(rows.columns, TIME_HEADERS, TIME_PARTS)
     if time_name is None:
-        return _prices(rows.withColumn("ts", F.lit(None).cast("timestamp")).where(F.lit(False)),
-                       _hub_columns(rows, hubs), "RTM", keep)
+        raise ValueError("no time column on the page")
     stamped = rows.withColumn("ts", page_time(F.col(f"`{time_name}`").cast("string")))
     return _prices(stamped.where(F.col("ts").isNotNull()), _hub_columns(rows, hubs), "RTM", keep)
 

@@ -2,19 +2,23 @@
 
 Layout of a table folder::
 
-    log/batch=<n>/dt=<day>/...    every accepted batch, as received
-    base/v<k>/dt=<day>/...        rewritten rows of all batches up to some number
-    manifest/                     one JSON line per rewrite: version, upto, path
-
-Readers take the newest manifest line: its base plus all later batches. Nothing
-that may be read is ever overwritten, except a batch by its own replay.
+    data/load=<id>/dt=<day>/...   the rows of one accepted batch or of one rewrite
+    commits/<seq>-<id>.json       one small file per accepted batch, rewrite or expiry
+    commits/<seq>-<id>.snapshot   all of them up to some point, merged
+
+A batch counts from the moment its commit file has its name, and is known by its
+writer and that writer's batch number. Readers take the pieces (load, day) that the
+commits name, so nothing is listed but the commits. A rewrite names the pieces it
+replaces; `vacuum` deletes what no commit names any more after a time of grace.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,10 +26,31 @@ from pyspark.sql import types as T
 from gridlens.functions.scalars import days_before, since
 from gridlens.operators.ordered import first_per_key, latest_per_key
 
-_MANIFEST = T.StructType([
-    T.StructField("version", T.LongType()), T.StructField("upto", T.LongType()),
-    T.StructField("path", T.StringType())])
-_ORDER = ["_batch", "_pos"]
+_ORDER = ["_batch", "_pos", "load"]
+#: Commit files after which they are merged into a snapshot.
+SNAPSHOT_EVERY = 32
+
+
+@dataclass
+class _State:
+    next: int = 1
+    live: dict[tuple[str, str], bool] = field(default_factory=dict)  # (load, day) -> whether rewritten
+    seen: dict[str, int] = field(default_factory=dict)  # writer -> its last batch
+    files: list[str] = field(default_factory=list)
+    fresh: int = 0  # commit files that no snapshot holds
+
+    def apply(self, entry: dict) -> None:
+        self.next = max(self.next, entry["seq"] + 1)
+        gone = [tuple(x) for x in entry.get("replaces", [])]
+        if entry["kind"] == "batch":
+            if entry["batch"] <= self.seen.get(entry["writer"], -1):
+                return  # a replay that raced with the first run
+            self.seen[entry["writer"]] = entry["batch"]
+        elif any(piece not in self.live for piece in gone):
+            return  # another rewrite took these pieces first
+        for piece in gone:
+            del self.live[piece]
+        self.live |= {(entry["load"], day): entry["kind"] == "rewrite" for day in entry.get("days", [])}
 
 
 class LogTable:
@@ -40,61 +65,111 @@ class LogTable:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.keys, self.ts, self.grain = list(keys), ts, grain
         self._stored = T.StructType([
-            *schema.fields, T.StructField("_pos", T.LongType()), T.StructField("dt", T.DateType())])
+            *schema.fields, T.StructField("_pos", T.LongType()), T.StructField("_batch", T.LongType()),
+            T.StructField("load", T.StringType()), T.StructField("dt", T.DateType())])
+
+    # Commits -----------------------------------------------------------------------
+
+    def _at(self, name: str):
+        """A path below the table, and its file system."""
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path, path.getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def _children(self, name: str) -> list[tuple[str, int]]:
+        """Names and modification times below a folder; none if it does not exist."""
+        path, fs = self._at(name)
+        return [(s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def _read(self, name: str) -> dict:
+        path, fs = self._at(f"commits/{name}")
+        stream = fs.open(path)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _put(self, entry: dict, suffix: str) -> None:
+        """The file gets its name only when it is whole."""
+        name = f"{entry['seq']:012d}-{uuid.uuid4().hex}.{suffix}"
+        hidden, fs = self._at(f"commits/_{name}")
+        stream = fs.create(hidden, False)
+        stream.write(json.dumps(entry).encode())
+        stream.close()
+        if not fs.rename(hidden, self._at(f"commits/{name}")[0]):
+            raise OSError(f"cannot commit {name}")
+
+    def _state(self) -> _State:
+        names = sorted(n for n, _ in self._children("commits") if not n.startswith(("_", ".")))
+        state, merged = _State(files=names), set()
+        snapshots = [n for n in names if n.endswith(".snapshot")]
+        if snapshots:
+            held = self._read(snapshots[-1])
+            state.next, state.seen, merged = held["seq"] + 1, held["seen"], set(held["merged"])
+            state.live = {(load, day): rewritten for load, day, rewritten in held["live"]}
+        for name in names:
+            if name.endswith(".json") and name not in merged:
+                state.apply(self._read(name))
+                state.fresh += 1
+        return state
+
+    def _commit(self, entry: dict) -> None:
+        self._put(entry, "json")
+        state = self._state()
+        if state.fresh >= SNAPSHOT_EVERY:
+            self._put({"seq": state.next, "seen": state.seen, "live": [[*k, v] for k, v in state.live.items()],
+                       "merged": [n for n in state.files if n.endswith(".json")]}, "snapshot")
+
+    def _days_of(self, load: str) -> list[str]:
+        return [n.removeprefix("dt=") for n, _ in self._children(f"data/load={load}") if n.startswith("dt=")]
 
     # Writing ---------------------------------------------------------------------
 
-    def append(self, rows: DataFrame, batch: int, position: str | None = None,
-               small_days: bool = False) -> None:
-        """Store a batch. The same number again replaces it, so a replay adds nothing.
+    def append(self, rows: DataFrame, batch: int | None = None, position: str | None = None,
+               writer: str = "main", unique: bool = False, small_days: bool = False) -> None:
+        """Store a batch under its writer and number. Numbers of a writer ascend; one that is
+        not above its last is a replay and adds nothing. Without a number every call counts.
 
-        ``position`` names the column that orders rows within the batch; without one,
-        rows of equal key are ordered by their content. ``small_days`` says a day fits
-        one task. It is needed for the output of stateful streams, whose plans Spark
-        does not adapt at run time, and holds for rollups.
+        ``position`` names the column that orders rows within the batch. A keyed table asks
+        for it unless ``unique`` says that the batch has one row per key. ``small_days`` says
+        a day fits one task. It is needed for the output of stateful streams, whose plans
+        Spark does not adapt at run time, and holds for rollups.
         """
+        if self.keys and position is None and not unique:
+            raise ValueError("rows of a keyed table need a position")
+        state, load = self._state(), uuid.uuid4().hex
+        if batch is None:
+            writer, batch = load, 0
+        elif batch <= state.seen.get(writer, -1):
+            return
         have = set(rows.columns)
         cells = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
                  for f in self.schema.fields]
-        pos = F.col(position).cast("long") if position else F.xxhash64(*[c for c in rows.columns])
+        pos = F.col(position).cast("long") if position else F.lit(0).cast("long")
         span = F.to_date(F.date_trunc(self.grain, self.ts))
-        out = rows.select(*cells, pos.alias("_pos")).withColumn("dt", span)
+        out = rows.select(*cells, pos.alias("_pos"), F.lit(state.next).cast("long").alias("_batch")).withColumn("dt", span)
         # A day's rows go together, and a day too large for one task is split at run time.
         laid = out.repartition("dt") if small_days else out.hint("rebalance", "dt")
-        laid.write.mode("overwrite").partitionBy("dt").parquet(f"{self.path}/log/batch={int(batch)}")
+        laid.write.partitionBy("dt").parquet(f"{self.path}/data/load={load}")
+        self._commit({"seq": state.next, "kind": "batch", "writer": writer, "batch": int(batch), "load": load,
+                      "days": self._days_of(load)})
 
     # Reading -----------------------------------------------------------------------
 
-    def _manifest(self):
-        try:
-            lines = self.spark.read.schema(_MANIFEST).json(f"{self.path}/manifest")
-        except AnalysisException:
-            return None
-        return lines.agg(F.max(F.struct("version", "upto", "path")).alias("m")).first()["m"]
-
-    def log(self) -> DataFrame:
-        """All rows with their batch and position, base and later batches together."""
-        current = self._manifest()
-        parts = []
-        if current is not None:
-            base_schema = T.StructType([*self.schema.fields, T.StructField("_pos", T.LongType()),
-                                        T.StructField("_batch", T.LongType()),
-                                        T.StructField("dt", T.DateType())])
-            parts.append(self.spark.read.schema(base_schema).parquet(f"{self.path}/{current['path']}"))
-        try:
-            later = (self.spark.read.schema(T.StructType([
-                *self._stored.fields, T.StructField("batch", T.LongType())]))
-                .parquet(f"{self.path}/log").withColumnRenamed("batch", "_batch"))
-            parts.append(later if current is None else later.where(F.col("_batch") > current["upto"]))
-        except AnalysisException:
-            pass
-        if not parts:
-            return self.spark.createDataFrame([], T.StructType([
-                *self._stored.fields, T.StructField("_batch", T.LongType())]))
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
+    def _pieces(self, pieces: Sequence[tuple[str, str]]) -> DataFrame:
+        if not pieces:
+            return self.spark.createDataFrame([], self._stored)
+        paths = [f"{self.path}/data/load={load}/dt={day}" for load, day in sorted(pieces)]
+        return (self.spark.read.schema(self._stored).option("basePath", f"{self.path}/data").parquet(*paths)
+                .select(*self._stored.fieldNames()))
+
+    def log(self, first: str | None = None, last: str | None = None) -> DataFrame:
+        """All accepted rows with their batch and position; of the partitions ``first`` to
+        ``last`` only, when given, as ISO dates."""
+        def wanted(day: str) -> bool:
+            return (first is None or day >= first) and (last is None or day <= last)
+
+        return self._pieces([(load, day) for load, day in self._state().live if wanted(day)])
 
     def _plain(self, rows: DataFrame) -> DataFrame:
         return rows.select(*[f.name for f in self.schema.fields], "dt")
@@ -116,37 +191,64 @@ class LogTable:
 
     # Maintenance -------------------------------------------------------------------
 
+    def _day_before(self, as_of, days: int) -> str:
+        """Partitions up to this one, itself included, lie wholly before ``days`` ago."""
+        limit = days_before(as_of, days)
+        cut = F.date_sub(F.to_date(F.date_trunc(self.grain, limit)), 1)
+        return self.spark.range(1).select(cut.cast("string")).first()[0]
+
     def compact(self, mode: str = "latest", segment_by: Sequence[str] = (),
                 older_than_days: int | None = None, as_of=None, keep_days: int | None = None) -> None:
-        """Rewrite into a new base: one row per key, clustered, newest first.
+        """Rewrite days that changed and are old enough: one row per key, clustered, newest first.
 
-        Rows younger than ``older_than_days`` are carried over as they are; rows
-        beyond ``keep_days`` are left out. The old base and batches stay readable
-        until the manifest line is written.
+        Only days that are not already a single rewritten piece are read. Days wholly beyond
+        ``keep_days`` are dropped first. What is replaced stays readable until `vacuum`.
         """
-        log = self.log()
-        upto = log.agg(F.max("_batch")).first()[0]
-        if upto is None:
+        if keep_days is not None:
+            self.expire(keep_days, as_of)
+        state = self._state()
+        last = None if older_than_days is None else self._day_before(as_of, older_than_days)
+        days: dict[str, list[tuple[str, str]]] = {}
+        for piece in state.live:
+            if last is None or piece[1] <= last:
+                days.setdefault(piece[1], []).append(piece)
+        changed = [p for pieces in days.values() if len(pieces) > 1 or not state.live[pieces[0]] for p in pieces]
+        if not changed:
             return
-        log = log.where(F.col("_batch") <= upto)
+        rows = self._pieces(changed)
         if self.keys and mode in ("latest", "first"):
-            log = (upsert_last if mode == "latest" else insert_ignore)(log, [*self.keys, "dt"], _ORDER)
-        if keep_days is not None:
-            log = retain(log, keep_days, as_of, self.ts, self.grain)
-        current = self._manifest()
-        version = (current["version"] if current else 0) + 1
-        target = f"base/v{version}"
-        columns = [*[f.name for f in self.schema.fields], "_pos", "_batch", "dt"]
-        out = log.select(*columns)
-        if older_than_days is None:
-            out = cluster(out, segment_by, self.ts)
-        else:
-            old = F.col(self.ts) <= days_before(as_of, older_than_days)
-            young = out.where(~old | F.col(self.ts).isNull()).hint("rebalance", "dt")
-            out = cluster(out.where(old), segment_by, self.ts).unionByName(young)
-        out.write.mode("overwrite").partitionBy("dt").parquet(f"{self.path}/{target}")
-        (self.spark.createDataFrame([(version, upto, target)], _MANIFEST).coalesce(1)
-         .write.mode("append").json(f"{self.path}/manifest"))
+            rows = (upsert_last if mode == "latest" else insert_ignore)(rows, [*self.keys, "dt"], _ORDER)
+        load = uuid.uuid4().hex
+        cluster(rows.drop("load"), segment_by, self.ts).write.partitionBy("dt").parquet(f"{self.path}/data/load={load}")
+        self._commit({"seq": state.next, "kind": "rewrite", "load": load, "days": self._days_of(load), "replaces": changed})
+
+    def expire(self, keep_days: int, as_of=None) -> None:
+        """Drop the days that lie wholly beyond the retention; `vacuum` deletes their files."""
+        state, last = self._state(), self._day_before(as_of, keep_days)
+        old = [piece for piece in state.live if piece[1] <= last]
+        if old:
+            self._commit({"seq": state.next, "kind": "expire", "load": "", "replaces": old})
+
+    def vacuum(self, grace_seconds: float = 7 * 86_400) -> int:
+        """Delete pieces that no commit names, and merged commit files, once they are older than
+        the grace, which must outlast any read or write under way. Returns the folders deleted."""
+        now = self.spark.sparkContext._jvm.System.currentTimeMillis()
+        state, deleted = self._state(), 0
+        old = lambda at: now - at >= grace_seconds * 1000
+        for name, _ in self._children("data"):
+            load = name.removeprefix("load=")
+            days = self._children(f"data/{name}")
+            for day, at in days:
+                if day.startswith("dt=") and (load, day.removeprefix("dt=")) not in state.live and old(at):
+                    path, fs = self._at(f"data/{name}/{day}")
+                    deleted += bool(fs.delete(path, True))
+        snapshots = [n for n in state.files if n.endswith(".snapshot")]
+        merged = set(self._read(snapshots[-1])["merged"]) if snapshots else set()
+        for name, at in self._children("commits"):
+            if old(at) and (name in merged or name in snapshots[:-1]):
+                path, fs = self._at(f"commits/{name}")
+                fs.delete(path, False)
+        return deleted
 
 
 def upsert_last(log: DataFrame, keys: Sequence[str], order: Sequence[str] = ("_seq",)) -> DataFrame:

@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridlens.functions.scalars import since
-from gridlens.operators.datasets import scoring_windows
+from gridlens.operators.aggregates import price_rollup
+from gridlens.operators.datasets import SEQ_LEN, scoring_windows
 from gridlens.operators.detect import (
     Reconstruction, anomaly_events, condition_alerts, condition_snapshot, flag,
     reconstruction_score)
 from gridlens.operators.joins import without_known
-from gridlens.operators.ordered import first_per_key, latest_per_key
+from gridlens.operators.ordered import first_per_key, join_on, latest_per_key
 from gridlens.schemas import PRICES_HOURLY
 from gridlens.sources.store import LogTable, alert_payload, event_record
 
@@ -38,6 +38,11 @@ def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
     return reader.parquet(path)
 
 
+def _writer(checkpoint: str) -> str:
+    """A stream is known by its checkpoint: with a new one its numbers start anew, and so does its name."""
+    return f"stream:{checkpoint.rstrip('/')}"
+
+
 def _start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
            feed: str | None, mode: str = "append") -> StreamingQuery:
     return (stream.writeStream.outputMode(mode).foreachBatch(write)
@@ -73,20 +78,42 @@ def rollup_table(spark: SparkSession, path: str) -> LogTable:
 def stream_rollup(prices: DataFrame, table: LogTable, checkpoint: str, feed: str | None = None,
                   lateness: str = LATENESS) -> StreamingQuery:
     """Changed buckets of each micro-batch are upserted; ``table.latest()`` is the rollup."""
-    return _start(rollup_stream(prices, lateness), lambda df, n: table.append(df, n, small_days=True),
-                  checkpoint, feed, mode="update")
+    return _start(rollup_stream(prices, lateness), lambda df, n: table.append(
+        df, n, writer=_writer(checkpoint), unique=True, small_days=True), checkpoint, feed, mode="update")
+
+
+def stream_refresh(prices: DataFrame, raw: LogTable, table: LogTable, checkpoint: str,
+                   feed: str | None = None) -> StreamingQuery:
+    """Raw rows into their table, and every bucket that they touch rebuilt from it, however late they are."""
+    def write(df: DataFrame, n: int) -> None:
+        with _kept(df) as batch:
+            raw.append(batch, n, writer=_writer(checkpoint))
+            rebuild_buckets(batch, raw, table, n, _writer(checkpoint))
+    return _start(prices, write, checkpoint, feed)
+
+
+def rebuild_buckets(changed: DataFrame, raw: LogTable, table: LogTable, batch: int | None = None,
+                    writer: str = "refresh") -> None:
+    """Upsert the buckets of the changed rows, computed from all raw rows of their days."""
+    hour = F.date_trunc("hour", "ts")
+    touched = changed.select(hour.alias("bucket"), "settlement_point", "market_type").distinct()
+    first, last = touched.agg(F.min(F.to_date("bucket")), F.max(F.to_date("bucket"))).first()
+    if first is not None:
+        rows = raw.log(str(first), str(last)).withColumn("bucket", hour)
+        rows = rows.join(touched, touched.columns, "left_semi").drop("bucket")
+        table.append(price_rollup(rows), batch, writer=writer, unique=True, small_days=True)
 
 
 def stream_append(rows: DataFrame, table: LogTable, checkpoint: str, feed: str | None = None) -> StreamingQuery:
     """Every row of each batch into the log."""
-    return _start(rows, lambda df, n: table.append(df, n), checkpoint, feed)
+    return _start(rows, lambda df, n: table.append(df, n, writer=_writer(checkpoint)), checkpoint, feed)
 
 
 def stream_upsert(rows: DataFrame, table: LogTable, checkpoint: str, position: str,
                   feed: str | None = None) -> StreamingQuery:
     """Last row per key of each batch into the log."""
     def write(df: DataFrame, n: int) -> None:
-        table.append(latest_per_key(df, table.keys, [position]), n, position)
+        table.append(latest_per_key(df, table.keys, [position]), n, position, _writer(checkpoint))
     return _start(rows, write, checkpoint, feed)
 
 
@@ -94,16 +121,16 @@ def stream_insert_ignore(rows: DataFrame, table: LogTable, checkpoint: str, posi
                          feed: str | None = None) -> StreamingQuery:
     """First row per key of each batch, unless an earlier batch holds the key.
 
-    The table is read up to the batch before, so that a replay decides the same, and
-    only in the partitions the batch falls into.
+    Only the partitions that the batch falls into are read. A replay of an accepted batch
+    adds nothing; one of a batch that was not accepted finds none of its own rows.
     """
     def write(df: DataFrame, n: int) -> None:
         with _kept(df) as batch:
             span = [F.to_date(F.date_trunc(table.grain, edge(table.ts))) for edge in (F.min, F.max)]
             first, last = batch.agg(*span).first()
-            known = table.log().where((F.col("_batch") < n) & F.col("dt").between(F.lit(first), F.lit(last)))
+            known = table.log(str(first), str(last)) if first else table.log().limit(0)
             fresh = without_known(first_per_key(batch, table.keys, [position]), known, table.keys)
-            table.append(fresh, n, position)
+            table.append(fresh, n, position, _writer(checkpoint))
     return _start(rows, write, checkpoint, feed)
 
 
@@ -113,8 +140,8 @@ def stream_alerts(conditions: DataFrame, alerts: LogTable, outages: LogTable, ch
     """Rules and snapshot of every condition row, by the row's own time."""
     def write(df: DataFrame, n: int) -> None:
         with _kept(df) as batch:
-            alerts.append(assign_id(condition_alerts(batch, threshold)), n)
-            outages.append(condition_snapshot(batch, threshold), n)
+            alerts.append(assign_id(condition_alerts(batch, threshold)), n, writer=_writer(checkpoint), unique=True)
+            outages.append(condition_snapshot(batch, threshold), n, writer=_writer(checkpoint), unique=True)
     return _start(conditions, write, checkpoint, feed)
 
 
@@ -127,29 +154,36 @@ def stream_payloads(alerts: DataFrame, folder: str, checkpoint: str, feed: str |
 
 def stream_anomaly(rows: DataFrame, history: LogTable, events: LogTable, checkpoint: str,
                    model: Reconstruction, features: Sequence[str], threshold: float,
-                   series: Sequence[str] = (), lookback_days: int = 3,
+                   series: Sequence[str] = (), ties: Sequence[str] = (), seq_len: int = SEQ_LEN,
                    feed: str | None = None) -> StreamingQuery:
-    """Score the windows that end in the batch.
+    """Score the windows that end in the batch, each once.
 
-    Context comes from the stored rows of the last days before the batch, read by
-    day partition; each window ending in the batch is scored once.
+    A row is known by series, time and ``ties``, so rows of equal time stay apart. Its
+    context is the rows before the batch that its windows reach, the last
+    ``seq_len - 1`` of each series however far back they lie: one small ranked read of
+    the history up to the batch's first row.
     """
-    keys = [*series, "ts"]
+    order = ["ts", *ties]
+    keys = [*series, *order]
 
     def write(df: DataFrame, n: int) -> None:
-        history.append(df, n)
-        stored = history.log()
-        batch = stored.where(F.col("_batch") == n)
-        first = batch.agg(F.min("ts")).first()[0]
-        if first is None:
-            return
-        start = F.lit(first) - F.make_dt_interval(days=F.lit(lookback_days))
-        context = since(stored.where((F.col("_batch") <= n) & (F.col("ts") >= start)), start, history.grain)
-        unique = latest_per_key(context.select(*keys, *features, "_batch", "_pos"), keys, ["_batch", "_pos"])
-        windows = scoring_windows(unique.dropna(subset=list(features)), features, series)
-        fresh = windows.join(batch.select(*series, F.col("ts").alias("window_ts")).distinct(),
-                             [*series, "window_ts"], "left_semi")
-        flagged = flag(reconstruction_score(fresh, model), threshold)
-        events.append(event_record(anomaly_events(flagged)), n)
+        with _kept(df.select(*keys, *features).dropna(subset=list(features))) as batch:
+            first = batch.agg(F.min("ts"), F.to_date(F.date_trunc(history.grain, F.max("ts")))).first()
+            if first[0] is None:
+                return
+            mine = batch.select(*keys).withColumn("_new", F.lit(True))
+            known = history.log(last=str(first[1])).select(*keys, *features, "_batch", "_pos")
+            known = without_known(latest_per_key(known, keys, ["_batch", "_pos"]), mine, keys)
+            earlier = Window.partitionBy(*series).orderBy(*[F.col(c).desc() for c in order])
+            before = (known.where(F.col("ts") < F.lit(first[0])).withColumn("_k", F.row_number().over(earlier))
+                      .where(F.col("_k") < seq_len).drop("_k"))
+            beside = known.where(F.col("ts") >= F.lit(first[0]))
+            context = before.unionByName(beside).select(*keys, *features).unionByName(batch)
+            windows = scoring_windows(context, features, series, order, seq_len)
+            fresh = join_on(windows, mine.withColumnRenamed("ts", "window_ts"), [*series, "window_ts", *ties]).where("_new")
+            scored = reconstruction_score(fresh.drop("_new"), model)
+            events.append(event_record(anomaly_events(flag(scored, threshold))), n, writer=_writer(checkpoint))
+            # Last, so that a replay after a failure still finds the history without this batch.
+            history.append(batch, n, writer=_writer(checkpoint), unique=True)
     return _start(rows, write, checkpoint, feed)
 

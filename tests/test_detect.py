@@ -68,6 +68,8 @@ def test_flag_is_strict_and_saved_threshold_wins(rows):
     events = detect.anomaly_events(flagged)
     assert events.count() == 40
     assert events.where("severity = 100").first().description == "Score 100.0 (high)"
+    small = flagged.withColumns({"score": F.col("score") * 5e-6, "threshold": F.col("threshold") * 5e-6})
+    assert {r.description for r in detect.anomaly_events(small).where("description LIKE '%high%'").collect()} == {"Score 0.0005 (high)"}
     text = detect.anomaly_events(flagged, training=True).where("severity = 100").first().description
     assert text == "Reconstruction error 100.0000 > threshold 60.0000"
     alert = detect.anomaly_alert(flagged).first()

@@ -86,15 +86,19 @@ def test_latest_window_needs_enough_rows(rows, spark):
     assert [(r.s, r.window_ts, r.x[0][0], len(r.x)) for r in got] == [("a", 39, 16.0, 24)]
     plan = ds.latest_window(df, ["v"], ["s"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
-    few = df.limit(3)
-    assert ds.enough_or_raw(few, df) is df and ds.enough_or_raw(few, few) is few
 
 
-@pytest.mark.parametrize("narrow", [0, 8])
-def test_graph_invariants(views, narrow):
+def test_latest_window_of_equal_times_is_one_choice(rows):
+    values = [(1, 10 + k, float(k)) for k in range(4)] + [(2, k, float(10 * k)) for k in (3, 1, 2)]
+    for order in (values, values[::-1]):
+        got = ds.latest_window(rows("ts int, id int, v double", *order), ["v"], seq_len=5, ties=["id"]).first()
+        assert [r[0] for r in got.x] == [2.0, 3.0, 10.0, 20.0, 30.0]
+
+
+def test_graph_invariants(views):
     columns = ["load_mw", "temperature_2m", "wind_speed_10m"]
     rows = views.readings.withColumn("flat", F.lit(1.0))
-    graph = ds.collect_graph(ds.correlation_graph(rows, [*columns, "flat"], narrow))
+    graph = ds.collect_graph(ds.correlation_graph(rows, [*columns, "flat"]))
     expected = rows.select(*columns).toPandas().corr().abs()
     for i, row in graph.items():
         assert row[i] == 1.0 and len(row) == 4

@@ -28,10 +28,9 @@ def test_forecast_of_zero(rows, zero_is_missing, stress):
     assert got == {"p": (0.0, stress), "q": (None, None)}
 
 
-def test_latest_n_and_backfill_length(rows):
+def test_latest_n(rows):
     df = rows("period string", ("a",), ("c",), ("b",))
     assert [r.period for r in feeds.latest_n(df, 2).collect()] == ["c", "b"]
-    assert feeds.backfill_length(7) == 168 and feeds.backfill_length(365) == 5000
 
 
 def test_arrays_short_and_long(spark):
@@ -80,7 +79,8 @@ def test_real_time_needs_a_readable_time(rows):
     page = rows("`SCED stamp` string, HB_WEST string", ("2024-01-01 00:15:00", "5"), ("1/2/2024 0:30", "8"), ("junk", "6"), (None, "7"))
     assert [(r.ts, r.price_usd_mwh) for r in feeds.rtm_wide_to_long(page).collect()] == [
         (TS(2024, 1, 1, 0, 15), 5.0), (TS(2024, 1, 2, 0, 30), 8.0)]
-    assert feeds.rtm_wide_to_long(rows("`Oper Day` string, HB_WEST string", ("2024-01-01", "5"))).count() == 0
+    with pytest.raises(ValueError):
+        feeds.rtm_wide_to_long(rows("`Oper Day` string, HB_WEST string", ("2024-01-01", "5")))
     with pytest.raises(ValueError):
         feeds.rtm_wide_to_long(rows("Time string, other string", ("x", "y")))
 
@@ -136,3 +136,21 @@ def test_synthetic_series_is_hourly_and_clipped(spark):
     assert n == 800 and 25000 <= low <= high <= 65000
     assert last - first == dt.timedelta(hours=799)
     assert df.collect() == feeds.synthetic_series(spark, 800).collect()
+
+
+def test_hours_of_any_kind(rows):
+    for kind, values in (("double", (1.0, 24.0, 1.5)), ("int", (1, 24, None)), ("string", ("01:00", " 24 ", "x")),
+                         ("string", ("1.0", "24.0", "1.5"))):
+        page = rows(f"`Oper Day` string, `Hour Ending` {kind}, HB_WEST string", *[("2024-01-01", h, "5") for h in values])
+        got = sorted(r.ts for r in feeds.dam_wide_to_long(page).collect())
+        assert got == [dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 2)], kind
+
+
+def test_feed_fallback_takes_the_first_with_rows(rows):
+    spine = rows("ts int", (1,), (2,))
+    some = rows("ts int, temperature_2m double", (2, 5.0))
+    pick = lambda a, b: sorted(
+        (r.ts, r.temperature_2m) for r in feeds.source_fallback(
+            spine, a, b, ["temperature_2m"], {"temperature_2m": 1.0}, mode="feed").collect())
+    assert pick(some.where("ts > 9"), some) == [(2, 5.0)] == pick(some, None)
+    assert pick(some.where("ts > 9"), None) == [(1, 1.0), (2, 1.0)]

@@ -75,16 +75,23 @@ def test_renumber_closes_gaps(spark):
     assert got == list(range(len(got)))
 
 
-@pytest.mark.parametrize("rows_limit", [5, 1_000_000])
+@pytest.mark.parametrize("cells", [3, 4096])
 @pytest.mark.parametrize("accuracy", [20, 10_000])
 @pytest.mark.parametrize("p", [0.0, 0.25, 0.98, 1.0])
-def test_percentile_is_exact(views, p, accuracy, rows_limit):
+def test_percentile_is_exact(views, p, accuracy, cells, monkeypatch):
+    monkeypatch.setattr(ordered, "CELLS", cells)
     values = views.prices.select("price_usd_mwh")
     expected = np.percentile([r[0] for r in values.collect()], p * 100)
-    got = ordered.exact_percentile(values, "price_usd_mwh", p, accuracy, rows_limit)
+    got = ordered.exact_percentile(values, "price_usd_mwh", p, accuracy)
     assert got == pytest.approx(expected, abs=1e-9)
 
 
+def test_percentile_of_extreme_values(rows):
+    values = [float("-inf"), -1.7e308, -5e-324, 0.0, 5e-324, 1e-323, 1.7e308, float("inf"), float("inf")]
+    for p, want in ((0.0, values[0]), (0.25, -5e-324), (0.5, 5e-324), (0.75, 1.7e308), (1.0, values[-1])):
+        assert ordered.exact_percentile(rows("v double", *[(v,) for v in values]), "v", p) == want
+
+
 def test_percentile_of_heavy_ties_and_nothing(rows, spark):
     tied = spark.range(1000).select(F.when(F.col("id") < 990, 1.0).otherwise(F.col("id").cast("double")).alias("v"))
     assert ordered.exact_percentile(tied, "v", 0.98) == 1.0

@@ -108,3 +108,100 @@ def test_cluster_sorts_newest_first_within_segments(spark):
     for r in parts:
         per.setdefault(r.p, []).append((r.s, -r.ts.timestamp()))
     assert all(v == sorted(v) for v in per.values())
+
+
+def test_two_writers_keep_their_batches(prices, rows):
+    t = TS(2024, 1, 1)
+    prices.append(_batch(rows, (t, "A", 1.0, "DAM", 0)), 0, "pos", writer="live")
+    prices.append(_batch(rows, (t, "B", 2.0, "DAM", 0)), 0, "pos", writer="backfill")
+    prices.append(_batch(rows, (t, "C", 3.0, "DAM", 0)), position="pos")
+    prices.append(_batch(rows, (t, "C", 4.0, "DAM", 0)), position="pos")
+    assert sorted(r.settlement_point for r in prices.rows().collect()) == ["A", "B", "C", "C"]
+    assert sorted(r.price_usd_mwh for r in prices.latest().collect()) == [1.0, 2.0, 4.0]
+
+
+def test_a_new_stream_is_read_after_compaction(prices, rows):
+    prices.append(_batch(rows, (TS(2024, 1, 1), "A", 1.0, "DAM", 0)), 5, "pos", writer="first")
+    prices.compact()
+    prices.append(_batch(rows, (TS(2024, 1, 1), "A", 2.0, "DAM", 0)), 0, "pos", writer="second")
+    assert [r.price_usd_mwh for r in prices.latest().collect()] == [2.0]
+
+
+def test_a_write_without_commit_is_not_read(prices, rows, monkeypatch):
+    batch = _batch(rows, (TS(2024, 1, 1), "A", 1.0, "DAM", 0))
+    with monkeypatch.context() as broken:
+        def crash(self, entry, suffix):
+            raise OSError("crash before the commit")
+        broken.setattr(store.LogTable, "_put", crash)
+        with pytest.raises(OSError):
+            prices.append(batch, 0, "pos")
+    assert prices.rows().count() == 0
+    prices.append(batch, 0, "pos")
+    assert prices.rows().count() == 1
+    assert prices.vacuum(grace_seconds=0) == 1 and prices.rows().count() == 1
+
+
+def test_only_changed_old_days_are_rewritten_and_the_rest_deleted(prices, rows):
+    days = [TS(2024, 1, d) for d in (1, 2, 3)]
+    prices.append(_batch(rows, *[(d, "H", float(d.day), "DAM", 0) for d in days]), 0, "pos")
+    prices.compact()
+    first = dict(prices._state().live)
+    prices.append(_batch(rows, (days[1], "H", 20.0, "DAM", 0)), 1, "pos")
+    prices.compact()
+    second = dict(prices._state().live)
+    assert {p for p in first if p in second} == {p for p in first if p[1] != "2024-01-02"}
+    assert prices.vacuum(grace_seconds=3600) == 0 and prices.vacuum(grace_seconds=0) > 0
+    assert sorted(r.price_usd_mwh for r in prices.rows().collect()) == [1.0, 3.0, 20.0]
+
+
+def test_expired_days_are_deleted(prices, rows):
+    prices.append(_batch(rows, *[(TS(2024, 1, d), "H", float(d), "DAM", 0) for d in range(1, 6)]), 0, "pos")
+    prices.expire(2, "2024-01-05 12:00:00")
+    assert sorted(r.price_usd_mwh for r in prices.rows().collect()) == [3.0, 4.0, 5.0]
+    assert prices.vacuum(grace_seconds=0) == 2
+
+
+def test_snapshots_stand_for_their_commits(prices, rows, monkeypatch):
+    monkeypatch.setattr(store, "SNAPSHOT_EVERY", 3)
+    for n in range(7):
+        prices.append(_batch(rows, (TS(2024, 1, 1 + n), "H", float(n), "DAM", 0)), n, "pos")
+    prices.vacuum(grace_seconds=0)
+    assert prices._state().fresh < 3
+    prices.append(_batch(rows, (TS(2024, 1, 1), "H", 99.0, "DAM", 0)), 6, "pos")
+    assert sorted(r.price_usd_mwh for r in prices.latest().collect()) == [float(n) for n in range(7)]
+
+
+def test_a_late_commit_of_a_slow_writer_counts(prices, rows, monkeypatch):
+    """Its sequence number is older than a snapshot that was made without it."""
+    monkeypatch.setattr(store, "SNAPSHOT_EVERY", 2)
+    held, put = [], store.LogTable._put
+    monkeypatch.setattr(store.LogTable, "_put", lambda self, e, s: held.append(e) if e.get("writer") == "slow" else put(self, e, s))
+    prices.append(_batch(rows, (TS(2024, 1, 1), "S", 1.0, "DAM", 0)), 0, "pos", writer="slow")
+    for n in range(3):
+        prices.append(_batch(rows, (TS(2024, 1, 2), "F", float(n), "DAM", 0)), n, "pos", writer="fast")
+    put(prices, held[0], "json")
+    assert sorted(r.settlement_point for r in prices.latest().collect()) == ["F", "S"]
+
+
+def test_keyed_rows_need_a_position(prices, rows):
+    with pytest.raises(ValueError):
+        prices.append(_batch(rows, (TS(2024, 1, 1), "H", 1.0, "DAM", 0)), 0)
+
+
+def test_broken_files_are_not_an_empty_table(spark, prices, rows):
+    prices.append(_batch(rows, (TS(2024, 1, 1), "H", 1.0, "DAM", 0)), 0, "pos")
+    path, fs = prices._at("data")
+    fs.delete(path, True)
+    with pytest.raises(Exception):
+        prices.rows().count()
+
+
+def test_intermediate_tables_can_be_released(spark):
+    from gridlens import session
+    table = session.materialise(spark.range(3).toDF("id"), "gone")
+    path = table.inputFiles()[0].rsplit("/", 1)[0]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert fs.exists(hadoop)
+    session.release([p for p in session._written if path.endswith(p.rsplit("/", 1)[-1])])
+    assert not fs.exists(hadoop)

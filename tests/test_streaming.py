@@ -150,6 +150,60 @@ def test_anomalies_across_batches_equal_one_batch(spark, place):
     assert sorted(r.ts for r in events.rows().collect()) == sorted(want)
 
 
+def test_slow_series_and_equal_times_get_their_windows(spark, place):
+    """Two rows a time, four times a day: windows reach back three days and more."""
+    t0 = dt.datetime(2024, 1, 1)
+    step = F.make_dt_interval(hours=(F.floor(F.col("id") / 2) * 6).cast("int"))
+    wave = spark.range(200).select((F.lit(t0) + step).alias("ts"), F.col("id").alias("k"),
+                                   (F.sin(F.col("id") / 4) + F.when(F.col("id") == 171, 9.0).otherwise(0.0)).alias("v"))
+    order = ["ts", "k"]
+    model = detect.fit_reconstruction(ds.scoring_windows(wave.where("v < 5"), ["v"], order=order), order[1:], ks=(2,))
+    scores = detect.reconstruction_score(ds.scoring_windows(wave, ["v"], order=order), model)
+    want = sorted(r.window_ts for r in scores.where("score > 0.5").collect())
+    assert len(want) > len(set(want))
+    _files(wave, place("in"), ["2024-01-11", "2024-01-22 08:00:00"])
+    schema = schemas.T.StructType([schemas.GRID_LOAD["ts"], schemas.T.StructField("k", schemas.T.LongType()),
+                                   schemas.T.StructField("v", schemas.T.DoubleType())])
+    history = store.LogTable(spark, place("history"), schema, order)
+    events = store.LogTable(spark, place("events"), schemas.ANOMALY_EVENTS)
+    jobs.stream_anomaly(jobs.read_stream(spark, place("in"), schema, files_per_batch=1), history, events,
+                        place("cp"), model, ["v"], 0.5, ties=["k"]).awaitTermination()
+    assert sorted(r.ts for r in events.rows().collect()) == want
+
+
+def test_rows_of_any_lateness_reach_the_rollup(spark, rows, place):
+    t = dt.datetime(2024, 1, 20, 12)
+    raw = store.LogTable(spark, place("raw"), schemas.SPP_PRICES)
+    table = jobs.rollup_table(spark, place("rollup"))
+    for values in ([(t, 1.0), (t - dt.timedelta(days=10), 4.0)], [(t - dt.timedelta(days=10, minutes=-20), 8.0)]):
+        rows(PRICES, *[(w, "H", p, "DAM", 0) for w, p in values]).coalesce(1).write.mode("append").parquet(place("in"))
+        jobs.stream_refresh(jobs.read_stream(spark, place("in"), PRICES), raw, table, place("cp")).awaitTermination()
+    assert sorted((r.bucket, r.avg_price_usd_mwh) for r in table.latest().collect()) == [
+        (t - dt.timedelta(days=10), 6.0), (t, 1.0)]
+
+
+def test_an_interval_trigger_picks_up_new_files(spark, rows, place, monkeypatch):
+    import time
+    monkeypatch.setitem(jobs.POLL_SECONDS, "load", 1)
+    t = dt.datetime(2024, 1, 1)
+    table = store.LogTable(spark, place("t"), schemas.SPP_PRICES)
+    put = lambda p: rows(PRICES, (t, "H", p, "DAM", 0)).coalesce(1).write.mode("append").parquet(place("in"))
+    put(1.0)
+    job = jobs.stream_append(jobs.read_stream(spark, place("in"), PRICES), table, place("cp"), feed="load")
+    try:
+        for n, price in ((1, 2.0), (2, 3.0)):
+            until = time.time() + 60
+            while table.rows().count() < n and time.time() < until:
+                time.sleep(0.3)
+            put(price)
+        until = time.time() + 60
+        while table.rows().count() < 3 and time.time() < until:
+            time.sleep(0.3)
+    finally:
+        job.stop()
+    assert sorted(r.price_usd_mwh for r in table.rows().collect()) == [1.0, 2.0, 3.0]
+
+
 def test_cadence():
     assert jobs.cadence("price") == {"processingTime": "900 seconds"}
     assert jobs.cadence(None) == {"availableNow": True}
