@@ -45,6 +45,19 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _word_list(text: str) -> str:
+    """DuckDB SQL: the words of a text."""
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+')"
+
+
+def _reached(nodes: str) -> str:
+    """DuckDB SQL: the smallest node that each of ``nodes`` reaches by the links (a, b), given both ways."""
+    return f"""
+reach AS (
+  SELECT id, id AS r FROM {nodes} UNION SELECT link.a, reach.r FROM link JOIN reach ON link.b = reach.id),
+least AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)"""
+
+
 _ESCAPED = "replace(coalesce(text, ''), '\\', '\\\\')"
 for _mark in chat_format.CONTROL:
     _ESCAPED = f"replace({_ESCAPED}, '{_mark}', '{_mark[0]}\\{_mark[1:]}')"
@@ -72,7 +85,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.expand_prefix_targets(given.unionByName(added)))
 
 
-@query("op2_embedding_links")
+@query("op2_embedding_links", f"""
+WITH RECURSIVE n AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+v AS (SELECT * FROM n WHERE len(e) > 0 AND list_count(e) = len(e) AND isfinite(list_sum(e)) AND list_sum(list_transform(e, lambda x: x * x)) > 0),
+link AS (SELECT x.id AS a, y.id AS b FROM v x JOIN v y ON x.id <> y.id AND list_cosine_similarity(x.e, y.e) >= 0.9),
+{_reached("n")},
+degree AS (SELECT a AS id, count(*) AS k FROM link GROUP BY a)
+SELECT id AS vec_id, coalesce(k, 0) AS n_links, component_id, component_id = id AS kept
+FROM least LEFT JOIN degree USING (id)""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -86,7 +106,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "evidence", "host_posterior", "path_posterior", "score", "kept")
 
 
-@query("op4_minmax_dedup")
+@query("op4_minmax_dedup", f"""
+WITH RECURSIVE n AS (SELECT doc_id AS id, {_word_list('text')} AS w FROM documents),
+s AS (
+  SELECT DISTINCT id, array_to_string(w[j:j + 4], ' ') AS g
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS j FROM n WHERE len(w) > 0)),
+size AS (SELECT id, count(*) AS k FROM s GROUP BY id),
+pair AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.id <> y.id GROUP BY x.id, y.id),
+link AS (
+  SELECT a, b FROM pair JOIN size p ON p.id = a JOIN size q ON q.id = b WHERE 100 * c >= 75 * (p.k + q.k - c)),
+{_reached("n")}
+SELECT id AS doc_id, coalesce(k, 0) AS n_shingles, component_id, component_id = id AS kept
+FROM least LEFT JOIN size USING (id)""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -99,11 +130,6 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-def _word_list(text: str) -> str:
-    """DuckDB SQL: the words of a text."""
-    return rf"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+')"
-
-
 @query("op6_decontaminate", f"""
 WITH bw AS (SELECT item_id, {_word_list('text')} AS w FROM benchmark),
 half AS (SELECT greatest(max(len(w)), 5) AS h FROM bw),
@@ -165,7 +191,25 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query("op9_suffix_dedup")
+@query("op9_suffix_dedup", """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 100)) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+o AS (SELECT k, min(doc_id) AS owner FROM w GROUP BY k),
+lost AS (SELECT doc_id, i FROM w JOIN o USING (k) WHERE owner < doc_id),
+marked AS (
+  SELECT *, sum(CASE WHEN i <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+  FROM (SELECT *, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM lost)),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM marked GROUP BY doc_id, run),
+cut AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM runs),
+kept AS (
+  SELECT doc_id, sum(b - a) AS n, count(*) AS spans,
+         string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h
+  FROM cut JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(d.h) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
