@@ -25,18 +25,21 @@ def connected(links: DataFrame, made: list[str]) -> DataFrame:
     path: list[str] = []
     edges = written(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                     .distinct(), "edges", path)
-    before = _print(edges)
+    before, passing = _print(edges), []
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Written, so that the join deals out both sides anew and a node with many neighbours can be split.
+        least = written(least, "least", passing)
         large = (both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .filter("a <> b").distinct())
+                 .filter("a <> b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         new_path: list[str] = []
         edges = written(small, "edges", new_path)
         remove(spark, path)
+        remove(spark, passing)
         path = new_path
         after = _print(edges)
         if after == before:

@@ -164,7 +164,9 @@ def link_components(docs: DataFrame, made: list[str]) -> tuple[DataFrame, DataFr
     tested = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
     crossing = written(crossing.join(tested, ["a", "b"], "left_anti"), "crossing", made)
     more = written(confirm(crossing, texts), "more", made)
-    roots = connected(links.unionByName(more), made)
+    # The stars found stand for the links that made them.
+    stars_so_far = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = connected(stars_so_far.unionByName(more), made)
     of_class = (classes.select(*sets, "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
                 .select(*sets, F.coalesce("root", "rep").alias("root")))
     return signed.drop("bands", "odd"), of_class

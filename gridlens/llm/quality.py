@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlens.llm.language import FEATURES, features, fit_linear, trigram_counts
+from gridlens.llm.store import written
 from gridlens.llm.textops import NOT_LETTERS, U64, flatten, pieces, prepare, words
 
 #: Labelled documents of each kind (junk, toxic, good) that are fitted on at most, picked by a hash of their id.
@@ -209,9 +210,12 @@ def site_levels(scored: DataFrame) -> Sites:
     """Counts and sums of the evidence of every host and path, and how strongly each level is shrunk."""
     paths = scored.groupBy("site_host", "site_path").agg(
         F.count(F.lit(1)).alias("n_path"), F.sum("evidence").alias("s_path"), F.sum(F.col("evidence") ** 2).alias("q"))
+    paths = written(paths, "paths")
     hosts = paths.groupBy("site_host").agg(F.sum("n_path").alias("n_host"), F.sum("s_path").alias("s_host"),
                                            F.sum("q").alias("q_host"))
-    table = paths.join(hosts, "site_host")
+    # Written, so that the join with the documents knows its size: it is broadcast if small, and otherwise both
+    # sides are dealt out for that join alone, which adaptive execution can split at a hot site.
+    table = written(paths.join(hosts, "site_host"), "sites")
     h = hosts.agg(F.count(F.lit(1)), F.sum("n_host"), F.sum("s_host"), F.sum("q_host"),
                   F.sum(F.col("s_host") ** 2 / F.col("n_host")), F.sum(F.col("n_host") ** 2)).first()
     if not h[0]:
