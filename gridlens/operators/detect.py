@@ -97,7 +97,13 @@ def reconstruction_score(windows: DataFrame, model: Reconstruction) -> DataFrame
 
 def flag(scores: DataFrame, threshold: float | None = None, percent: float = THRESHOLD_PERCENT,
          score: str = "score") -> DataFrame:
-    """Strictly above the saved threshold, or above the batch percentile without one."""
+    """Strictly above the saved threshold, or above the batch percentile without one.
+
+    The percentile takes several passes, so scores without a threshold are written first and
+    computed once, however dear they are.
+    """
+    if threshold is None:
+        scores = materialise(scores, "scores")
     limit = threshold if threshold is not None else exact_percentile(scores, score, percent / 100)
     return scores.withColumns({
         "threshold": F.lit(limit).cast("double"),

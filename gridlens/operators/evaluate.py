@@ -52,6 +52,18 @@ def metric_rows(predictions: DataFrame, by: Sequence[str] = ("model_name", "hori
     return wide.unpivot(list(by), ["mape", "mae"], "metric_name", "metric_value")
 
 
+def detection_metrics(flagged: DataFrame, model_name: str) -> DataFrame:
+    """The threshold of a detection run and how many windows it flagged, as metric rows."""
+    run = flagged.agg(F.max("threshold").alias("threshold"), F.count_if("is_anomaly").cast("double").alias("test_anomalies"))
+    return (run.where(F.col("threshold").isNotNull()).withColumn("model_name", F.lit(model_name))
+            .unpivot(["model_name"], ["threshold", "test_anomalies"], "metric_name", "metric_value"))
+
+
+def hub_notes(metrics: DataFrame, hub: str = "settlement_point") -> DataFrame:
+    """Metric rows of models per hub, which say in their notes which hub it is."""
+    return metrics.withColumn("notes", F.concat(F.lit("settlement_point="), F.col(hub))).drop(hub)
+
+
 def residual_table(predictions: DataFrame, keys: Sequence[str]) -> DataFrame:
     return predictions.select(
         *keys, F.col("y").alias("actual"), F.col("y_hat").alias("predicted"),

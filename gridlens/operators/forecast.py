@@ -7,16 +7,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlens.operators.datasets import Graph, Scaler, TargetScale, fit_target, graph_smooth
+from gridlens.operators.datasets import (
+    SEQ_LEN, Graph, Scaler, TargetScale, fit_target, graph_smooth, latest_window)
 from gridlens.operators.ordered import SLICE_ROWS, positional
+from gridlens.session import path_exists
 
 # Sizes of the boosted baseline.
 BOOSTED = {"maxIter": 400, "maxDepth": 8, "stepSize": 0.04, "subsamplingRate": 0.85,
@@ -222,16 +223,50 @@ def append_registry(rows: DataFrame, path: str) -> None:
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete row of each model."""
-    try:
-        rows = spark.read.schema(REGISTRY).parquet(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return spark.createDataFrame([], REGISTRY)
+    rows = spark.read.schema(REGISTRY).parquet(path)
     complete = rows.where(F.col("weights").isNotNull() | F.col("weights_path").isNotNull())
     rest = [c for c in rows.columns if c != "model_id"]
     return (complete.groupBy("model_id").agg(F.max_by(F.struct(*rest), "version").alias("_row"))
             .select("model_id", "_row.*"))
 
 
+def save_model(model: GraphLoad | BoostedLoad, folder: str, model_id: str, kind: str, version: int,
+               hub: str | None = None, scaler: Scaler | None = None, graph: Graph | None = None) -> tuple:
+    """Store a fitted model and return the registry row that finds it again."""
+    path = f"{folder.rstrip('/')}/{model_id}-v{version}"
+    model.model.write().overwrite().save(path)
+    if isinstance(model, BoostedLoad):
+        return registry_row(model_id, kind, version, hub, features=model.features, weights_path=path)
+    return registry_row(model_id, kind, version, hub, model.horizon, scaler, graph, model.scale, weights_path=path)
+
+
+def load_model(row: Mapping) -> GraphLoad | BoostedLoad:
+    """The model of a registry row: with a target scale a window model, else boosted trees."""
+    if row["target_mean"] is None:
+        return BoostedLoad(GBTRegressionModel.load(row["weights_path"]), list(row["features"]))
+    scale = TargetScale(row["target_mean"], row["target_std"])
+    return GraphLoad(LinearRegressionModel.load(row["weights_path"]), scale, row["horizon"])
+
+
+def graph_of(row: Mapping) -> Graph:
+    names = row["features"]
+    return {i: dict(zip(names, weights)) for i, weights in zip(names, row["graph"])}
+
+
+def forecast_latest(row: Mapping, rows: DataFrame, series: Sequence[str] = (), ties: Sequence[str] = (),
+                    seq_len: int = SEQ_LEN) -> DataFrame:
+    """The forecast of a stored window model from each series' newest rows: (series, window_ts, y_hat, horizon).
+
+    Scaler, graph and target scale come with the registry row, so that nothing but the row
+    and the newest ``seq_len`` rows is needed.
+    """
+    smooth, names = smoothed_features(rows, scaler_of(row), graph_of(row))
+    windows = latest_window(smooth, names, series, seq_len=seq_len, ties=ties)
+    return load_model(row).predict(windows).drop("x").withColumn("horizon", F.lit(row["horizon"]))
+
+
 def scaler_of(row: Mapping) -> Scaler:
     return Scaler(dict(zip(row["features"], row["scaler_mean"])), dict(zip(row["features"], row["scaler_std"])))
 

@@ -14,11 +14,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from gridlens.session import materialise
-
 SLICE_ROWS = 32_768
 
-_PID_BITS = 33
+# Rows that a block of `number_rows` holds where the densest series is evenly spread, and
+# the blocks or slices whose counts are summed before any run over them.
+BLOCK_ROWS = 16_384
+GROUP_KEYS = 1024
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -30,30 +31,65 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def running_before(counts: DataFrame, series: Sequence[str], key: str, n: str, out: str,
+                   total: str | None = None) -> DataFrame:
+    """Sum of ``n`` over the rows of the same series with a smaller whole-number ``key``.
+
+    In two levels: keys are summed in groups of ``GROUP_KEYS`` and only the groups are
+    run through in one go, so that a single series, or none, is no bottleneck.
+    """
+    grouped = counts.withColumn("_up", F.floor(F.col(key) / GROUP_KEYS))
+    groups = grouped.groupBy(*series, "_up").agg(F.sum(n).alias("_n_up"))
+    earlier = (Window.unboundedPreceding, -1)
+    over_groups = Window.partitionBy(*series).orderBy("_up").rowsBetween(*earlier)
+    columns = {"_before_up": F.coalesce(F.sum("_n_up").over(over_groups), F.lit(0))}
+    if total:
+        columns[total] = F.sum("_n_up").over(Window.partitionBy(*series))
+    groups = groups.withColumns(columns).drop("_n_up")
+    inside = Window.partitionBy(*series, "_up").orderBy(key).rowsBetween(*earlier)
+    return (join_on(grouped, groups, [*series, "_up"])
+            .withColumn(out, F.col("_before_up") + F.coalesce(F.sum(n).over(inside), F.lit(0)))
+            .drop("_up", "_before_up"))
+
+
+def _whole(df: DataFrame, column: str) -> Column:
+    """A time or number as a double that grows with it; nulls first, as Spark sorts them."""
+    kind = df.schema[column].dataType.typeName()
+    value = F.col(column)
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        value = F.unix_micros(value.cast("timestamp"))
+    return value.cast("double")
+
+
 def number_rows(df: DataFrame, series: Sequence[str], order: Sequence[str],
                 rn: str = "rn", total: str | None = None) -> DataFrame:
     """Zero-based position of each row in its series; ``order`` must be unique in it.
 
-    Rows are range partitioned on (series, order), so a hot series is spread over
-    many tasks. The ranges come from a sample, hence the result is written once
-    before any position is derived from it. Positions then need only the count of
-    each series in each range: one small row per (series, range).
+    Rows are cut into blocks of equal width along the first order column, a time or a
+    number. The width follows from the densest series, so that a hot series is spread
+    over many tasks. A row's block depends on the row alone: a task that runs again
+    gives the same positions, and nothing has to be written. The rows before each
+    block travel as one marker row at its head, so that the rows are shuffled once.
     """
-    keys = [*series, *order]
-    ranged = (df.repartitionByRange(*[F.col(k) for k in keys])
-              .sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = materialise(ranged, "ranges").withColumn("_pid", F.shiftright("_mid", _PID_BITS))
-    runs = ranged.groupBy(*series, "_pid").agg(
-        F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    by_range = Window.partitionBy(*series).orderBy("_pid")
-    before = F.sum("_n").over(by_range.rowsBetween(Window.unboundedPreceding, -1))
-    runs = runs.withColumn("_before", F.coalesce(before, F.lit(0)))
+    at = _whole(df, order[0])
+    spread = (df.groupBy(*series).agg(F.count(at).alias("n"), F.min(at).alias("lo"), F.max(at).alias("hi"))
+              .agg(F.min("lo"), F.max("hi"), F.min((F.col("hi") - F.col("lo")) / F.col("n"))).first())
+    start, end, gap = (x or 0.0 for x in spread)
+    # However dense a series, blocks are numbered within a long.
+    width = max(gap * BLOCK_ROWS, (end - start) / 1e12) or 1.0
+    block = F.coalesce(F.floor((at - F.lit(start)) / F.lit(width)), F.lit(-1))
+    blocked = df.withColumn("_block", block)
+    counts = blocked.groupBy(*series, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    heads = running_before(counts, series, "_block", "_n", "_before", total).drop("_n")
+    inside = Window.partitionBy(*series, "_block").orderBy("_row", *order)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    marked = blocked.withColumn("_row", F.lit(1)).unionByName(heads.withColumn("_row", F.lit(0)), allowMissingColumns=True)
+    columns = {"_rank": F.row_number().over(inside), "_base": F.max("_before").over(so_far)}
     if total:
-        runs = runs.withColumn(total, F.sum("_n").over(Window.partitionBy(*series)))
-    out = join_on(ranged, runs, [*series, "_pid"])
-    return (out.withColumn(rn, F.col("_mid") - F.col("_first") + F.col("_before"))
-            .drop("_mid", "_pid", "_first", "_n", "_before"))
+        columns[total] = F.max(total).over(so_far)
+    return (marked.withColumns(columns).where("_row = 1")
+            .withColumn(rn, F.col("_base") + F.col("_rank") - 2)
+            .drop("_block", "_row", "_rank", "_base", "_before"))
 
 
 def with_slice(df: DataFrame, rn: str = "rn", size: int = SLICE_ROWS) -> DataFrame:
@@ -105,10 +141,8 @@ def renumber(df: DataFrame, series: Sequence[str], rn: str = "rn", size: int = S
     """
     sliced = with_slice(df, rn, size)
     counts = sliced.groupBy(*series, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    by_slice = Window.partitionBy(*series).orderBy("_slice")
-    before = F.sum("_n").over(by_slice.rowsBetween(Window.unboundedPreceding, -1))
-    heads = counts.select(*series, "_slice", F.lit(-1).cast("bigint").alias(rn),
-                          F.coalesce(before, F.lit(0)).alias("_before"))
+    heads = running_before(counts, series, "_slice", "_n", "_before").select(
+        *series, "_slice", F.lit(-1).cast("bigint").alias(rn), "_before")
     inside = Window.partitionBy(*series, "_slice").orderBy(rn)
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
     ranked = sliced.unionByName(heads, allowMissingColumns=True).withColumns({

@@ -132,6 +132,37 @@ def _(v):
     return feeds.rtm_wide_to_long(v.rtm_page, keep=["event_id"])
 
 
+def _price_pages(rows, names):
+    """An HTML page with one table per row, headed by the row's column names."""
+    head = "".join(f"<th>{n}</th>" for n in names)
+    cells = [F.concat(F.lit("<td> "), F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("")), F.lit("</td>")) for n in names]
+    body = F.concat(F.lit(f"<html><table class='x'><tr>{head}</tr><tr>"), *cells, F.lit("</tr></table></html>"))
+    return rows.select(F.col("event_id").alias("page_id"), body.alias("html"))
+
+
+@query("s8_dam_from_pages", "page_id ts settlement_point market_type", "price_usd_mwh", """
+SELECT event_id AS page_id, settlement_point, 'DAM' AS market_type, price AS price_usd_mwh,
+  coalesce(CAST(operating_day AS TIMESTAMP), TIMESTAMP '2024-02-01') + to_hours(CAST(hour_ending AS INT)) AS ts
+FROM (SELECT event_id, operating_day, hour_ending, 'HB_HOUSTON' AS settlement_point, TRY_CAST(hb_houston AS DOUBLE) AS price FROM fx_dam_page
+      UNION ALL SELECT event_id, operating_day, hour_ending, 'HB_NORTH', TRY_CAST(hb_north AS DOUBLE) FROM fx_dam_page
+      UNION ALL SELECT event_id, operating_day, hour_ending, 'HB_BUSAVG', TRY_CAST(hb_busavg AS DOUBLE) FROM fx_dam_page)
+WHERE hour_ending <> 'XX' AND price IS NOT NULL AND NOT isnan(price)""")
+def _(v):
+    names = [c for c in v.dam_page.columns if c != "event_id"]
+    return feeds.dam_from_pages(_price_pages(v.dam_page, names), "2024-02-01 00:00:00")
+
+
+@query("s9_rtm_from_pages", "page_id ts settlement_point market_type", "price_usd_mwh", """
+SELECT event_id AS page_id, TRY_CAST(interval_ending AS TIMESTAMP) AS ts, settlement_point, 'RTM' AS market_type,
+       price AS price_usd_mwh
+FROM (SELECT event_id, interval_ending, 'HB_SOUTH' AS settlement_point, TRY_CAST(hb_south AS DOUBLE) AS price FROM fx_rtm_page
+      UNION ALL SELECT event_id, interval_ending, 'HB_WEST', TRY_CAST(hb_west AS DOUBLE) FROM fx_rtm_page)
+WHERE TRY_CAST(interval_ending AS TIMESTAMP) IS NOT NULL AND price IS NOT NULL""")
+def _(v):
+    names = [c for c in v.rtm_page.columns if c != "event_id"]
+    return feeds.rtm_from_pages(_price_pages(v.rtm_page, names))
+
+
 @query("s10_resolve_column", "l_returnflag n", "total", """
 SELECT l_returnflag, count(*) AS n, sum(l_extendedprice) AS total FROM lineitem GROUP BY l_returnflag""")
 def _(v):

@@ -281,13 +281,30 @@ def _(v):
     for horizon in forecast.HORIZONS:
         windows = ds.sliding_windows(smooth, names, "target", order=READING_ORDER, horizon=horizon)
         windows = materialise(ds.window_split(windows), "windows")
-        model = forecast.fit_graph_load(windows, horizon, max_iter=10)
+        model = forecast.fit_graph_load(windows, horizon)
         scored = model.predict(windows.where(~F.col("is_train")))
         parts.append(scored.agg(ev.mape("y").alias("mape"), ev.mae("y").alias("mae"))
                      .withColumn("horizon", F.lit(horizon)))
     return reports.union_records(parts).unpivot(["horizon"], ["mape", "mae"], "metric", "value")
 
 
+@query("f2_fit_one_feature", "n", "intercept slope", """
+SELECT count(*) AS n, regr_intercept(y, x) AS intercept, regr_slope(y, x) AS slope
+FROM (SELECT price_usd_mwh AS x, lead(price_usd_mwh, 1) OVER o AS y, row_number() OVER o - 1 AS rn,
+             count(*) OVER () - 1 AS windows
+      FROM fx_spp_prices WHERE price_usd_mwh IS NOT NULL WINDOW o AS (ORDER BY ts, event_id))
+WHERE rn < floor(windows * 0.85::DOUBLE)""")
+def _(v):
+    """The window regression where it has a closed form: one row, one feature, squared loss."""
+    windows = ds.sliding_windows(v.prices, ["price_usd_mwh"], "price_usd_mwh", order=ORDER, seq_len=1)
+    windows = materialise(ds.window_split(windows), "windows")
+    fitted = forecast.fit_graph_load(windows, 1, loss="squared", penalty=0.0)
+    slope = float(fitted.model.coefficients[0]) * fitted.scale.std
+    intercept = fitted.scale.mean + fitted.model.intercept * fitted.scale.std
+    return windows.where("is_train").agg(F.count(F.lit(1)).alias("n")).withColumns(
+        {"intercept": F.lit(intercept), "slope": F.lit(slope)})
+
+
 def _targets_sql():
     return " UNION ALL ".join(
         f"SELECT *, {h} AS horizon, lead(price_usd_mwh, {h}) OVER ({_PW}) AS y FROM fx_spp_prices"
@@ -299,7 +316,8 @@ helper("h_price_targets", _targets_sql())
 
 def _price_models(v):
     rows = forecast.with_targets(v.prices, "price_usd_mwh", SERIES, ORDER)
-    return rows, forecast.fit_price(rows, ["price_usd_mwh"], SERIES)
+    # Written, so that the join with the facts knows how small the models are.
+    return rows, materialise(forecast.fit_price(rows, ["price_usd_mwh"], SERIES), "models")
 
 
 @query("f3_fit_price", "settlement_point market_type horizon n", "intercept slope", """
@@ -421,6 +439,13 @@ def _(v):
     return detect.flag(_scores(v))
 
 
+@query("e6_detection_metrics", "model_name metric_name", "metric_value", """
+SELECT 'gnn_ae' AS model_name, 'threshold' AS metric_name, max(threshold) AS metric_value FROM h_flagged
+UNION ALL SELECT 'gnn_ae', 'test_anomalies', count(*) FILTER (is_anomaly) FROM h_flagged""")
+def _(v):
+    return ev.detection_metrics(detect.flag(_scores(v)), "gnn_ae")
+
+
 @query("d4_anomaly_severity", "l_orderkey l_linenumber severity", "score", """
 SELECT l_orderkey, l_linenumber, score, CASE WHEN score > 3000 THEN 'high' WHEN score > 2000 THEN 'medium' END AS severity
 FROM h_scores""")
@@ -440,7 +465,7 @@ def _(v):
 @query("d6_isolation_forest", "label n", "low high")
 def _(v):
     labelled = detect.isolation_forest(
-        v.readings.where("load_mw > 0"), ["load_mw", "temperature_2m"], ["event_id"], trees=50)
+        v.readings, ["load_mw", "temperature_2m"], ["event_id"])
     return labelled.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"), F.min("score").alias("low"), F.max("score").alias("high"))
 

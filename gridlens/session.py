@@ -71,6 +71,12 @@ def _release_at_exit() -> None:
         release()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(sc._jsc.hadoopConfiguration()).exists(at))
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the written table.
 

@@ -205,6 +205,17 @@ def rtm_wide_to_long(rows: DataFrame, hubs: Sequence[str] = HUBS, keep: Sequence
     return _prices(stamped.where(F.col("ts").isNotNull()), _hub_columns(rows, hubs), "RTM", keep)
 
 
+def dam_from_pages(pages: DataFrame, fallback_date=None, hubs: Sequence[str] = HUBS, key: str = "page_id",
+                   html: str = "html") -> DataFrame:
+    """Day-ahead prices from the HTML of their pages."""
+    return dam_wide_to_long(named_rows(pages, key, html), fallback_date, hubs, [key])
+
+
+def rtm_from_pages(pages: DataFrame, hubs: Sequence[str] = HUBS, key: str = "page_id", html: str = "html") -> DataFrame:
+    """Real-time prices from the HTML of their pages."""
+    return rtm_wide_to_long(named_rows(pages, key, html), hubs, [key])
+
+
 # Pages ------------------------------------------------------------------------------------
 
 _ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
@@ -237,6 +248,25 @@ def extract_rows(pages: DataFrame, key: str = "page_id", html: str = "html",
                        F.transform(F.regexp_extract_all("_row", F.lit(cell), 1), _plain).alias("cells"))
 
 
+def named_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """Rows of the tables that have a header, one column per header cell; empty cells are missing.
+
+    A table's header is its first row with header cells. Everything happens within the
+    page's row; the driver sees only the distinct names, which are few in a feed.
+    """
+    blocks = pages.select(key, F.explode(F.regexp_extract_all(
+        _spaced(F.col(html)), F.lit("(?is)<table[^>]*>(.*?)</table>"), 1)).alias("_block"))
+    lines = F.transform(F.regexp_extract_all("_block", F.lit("(?is)<tr[^>]*>(.*?)</tr>"), 1), lambda r: F.struct(
+        r.rlike("(?is)<th[ >]").alias("is_header"),
+        F.transform(F.regexp_extract_all(r, F.lit("(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1), _plain).alias("cells")))
+    header = F.get(F.filter("_lines", lambda r: r["is_header"]), F.lit(0))["cells"]
+    rows = (blocks.select(key, lines.alias("_lines")).select(key, header.alias("_names"), F.explode("_lines").alias("_line"))
+            .where(F.col("_names").isNotNull() & ~F.col("_line.is_header")).select(key, "_names", "_line.cells"))
+    names = sorted(r[0] for r in rows.select(F.explode("_names")).distinct().collect() if r[0])
+    at = lambda name: F.get("cells", F.array_position("_names", F.lit(name)).cast("int") - 1)
+    return rows.select(key, *[F.nullif(at(n), F.lit("")).alias(n) for n in names if n != key])
+
+
 def extract_cells(pages: DataFrame, key: str = "page_id", html: str = "html", **patterns: str) -> DataFrame:
     """Cells of each page as rows ``(key, block, row, cell, text, is_header)``."""
     return extract_rows(pages, key, html, **patterns).select(
@@ -255,7 +285,8 @@ def extract_list_items(pages: DataFrame, key: str = "page_id", html: str = "html
 def rows_of_cells(cells: DataFrame, key: str = "page_id") -> DataFrame:
     """Cells back to rows, for cell tables from elsewhere."""
     packed = F.sort_array(F.collect_list(F.struct("cell", "text")))
-    return cells.groupBy(key, "block", "row", "is_header").agg(
+    # Dealt out by page: whatever is grouped by page and more after this needs no further shuffle.
+    return cells.repartition(key).groupBy(key, "block", "row", "is_header").agg(
         F.transform(packed, lambda c: c["text"]).alias("cells"))
 
 
@@ -280,7 +311,8 @@ def kv_from_rows(rows: DataFrame, key: str = "page_id") -> DataFrame:
     value = F.col("text")
     for unit in VALUE_UNITS:
         value = F.replace(value, F.lit(unit), F.lit(""))
-    named = usable.select(key, "_at", F.translate(F.lower("label"), " ()", "_").alias("name"),
+    # Dealt out by page, once for the grouping by label here and the one by page in `pick_metric`.
+    named = usable.repartition(key).select(key, "_at", F.translate(F.lower("label"), " ()", "_").alias("name"),
                           "text", value.try_cast("double").alias("value"))
     return named.groupBy(key, "name").agg(
         F.min("_at").alias("pos"), F.max_by("text", "_at").alias("text"),
@@ -304,6 +336,11 @@ def pick_metric(kv: DataFrame, wanted: Mapping[str, Sequence[str]] = CONDITION_K
     return kv.groupBy(key).agg(*picks)
 
 
+def pick_snapshot(kv: DataFrame, key: str = "page_id") -> DataFrame:
+    """The figures of a snapshot record: wind, solar and frequency go by wider fragments."""
+    return pick_metric(kv, CONDITION_KEYS | SNAPSHOT_KEYS, key)
+
+
 # Fuel mix -----------------------------------------------------------------------------------
 
 def fuel_pivot(rows: DataFrame, tie: str = "event_id", codes: Mapping[str, str] = FUELS,

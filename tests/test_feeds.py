@@ -154,3 +154,23 @@ def test_feed_fallback_takes_the_first_with_rows(rows):
             spine, a, b, ["temperature_2m"], {"temperature_2m": 1.0}, mode="feed").collect())
     assert pick(some.where("ts > 9"), some) == [(2, 5.0)] == pick(some, None)
     assert pick(some.where("ts > 9"), None) == [(1, 1.0), (2, 1.0)]
+
+
+def test_snapshot_goes_by_wider_labels(rows):
+    page = "<table>" + "".join(f"<tr><td>{n}</td><td>{v}</td></tr>" for n, v in (
+        ("Actual System Demand", "50,000 MW"), ("Total System Capacity", "60,000 MW"), ("Wind Now", "7 MW"),
+        ("Solar Share", "3 %"), ("Freq", "60.01 Hz"))) + "</table>"
+    kv = feeds.kv_from_rows(feeds.extract_rows(rows("page_id int, html string", (1, page))))
+    assert feeds.pick_metric(kv).first().wind is None
+    got = feeds.pick_snapshot(kv).first()
+    assert (got.demand, got.capacity, got.wind, got.solar, got.freq) == (50000.0, 60000.0, 7.0, 3.0, 60.01)
+
+
+def test_pages_of_several_layouts_become_prices(rows):
+    one = ("<TABLE><tr><td>title</td></tr><tr><th>Oper Day</th><th>Hour Ending</th><th> HB_NORTH </th></tr>"
+           "<tr><td>2024-01-01</td><td>1</td><td>5</td></tr><tr><td>2024-01-01</td><td>24</td></tr></TABLE>"
+           "<table><tr><td>no header</td></tr></table>")
+    two = "<table><tr><th>HB_NORTH</th><th>Hour Ending</th></tr><tr><td>7</td><td>2.0</td></tr></table>"
+    got = feeds.dam_from_pages(rows("page_id int, html string", (1, one), (2, two), (3, None), (4, "")), "2024-05-01")
+    assert sorted((r.page_id, r.ts, r.price_usd_mwh) for r in got.collect()) == [
+        (1, TS(2024, 1, 1, 1), 5.0), (2, TS(2024, 5, 1, 2), 7.0)]

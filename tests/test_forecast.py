@@ -86,3 +86,27 @@ def test_registry_latest_complete_and_resolution(spark):
                                      "kind string, hub string, horizon int")
     got = {(r.kind, r.hub, r.horizon): r.model_id for r in forecast.resolve_model(requests, registry).collect()}
     assert got == {("price", "N", 1): "p_N_1", ("price", "S", 1): "p_1", ("price", "N", 24): "p", ("load", "N", 1): None}
+
+
+def test_a_stored_window_model_forecasts_from_its_row(spark, series):
+    scaler = ds.fit_scaler(series.where("is_train"), ["load_mw", "t"])
+    graph = ds.collect_graph(ds.correlation_graph(series, ["load_mw", "t"]))
+    smooth, names = forecast.smoothed_features(series.withColumn("target", F.col("load_mw")), scaler, graph)
+    windows = ds.window_split(ds.sliding_windows(smooth, names, "target"))
+    model = forecast.fit_graph_load(windows, 1, loss="squared", max_iter=20)
+    root = scratch_path(spark, "models")
+    forecast.write_registry(spark, f"{root}/registry", [
+        forecast.save_model(model, root, "load_1h", "load", 1, scaler=scaler, graph=graph)])
+    row = forecast.read_registry(spark, f"{root}/registry").first()
+    assert row.weights is None and forecast.graph_of(row) == graph
+    got = forecast.forecast_latest(row, series).first()
+    want = model.predict(ds.latest_window(smooth, names)).first()
+    assert got.y_hat == pytest.approx(want.y_hat) and got.window_ts == want.window_ts and got.horizon == 1
+
+
+def test_stored_trees_predict_the_same(spark, series):
+    model = forecast.fit_boosted_load(series, ["t"], maxIter=3, maxDepth=2, featureSubsetStrategy="all")
+    row = dict(zip(forecast.REGISTRY.fieldNames(), forecast.save_model(model, scratch_path(spark, "models"), "gbt", "load", 1)))
+    again = forecast.load_model(row)
+    key = lambda m: sorted(r.y_hat for r in m.predict(series).collect())
+    assert key(again) == key(model)

@@ -117,3 +117,25 @@ def test_no_single_task_window_over_raw_rows(views):
     plan = built._jdf.queryExecution().optimizedPlan().toString()
     lag_lines = [line for line in plan.splitlines() if "Window" in line and "lag(" in line]
     assert lag_lines and all("_slice" in line for line in lag_lines)
+
+
+def test_positions_need_no_written_copy(views, monkeypatch):
+    from gridlens import session
+    before = set(session._written)
+    out = ordered.number_rows(views.prices, ["settlement_point", "market_type"], ["ts", "event_id"])
+    assert out.count() and set(session._written) == before
+
+
+def test_positions_of_bursts_nulls_and_one_time(rows, monkeypatch):
+    monkeypatch.setattr(ordered, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(ordered, "GROUP_KEYS", 3)
+    values = [("burst", 5, k) for k in range(50)] + [("even", 10 * k, 0) for k in range(60)] + [("even", None, 1)]
+    values += [(None, 10**12, 0), (None, -3, 0), ("one", 7, 0)]
+    df = rows("s string, t long, k int", *values)
+    got = ordered.number_rows(df, ["s"], ["t", "k"], total="n").collect()
+    assert len(got) == len(values)
+    for s in ("burst", "even", "one", None):
+        own = sorted((r.rn, r.t is not None, r.t or 0, r.k) for r in got if r.s == s)
+        assert [r[0] for r in own] == list(range(len(own))) and [r[1:] for r in own] == sorted(r[1:] for r in own)
+        assert {r.n for r in got if r.s == s} == {len(own)}
+    assert ordered.number_rows(df.limit(0), [], ["t"]).count() == 0
