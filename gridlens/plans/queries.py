@@ -119,8 +119,10 @@ def zone_comparison(weather: DataFrame, days: int = 7, as_of=None) -> DataFrame:
 
 def weather_load_overlay(load: DataFrame, weather: DataFrame, days: int = 7, zone: str = "houston",
                          as_of=None) -> DataFrame:
+    # Weather from the start of the hour that the oldest load falls into.
+    start = F.date_trunc("hour", days_before(as_of, days))
     pairs = hour_join(recent(load, days, as_of).select("ts", "load_mw"),
-                      weather.select("ts", "zone", "temperature_2m"), zone)
+                      since(weather.where(F.col("ts") >= start), start).select("ts", "zone", "temperature_2m"), zone)
     return pairs.select("ts", "load_mw", "temperature_2m")
 
 
