@@ -14,7 +14,8 @@ def _print(edges: DataFrame) -> tuple:
 
 
 def connected(links: DataFrame, made: list[str]) -> DataFrame:
-    """(node, root) of every node of the links (a, b): root is the smallest node it reaches.
+    """(node, root) of every node of the links (a, b), which are read from a written table: root is the smallest node
+    it reaches.
 
     Alternating stars: each node hangs its larger neighbours, then its smaller ones, on the smallest it knows,
     until nothing changes. Edges never outnumber the links; a round is grouped minima and joins on them, whose
@@ -22,9 +23,8 @@ def connected(links: DataFrame, made: list[str]) -> DataFrame:
     executor costs one round's share.
     """
     spark = links.sparkSession
+    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     path: list[str] = []
-    edges = written(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                    .distinct(), "edges", path)
     before, passing = _print(edges), []
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -273,7 +273,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     edges = found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
         usable.join(classes.select("dim", "same", "rep"), ["dim", "same"]).select(
             F.col("id").alias("a"), F.col("rep").alias("b")))
-    roots = connected(edges, made).withColumnRenamed("node", "id")
+    roots = connected(written(edges, "edges", made), made).withColumnRenamed("node", "id")
     per_row = (told.select("id", "dim", "same")
                .join(classes.select("dim", "same", F.col("rep").alias("node"), "weight"), ["dim", "same"], "left")
                .join(times, "node", "left").join(roots, "id", "left"))
