@@ -182,34 +182,31 @@ def assign_alert_id(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("alert_id", F.coalesce(given, made))
 
 
-def report_number(column: Column, decimals: int = 0) -> Column:
-    """Number with thousands separators, rounded half up."""
-    return F.format_string(f"%,.{decimals}f", column.cast("double"))
+# Texts of alerts.
+CAPACITY_TITLE = "Grid Capacity Alert: %.1f%% reserve"
+CAPACITY_TEXT = ("Demand %,.0f MW vs Capacity %,.0f MW (%.1f%% utilization). "
+                 "Wind: %,.0f MW, Solar: %,.0f MW, Freq: %.3f Hz")
+FREQUENCY_TITLE = "Frequency Deviation: %.3f Hz"
+FREQUENCY_TEXT = "Grid frequency at %.3f Hz (nominal %.3f Hz). Deviation: %.1f mHz"
 
 
-def fixed_number(column: Column, decimals: int) -> Column:
-    return F.format_string(f"%.{decimals}f", column.cast("double"))
+def _filled(text: str, *values: Column) -> Column:
+    """The text with its numbers; missing where a number is."""
+    numbers = [v.cast("double") for v in values]
+    known = F.lit(True)
+    for v in numbers:
+        known = known & v.isNotNull()
+    return F.when(known, F.format_string(text, *numbers))
 
 
 def capacity_text() -> tuple[Column, Column]:
     """Title and description of a capacity alert."""
     ratio = F.col("ratio")
-    title = F.concat(F.lit("Grid Capacity Alert: "), fixed_number((1 - ratio) * 100, 1), F.lit("% reserve"))
-    text = F.concat(
-        F.lit("Demand "), report_number(F.col("demand")), F.lit(" MW vs Capacity "),
-        report_number(F.col("capacity")), F.lit(" MW ("), fixed_number(ratio * 100, 1),
-        F.lit("% utilization). Wind: "), report_number(or_zero("wind")),
-        F.lit(" MW, Solar: "), report_number(or_zero("solar")),
-        F.lit(" MW, Freq: "), fixed_number(or_zero("freq"), 3), F.lit(" Hz"))
-    return title, text
+    return _filled(CAPACITY_TITLE, (1 - ratio) * 100), _filled(
+        CAPACITY_TEXT, F.col("demand"), F.col("capacity"), ratio * 100, or_zero("wind"), or_zero("solar"), or_zero("freq"))
 
 
 def frequency_text(nominal: float = 60.0) -> tuple[Column, Column]:
     """Title and description of a frequency alert."""
     freq = F.col("freq")
-    shown = fixed_number(freq, 3)
-    title = F.concat(F.lit("Frequency Deviation: "), shown, F.lit(" Hz"))
-    text = F.concat(
-        F.lit("Grid frequency at "), shown, F.lit(" Hz (nominal "), F.lit(f"{nominal:.3f}"),
-        F.lit(" Hz). Deviation: "), fixed_number((freq - nominal) * 1000, 1), F.lit(" mHz"))
-    return title, text
+    return _filled(FREQUENCY_TITLE, freq), _filled(FREQUENCY_TEXT, freq, F.lit(nominal), (freq - nominal) * 1000)

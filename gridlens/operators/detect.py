@@ -26,6 +26,15 @@ MIN_WINDOWS = 32
 HOLD_OUT = 0.12
 HOLD_OUT_ROWS = 8
 
+# Texts of events, of the alert on a run, and of snapshots.
+TRAINING_TEXT = "Reconstruction error %.4f > threshold %.4f"
+SCORE_TEXT = "Score %s (%s)"
+RUN_TITLE = "%d high-severity anomalies detected"
+RUN_TEXT = "Reconstruction error exceeded 1.5x threshold for %d windows. Max score: %.4f"
+FACILITY_TEXT = "%s (demand=%.0f, capacity=%.0f, wind=%.0f, solar=%.0f)"
+NATURE_TEXT = "reserve_ratio=%.3f"
+NATURE_FREQ_TEXT = "reserve_ratio=%.3f, freq=%.3f"
+
 
 # Reconstruction error ---------------------------------------------------------------
 
@@ -124,14 +133,12 @@ def _plain_decimal(value: Column) -> Column:
 def anomaly_events(flagged: DataFrame, ts: str = "window_ts", score: str = "score",
                    training: bool = False) -> DataFrame:
     """Event rows for flagged windows, ready for the store."""
-    shown = F.format_string("%.4f", F.col(score))
     if training:
-        text = F.concat(F.lit("Reconstruction error "), shown, F.lit(" > threshold "),
-                        F.format_string("%.4f", F.col("threshold")))
+        text = F.format_string(TRAINING_TEXT, F.col(score), F.col("threshold"))
         value = F.col(score)
     else:
         value = F.round(score, 4)
-        text = F.format_string("Score %s (%s)", _plain_decimal(value), F.col("severity"))
+        text = F.format_string(SCORE_TEXT, _plain_decimal(value), F.col("severity"))
     rows = anomaly_severity(flagged, score) if "severity" not in flagged.columns else flagged
     return rows.where("is_anomaly").select(
         F.col(ts).alias("ts"), F.col(ts).alias("detected_at"),
@@ -143,12 +150,10 @@ def anomaly_alert(flagged: DataFrame, ts: str = "window_ts", score: str = "score
     rows = anomaly_severity(flagged, score) if "severity" not in flagged.columns else flagged
     run = rows.where(F.col("severity") == "high").agg(
         F.count(F.lit(1)).alias("_n"), F.max(score).alias("_max"), F.max(ts).alias("ts")).where("_n > 0")
-    count = F.col("_n").cast("string")
     return run.select(
         "ts", F.lit("anomaly_detection").alias("alert_type"), F.lit("warning").alias("severity"),
-        F.concat(count, F.lit(" high-severity anomalies detected")).alias("title"),
-        F.concat(F.lit("Reconstruction error exceeded 1.5x threshold for "), count,
-                 F.lit(" windows. Max score: "), F.format_string("%.4f", "_max")).alias("description"),
+        F.format_string(RUN_TITLE, "_n").alias("title"),
+        F.format_string(RUN_TEXT, "_n", "_max").alias("description"),
         F.lit(False).alias("acknowledged"), F.lit("anomaly_detector").alias("source"))
 
 
@@ -342,17 +347,14 @@ def condition_snapshot(conditions: DataFrame, threshold: float = CAPACITY_ALERT,
     rated = conditions.where(_usable()).withColumn(
         "ratio", F.when(F.col("capacity") > 0, F.col("demand") / F.col("capacity")).otherwise(F.lit(0.0)))
 
-    def whole(column):
-        return F.format_string("%.0f", column)
-
-    facility = F.concat(
-        F.lit(f"{label} (demand="), whole(F.col("demand")), F.lit(", capacity="), whole(F.col("capacity")),
-        F.lit(", wind="), whole(or_zero("wind")), F.lit(", solar="), whole(or_zero("solar")), F.lit(")"))
-    freq = F.when(F.coalesce(F.col("freq"), F.lit(0.0)) != 0,
-                  F.concat(F.lit(", freq="), F.format_string("%.3f", "freq"))).otherwise(F.lit(""))
+    facility = F.format_string(
+        FACILITY_TEXT, F.lit(label), *[c.cast("double") for c in (F.col("demand"), F.col("capacity"), or_zero("wind"),
+                                                                  or_zero("solar"))])
+    nature = F.when(F.coalesce(F.col("freq"), F.lit(0.0)) != 0, F.format_string(NATURE_FREQ_TEXT, "ratio", "freq")).otherwise(
+        F.format_string(NATURE_TEXT, "ratio"))
     return rated.select(
         *_keys(conditions), F.lit("system_snapshot").alias("outage_type"), facility.alias("facility_name"),
         (F.col("capacity") - F.col("demand")).alias("capacity_mw"),
-        F.concat(F.lit("reserve_ratio="), F.format_string("%.3f", "ratio"), freq).alias("nature"),
+        nature.alias("nature"),
         F.when(F.col("ratio") > threshold, "high_stress").otherwise("normal").alias("status"),
         F.col("ts").alias("start_time"))
