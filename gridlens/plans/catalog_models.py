@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridlens import schemas
 from gridlens.functions import scalars as fn
 from gridlens.operators import datasets as ds
 from gridlens.operators import detect, forecast, joins, ordered, reports
@@ -245,10 +246,6 @@ def _(v):
 
 # Forecasts ----------------------------------------------------------------------------------
 
-_TREE = ["temperature_2m", "temp_squared", "hour", "day_of_week", "is_weekend", "hour_sin", "hour_cos",
-         "load_lag_1h", "load_lag_24h", "load_rolling_6h"]
-
-
 def _split_readings(v):
     rows = ordered.chrono_split(engineered(v), [], READING_ORDER)
     return materialise(rows, "split")
@@ -257,13 +254,13 @@ def _split_readings(v):
 @query("f1_fit_boosted_load", "metric", "value")
 def _(v):
     rows = _split_readings(v)
-    model = forecast.fit_boosted_load(rows, _TREE, maxIter=5, maxDepth=4)
+    model = forecast.fit_boosted_load(rows, schemas.TREE_FEATURES)
     scored = model.predict(rows.where(~F.col("is_train")))
     return scored.agg(ev.mape("load_mw").alias("mape"), ev.mae("load_mw").alias("mae")).unpivot(
         [], ["mape", "mae"], "metric", "value")
 
 
-_WINDOW = ["load_mw", "temperature_2m", "hour_sin", "hour_cos"]
+_WINDOW = schemas.LOAD_FEATURES
 
 
 def _smoothed(v):
@@ -271,7 +268,9 @@ def _smoothed(v):
     rows = _split_readings(v)
     scaler = ds.fit_scaler(rows.where("is_train"), _WINDOW)
     graph = ds.collect_graph(ds.correlation_graph(rows, _WINDOW))
-    return forecast.smoothed_features(rows.withColumn("target", F.col("load_mw")), scaler, graph)
+    smooth, names = forecast.smoothed_features(rows.withColumn("target", F.col("load_mw")), scaler, graph)
+    # Written, so that no plan repeats the sums over all features for each of its windows.
+    return materialise(smooth.select(*READING_ORDER, *names, "target"), "smooth"), names
 
 
 @query("f2_fit_graph_load", "horizon metric", "value")
