@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,8 @@ from gridlens.session import path_exists
 BOOSTED = {"maxIter": 400, "maxDepth": 8, "stepSize": 0.04, "subsamplingRate": 0.85,
            "featureSubsetStrategy": "0.85", "minInstancesPerNode": 3}
 HORIZONS = (1, 24)
+#: Products of so many groups are summed in a task before they are handed on.
+GRAM_GROUPS = 16
 
 
 # Boosted baseline -----------------------------------------------------------------------
@@ -167,6 +171,81 @@ def predict_price(rows: DataFrame, models: DataFrame, features: Sequence[str], b
             .drop("intercept", "coefficients"))
 
 
+def fit_price_windows(windows: DataFrame, by: Sequence[str], horizon: int, penalty: float = 1e-4,
+                      min_rows: int = 72) -> DataFrame:
+    """Ridge regression of ``y`` on the flattened window ``x`` per group: rows as of ``fit_price``.
+
+    Windows are too wide for one sum per product, so each task adds up its groups' products as matrices and
+    hands them on row by row; a group may be of any size. A window repeats values (a row's lag is the row
+    before it), and the penalty, on features in units of their deviation, makes the solution unique.
+    """
+    by = list(by)
+    flat = windows.where(F.col("y").isNotNull()).select(*by, F.flatten("x").alias("_x"), F.col("y").cast("double").alias("_y"))
+    means = Summarizer.mean(array_to_vector(F.concat("_x", F.array("_y"))))
+    centre = flat.groupBy(F.lit("").alias("all")).agg(means.alias("m")).first()  # no row without windows
+    moved = np.concatenate([[0.0], centre["m"].toArray() if centre else []])
+    wide = len(moved)
+    kinds = [flat.schema[c] for c in by]
+    schema = T.StructType([*kinds, T.StructField("_i", T.IntegerType()), T.StructField("_v", T.ArrayType(T.DoubleType()))])
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple, np.ndarray] = {}
+
+        def rows():
+            for key, gram in sums.items():
+                values = pa.ListArray.from_arrays(np.arange(0, wide * wide + 1, wide, dtype=np.int32), gram.ravel())
+                cells = [pa.array([k] * wide, f) for k, f in zip(key, types)]
+                yield pa.RecordBatch.from_arrays([*cells, pa.array(range(wide), pa.int32()), values], names=[*by, "_i", "_v"])
+            sums.clear()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            types = [batch.column(k).type for k in range(len(by))]
+            x = batch.column(len(by)).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, wide - 2)
+            a = np.column_stack([np.ones(len(x)), x, batch.column(len(by) + 1).to_numpy(zero_copy_only=False)]) - moved
+            places: dict[tuple, list[int]] = {}
+            for at, key in enumerate(zip(*[batch.column(k).to_pylist() for k in range(len(by))])):
+                places.setdefault(key, []).append(at)
+            for key, at in places.items():
+                if key not in sums and len(sums) == GRAM_GROUPS:
+                    yield from rows()
+                own = a[at]
+                sums[key] = sums.get(key, 0.0) + own.T @ own
+        yield from rows()
+
+    gram = (flat.mapInArrow(products, schema).groupBy(*by, "_i")
+            .agg(vector_to_array(Summarizer.sum(array_to_vector("_v"))).alias("_v")))
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        whole = np.stack(pdf.sort_values("_i")["_v"].to_numpy())
+        n = whole[0, 0]
+        out = {**{c: [pdf[c].iloc[0]] for c in by}, "horizon": [horizon], "n": [round(n)]}
+        if round(n) < min_rows:
+            return pd.DataFrame(out | {"intercept": [0.0], "coefficients": [[]]}).iloc[:0]
+        s = whole[0, 1:]
+        g = whole[1:, 1:] - np.outer(s, s) / n
+        spread = np.sqrt(np.maximum(np.diag(g)[:-1] / n, 0.0))
+        varies = spread > 1e-9 * np.maximum(1.0, np.abs(moved[1:-1]))
+        unit = np.where(varies, spread, 1.0)
+        system = g[:-1, :-1] / np.outer(unit, unit) / n * np.outer(varies, varies) + penalty * np.eye(len(unit))
+        beta = np.linalg.lstsq(system, g[:-1, -1] / unit / n * varies, rcond=1e-12)[0] / unit
+        mean = moved[1:] + s / n
+        return pd.DataFrame(out | {"intercept": [float(mean[-1] - mean[:-1] @ beta)], "coefficients": [beta.tolist()]})
+
+    groups = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kinds)
+    return gram.groupBy(*by).applyInPandas(
+        lambda pdf: solve(pdf), f"{groups}, horizon int, n bigint, intercept double, coefficients array<double>")
+
+
+def predict_price_windows(windows: DataFrame, models: DataFrame, by: Sequence[str], name: str = "y_hat") -> DataFrame:
+    """Every window with every horizon its group has a model for."""
+    joined = windows.join(models.select(*by, "horizon", "intercept", "coefficients"), list(by), "inner")
+    terms = F.zip_with(F.flatten("x"), "coefficients", lambda a, b: a * b)
+    return (joined.withColumn(name, F.col("intercept") + F.aggregate(terms, F.lit(0.0), lambda a, b: a + b))
+            .drop("x", "intercept", "coefficients"))
+
+
 # Registry ---------------------------------------------------------------------------------------
 
 REGISTRY = T.StructType([

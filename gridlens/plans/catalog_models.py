@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridlens import schemas
 from gridlens.functions import scalars as fn
+from gridlens.operators import aggregates
 from gridlens.operators import datasets as ds
 from gridlens.operators import detect, forecast, joins, ordered, reports
 from gridlens.operators import evaluate as ev
@@ -336,6 +337,40 @@ def _(v):
     return forecast.predict_price(rows, models, ["price_usd_mwh"], SERIES)
 
 
+def _price_features(v):
+    """All price features on every price row; the hour's weather is the mean of its zones."""
+    weather = aggregates.zone_average(v.weather, humidity=False)
+    rows = _price_rows(v).withColumn("_hour", fn.hour_of("ts"))
+    rows = rows.join(weather.withColumnRenamed("ts", "_hour"), "_hour").drop("_hour")
+    return materialise(ds.engineer_price(rows, SERIES, ORDER), "price_features")
+
+
+def _price_window_models(rows, series, horizons=forecast.HORIZONS):
+    """A model per series and horizon, fitted on the training windows of 24 rows."""
+    models = []
+    for h in horizons:
+        windows = ds.sliding_windows(rows, schemas.PRICE_FEATURES, "price_usd_mwh", series, ORDER, horizon=h)
+        train = materialise(ds.window_split(windows).where("is_train"), "windows")
+        models.append(forecast.fit_price_windows(train, series, h))
+    return materialise(reports.union_records(models), "models")
+
+
+def _short(models):
+    return models.withColumn("coefficients", F.transform("coefficients", lambda c: F.round(c, 8)))
+
+
+@query("f3_fit_price_windows", "settlement_point market_type horizon n coefficients", "intercept")
+def _(v):
+    return _short(_price_window_models(_price_features(v), SERIES))
+
+
+@query("f4_predict_windows", "settlement_point market_type window_ts event_id horizon", "y_hat")
+def _(v):
+    rows = _price_features(v)
+    windows = ds.scoring_windows(rows, schemas.PRICE_FEATURES, SERIES, ORDER)
+    return forecast.predict_price_windows(windows, _price_window_models(rows, SERIES), SERIES)
+
+
 @query("f5_ensemble", "series horizon ts", "y y_hat", """
 SELECT a.series, a.horizon, a.ts, a.y, 0.5 * a.y_hat + 0.5 * (b.y_hat * 1.01) AS y_hat
 FROM h_keyed_pred a JOIN h_keyed_pred b ON a.series = b.series AND a.ts = b.ts AND a.horizon = b.horizon""")
@@ -396,6 +431,20 @@ def _(v):
         "version": F.col("version").cast("int")})
 
 
+@query("f8_window_registry", "model_id hub horizon version features n coefficients", "intercept")
+def _(v):
+    hub = ["settlement_point"]
+    models = _price_window_models(_price_features(v), hub)
+    path = scratch_path(v.spark, "registry")
+    for version in (1, 2):
+        forecast.append_registry(
+            forecast.registry_of(models, "price", version, "settlement_point", schemas.PRICE_FEATURES), path)
+    weights = F.col("weights")
+    return _short(forecast.read_registry(v.spark, path).withColumns({
+        "n": weights[0].cast("long"), "intercept": weights[1], "version": F.col("version").cast("int"),
+        "coefficients": F.slice(weights, 3, F.size(weights) - 2)}))
+
+
 # Anomalies and rules ------------------------------------------------------------------------
 
 def _reading_windows(v):
