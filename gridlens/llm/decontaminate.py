@@ -21,13 +21,15 @@ from pyspark.sql import types as T
 
 from gridlens.llm.textops import U64, flatten, mix, pieces, prepare, words
 from gridlens.llm.textops import _BASE
+from gridlens.session import materialise
 
 K1, B = 1.2, 0.75
 #: Share of an item's own score from which a passage is a candidate; of the shingles of either half that verify it.
 THRESHOLD, OVERLAP = 0.4, 0.75
 SHINGLE, BLOCK = 5, 16
-#: Items of an index; more make more indexes, each passed over all texts, so that what tasks hold stays bounded.
-SHARD = 20_000
+#: Items and words of an index; more make more indexes, each passed over all texts, so that what tasks hold stays
+#: bounded. An item of more words is an index of its own. Statistics are those of the whole benchmark in each.
+SHARD, SHARD_WORDS = 20_000, 8_000_000
 
 
 def grams(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -54,8 +56,19 @@ class Index:
     slack: np.ndarray  # by block, what the terms left out can add at most
 
 
-def build_index(ids: Sequence[int], texts: Sequence[str]) -> Index:
-    """Items without words are in the index but never found."""
+@dataclass(frozen=True)
+class Statistics:
+    """Of the whole benchmark, so that an item's scores and passages do not depend on its index."""
+
+    items: int
+    mean: float  # words of an item
+    longest: int  # words of the longest item
+
+
+def build_index(ids: Sequence[int], texts: Sequence[str], whole: Statistics | None = None,
+                frequency: dict[int, int] | None = None) -> Index:
+    """Items without words are in the index but never found. ``whole`` and ``frequency``, items by word hash, are
+    counted from the given items if left out."""
     buf, offs = flatten(pa.array(texts, pa.large_string()))
     hashes, _, owner = words(buf, offs)
     n = len(ids)
@@ -64,8 +77,12 @@ def build_index(ids: Sequence[int], texts: Sequence[str]) -> Index:
     pair, tf = np.unique(at * n + owner, return_counts=True)
     term, item = pair // n, pair % n
     df = np.bincount(term, minlength=len(terms))
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    mean = max(length.mean() if n else 0, 1e-9)
+    if whole is None:
+        whole = Statistics(n, length.mean() if n else 0, int(length.max()) if n else 0)
+    if frequency is not None:
+        df = np.array([frequency[t] for t in terms.tolist()], np.int64)
+    idf = np.log1p((whole.items - df + 0.5) / (df + 0.5))
+    mean = max(whole.mean, 1e-9)
     impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[item] / mean))
     impact = impact / np.bincount(item, impact, n)[item]
     start = np.searchsorted(term, np.arange(len(terms) + 1))
@@ -93,7 +110,7 @@ def build_index(ids: Sequence[int], texts: Sequence[str]) -> Index:
         cut = (len(own) + 1) // 2
         halves.append(tuple((min(SHINGLE, len(h)), np.unique(grams(h, min(SHINGLE, len(h)))))
                             for h in (own[:cut], own[cut:]) if len(h)))
-    return Index(np.array(ids, np.int64), halves, 2 * max(int(length.max()) if n else 0, SHINGLE), terms, low, start,
+    return Index(np.array(ids, np.int64), halves, 2 * max(whole.longest, SHINGLE), terms, low, start,
                  item, impact, np.searchsorted(block_key // max(blocks, 1), np.arange(len(terms) + 1)),
                  block_key % max(blocks, 1), most, slack)
 
@@ -155,21 +172,58 @@ def find(index: Index, buf: np.ndarray, offs: np.ndarray) -> list[list[int]]:
     return [sorted(f) for f in found]
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of each item, and its distinct word hashes."""
+    for batch in batches:
+        for a, b in pieces(flatten(batch.column(1))[1]):
+            ids, texts = batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a)
+            hashes, _, owner = words(*flatten(texts))
+            length = np.bincount(owner, minlength=b - a)
+            edge = np.searchsorted(owner, np.arange(b - a + 1))
+            own = [np.unique(hashes[edge[i] : edge[i + 1]]).view(np.int64) for i in range(b - a)]
+            start = np.cumsum([0, *map(len, own)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [ids, texts, pa.array(length, pa.int64()), pa.ListArray.from_arrays(start, np.concatenate([*own, np.zeros(0, np.int64)]))],
+                names=["id", "text", "n", "hashes"])
+
+
 def shards(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text",
-           size: int = SHARD) -> Iterator[Index]:
-    """Indexes of at most ``size`` items each, read part by part. Null texts count as empty; items with a null id are
-    left out; of items with one id each is looked for."""
+           size: int | None = None, most_words: int | None = None) -> Iterator[Index]:
+    """Indexes of at most ``size`` items and ``most_words`` words each, read part by part. Null texts count as empty;
+    items with a null id are left out; of items with one id each is looked for.
+
+    Item count, mean and longest length and the items of each word are counted by Spark over the whole benchmark. The
+    driver holds one index at a time and the counts of its words only.
+    """
+    size, most_words = size or SHARD, most_words or SHARD_WORDS
     rows = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
                             .alias("text")).filter("id IS NOT NULL")
-    ids, texts = [], []
-    for row in rows.toLocalIterator():
-        ids.append(row["id"])
-        texts.append(row["text"])
-        if len(ids) == size:
-            yield build_index(ids, texts)
-            ids, texts = [], []
-    if ids:
-        yield build_index(ids, texts)
+    counted = rows.mapInArrow(_counted, "id long, text string, n long, hashes array<long>")
+    items, mean, longest = counted.agg(F.count(F.lit(1)), F.avg("n"), F.max("n")).first()
+    whole = Statistics(items, mean or 0.0, longest or 0)
+    frequency = None
+
+    def built(part: list) -> Index:
+        nonlocal frequency
+        if len(part) == items:  # one index, whose own counts are those of the whole
+            return build_index([r["id"] for r in part], [r["text"] for r in part])
+        if frequency is None:
+            frequency = materialise(counted.select(F.explode("hashes").alias("h")).groupBy("h").agg(
+                F.count(F.lit(1)).alias("df")), "frequency")
+        own = {h for r in part for h in r["hashes"]}
+        wanted = benchmark.sparkSession.createDataFrame(pa.table({"h": pa.array(own, pa.int64())}))
+        counts = {r["h"] & (1 << 64) - 1: r["df"] for r in frequency.join(wanted, "h").collect()}
+        return build_index([r["id"] for r in part], [r["text"] for r in part], whole, counts)
+
+    part, held = [], 0
+    for row in counted.toLocalIterator():
+        if part and (len(part) == size or held + row["n"] > most_words):
+            yield built(part)
+            part, held = [], 0
+        part.append(row)
+        held += row["n"]
+    if part:
+        yield built(part)
 
 
 def _mark(shared, names: list[str], text_at: int):

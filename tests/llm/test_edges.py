@@ -243,6 +243,26 @@ def test_shards_find_what_one_index_finds(spark):
     assert found == [3, 29]
 
 
+def test_small_indexes_find_what_one_index_finds_in_spread_copies(spark, monkeypatch):
+    items = {i: words(20 + i, i) for i in range(4)} | {9: words(120, 9)}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string").coalesce(1)
+    own = items[0].split()
+    spread = " ".join([*own[:10], *words(40, 77).split(), *own[10:]])  # longer than a passage of the short items
+    df = spark.createDataFrame([(1, spread), (2, items[9]), (3, words(60, 5))], "doc_id long, text string")
+    one = by_id(decontaminate.mark_leaks(df, bench, ["doc_id"]))
+    assert one[1]["leaked_items"] == [0] and one[2]["leaked_items"] == [9]
+    whole = {int(i): index for index in decontaminate.shards(bench) for i in index.items}
+    monkeypatch.setattr(decontaminate, "SHARD", 2)
+    assert by_id(decontaminate.mark_leaks(df, bench, ["doc_id"])) == one
+    for index in decontaminate.shards(bench, size=2):
+        for place, item in enumerate(index.items.tolist()):
+            full = whole[item]
+            impacts = lambda x, at: np.sort(x.posting_impact[x.posting_item == at])
+            assert np.allclose(impacts(index, place), impacts(full, full.items.tolist().index(item)))
+            assert index.window == full.window
+    assert [len(x.items) for x in decontaminate.shards(bench, most_words=44)] == [2, 1, 1, 1]
+
+
 # --- language
 
 def test_language_of_odd_rows(spark):
