@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlens.llm import (
-    bpe, chat_format, decontaminate, embedding_links, language, line_dedup, minmax_dedup, quality, suffix_dedup,
-    url_rules)
+    bpe, chat_format, decontaminate, embedding_links, filter_audit, language, line_dedup, minmax_dedup, quality,
+    secret_scan, suffix_dedup, token_alignment, url_rules)
 from gridlens.llm.store import written
 from gridlens.session import tune
 
@@ -236,3 +236,127 @@ SELECT page_id, host, path, rule,
 FROM r""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+_FAILS = " ".join(f"WHEN strpos(fails, o[{i}]) > 0 THEN {i}" for i in range(1, 6))
+
+
+@query("op11_filter_audit", rf"""
+WITH letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS o FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+told AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN told USING (doc_id)),
+mask AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x
+  FROM judged GROUP BY part, fails),
+gone AS (SELECT *, CASE {_FAILS} ELSE 6 END AS at_step FROM mask, orders),
+steps AS (
+  SELECT part, o, step, o[step] AS f, coalesce(sum(n) FILTER (at_step > step), 0) AS kept,
+         coalesce(sum(n) FILTER (at_step = step), 0) AS removed,
+         coalesce(sum(n) FILTER (at_step < step AND strpos(fails, o[step]) > 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (fails = o[step]), 0) AS unique_fails,
+         coalesce(sum(g) FILTER (at_step = step), 0) AS good_lost,
+         coalesce(sum(x) FILTER (at_step = step), 0) AS toxic_lost
+  FROM gone, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step) GROUP BY part, o, step)
+SELECT part, o AS filter_order, step, f AS "filter", CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM steps""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failures = filter_audit.document_failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit_filters(failures, "ABCDE", F.col("part"), {"good": F.col("good"), "toxic": F.col("toxic")},
+                                      F.col("n"))
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_alignment.align_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), groups_as="sha256")
+    return out.withColumnRenamed("groups", "groups_sha256")
+
+
+def _found(rank: int, kind: str, pattern: str, keep: str = "true", group: int = 0) -> str:
+    """DuckDB SQL: places and texts of the matches of a pattern."""
+    return f"""
+  SELECT doc_id, {rank} AS rank, '{kind}' AS kind, m[k] AS body, m[k] AS "all",
+         CAST(list_sum(list_transform(p[:k], lambda x: length(x))) + coalesce(
+           list_sum(list_transform(m[:k - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS k FROM (
+    SELECT doc_id, string_split_regex(t, '{pattern}') AS p, regexp_extract_all(t, '{pattern}') AS m,
+           regexp_extract_all(t, '{pattern}', {group}) AS g FROM d)) WHERE {keep}"""
+
+
+def _by_entropy(rank: int, c: secret_scan.CharacterClass) -> str:
+    """DuckDB SQL: the same for places that lie in a window of enough bits."""
+    w, count = c.width, f"({c.width} - length(replace(w, c, '')))"
+    some = " AND ".join(f"length(regexp_replace(w, '[^{x}]', '', 'g')) >= {least}" for x, least in (
+        ("0-9", c.digits), ("A-Za-z", c.letters), ("A-Z", c.capitals), ("a-z", c.small)))
+    return f"""
+  SELECT doc_id, {rank} AS rank, '{c.kind}' AS kind, substr("all", min(i) + 1, max(i) + {w} - min(i)) AS body, "all",
+         s + min(i) AS s
+  FROM (
+    SELECT *, sum(CASE WHEN i <= before + {w} THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, s ORDER BY i) AS run
+    FROM (
+      SELECT *, lag(i) OVER (PARTITION BY doc_id, s ORDER BY i) AS before
+      FROM (SELECT *, substr("all", i + 1, {w}) AS w
+            FROM (SELECT *, unnest(range(0, length("all") - {w - 1})) AS i
+                  FROM ({_found(rank, c.kind, f"[{c.characters}]{{{w},}}")})))
+      WHERE log2({w}) - list_sum(list_transform(list_distinct(string_split(w, '')),
+              lambda c: {count} * log2({count}))) / {w} >= {c.bits} AND {some}))
+  GROUP BY doc_id, s, "all", run"""
+
+
+_EITHER = "(" + "|".join("".join(f"[{x.upper()}{x}]" if x.isalpha() else "_?" for x in word) for word in (
+    "password", "passwd", "secret", "token", "api_key")) + ")"
+_ASSIGN = _EITHER + r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_ALLOWED = "|".join(f"({p})" for p in secret_scan.ALLOWED_PATTERNS)
+_TEXTS = ", ".join(f"'{t}'" for t in secret_scan.ALLOWED_TEXTS)
+
+
+@query("op13_secret_scan", f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS ({_found(0, "assign", _ASSIGN, "length(g[k]) >= 6", 2)}
+  UNION ALL {_found(1, "access", "AKIA[A-Z0-9]+", "length(m[k]) >= 20")}
+  UNION ALL {_found(2, "hex", "[0-9a-f]+", "length(m[k]) >= 24")}),
+more AS (
+  SELECT * FROM ({" UNION ALL ".join(_by_entropy(3 + i, c) for i, c in enumerate(secret_scan.CLASSES))})
+  WHERE NOT regexp_full_match("all", '{_ALLOWED}') AND len(list_filter([{_TEXTS}], lambda x: strpos(x, body) > 0)) = 0),
+spot AS (SELECT *, s + length(body) AS e FROM (SELECT * FROM base UNION ALL SELECT * FROM more)),
+span AS (
+  SELECT doc_id, rank, s, e, kind || ':' || s || ':' || e AS x FROM spot b
+  WHERE rank < 3 OR NOT EXISTS (
+    SELECT 1 FROM spot o WHERE o.doc_id = b.doc_id AND o.rank < b.rank AND o.s <= b.s AND b.e <= o.e))
+SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+       count(*) FILTER (rank = 2) AS n_hex,
+       sha256(coalesce(string_agg(x, ',' ORDER BY s, rank, e) FILTER (rank < 3), '')) AS base_sha256,
+       coalesce(string_agg(x, ',' ORDER BY s, rank, e), '') AS spans
+FROM documents LEFT JOIN span USING (doc_id) GROUP BY doc_id""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan_secrets(table(spark, sf_dir, "documents"), ["doc_id"])
+    rules = [r[0] for r in secret_scan.RULES]
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"),
+                                                                     s["end"].cast("string"))), ",")
+
+    def of_kind(*kinds):
+        return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+
+    return out.select("doc_id", *[F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in rules],
+                      F.sha2(joined(of_kind(*rules)), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
