@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -255,6 +256,7 @@ def mark_leaks(df: DataFrame, benchmark: DataFrame, columns: Sequence[str], text
                            T.StructField("leaked_items", T.ArrayType(T.LongType()))])
     out = df.select(*[F.col(f"`{c}`") for c in held], F.array().cast("array<bigint>").alias("leaked_items"))
     for index in shards(benchmark):
-        shared = spark.sparkContext.broadcast(index)
+        # Of a class of the standard library: workers need no copy of this package to read it.
+        shared = spark.sparkContext.broadcast(SimpleNamespace(**vars(index)))
         out = out.mapInArrow(_mark(shared, schema.fieldNames(), held.index(text_col)), schema)
     return out.select(*[F.col(f"`{c}`") for c in columns], "leaked_items")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -180,7 +181,8 @@ def evidence(df: DataFrame, model: Model, host: Column, path: Column, columns: S
     """``columns`` of ``df`` with ``site_host``, ``site_path`` and ``evidence``: the probability, by the text alone,
     that it is neither junk nor toxic (0 without any word). Null hosts and paths are those of the empty name."""
     spark = prepare(df.sparkSession)
-    shared = spark.sparkContext.broadcast(model)
+    # Of a class of the standard library: workers need no copy of this package to read it.
+    shared = spark.sparkContext.broadcast(SimpleNamespace(**vars(model)))
     columns = [c for c in columns if c not in ("site_host", "site_path", "evidence")]
     empty = F.lit("")
     rows = df.select(F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(f"carry{i}") for i, c in enumerate(columns)],
