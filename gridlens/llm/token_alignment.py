@@ -45,7 +45,9 @@ class Tokenizers:
             self.a_bytes[i] = raw
         self.b_bytes = [self._raw(i) for i in range(self.pieces.get_piece_size())]
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in x], np.int64) for x in (self.a_bytes, self.b_bytes))
-        self.a_names, self.b_names = ([str(i) for i in range(len(x))] for x in (self.a_bytes, self.b_bytes))
+        # Each id with what may follow it in the text of the groups.
+        ids = range(max(size, len(self.b_bytes)))
+        self.names = np.array([f"{i}{mark}".encode() for mark in (",", "|", ";") for i in ids], object)
 
     def _raw(self, i: int) -> bytes:
         piece = self.pieces.id_to_piece(i)
@@ -73,45 +75,44 @@ def tokenizers(files: Broadcast) -> Tokenizers:
     return held["tokenizers"]
 
 
-def align(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
+def align(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """From the byte sizes of two tokenizations of the same bytes: for each group the index after its last token in
     each list; and the index in each list of every link, in order."""
     a_ends, b_ends = np.cumsum(a_sizes), np.cumsum(b_sizes)
     a_index = dict(zip(a_ends.tolist(), range(1, len(a_ends) + 1)))
     b_index = dict(zip(b_ends.tolist(), range(1, len(b_ends) + 1)))
     common = sorted(a_index.keys() & b_index.keys())
-    groups = [(a_index[e], b_index[e]) for e in common]
-    left, right = [], []
-    a0 = b0 = 0
-    for a1, b1 in groups:
-        if a1 - a0 == 1:  # one token on a side: it overlaps all of the other
-            left += [a0] * (b1 - b0)
-            right += range(b0, b1)
-        elif b1 - b0 == 1:
-            left += range(a0, a1)
-            right += [b0] * (a1 - a0)
-        else:  # no end is shared inside: at each end, the list whose token ends steps on
-            i, j = a0, b0
-            while i < a1 and j < b1:
-                left.append(i)
-                right.append(j)
-                if a_ends[i] < b_ends[j]:
-                    i += 1
-                elif a_ends[i] > b_ends[j]:
-                    j += 1
-                else:
-                    i, j = i + 1, j + 1
-        a0, b0 = a1, b1
-    return groups, np.array(left, np.int64), np.array(right, np.int64)
-
-
-def group_text(a: Sequence[str], b: Sequence[str], groups: Sequence[tuple[int, int]]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
-    out, a0, b0 = [], 0, 0
-    for a1, b1 in groups:
-        out.append(f"{a[a0]}|{b[b0]}" if a1 - a0 == 1 == b1 - b0 else f"{','.join(a[a0:a1])}|{','.join(b[b0:b1])}")
-        a0, b0 = a1, b1
-    return ";".join(out)
+    a_upto, b_upto = (np.fromiter(map(x.__getitem__, common), np.int64, len(common)) for x in (a_index, b_index))
+    a_n, b_n = np.diff(a_upto, prepend=0), np.diff(b_upto, prepend=0)
+    # No end is shared inside a slice, so each of its tokens but the first begins a new link. Where a side has one
+    # token, that is linked with all of the other side.
+    count = a_n + b_n - 1
+    first = np.cumsum(count) - count
+    step = np.arange(count.sum()) - np.repeat(first, count)
+    left = np.repeat(a_upto - a_n, count) + np.minimum(step, np.repeat(a_n - 1, count))
+    right = np.repeat(b_upto - b_n, count) + np.minimum(step, np.repeat(b_n - 1, count))
+    for g in np.flatnonzero((a_n > 1) & (b_n > 1)).tolist():  # the side whose token ends first steps on
+        i, j, k = int(a_upto[g] - a_n[g]), int(b_upto[g] - b_n[g]), int(first[g])
+        for k in range(k, k + int(count[g])):
+            left[k], right[k] = i, j
+            if a_ends[i] < b_ends[j]:
+                i += 1
+            else:
+                j += 1
+    return a_upto, b_upto, left, right
+
+
+def group_text(names: np.ndarray, a: np.ndarray, b: np.ndarray, a_upto: np.ndarray, b_upto: np.ndarray) -> bytes:
+    """``a1,a2|b1;a3|b2,b3``: the ids of each group. ``names`` holds every id before a comma, a bar, a semicolon."""
+    ids = len(names) // 3
+    a_n, b_n = np.diff(a_upto, prepend=0), np.diff(b_upto, prepend=0)
+    at = np.empty(len(a) + len(b), np.int64)
+    own_a, own_b = a.copy(), b.copy()
+    own_a[a_upto - 1] += ids
+    own_b[b_upto - 1] += 2 * ids
+    at[np.arange(len(a)) + np.repeat(b_upto - b_n, a_n)] = own_a
+    at[np.arange(len(b)) + np.repeat(a_upto, b_n)] = own_b
+    return b"".join(names[at].tolist())[:-1]
 
 
 def _align(files: Broadcast, digest: bool, names: list[str], wide: bool):
@@ -121,10 +122,10 @@ def _align(files: Broadcast, digest: bool, names: list[str], wide: bool):
         if not a:
             return 0, 0, 0, 0, "", [], []
         x, y = np.array(a), np.array(b)
-        groups, left, right = align(run.a_sizes[x], run.b_sizes[y])
-        text = group_text([run.a_names[i] for i in a], [run.b_names[i] for i in b], groups)
+        a_upto, b_upto, left, right = align(run.a_sizes[x], run.b_sizes[y])
+        text = group_text(run.names, x, y, a_upto, b_upto)
         pairs, times = np.unique(x[left] * len(run.b_bytes) + y[right], return_counts=True)
-        return (len(a), len(b), len(groups), len(left), sha256(text.encode()).hexdigest() if digest else text, pairs, times)
+        return (len(a), len(b), len(a_upto), len(left), sha256(text).hexdigest() if digest else text.decode(), pairs, times)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = tokenizers(files)
