@@ -53,8 +53,19 @@ def above(df: DataFrame, column: str, floor: float) -> DataFrame:
 
 
 def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    present = [c for c in subset if c in df.columns] if subset else None
-    return df.dropna(subset=present)
+    """Rows without a null or NaN in the columns.
+
+    One condition a column: of a single one over all columns, the optimizer derives a copy for every combination of
+    their later names.
+    """
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    whole = F.lit(True)
+    for c in dict.fromkeys(subset or kinds):
+        if c in kinds:
+            whole = whole & F.col(f"`{c}`").isNotNull()
+            if kinds[c] in ("double", "float"):
+                whole = whole & ~F.isnan(f"`{c}`")
+    return df.where(whole)
 
 
 def select_available(df: DataFrame, wanted: Iterable[str], keys: Sequence[str] = ()) -> DataFrame:

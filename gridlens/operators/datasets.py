@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +14,7 @@ from gridlens.operators.aggregates import dedupe_mean
 from gridlens.operators.ordered import (
     SLICE_ROWS, interpolate_numbered, lags, number_rows, over_slices, past_rolling_mean,
     positional, renumber, rolling_mean, rolling_mean_full)
+from gridlens.session import materialise
 
 PLAUSIBLE_MW = 10_000
 SEQ_LEN = 24
@@ -27,9 +26,11 @@ def engineer_load(df: DataFrame, min_load_mw: float = 20_000, series: Sequence[s
                   order: Sequence[str] = ("ts",), size: int = SLICE_ROWS) -> DataFrame:
     """Load features: repair, filter, calendar, lags by position, interactions."""
     repaired = df.withColumn("load_mw", zero_as_missing(nan_as_null("load_mw")))
-    numbered = number_rows(repaired, series, order, rn="_rn")
+    # Written twice, before and after the gaps are filled: edges and counts of slices are taken
+    # from the written rows, and no plan runs the steps before them again.
+    numbered = materialise(number_rows(repaired, series, order, rn="_rn"), "numbered")
     filled = interpolate_numbered(numbered, series, "load_mw", "_rn", size)
-    kept = renumber(above(filled, "load_mw", PLAUSIBLE_MW), series, "_rn", size)
+    kept = renumber(materialise(above(filled, "load_mw", PLAUSIBLE_MW), "filled"), series, "_rn", size)
     dated = with_cyclic(calendar(kept), hour=("hour", 24), dow=("day_of_week", 7), month=("month", 12))
     lagged = over_slices(
         dated, series, "_rn",
@@ -215,21 +216,28 @@ Graph = Mapping[str, Mapping[str, float]]
 def correlation_graph(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Absolute correlations of complete rows as edges ``(i, j, w)``, diagonal 1.
 
-    One matrix of products per task, whatever the number of columns; a constant
-    column, found by max = min, has no edges.
+    Two aggregates without a group: means, then the sums of products about them, one number a
+    pair. A constant column, found by max = min, has no edges.
     """
-    complete = drop_missing(df.select(*columns))
-    rows = complete.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    spread = rows.agg(*[F.coalesce(F.max(c) != F.min(c), F.lit(False)) for c in columns]).first()
-    varying = [c for c, moves in zip(columns, spread) if moves]
-    weight = {}
-    if varying:
-        packed = VectorAssembler(inputCols=varying, outputCol="_v").transform(rows).select("_v")
-        matrix = Correlation.corr(packed, "_v").first()[0].toArray()
-        weight = {(a, b): min(1.0, abs(float(matrix[i, j])))
-                  for i, a in enumerate(varying) for j, b in enumerate(varying)}
-    edges = [(a, b, 1.0 if a == b else weight.get((a, b), 0.0)) for a in columns for b in columns]
-    return complete.sparkSession.createDataFrame(edges, "i string, j string, w double")
+    columns = list(columns)
+    rows = drop_missing(df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)]))
+    names = rows.columns
+    first = rows.agg(*[F.avg(c) for c in names], *[F.coalesce(F.max(c) != F.min(c), F.lit(False)) for c in names]).first()
+    mean, moves = first[: len(names)], first[len(names) :]
+    varying = [i for i, m in enumerate(moves) if m]
+    off = {i: F.col(names[i]) - F.lit(mean[i]) for i in varying}
+    pairs = [(i, j) for k, i in enumerate(varying) for j in varying[k:]]
+    product = dict(zip(pairs, rows.agg(*[F.sum(off[i] * off[j]) for i, j in pairs]).first())) if pairs else {}
+
+    def weight(i: int, j: int) -> float:
+        if i == j:
+            return 1.0
+        i, j = min(i, j), max(i, j)
+        spread = (product.get((i, i)) or 0.0) ** 0.5 * (product.get((j, j)) or 0.0) ** 0.5
+        return min(1.0, abs(product[i, j]) / spread) if (i, j) in product and spread > 0 else 0.0
+
+    edges = [(a, b, weight(i, j)) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(edges, "i string, j string, w double")
 
 
 def collect_graph(edges: DataFrame) -> dict[str, dict[str, float]]:

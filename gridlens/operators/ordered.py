@@ -14,10 +14,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from gridlens.session import materialise
+
 SLICE_ROWS = 32_768
 
-# Rows that a block of `number_rows` holds where the densest series is evenly spread, and
-# the blocks or slices whose counts are summed before any run over them.
+# Rows that a block of `number_rows` holds where the densest series is evenly spread; a block
+# of more than twice as many is split. Blocks or slices whose counts are summed before any
+# run over them.
 BLOCK_ROWS = 16_384
 GROUP_KEYS = 1024
 
@@ -31,14 +34,15 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def running_before(counts: DataFrame, series: Sequence[str], key: str, n: str, out: str,
+def running_before(counts: DataFrame, series: Sequence[str], keys: str | Sequence[str], n: str, out: str,
                    total: str | None = None) -> DataFrame:
-    """Sum of ``n`` over the rows of the same series with a smaller whole-number ``key``.
+    """Sum of ``n`` over the rows of the same series with smaller ``keys``, the first a whole number.
 
     In two levels: keys are summed in groups of ``GROUP_KEYS`` and only the groups are
     run through in one go, so that a single series, or none, is no bottleneck.
     """
-    grouped = counts.withColumn("_up", F.floor(F.col(key) / GROUP_KEYS))
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    grouped = counts.withColumn("_up", F.floor(F.col(keys[0]) / GROUP_KEYS))
     groups = grouped.groupBy(*series, "_up").agg(F.sum(n).alias("_n_up"))
     earlier = (Window.unboundedPreceding, -1)
     over_groups = Window.partitionBy(*series).orderBy("_up").rowsBetween(*earlier)
@@ -46,30 +50,88 @@ def running_before(counts: DataFrame, series: Sequence[str], key: str, n: str, o
     if total:
         columns[total] = F.sum("_n_up").over(Window.partitionBy(*series))
     groups = groups.withColumns(columns).drop("_n_up")
-    inside = Window.partitionBy(*series, "_up").orderBy(key).rowsBetween(*earlier)
+    inside = Window.partitionBy(*series, "_up").orderBy(*keys).rowsBetween(*earlier)
     return (join_on(grouped, groups, [*series, "_up"])
             .withColumn(out, F.col("_before_up") + F.coalesce(F.sum(n).over(inside), F.lit(0)))
             .drop("_up", "_before_up"))
 
 
+def carried(edges: DataFrame, series: Sequence[str], key: str, value: str, out: str, back: bool = True) -> DataFrame:
+    """The nearest ``value`` that is not null among the rows of the same series with a smaller ``key``
+    (``back``), or with a greater one. In two levels, as `running_before`."""
+    grouped = edges.withColumn("_up", F.floor(F.col(key) / GROUP_KEYS))
+    way = (lambda c: F.col(c)) if back else (lambda c: F.col(c).desc())
+    nearest = F.max_by if back else F.min_by
+    known = F.when(F.col(value).isNotNull(), F.col(key))
+    groups = grouped.groupBy(*series, "_up").agg(nearest(value, known).alias("_v"))
+    # Looking ahead is looking back in reverse order: Spark extends a frame that grows
+    # from the start, but rebuilds one that runs to the end for every row.
+    before = (Window.unboundedPreceding, -1)
+    over_groups = Window.partitionBy(*series).orderBy(way("_up")).rowsBetween(*before)
+    groups = groups.select(*series, "_up", F.last("_v", ignorenulls=True).over(over_groups).alias("_from_up"))
+    inside = Window.partitionBy(*series, "_up").orderBy(way(key)).rowsBetween(*before)
+    near = F.last(value, ignorenulls=True).over(inside)
+    return (join_on(grouped, groups, [*series, "_up"]).withColumn(out, F.coalesce(near, "_from_up"))
+            .drop("_up", "_from_up"))
+
+
 def _whole(df: DataFrame, column: str) -> Column:
-    """A time or number as a double that grows with it; nulls first, as Spark sorts them."""
+    """A time, number or text as a double that does not fall where it grows; null where it is null."""
     kind = df.schema[column].dataType.typeName()
     value = F.col(column)
     if kind in ("date", "timestamp", "timestamp_ntz"):
         value = F.unix_micros(value.cast("timestamp"))
+    if kind == "string":  # its first six bytes
+        value = F.conv(F.rpad(F.substring(F.hex(F.encode(value, "UTF-8")), 1, 12), 12, "0"), 16, 10)
     return value.cast("double")
 
 
+def _split_full(rows: DataFrame, series: Sequence[str], order: Sequence[str], keys: list[str]
+                ) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Rows with the keys of their block, and the written counts of the blocks.
+
+    Blocks of more than twice ``BLOCK_ROWS`` rows are cut between their least and greatest value of the first order
+    column that is not the same throughout, again and again until none is left or its rows do not differ. Every block
+    to be cut is one row of a written table, which Spark broadcasts where its size allows.
+    """
+    while True:
+        spread = [x for i, c in enumerate(order) for x in (
+            F.min(c).alias(f"_lo{i}"), F.max(c).alias(f"_hi{i}"), F.count(c).alias(f"_k{i}"),
+            F.min(_whole(rows, c)).alias(f"_a{i}"), F.max(_whole(rows, c)).alias(f"_b{i}"))]
+        counts = materialise(rows.groupBy(*series, *keys).agg(F.count(F.lit(1)).alias("_n"), *spread), "blocks")
+        # The first order column that varies, a null being a value of its own.
+        varies = [F.coalesce(F.col(f"_lo{i}") < F.col(f"_hi{i}"), F.lit(False))
+                  | ((F.col(f"_k{i}") > 0) & (F.col(f"_k{i}") < F.col("_n"))) for i in range(len(order))]
+        first = F.coalesce(*[F.when(v, F.lit(i)) for i, v in enumerate(varies)])
+        pick = lambda name: F.coalesce(*[F.when(F.col("_by") == i, F.col(f"{name}{i}")) for i in range(len(order))])
+        parts = F.ceil(F.col("_n") / F.lit(BLOCK_ROWS)) * 2
+        full = counts.where(F.col("_n") > 2 * BLOCK_ROWS).withColumn("_by", first).where("_by IS NOT NULL").select(
+            *series, *keys, "_by", pick("_a").alias("_from"), pick("_b").alias("_to"), parts.alias("_parts"),
+            (pick("_k") < F.col("_n")).alias("_nulls"))
+        # Values that differ but not as doubles cannot be told apart by width.
+        full = full.where("_from < _to OR _nulls")
+        if full.isEmpty():
+            return rows, counts.select(*series, *keys, "_n"), keys
+        value = F.coalesce(*[F.when(F.col("_by") == i, _whole(rows, c)) for i, c in enumerate(order)])
+        share = (value - F.col("_from")) / F.when(F.col("_to") > F.col("_from"), F.col("_to") - F.col("_from")).otherwise(1.0)
+        part = F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)
+        key = f"_c{len(keys)}"
+        cut = F.when(F.col("_by").isNull(), 0).when(value.isNull(), -1).otherwise(part).cast("long")
+        rows = join_on(rows, full, [*series, *keys], "left").withColumn(key, cut).drop(
+            "_by", "_from", "_to", "_parts", "_nulls")
+        keys = [*keys, key]
+
+
 def number_rows(df: DataFrame, series: Sequence[str], order: Sequence[str],
                 rn: str = "rn", total: str | None = None) -> DataFrame:
     """Zero-based position of each row in its series; ``order`` must be unique in it.
 
     Rows are cut into blocks of equal width along the first order column, a time or a
     number. The width follows from the densest series, so that a hot series is spread
-    over many tasks. A row's block depends on the row alone: a task that runs again
-    gives the same positions, and nothing has to be written. The rows before each
-    block travel as one marker row at its head, so that the rows are shuffled once.
+    over many tasks; where rows crowd, at a burst or at one timestamp, blocks are cut
+    further, so that none holds more than twice ``BLOCK_ROWS`` rows that differ. The
+    bounds are written: a task that runs again gives the same positions. The rows before
+    each block travel as one marker row at its head, so that the rows are shuffled once.
     """
     at = _whole(df, order[0])
     spread = (df.groupBy(*series).agg(F.count(at).alias("n"), F.min(at).alias("lo"), F.max(at).alias("hi"))
@@ -78,10 +140,9 @@ def number_rows(df: DataFrame, series: Sequence[str], order: Sequence[str],
     # However dense a series, blocks are numbered within a long.
     width = max(gap * BLOCK_ROWS, (end - start) / 1e12) or 1.0
     block = F.coalesce(F.floor((at - F.lit(start)) / F.lit(width)), F.lit(-1))
-    blocked = df.withColumn("_block", block)
-    counts = blocked.groupBy(*series, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    heads = running_before(counts, series, "_block", "_n", "_before", total).drop("_n")
-    inside = Window.partitionBy(*series, "_block").orderBy("_row", *order)
+    blocked, counts, keys = _split_full(df.withColumn("_c0", block), series, order, ["_c0"])
+    heads = running_before(counts, series, keys, "_n", "_before", total).drop("_n")
+    inside = Window.partitionBy(*series, *keys).orderBy("_row", *order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
     marked = blocked.withColumn("_row", F.lit(1)).unionByName(heads.withColumn("_row", F.lit(0)), allowMissingColumns=True)
     columns = {"_rank": F.row_number().over(inside), "_base": F.max("_before").over(so_far)}
@@ -89,7 +150,7 @@ def number_rows(df: DataFrame, series: Sequence[str], order: Sequence[str],
         columns[total] = F.max(total).over(so_far)
     return (marked.withColumns(columns).where("_row = 1")
             .withColumn(rn, F.col("_base") + F.col("_rank") - 2)
-            .drop("_block", "_row", "_rank", "_base", "_before"))
+            .drop(*keys, "_row", "_rank", "_base", "_before"))
 
 
 def with_slice(df: DataFrame, rn: str = "rn", size: int = SLICE_ROWS) -> DataFrame:
@@ -201,15 +262,8 @@ def interpolate_numbered(df: DataFrame, series: Sequence[str], column: str,
     known = F.when(F.col(column).isNotNull(), F.struct(F.col(rn).alias("at"), F.col(column).alias("v")))
     edges = sliced.groupBy(*series, "_slice").agg(
         F.min(known).alias("_lo"), F.max(known).alias("_hi"))
-    # Looking ahead is looking back in reverse order: Spark extends a frame that grows
-    # from the start, but rebuilds one that runs to the end for every row.
-    upward = Window.partitionBy(*series).orderBy("_slice")
-    downward = Window.partitionBy(*series).orderBy(F.col("_slice").desc())
-    before = (Window.unboundedPreceding, -1)
-    anchors = edges.select(
-        *series, "_slice",
-        F.last("_hi", ignorenulls=True).over(upward.rowsBetween(*before)).alias("_from"),
-        F.last("_lo", ignorenulls=True).over(downward.rowsBetween(*before)).alias("_to"))
+    anchors = carried(edges, series, "_slice", "_hi", "_from")
+    anchors = carried(anchors, series, "_slice", "_lo", "_to", back=False)
     anchors = anchors.select(*series, "_slice", F.explode(F.array("_from", "_to")).alias("_anchor"))
     anchors = anchors.where(F.col("_anchor").isNotNull()).select(
         *series, "_slice", F.col("_anchor.at").alias(rn), F.col("_anchor.v").alias(column),
@@ -232,7 +286,8 @@ def interpolate_numbered(df: DataFrame, series: Sequence[str], column: str,
 
 def interpolate_linear(df: DataFrame, series: Sequence[str], order: Sequence[str],
                        column: str, size: int = SLICE_ROWS) -> DataFrame:
-    numbered = number_rows(df, series, order, rn="_rn")
+    # Written, since the edges of slices and the rows are both read from it.
+    numbered = materialise(number_rows(df, series, order, rn="_rn"), "numbered")
     return interpolate_numbered(numbered, series, column, "_rn", size).drop("_rn")
 
 

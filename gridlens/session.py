@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 _own_roots: dict[str, tempfile.TemporaryDirectory] = {}
 #: Intermediate tables that this process has written, each with what deletes it.
 _written: dict[str, tuple] = {}
+#: Those that the innermost `scratch` of a thread has seen.
+_scope = threading.local()
 
 
 def build_session(app: str = "gridlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,6 +56,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     path = f"{checkpoint_root(spark)}/gridlens/{label}-{uuid.uuid4().hex}"
     sc = spark.sparkContext
     _written[path] = (sc._jvm.org.apache.hadoop.fs.Path, sc._jsc.hadoopConfiguration())
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
     return path
 
 
@@ -77,6 +82,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(at.getFileSystem(sc._jsc.hadoopConfiguration()).exists(at))
 
 
+@contextlib.contextmanager
+def scratch():
+    """Delete, at the end, the intermediate tables that this thread wrote inside; what was made of them must be written."""
+    outer = getattr(_scope, "paths", None)
+    _scope.paths = []
+    try:
+        yield
+    finally:
+        release(_scope.paths)
+        _scope.paths = outer
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the written table.
 

@@ -119,11 +119,15 @@ def test_no_single_task_window_over_raw_rows(views):
     assert lag_lines and all("_slice" in line for line in lag_lines)
 
 
-def test_positions_need_no_written_copy(views, monkeypatch):
+def test_positions_need_no_written_copy_of_the_rows(views, spark):
+    """What is written is one row a block."""
     from gridlens import session
     before = set(session._written)
     out = ordered.number_rows(views.prices, ["settlement_point", "market_type"], ["ts", "event_id"])
-    assert out.count() and set(session._written) == before
+    made = [path for path in session._written if path not in before]
+    assert out.count() and len(made) == 1
+    assert spark.read.parquet(made[0]).agg(F.sum("_n")).first()[0] == out.count()
+    assert spark.read.parquet(made[0]).count() <= views.prices.select("settlement_point", "market_type").distinct().count() * 2
 
 
 def test_positions_of_bursts_nulls_and_one_time(rows, monkeypatch):
@@ -139,3 +143,56 @@ def test_positions_of_bursts_nulls_and_one_time(rows, monkeypatch):
         assert [r[0] for r in own] == list(range(len(own))) and [r[1:] for r in own] == sorted(r[1:] for r in own)
         assert {r.n for r in got if r.s == s} == {len(own)}
     assert ordered.number_rows(df.limit(0), [], ["t"]).count() == 0
+
+
+def _blocks_of(monkeypatch, df, series, order):
+    """Positions, and the rows of each block that a window orders at once."""
+    seen = {}
+    whole = ordered._split_full
+
+    def spy(*args):
+        rows, counts, keys = whole(*args)
+        seen["most"] = counts.agg(F.max("_n")).first()[0]
+        return rows, counts, keys
+    monkeypatch.setattr(ordered, "_split_full", spy)
+    return ordered.number_rows(df, series, order, total="n"), seen
+
+
+@pytest.mark.parametrize("series", [[], ["s"]])
+def test_bursts_and_equal_times_are_split(spark, monkeypatch, series):
+    """A third of the rows in one hour of a year, another third at one timestamp."""
+    monkeypatch.setattr(ordered, "BLOCK_ROWS", 100)
+    at = (F.when(F.col("id") % 3 == 0, F.col("id") * 3600).when(F.col("id") % 3 == 1, 7_000_000 + F.col("id") % 3600)
+          .otherwise(9_000_000))
+    rows = spark.range(9000).select(F.timestamp_seconds(at).alias("ts"), F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("k"),
+                                    (F.col("id") % 2).cast("string").alias("s"), "id")
+    numbered, seen = _blocks_of(monkeypatch, rows, series, ["ts", "k"])
+    plain = Window.partitionBy(*series).orderBy("ts", "k")
+    assert numbered.withColumn("e", F.row_number().over(plain) - 1).where("e <> rn").isEmpty()
+    assert numbered.count() == 9000 and seen["most"] <= 200
+
+
+def test_blocks_split_by_nulls_text_and_not_by_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "BLOCK_ROWS", 50)
+    rows = spark.range(1200).select(
+        F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise(F.lit(5.0)).alias("t"),
+        F.when(F.col("id") % 4 == 1, F.lit(None)).otherwise(F.concat(F.lit("é"), F.hex("id"))).alias("w"), "id")
+    numbered, seen = _blocks_of(monkeypatch, rows, [], ["t", "w", "id"])
+    plain = Window.orderBy("t", "w", "id")
+    assert numbered.withColumn("e", F.row_number().over(plain) - 1).where("e <> rn").isEmpty() and seen["most"] <= 100
+    same = spark.range(300).select(F.lit(1.0).alias("t"))
+    assert sorted(r.rn for r in ordered.number_rows(same, [], ["t"]).collect()) == list(range(300))
+
+
+def test_known_values_are_carried_over_groups_of_slices(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "GROUP_KEYS", 4)
+    rng = np.random.default_rng(1)
+    values = [float(v) if v % 5 == 0 else None for v in rng.integers(0, 40, 200)]
+    df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)] + [("b", 3, None), ("b", 9, 1.0)],
+                               "s string, i int, v double")
+    for back in (True, False):
+        got = {(r.s, r.i): r.o for r in ordered.carried(df, ["s"], "i", "v", "o", back).collect()}
+        for i in range(200):
+            near = values[:i][::-1] if back else values[i + 1 :]
+            assert got["a", i] == next((v for v in near if v is not None), None)
+        assert got["b", 3] == (None if back else 1.0) and got["b", 9] is None
