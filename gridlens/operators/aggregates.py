@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.functions.scalars import above, or_zero
+from gridlens.functions.scalars import above, nan_as_null, or_zero
 
 
 def price_rollup(prices: DataFrame, bucket: str = "hour") -> DataFrame:
@@ -140,3 +140,24 @@ def readiness(df: DataFrame, series: Sequence[str], value: str) -> DataFrame:
     return counted.withColumns(gates)
 
 
+
+
+# Features and rows that a price model needs.
+LEAST_FEATURES, LEAST_FEATURE_ROWS = 3, 72
+
+
+def feature_gate(df: DataFrame, series: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Per series, how many of the wanted features are there with at least one value, how many rows have all
+    of those, and whether both are enough to fit on. A feature that the table lacks is not there."""
+    present = [c for c in dict.fromkeys(features) if c in df.columns]
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    gone = [(nan_as_null(c) if kinds[c] in ("double", "float") else F.col(c)).isNull() for c in present]
+    pattern = sum((g.cast("long") * (1 << i) for i, g in enumerate(gone)), F.lit(0).cast("long"))
+    patterns = df.groupBy(*series, pattern.alias("_gone")).agg(F.count(F.lit(1)).alias("_n"))
+    # A feature without any value in a series is left out there, so its nulls make no row incomplete.
+    seen = patterns.groupBy(*series).agg(F.bit_and("_gone").alias("_never"),
+                                         F.collect_list(F.struct("_gone", "_n")).alias("_rows"))
+    whole = F.filter("_rows", lambda r: r["_gone"].bitwiseAND(F.bitwise_not("_never")) == 0)
+    out = seen.select(*series, (F.lit(len(present)) - F.bit_count("_never")).cast("long").alias("n_features"),
+                      F.aggregate(whole, F.lit(0).cast("long"), lambda total, r: total + r["_n"]).alias("n_rows"))
+    return out.withColumn("ready", (F.col("n_features") >= LEAST_FEATURES) & (F.col("n_rows") >= LEAST_FEATURE_ROWS))

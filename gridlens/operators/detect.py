@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlens.functions.scalars import capacity_text, frequency_text, or_zero
+from gridlens.operators import blocks
+from gridlens.operators.blocks import over_windows
 from gridlens.operators.ordered import exact_percentile
 from gridlens.session import materialise
 
@@ -97,6 +99,96 @@ def fit_reconstruction(windows: DataFrame, key: Sequence[str] = ("window_ts",),
     return Reconstruction(mean, components[:, :chosen], found)
 
 
+def hold_out_draw(key: Sequence[str]) -> Column:
+    """A number below a million that decides, by the row's key alone, whether its window is held out."""
+    return F.pmod(F.xxhash64(*key), F.lit(1_000_000)).cast("double")
+
+
+def fit_reconstruction_blocks(packed: blocks.Blocks, features: Sequence[str], draw: str, ks: Sequence[int] = (4, 8, 16),
+                              tolerance: float = 1.05, hold_out: float = HOLD_OUT) -> Reconstruction:
+    """As `fit_reconstruction`, from packed rows: windows end at the row whose ``draw`` holds them out or not.
+
+    Products of all windows come from rows a lag apart, those of the windows held out are taken off.
+    """
+    length, at, by = packed.seq_len, packed.at(features), packed.columns.index(draw)
+    wide = length * len(at)
+    sums = blocks.pooled(packed, features, None, 0)
+    if sums.n < MIN_WINDOWS:
+        raise ValueError(f"need at least {MIN_WINDOWS} windows, got {sums.n}")
+    limit = int(max(hold_out, HOLD_OUT_ROWS / sums.n) * 1_000_000)
+    moved = np.tile(sums.moved[: len(at)], length)
+
+    def held(b: blocks.Block) -> np.ndarray:
+        place = np.arange(max(b.home, length - 1), len(b.z))
+        return place[b.z[place, by] < limit]
+
+    def flat(b: blocks.Block, place: np.ndarray) -> np.ndarray:
+        return b.z[:, at][place[:, None] + np.arange(1 - length, 1)].reshape(len(place), wide)
+
+    def products(b: blocks.Block) -> np.ndarray:
+        out = np.zeros((wide + 1, wide + 1))
+        place = held(b)
+        for some in np.array_split(place, len(place) // 1024 + 1):
+            x = np.column_stack([np.ones(len(some)), flat(b, some) - moved])
+            out += x.T @ x
+        return out
+
+    off = blocks.total_matrix(packed, products, wide + 1)
+    n = sums.n - off[0, 0]
+    column = sums.column - off[0, 1:]
+    mean = moved + column / n
+    covariance = (sums.product - off[1:, 1:] - np.outer(column, column) / n) / max(n - 1, 1)
+    ks = sorted({min(k, wide) for k in ks})
+    components = np.linalg.eigh(covariance)[1][:, ::-1][:, : ks[-1]]
+    errors = _block_errors(length, at, mean, components, ks)
+
+    def held_errors(b: blocks.Block) -> np.ndarray:
+        place, values = errors(b)
+        out = b.z[place, by] < limit
+        return np.concatenate([[out.sum()], values[out].sum(0)])
+
+    found = blocks.total(packed, held_errors)
+    by_k = {k: float(found[1 + i] / found[0]) if found[0] else float("inf") for i, k in enumerate(ks)}
+    best = min(by_k.values())
+    chosen = next(k for k in ks if by_k[k] <= best * tolerance or by_k[k] == best)
+    return Reconstruction(mean, components[:, :chosen], by_k)
+
+
+def _block_errors(length: int, at: Sequence[int], mean: np.ndarray, components: np.ndarray, ks: Sequence[int]):
+    """Places of a block's windows and their mean squared errors for each number of components."""
+    by_row = mean.reshape(length, len(at))
+    weights = components.reshape(length, len(at), -1)
+
+    def errors(b: blocks.Block) -> tuple[np.ndarray, np.ndarray]:
+        place, seen = over_windows(b, at, weights, length)
+        whole = np.zeros(len(place))
+        if len(place):
+            z = b.z[:, at]
+            for t in range(length):
+                rows = place[0] + 1 - length + t
+                whole += ((z[rows : rows + len(place)] - by_row[t]) ** 2).sum(1)
+        kept = np.cumsum((seen - mean @ components) ** 2, axis=1)
+        out = np.stack([whole - kept[:, k - 1] for k in ks], 1) / mean.size
+        return place, np.maximum(out, 0.0)
+    return errors
+
+
+def reconstruction_score_blocks(packed: blocks.Blocks, features: Sequence[str], model: Reconstruction,
+                                only: str | None = None) -> DataFrame:
+    """Mean squared error of every window, stamped with the order columns of its last row; with ``only`` of those
+    whose last row is not 0 there."""
+    errors = _block_errors(packed.seq_len, packed.at(features), model.mean, model.components, [model.k])
+    wanted = packed.columns.index(only) if only else None
+
+    def of_block(b: blocks.Block) -> tuple[np.ndarray, np.ndarray]:
+        place, values = errors(b)
+        if wanted is not None:
+            picked = b.z[place, wanted] != 0
+            place, values = place[picked], values[picked]
+        return place, values[:, 0]
+    return blocks.score(packed, of_block, "score")
+
+
 def reconstruction_score(windows: DataFrame, model: Reconstruction) -> DataFrame:
     """Mean squared error per window, stamped with the window's last row."""
     errors = _errors(model.mean, model.components, [model.k])
@@ -282,7 +374,12 @@ def isolation_forest(df: DataFrame, features: Sequence[str], key: Sequence[str],
                      seed: int = 42) -> DataFrame:
     """Label -1 for the most isolated share of rows, 1 for the rest."""
     model = fit_isolation_forest(df, features, key, trees, sample, seed)
-    scored = materialise(isolation_score(df, model), "isolation")
+    return isolation_labels(isolation_score(df, model), contamination)
+
+
+def isolation_labels(scored: DataFrame, contamination: float = 0.02) -> DataFrame:
+    """``scored`` rows, written once for the passes of the percentile, with ``label``."""
+    scored = materialise(scored, "isolation")
     cut = exact_percentile(scored, "score", 1.0 - contamination)
     return scored.withColumn("label", F.when(F.col("score") > F.lit(cut), F.lit(-1)).otherwise(F.lit(1)))
 

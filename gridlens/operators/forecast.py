@@ -9,13 +9,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridlens.operators import blocks
+from gridlens.operators.blocks import over_windows, read
 from gridlens.operators.datasets import (
     SEQ_LEN, Graph, Scaler, TargetScale, fit_target, graph_smooth, latest_window)
 from gridlens.operators.ordered import SLICE_ROWS, positional
@@ -25,8 +26,6 @@ from gridlens.session import path_exists
 BOOSTED = {"maxIter": 400, "maxDepth": 8, "stepSize": 0.04, "subsamplingRate": 0.85,
            "featureSubsetStrategy": "0.85", "minInstancesPerNode": 3}
 HORIZONS = (1, 24)
-#: Products of so many groups are summed in a task before they are handed on.
-GRAM_GROUPS = 16
 
 
 # Boosted baseline -----------------------------------------------------------------------
@@ -101,6 +100,163 @@ def fit_graph_load(windows: DataFrame, horizon: int, loss: str = "huber", delta:
     return GraphLoad(model, scale, horizon)
 
 
+# Window regression on packed rows ---------------------------------------------------------------
+
+#: Rounds of the robust fit at most, rounds without a better validation error that end it, and the
+#: change of a standardised coefficient that counts as none.
+ROUNDS, PATIENCE, SETTLED = 60, 12, 1e-7
+
+
+@dataclass(frozen=True)
+class WindowLoad:
+    """Linear model of a window of ``features``: coefficients window row by window row, in units of the target."""
+
+    features: list[str]
+    scale: TargetScale
+    horizon: int
+    intercept: float
+    coefficients: np.ndarray
+    sigma: float
+    errors: list[float]  # validation loss of each round
+    best: int  # the round whose coefficients these are
+
+    def predict(self, windows: DataFrame, name: str = "y_hat") -> DataFrame:
+        weights = F.array(*[F.lit(float(c)) for c in self.coefficients])
+        terms = F.zip_with(F.flatten("x"), weights, lambda a, b: a * b)
+        return windows.withColumn(name, F.lit(self.intercept) + F.aggregate(terms, F.lit(0.0), lambda a, b: a + b))
+
+    def residuals(self, packed: blocks.Blocks, target: str):
+        """Per block, inside tasks: places of the targets, windows' numbers, targets and forecasts."""
+        return _residuals(packed, self.features, target, self.horizon, self.intercept, self.coefficients)
+
+
+def _residuals(packed: blocks.Blocks, features: Sequence[str], target: str, horizon: int, intercept: float,
+               coefficients: np.ndarray):
+    at, y, length = packed.at(features), packed.columns.index(target), packed.seq_len
+    weights = coefficients.reshape(length, len(at), 1)
+
+    def of_block(b: blocks.Block):
+        place, seen = over_windows(b, at, weights, length, horizon)
+        return place, b.first + place - (length - 1 + horizon), b.z[place, y], seen[:, 0] + intercept
+    return of_block
+
+
+def fit_window_load(packed: blocks.Blocks, features: Sequence[str], target: str, horizon: int, ratio: float = 0.85,
+                    loss: str = "huber", delta: float = 1.35, penalty: float = 1e-4, rounds: int = ROUNDS,
+                    patience: int | None = PATIENCE) -> WindowLoad:
+    """Robust or plain linear regression of the scaled target on the first ``ratio`` of each series' windows.
+
+    The robust loss is that of Spark's robust regression: squares within ``delta`` deviations, straight lines beyond,
+    the deviation fitted with the coefficients. Each round is one pass over the packed rows: residuals beyond
+    the bound are pulled back to it and regressed on the windows. The matrix of that regression is the same in every
+    round, it comes from `blocks.pooled` once. The later windows are the validation: after ``patience`` rounds
+    without a smaller loss there, the best round's coefficients are taken; None fits until nothing moves.
+    """
+    features, length, d = list(features), packed.seq_len, len(features)
+    sums = blocks.pooled(packed, features, target, horizon, ratio)
+    wide = length * d
+    if not sums.n:
+        raise ValueError("no windows to fit")
+    n = float(sums.n)
+    moved = np.tile(sums.moved[:d], length)
+    mean = moved + sums.column / n
+    product = sums.product - np.outer(sums.column, sums.column) / n
+    spread = np.sqrt(np.maximum(np.diag(product) / n, 0.0))
+    varies = spread > 1e-9 * np.maximum(1.0, np.abs(moved))
+    unit = np.where(varies, spread, 1.0)
+    system = product / np.outer(unit, unit) / n * np.outer(varies, varies)
+    at, centre = packed.at(features), float(sums.moved[-1] + sums.target / n)
+    none = _residuals(packed, features, target, horizon, 0.0, np.zeros(wide))
+
+    def squares(b: blocks.Block) -> np.ndarray:
+        _, window, y, _ = none(b)
+        train = window < np.floor(b.windows(length, horizon) * ratio)
+        return np.array([((y[train] - centre) ** 2).sum()])
+
+    deviation = float(np.sqrt(blocks.total(packed, squares)[0] / n))
+    scale = TargetScale(centre, max(deviation if deviation > 1e-12 * max(1.0, abs(centre)) else 0.0, 1e-6))
+    cross = (sums.cross - sums.column * sums.target / n) / unit / n * varies / scale.std
+    eye = np.eye(wide)
+
+    def raw(b0: float, b: np.ndarray) -> tuple[float, np.ndarray]:
+        """Intercept and coefficients in the features' and the target's own units."""
+        own = b / unit * scale.std
+        return scale.mean + b0 * scale.std - float(own @ mean), own
+
+    b0, b = 0.0, np.linalg.lstsq(system + penalty * eye, cross, rcond=1e-12)[0]
+    if loss != "huber":
+        intercept, own = raw(b0, b)
+        return WindowLoad(features, scale, horizon, intercept, own, 1.0, [], 0)
+    delta = max(delta, 1.0001)
+
+    def passed(b0: float, b: np.ndarray, sigma: float):
+        intercept, own = raw(b0, b)
+        of_block = _residuals(packed, features, target, horizon, intercept, own)
+
+        def sums_of(block: blocks.Block) -> np.ndarray:
+            place, window, y, y_hat = of_block(block)
+            r = (y - y_hat) / scale.std
+            train = window < np.floor(block.windows(length, horizon) * ratio)
+            bound = delta * sigma
+            pulled = np.where(train, np.clip(r, -bound, bound), 0.0)
+            inside = train & (np.abs(r) <= bound)
+            later = np.abs(r[~train])
+            loss = np.where(later <= bound, later ** 2, 2 * bound * later - bound ** 2).sum()
+            out = np.zeros(5 + wide)
+            out[:5] = pulled.sum(), (r[inside] ** 2).sum(), (train & ~inside).sum(), loss, len(later)
+            if len(place):
+                z = block.z[:, at]
+                for t in range(length):
+                    rows = place[0] - (length - 1 + horizon) + t
+                    out[5 + t * d : 5 + (t + 1) * d] = pulled @ z[rows : rows + len(place)]
+            return out
+        return blocks.total(packed, sums_of)
+
+    sigma = float(np.sqrt(passed(b0, b, 1e9)[1] / n)) or 1e-9
+    errors: list[float] = []
+    best = (b0, b, sigma)
+    at_best = 0
+    for i in range(rounds):
+        got = passed(b0, b, sigma)
+        error = float(got[3] / got[4]) if got[4] else 0.0
+        if not errors or error < min(errors) - 1e-12:
+            best, at_best = (b0, b, sigma), i
+        errors.append(error)
+        if patience is not None and got[4] and i - at_best >= patience:
+            break
+        pull = (got[5:] - mean * got[0]) / unit / n * varies
+        shrink = penalty * sigma / 2
+        step = np.linalg.solve(system + (shrink + 1e-12) * eye, pull - shrink * b)
+        b, b0 = b + step, b0 + got[0] / n
+        free = n - delta ** 2 * got[2]
+        fresh = float(np.sqrt(max(got[1], 1e-18) / free)) if free > 0 else sigma
+        moved_by = max(float(np.abs(step).max()), abs(got[0] / n), abs(fresh - sigma))
+        sigma = fresh
+        if moved_by < SETTLED:
+            if patience is None or not got[4]:
+                best, at_best = (b0, b, sigma), i + 1
+            break
+    if patience is None:
+        best, at_best = (b0, b, sigma), len(errors)
+    intercept, own = raw(*best[:2])
+    return WindowLoad(features, scale, horizon, intercept, own, best[2], errors, at_best)
+
+
+def window_forecasts(packed: blocks.Blocks, model: WindowLoad, target: str, ratio: float = 0.85) -> DataFrame:
+    """Target and forecast of every window: (``y``, ``y_hat``, ``is_train``)."""
+    of_block = model.residuals(packed, target)
+    n_series, wide, length, horizon = len(packed.series), len(packed.columns), packed.seq_len, model.horizon
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, b in read(batch, n_series, wide):
+                _, window, y, y_hat = of_block(b)
+                train = window < np.floor(b.windows(length, horizon) * ratio)
+                yield pa.RecordBatch.from_arrays([pa.array(y), pa.array(y_hat), pa.array(train)], names=["y", "y_hat", "is_train"])
+
+    return packed.table.mapInArrow(task, "y double, y_hat double, is_train boolean")
+
+
 # Price regression per hub and horizon ----------------------------------------------------------
 
 def with_targets(rows: DataFrame, target: str, series: Sequence[str], order: Sequence[str] = ("ts",),
@@ -171,81 +327,6 @@ def predict_price(rows: DataFrame, models: DataFrame, features: Sequence[str], b
             .drop("intercept", "coefficients"))
 
 
-def fit_price_windows(windows: DataFrame, by: Sequence[str], horizon: int, penalty: float = 1e-4,
-                      min_rows: int = 72) -> DataFrame:
-    """Ridge regression of ``y`` on the flattened window ``x`` per group: rows as of ``fit_price``.
-
-    Windows are too wide for one sum per product, so each task adds up its groups' products as matrices and
-    hands them on row by row; a group may be of any size. A window repeats values (a row's lag is the row
-    before it), and the penalty, on features in units of their deviation, makes the solution unique.
-    """
-    by = list(by)
-    flat = windows.where(F.col("y").isNotNull()).select(*by, F.flatten("x").alias("_x"), F.col("y").cast("double").alias("_y"))
-    means = Summarizer.mean(array_to_vector(F.concat("_x", F.array("_y"))))
-    centre = flat.groupBy(F.lit("").alias("all")).agg(means.alias("m")).first()  # no row without windows
-    moved = np.concatenate([[0.0], centre["m"].toArray() if centre else []])
-    wide = len(moved)
-    kinds = [flat.schema[c] for c in by]
-    schema = T.StructType([*kinds, T.StructField("_i", T.IntegerType()), T.StructField("_v", T.ArrayType(T.DoubleType()))])
-
-    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple, np.ndarray] = {}
-
-        def rows():
-            for key, gram in sums.items():
-                values = pa.ListArray.from_arrays(np.arange(0, wide * wide + 1, wide, dtype=np.int32), gram.ravel())
-                cells = [pa.array([k] * wide, f) for k, f in zip(key, types)]
-                yield pa.RecordBatch.from_arrays([*cells, pa.array(range(wide), pa.int32()), values], names=[*by, "_i", "_v"])
-            sums.clear()
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            types = [batch.column(k).type for k in range(len(by))]
-            x = batch.column(len(by)).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, wide - 2)
-            a = np.column_stack([np.ones(len(x)), x, batch.column(len(by) + 1).to_numpy(zero_copy_only=False)]) - moved
-            places: dict[tuple, list[int]] = {}
-            for at, key in enumerate(zip(*[batch.column(k).to_pylist() for k in range(len(by))])):
-                places.setdefault(key, []).append(at)
-            for key, at in places.items():
-                if key not in sums and len(sums) == GRAM_GROUPS:
-                    yield from rows()
-                own = a[at]
-                sums[key] = sums.get(key, 0.0) + own.T @ own
-        yield from rows()
-
-    gram = (flat.mapInArrow(products, schema).groupBy(*by, "_i")
-            .agg(vector_to_array(Summarizer.sum(array_to_vector("_v"))).alias("_v")))
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        whole = np.stack(pdf.sort_values("_i")["_v"].to_numpy())
-        n = whole[0, 0]
-        out = {**{c: [pdf[c].iloc[0]] for c in by}, "horizon": [horizon], "n": [round(n)]}
-        if round(n) < min_rows:
-            return pd.DataFrame(out | {"intercept": [0.0], "coefficients": [[]]}).iloc[:0]
-        s = whole[0, 1:]
-        g = whole[1:, 1:] - np.outer(s, s) / n
-        spread = np.sqrt(np.maximum(np.diag(g)[:-1] / n, 0.0))
-        varies = spread > 1e-9 * np.maximum(1.0, np.abs(moved[1:-1]))
-        unit = np.where(varies, spread, 1.0)
-        system = g[:-1, :-1] / np.outer(unit, unit) / n * np.outer(varies, varies) + penalty * np.eye(len(unit))
-        beta = np.linalg.lstsq(system, g[:-1, -1] / unit / n * varies, rcond=1e-12)[0] / unit
-        mean = moved[1:] + s / n
-        return pd.DataFrame(out | {"intercept": [float(mean[-1] - mean[:-1] @ beta)], "coefficients": [beta.tolist()]})
-
-    groups = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kinds)
-    return gram.groupBy(*by).applyInPandas(
-        lambda pdf: solve(pdf), f"{groups}, horizon int, n bigint, intercept double, coefficients array<double>")
-
-
-def predict_price_windows(windows: DataFrame, models: DataFrame, by: Sequence[str], name: str = "y_hat") -> DataFrame:
-    """Every window with every horizon its group has a model for."""
-    joined = windows.join(models.select(*by, "horizon", "intercept", "coefficients"), list(by), "inner")
-    terms = F.zip_with(F.flatten("x"), "coefficients", lambda a, b: a * b)
-    return (joined.withColumn(name, F.col("intercept") + F.aggregate(terms, F.lit(0.0), lambda a, b: a + b))
-            .drop("x", "intercept", "coefficients"))
-
-
 # Registry ---------------------------------------------------------------------------------------
 
 REGISTRY = T.StructType([
@@ -311,9 +392,13 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
             .select("model_id", "_row.*"))
 
 
-def save_model(model: GraphLoad | BoostedLoad, folder: str, model_id: str, kind: str, version: int,
+def save_model(model: GraphLoad | BoostedLoad | WindowLoad, folder: str, model_id: str, kind: str, version: int,
                hub: str | None = None, scaler: Scaler | None = None, graph: Graph | None = None) -> tuple:
     """Store a fitted model and return the registry row that finds it again."""
+    if isinstance(model, WindowLoad):  # short enough for the row itself
+        return registry_row(model_id, kind, version, hub, model.horizon, scaler, graph, model.scale,
+                            weights=[model.sigma, model.intercept, *model.coefficients.tolist()],
+                            features=None if scaler else model.features)
     path = f"{folder.rstrip('/')}/{model_id}-v{version}"
     model.model.write().overwrite().save(path)
     if isinstance(model, BoostedLoad):
@@ -321,8 +406,15 @@ def save_model(model: GraphLoad | BoostedLoad, folder: str, model_id: str, kind:
     return registry_row(model_id, kind, version, hub, model.horizon, scaler, graph, model.scale, weights_path=path)
 
 
-def load_model(row: Mapping) -> GraphLoad | BoostedLoad:
-    """The model of a registry row: with a target scale a window model, else boosted trees."""
+def load_model(row: Mapping) -> GraphLoad | BoostedLoad | WindowLoad:
+    """The model of a registry row: with weights of its own a window model on packed rows, with a target scale one of
+    Spark's library, else boosted trees."""
+    if row["weights"] and row["target_mean"] is not None:
+        names = list(row["features"])
+        names += [f"nb_{c}" for c in names] if row["graph"] else []
+        scale = TargetScale(row["target_mean"], row["target_std"])
+        return WindowLoad(names, scale, row["horizon"], row["weights"][1], np.array(row["weights"][2:]),
+                          row["weights"][0], [], 0)
     if row["target_mean"] is None:
         return BoostedLoad(GBTRegressionModel.load(row["weights_path"]), list(row["features"]))
     scale = TargetScale(row["target_mean"], row["target_std"])

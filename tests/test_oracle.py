@@ -44,7 +44,11 @@ def test_same_rows_as_reference_sql(spark, sf_dir, duck, name):
     assert canonical(ours) == canonical(theirs)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(catalog.oracle_sql())))
+#: Their longest lag outruns the series of the smallest scale; `test_forecast` runs them on longer ones.
+LONG = {"f3_fit_price_windows", "f4_predict_windows", "f8_window_registry"}
+
+
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(catalog.oracle_sql()) - LONG))
 def test_runs_without_reference_sql(spark, sf_dir, name):
     assert catalog.queries()[name](spark, sf_dir).count() > 0
 

@@ -24,12 +24,14 @@ def test_boosted_load_is_fitted_on_all_features_at_full_size(views, monkeypatch)
 
 
 @pytest.mark.parametrize("name, module, fit, copies", [
-    ("f2_fit_graph_load", forecast, "fit_graph_load", 2),
-    ("d1_fit_reconstruction", detect, "fit_reconstruction", 1),
-    ("d2_reconstruction_score", detect, "fit_reconstruction", 1)])
+    ("f2_fit_graph_load", forecast, "fit_window_load", 2),
+    ("d1_fit_reconstruction", detect, "fit_reconstruction_blocks", 1),
+    ("d2_reconstruction_score", detect, "fit_reconstruction_blocks", 1),
+    ("x6_stream_anomaly", detect, "fit_reconstruction_blocks", 1)])
 def test_windows_hold_all_load_features(views, monkeypatch, name, module, fit, copies):
     monkeypatch.setattr(module, fit, _stop)
     with pytest.raises(Seen) as seen:
         REGISTRY[name].build(views)
-    x = seen.value.args[0][0].first()["x"]
-    assert len(x) == 24 and {len(r) for r in x} == {copies * len(schemas.LOAD_FEATURES)}
+    (packed, features, *_), params = seen.value.args
+    assert packed.seq_len == 24 and len(features) == copies * len(schemas.LOAD_FEATURES)
+    assert set(features) <= set(packed.columns) and params == {}
