@@ -341,6 +341,39 @@ def pick_snapshot(kv: DataFrame, key: str = "page_id") -> DataFrame:
     return pick_metric(kv, CONDITION_KEYS | SNAPSHOT_KEYS, key)
 
 
+def page_figures(pages: DataFrame, wanted: Mapping[str, Sequence[str]] = CONDITION_KEYS, key: str = "page_id",
+                 html: str = "html", keep: Sequence[str] = ()) -> DataFrame:
+    """The same straight from pages: a page's labels all lie in its row, so nothing is shuffled.
+
+    Per figure the first fragment that a label holds whose last value is a number; of its
+    labels the one that came first. Pages without a labelled value are left out.
+    """
+    found = F.regexp_extract_all(_spaced(F.col(html)), F.lit("(?is)<table[^>]*>(.*?)</table>"), 1)
+    lines = F.flatten(F.transform(found, lambda b: F.regexp_extract_all(b, F.lit("(?is)<tr[^>]*>(.*?)</tr>"), 1)))
+    plain = F.filter(lines, lambda r: ~r.rlike("(?is)<th[ >]"))
+    cells = F.transform(plain, lambda r: F.filter(
+        F.transform(F.regexp_extract_all(r, F.lit("(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1), _plain), lambda c: c != ""))
+
+    def pair(c: Column) -> Column:
+        value = F.get(c, F.size(c) - 1)
+        for unit in VALUE_UNITS:
+            value = F.replace(value, F.lit(unit), F.lit(""))
+        return F.struct(F.translate(F.lower(F.get(c, F.lit(0))), " ()", "_").alias("name"),
+                        value.try_cast("double").alias("value"))
+
+    pairs = F.transform(F.filter(cells, lambda c: F.size(c) >= 2), pair)
+    # Held in a one-element array and exploded, so that the page is parsed once.
+    rows = pages.select(key, *keep, F.explode(F.array(pairs)).alias("_kv")).where(F.size("_kv") > 0)
+    picks = []
+    for figure, fragments in wanted.items():
+        def value_of(fragment: str) -> Column:
+            labels = F.transform(F.filter("_kv", lambda p: p["name"].contains(fragment)), lambda p: F.element_at(
+                F.filter("_kv", lambda q: q["name"] == p["name"]), -1)["value"])
+            return F.get(F.filter(labels, lambda x: x.isNotNull()), F.lit(0))
+        picks.append(F.coalesce(*[value_of(f) for f in fragments]).alias(figure))
+    return rows.select(key, *keep, *picks)
+
+
 # Fuel mix -----------------------------------------------------------------------------------
 
 def fuel_pivot(rows: DataFrame, tie: str = "event_id", codes: Mapping[str, str] = FUELS,

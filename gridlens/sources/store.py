@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlens.functions.scalars import days_before, since
-from gridlens.operators.ordered import first_per_key, latest_per_key
+from gridlens.operators.ordered import first_per_key, join_on, latest_per_key
+from gridlens.schemas import PRICE_PARTIALS
 
 _ORDER = ["_batch", "_pos", "load"]
 #: Commit files after which they are merged into a snapshot.
@@ -35,6 +36,7 @@ SNAPSHOT_EVERY = 32
 class _State:
     next: int = 1
     live: dict[tuple[str, str], bool] = field(default_factory=dict)  # (load, day) -> whether rewritten
+    single: set[tuple[str, str]] = field(default_factory=set)  # those that hold a row per key at most
     seen: dict[str, int] = field(default_factory=dict)  # writer -> its last batch
     files: list[str] = field(default_factory=list)
     fresh: int = 0  # commit files that no snapshot holds
@@ -50,7 +52,11 @@ class _State:
             return  # another rewrite took these pieces first
         for piece in gone:
             del self.live[piece]
-        self.live |= {(entry["load"], day): entry["kind"] == "rewrite" for day in entry.get("days", [])}
+            self.single.discard(piece)
+        pieces = [(entry["load"], day) for day in entry.get("days", [])]
+        self.live |= {piece: entry["kind"] == "rewrite" for piece in pieces}
+        if entry.get("single"):
+            self.single |= set(pieces)
 
 
 class LogTable:
@@ -106,7 +112,8 @@ class LogTable:
         if snapshots:
             held = self._read(snapshots[-1])
             state.next, state.seen, merged = held["seq"] + 1, held["seen"], set(held["merged"])
-            state.live = {(load, day): rewritten for load, day, rewritten in held["live"]}
+            state.live = {(load, day): rewritten for load, day, rewritten, *_ in held["live"]}
+            state.single = {(load, day) for load, day, *rest in held["live"] if rest[1:] == [True]}
         for name in names:
             if name.endswith(".json") and name not in merged:
                 state.apply(self._read(name))
@@ -117,7 +124,7 @@ class LogTable:
         self._put(entry, "json")
         state = self._state()
         if state.fresh >= SNAPSHOT_EVERY:
-            self._put({"seq": state.next, "seen": state.seen, "live": [[*k, v] for k, v in state.live.items()],
+            self._put({"seq": state.next, "seen": state.seen, "live": [[*k, v, k in state.single] for k, v in state.live.items()],
                        "merged": [n for n in state.files if n.endswith(".json")]}, "snapshot")
 
     def _days_of(self, load: str) -> list[str]:
@@ -152,7 +159,7 @@ class LogTable:
         laid = out.repartition("dt") if small_days else out.hint("rebalance", "dt")
         laid.write.partitionBy("dt").parquet(f"{self.path}/data/load={load}")
         self._commit({"seq": state.next, "kind": "batch", "writer": writer, "batch": int(batch), "load": load,
-                      "days": self._days_of(load)})
+                      "days": self._days_of(load), "single": unique})
 
     # Reading -----------------------------------------------------------------------
 
@@ -178,16 +185,51 @@ class LogTable:
         return self._plain(self.log())
 
     def latest(self) -> DataFrame:
-        """Upsert reading: the last row written per key.
-
-        ``dt`` follows from the key's time; grouping by it too lets a predicate on it
-        through to the partitions.
-        """
-        return self._plain(upsert_last(self.log(), [*self.keys, "dt"], _ORDER))
+        """Upsert reading: the last row written per key."""
+        return self._plain(self._merged("latest"))
 
     def first(self) -> DataFrame:
         """Insert-once reading: the first row written per key."""
-        return self._plain(insert_ignore(self.log(), [*self.keys, "dt"], _ORDER))
+        return self._plain(self._merged("first"))
+
+    def _fold(self, rows: DataFrame, mode: str) -> DataFrame:
+        """One row per key. ``dt`` follows from the key's time; grouping by it too lets a
+        predicate on it through to the partitions."""
+        return (upsert_last if mode == "latest" else insert_ignore)(rows, [*self.keys, "dt"], _ORDER)
+
+    def _merged(self, mode: str) -> DataFrame:
+        """Days that are one piece with a row per key, as rewritten days are, are read as they are.
+
+        Where later pieces came to a rewritten day, their keys are looked up in it: only its
+        rows of those keys are folded with theirs. Only days never rewritten are grouped whole.
+        """
+        state = self._state()
+        days: dict[str, list[tuple[str, str]]] = {}
+        for piece in state.live:
+            days.setdefault(piece[1], []).append(piece)
+        settled, base, added, whole = [], [], [], []
+        for pieces in days.values():
+            written = [p for p in pieces if state.live[p] and p in state.single]
+            if len(pieces) == 1 and pieces[0] in state.single:
+                settled += pieces
+            elif len(written) == 1:
+                base += written
+                added += [p for p in pieces if p != written[0]]
+            else:
+                whole += pieces
+        parts = [self._pieces(settled)] if settled else []
+        again = self._pieces([*added, *whole]) if added or whole else None
+        if base:
+            key = [*self.keys, "dt"]
+            held, touched = self._pieces(base), self._pieces(added).select(*key).distinct()
+            parts.append(join_on(held, touched, key, "left_anti"))
+            again = again.unionByName(join_on(held, touched, key, "left_semi"))
+        if again is not None:
+            parts.append(self._fold(again, mode).select(*self._stored.fieldNames()))
+        out = parts[0] if parts else self._pieces([])
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
 
     # Maintenance -------------------------------------------------------------------
 
@@ -216,11 +258,13 @@ class LogTable:
         if not changed:
             return
         rows = self._pieces(changed)
-        if self.keys and mode in ("latest", "first"):
-            rows = (upsert_last if mode == "latest" else insert_ignore)(rows, [*self.keys, "dt"], _ORDER)
+        single = bool(self.keys) and mode in ("latest", "first")
+        if single:
+            rows = self._fold(rows, mode)
         load = uuid.uuid4().hex
         cluster(rows.drop("load"), segment_by, self.ts).write.partitionBy("dt").parquet(f"{self.path}/data/load={load}")
-        self._commit({"seq": state.next, "kind": "rewrite", "load": load, "days": self._days_of(load), "replaces": changed})
+        self._commit({"seq": state.next, "kind": "rewrite", "load": load, "days": self._days_of(load), "replaces": changed,
+                      "single": single})
 
     def expire(self, keep_days: int, as_of=None) -> None:
         """Drop the days that lie wholly beyond the retention; `vacuum` deletes their files."""
@@ -251,6 +295,31 @@ class LogTable:
         return deleted
 
 
+class RollupLog(LogTable):
+    """A rollup as a log of partial aggregates: each batch adds its own sums, counts and extremes per bucket, which
+    are merged when read and when days are rewritten. Rows of any lateness cost what they count themselves; raw rows
+    are never read again."""
+
+    def __init__(self, spark: SparkSession, path: str, grain: str = "day"):
+        super().__init__(spark, path, PRICE_PARTIALS, ["bucket", "settlement_point", "market_type"], ts="bucket", grain=grain)
+
+    def add(self, prices: DataFrame, batch: int | None = None, writer: str = "main") -> None:
+        """The batch's rows, aggregated."""
+        price = F.col("price_usd_mwh")
+        sums = prices.groupBy(F.date_trunc("hour", "ts").alias("bucket"), "settlement_point", "market_type").agg(
+            F.sum(price).alias("total"), F.count(price).alias("n"), F.max(price).alias("most"), F.min(price).alias("least"))
+        self.append(sums, batch, writer=writer, unique=True, small_days=True)
+
+    def _fold(self, rows: DataFrame, mode: str) -> DataFrame:
+        return rows.groupBy(*self.keys, "dt").agg(
+            F.sum("total").alias("total"), F.sum("n").alias("n"), F.max("most").alias("most"), F.min("least").alias("least"),
+            F.max("_pos").alias("_pos"), F.max("_batch").alias("_batch"), F.max("load").alias("load"))
+
+    def rollup(self) -> DataFrame:
+        return self.latest().select(*self.keys, (F.col("total") / F.col("n")).alias("avg_price_usd_mwh"),
+                                    F.col("most").alias("max_price_usd_mwh"), F.col("least").alias("min_price_usd_mwh"), "dt")
+
+
 def upsert_last(log: DataFrame, keys: Sequence[str], order: Sequence[str] = ("_seq",)) -> DataFrame:
     """Last write per key wins, for every measure at once."""
     return latest_per_key(log, list(keys), list(order))

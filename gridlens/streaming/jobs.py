@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gridlens.functions.scalars import drop_missing
 from gridlens.operators.aggregates import price_rollup
-from gridlens.operators.datasets import SEQ_LEN, scoring_windows
+from gridlens.operators.blocks import SEQ_LEN, pack
 from gridlens.operators.detect import (
     Reconstruction, anomaly_events, condition_alerts, condition_snapshot, flag,
-    reconstruction_score)
+    reconstruction_score_blocks)
 from gridlens.operators.joins import without_known
 from gridlens.operators.ordered import first_per_key, join_on, latest_per_key
 from gridlens.schemas import PRICES_HOURLY
-from gridlens.sources.store import LogTable, alert_payload, event_record
+from gridlens.session import materialise, path_exists, scratch
+from gridlens.sources.store import LogTable, RollupLog, alert_payload, event_record
 
 # Seconds between polls of each feed.
 POLL_SECONDS = {"load": 300, "weather": 3600, "price": 900, "conditions": 300}
@@ -92,6 +94,11 @@ def stream_refresh(prices: DataFrame, raw: LogTable, table: LogTable, checkpoint
     return _start(prices, write, checkpoint, feed)
 
 
+def stream_partial_rollup(prices: DataFrame, table: RollupLog, checkpoint: str, feed: str | None = None) -> StreamingQuery:
+    """Each batch adds its partial aggregates, however late its rows; ``table.rollup()`` is the rollup."""
+    return _start(prices, lambda df, n: table.add(df, n, _writer(checkpoint)), checkpoint, feed)
+
+
 def rebuild_buckets(changed: DataFrame, raw: LogTable, table: LogTable, batch: int | None = None,
                     writer: str = "refresh") -> None:
     """Upsert the buckets of the changed rows, computed from all raw rows of their days."""
@@ -152,38 +159,101 @@ def stream_payloads(alerts: DataFrame, folder: str, checkpoint: str, feed: str |
     return _start(alerts, write, checkpoint, feed)
 
 
-def stream_anomaly(rows: DataFrame, history: LogTable, events: LogTable, checkpoint: str,
+class Context:
+    """The rows that windows to come still reach, one small written table per micro-batch.
+
+    Batch ``n`` reads the newest table before it and writes its own, so that a replay finds what the first run found;
+    tables before those two are deleted.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _fs(self):
+        sc = self.spark.sparkContext
+        at = sc._jvm.org.apache.hadoop.fs.Path(self.path)
+        return at, at.getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def batches(self) -> list[int]:
+        at, fs = self._fs()
+        if not fs.exists(at):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(at)]
+        return sorted(int(n.removeprefix("batch=")) for n in names
+                      if n.startswith("batch=") and path_exists(self.spark, f"{self.path}/{n}/_SUCCESS"))
+
+    def before(self, n: int, schema) -> DataFrame:
+        known = [b for b in self.batches() if b < n]
+        return (self.spark.read.schema(schema).parquet(f"{self.path}/batch={known[-1]}") if known
+                else self.spark.createDataFrame([], schema))
+
+    def write(self, rows: DataFrame, n: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/batch={n}")
+        at, fs = self._fs()
+        for old in [b for b in self.batches() if b < n][:-1]:
+            fs.delete(at.suffix(f"/batch={old}"), True)
+
+
+def _newest(rows: DataFrame, series: Sequence[str], name: str = "_newest") -> DataFrame:
+    """Each row with the newest time of its series. A single series needs no join: its newest time is one value."""
+    if not series:
+        return rows.withColumn(name, F.lit(rows.agg(F.max("ts")).first()[0]).cast(rows.schema["ts"].dataType))
+    return join_on(rows, rows.groupBy(*series).agg(F.max("ts").alias(name)), series)
+
+
+def still_reached(rows: DataFrame, series: Sequence[str], order: Sequence[str], seq_len: int, lateness: str,
+                  forget: str | None = None) -> DataFrame:
+    """The rows that windows ending at a row not later than ``lateness`` before the newest of its series can hold:
+    those since then, and the ``seq_len - 1`` before them. Series without a row for the time ``forget`` have none."""
+    span, plain = F.expr(f"INTERVAL {lateness}"), rows.columns
+    dated = _newest(rows, series)
+    if forget:
+        newest = rows.agg(F.max("ts")).first()[0]
+        dated = dated.where(F.col("_newest") >= F.lit(newest).cast(rows.schema["ts"].dataType) - F.expr(f"INTERVAL {forget}"))
+    recent = dated.where(F.col("ts") >= F.col("_newest") - span).select(*plain)
+    older = dated.where(F.col("ts") < F.col("_newest") - span).select(*plain)
+    backwards = [F.col(c).desc() for c in order]
+    if series:  # ranked within tasks first, so that a hot series sends few rows on
+        older = (older.withColumn("_k", F.row_number().over(Window.partitionBy(*series).orderBy(*backwards)))
+                 .where(F.col("_k") < seq_len).drop("_k"))
+    else:
+        older = older.orderBy(*backwards).limit(seq_len - 1)
+    return recent.unionByName(older)
+
+
+def stream_anomaly(rows: DataFrame, context: str, events: LogTable, checkpoint: str,
                    model: Reconstruction, features: Sequence[str], threshold: float,
                    series: Sequence[str] = (), ties: Sequence[str] = (), seq_len: int = SEQ_LEN,
-                   feed: str | None = None) -> StreamingQuery:
+                   lateness: str = LATENESS, forget: str | None = None, feed: str | None = None) -> StreamingQuery:
     """Score the windows that end in the batch, each once.
 
-    A row is known by series, time and ``ties``, so rows of equal time stay apart. Its
-    context is the rows before the batch that its windows reach, the last
-    ``seq_len - 1`` of each series however far back they lie: one small ranked read of
-    the history up to the batch's first row.
+    A row is known by series, time and ``ties``, so rows of equal time stay apart. What windows reach back to is kept
+    in ``context``, a folder that holds per series its rows of the last ``lateness`` and the ``seq_len - 1`` before
+    them: the work of a batch does not grow with what came before. Rows later than that are not scored. The state is
+    a table and not a store keyed by series, so that one series is scored by many tasks.
     """
     order = ["ts", *ties]
     keys = [*series, *order]
+    held = Context(rows.sparkSession, context)
 
     def write(df: DataFrame, n: int) -> None:
-        with _kept(df.select(*keys, *features).dropna(subset=list(features))) as batch:
-            first = batch.agg(F.min("ts"), F.to_date(F.date_trunc(history.grain, F.max("ts")))).first()
-            if first[0] is None:
+        with _kept(drop_missing(df.select(*keys, *features))) as batch, scratch():
+            if batch.isEmpty():
                 return
-            mine = batch.select(*keys).withColumn("_new", F.lit(True))
-            known = history.log(last=str(first[1])).select(*keys, *features, "_batch", "_pos")
-            known = without_known(latest_per_key(known, keys, ["_batch", "_pos"]), mine, keys)
-            earlier = Window.partitionBy(*series).orderBy(*[F.col(c).desc() for c in order])
-            before = (known.where(F.col("ts") < F.lit(first[0])).withColumn("_k", F.row_number().over(earlier))
-                      .where(F.col("_k") < seq_len).drop("_k"))
-            beside = known.where(F.col("ts") >= F.lit(first[0]))
-            context = before.unionByName(beside).select(*keys, *features).unionByName(batch)
-            windows = scoring_windows(context, features, series, order, seq_len)
-            fresh = join_on(windows, mine.withColumnRenamed("ts", "window_ts"), [*series, "window_ts", *ties]).where("_new")
-            scored = reconstruction_score(fresh.drop("_new"), model)
+            known = held.before(n, batch.schema)
+            edge = known.groupBy(*series).agg(F.max("ts").alias("_edge")) if series else None
+            if series:
+                mine = join_on(batch, edge, series, "left")
+            else:
+                last = known.agg(F.max("ts")).first()[0]
+                mine = batch.withColumn("_edge", F.lit(last).cast(batch.schema["ts"].dataType))
+            mine = mine.where(F.col("_edge").isNull() | (F.col("ts") >= F.col("_edge") - F.expr(f"INTERVAL {lateness}")))
+            mine = mine.select(*keys, *features, F.lit(1.0).alias("_new"))
+            known = without_known(known, mine, keys)
+            both = materialise(known.withColumn("_new", F.lit(0.0)).unionByName(mine), "context")
+            packed = pack(both, [*features, "_new"], series, order, seq_len)
+            scored = reconstruction_score_blocks(packed, features, model, only="_new")
             events.append(event_record(anomaly_events(flag(scored, threshold))), n, writer=_writer(checkpoint))
-            # Last, so that a replay after a failure still finds the history without this batch.
-            history.append(batch, n, writer=_writer(checkpoint), unique=True)
+            # Last, so that a replay after a failure still finds the context without this batch.
+            held.write(still_reached(both.drop("_new"), series, order, seq_len, lateness, forget), n)
     return _start(rows, write, checkpoint, feed)
-

@@ -205,3 +205,72 @@ def test_intermediate_tables_can_be_released(spark):
     assert fs.exists(hadoop)
     session.release([p for p in session._written if path.endswith(p.rsplit("/", 1)[-1])])
     assert not fs.exists(hadoop)
+
+
+def _random_batches(rows, n=6):
+    import random
+    rng = random.Random(7)
+    for b in range(n):
+        keys = [(TS(2024, 1, rng.randint(1, 4), rng.randint(0, 3)), rng.choice(["H", "N", None])) for _ in range(12)]
+        yield b, _batch(rows, *[(t, h, float(100 * b + i), "DAM", i) for i, (t, h) in enumerate(keys)])
+
+
+@pytest.mark.parametrize("mode", ["latest", "first"])
+def test_reading_by_merge_equals_grouping_the_whole_log(prices, rows, mode):
+    key = lambda df: sorted(map(str, df.select("ts", "settlement_point", "price_usd_mwh").collect()))
+    whole = []
+    for b, batch in _random_batches(rows):
+        prices.append(batch, b, "pos")
+        whole.append(batch.withColumn("b", F.lit(b)))
+        if b in (1, 3):
+            prices.compact(mode, older_than_days=2, as_of=f"2024-01-0{b + 3} 00:00:00")
+        every = whole[0]
+        for more in whole[1:]:
+            every = every.unionByName(more)
+        pick = store.upsert_last if mode == "latest" else store.insert_ignore
+        assert key(getattr(prices, mode)()) == key(pick(every, schemas.KEYS["spp_prices"], ["b", "pos"]))
+    state = prices._state()
+    assert any(state.live[p] for p in state.live) and not all(state.live[p] for p in state.live)
+
+
+def test_rewritten_days_are_read_without_grouping(prices, rows):
+    prices.append(_batch(rows, *[(TS(2024, 1, d), "H", float(d), "DAM", 0) for d in (1, 2, 3)]), 0, "pos")
+    prices.compact()
+    plan = prices.latest()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+    prices.append(_batch(rows, (TS(2024, 1, 2), "H", 20.0, "DAM", 0), (TS(2024, 1, 2), "N", 21.0, "DAM", 1)), 1, "pos")
+    state = prices._state()
+    late = [p for p in state.live if not state.live[p]]
+    assert len(late) == 1
+    plan = prices.latest()._jdf.queryExecution().optimizedPlan()
+    grouped = [line for line in plan.toString().splitlines() if "Aggregate" in line]
+    assert len(grouped) >= 1 and "LeftAnti" in plan.toString()
+    assert sorted(r.price_usd_mwh for r in prices.latest().collect()) == [1.0, 3.0, 20.0, 21.0]
+
+
+def test_a_batch_without_doubles_needs_no_grouping(spark, rows):
+    table = store.LogTable(spark, scratch_path(spark, "t"), schemas.PRICES_HOURLY, schemas.KEYS["spp_prices_hourly"], ts="bucket")
+    row = rows("bucket timestamp, settlement_point string, market_type string, avg_price_usd_mwh double",
+               (TS(2024, 1, 1), "H", "DAM", 1.0))
+    table.append(row, 0, unique=True)
+    assert "Aggregate" not in table.latest()._jdf.queryExecution().optimizedPlan().toString()
+    table.append(row.withColumn("avg_price_usd_mwh", F.lit(2.0)), 1, unique=True)
+    assert [r.avg_price_usd_mwh for r in table.latest().collect()] == [2.0]
+
+
+def test_partial_aggregates_merge_to_the_rollup(spark, views):
+    from gridlens.operators.aggregates import price_rollup
+    log = store.RollupLog(spark, scratch_path(spark, "partials"))
+    assert log.rollup().count() == 0
+    want = price_rollup(views.prices).withColumn("avg_price_usd_mwh", F.round("avg_price_usd_mwh", 8))
+    names = want.columns
+    for k in range(3):
+        part = views.prices.where(F.col("event_id") % 3 == k)
+        log.add(part, k)
+        log.add(part, k)  # a replay
+        if k == 1:
+            log.compact(as_of="2024-01-20 00:00:00", older_than_days=3)
+    got = log.rollup().withColumn("avg_price_usd_mwh", F.round("avg_price_usd_mwh", 8)).select(*names)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    log.compact()
+    assert log.rollup().withColumn("avg_price_usd_mwh", F.round("avg_price_usd_mwh", 8)).select(*names).exceptAll(want).isEmpty()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridlens import schemas
 from gridlens.functions import scalars as fn
-from gridlens.operators import aggregates, detect
+from gridlens.operators import aggregates, blocks, detect
 from gridlens.operators import datasets as ds
 from gridlens.plans import queries as q
 from gridlens.session import scratch_path
@@ -143,9 +143,8 @@ def test_anomalies_across_batches_equal_one_batch(spark, place):
     assert want
     _files(wave, place("in"), ["2024-01-03", "2024-01-07 03:00:00"])
     schema = schemas.T.StructType([schemas.GRID_LOAD["ts"], schemas.T.StructField("v", schemas.T.DoubleType())])
-    history = store.LogTable(spark, place("history"), schema, ["ts"])
     events = store.LogTable(spark, place("events"), schemas.ANOMALY_EVENTS)
-    jobs.stream_anomaly(jobs.read_stream(spark, place("in"), schema, files_per_batch=1), history, events,
+    jobs.stream_anomaly(jobs.read_stream(spark, place("in"), schema, files_per_batch=1), place("context"), events,
                         place("cp"), model, ["v"], 0.5).awaitTermination()
     assert sorted(r.ts for r in events.rows().collect()) == sorted(want)
 
@@ -164,13 +163,59 @@ def test_slow_series_and_equal_times_get_their_windows(spark, place):
     _files(wave, place("in"), ["2024-01-11", "2024-01-22 08:00:00"])
     schema = schemas.T.StructType([schemas.GRID_LOAD["ts"], schemas.T.StructField("k", schemas.T.LongType()),
                                    schemas.T.StructField("v", schemas.T.DoubleType())])
-    history = store.LogTable(spark, place("history"), schema, order)
     events = store.LogTable(spark, place("events"), schemas.ANOMALY_EVENTS)
-    jobs.stream_anomaly(jobs.read_stream(spark, place("in"), schema, files_per_batch=1), history, events,
+    jobs.stream_anomaly(jobs.read_stream(spark, place("in"), schema, files_per_batch=1), place("context"), events,
                         place("cp"), model, ["v"], 0.5, ties=["k"]).awaitTermination()
     assert sorted(r.ts for r in events.rows().collect()) == want
 
 
+def test_context_keeps_what_windows_reach_and_no_more(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    hour = F.make_dt_interval(hours=F.col("id").cast("int"))
+    rows = spark.range(100).select(F.when(F.col("id") < 30, "quiet").otherwise("busy").alias("s"),
+                                   (F.lit(t0) + hour).alias("ts"), F.col("id").alias("k"))
+    kept = jobs.still_reached(rows, ["s"], ["ts", "k"], 5, "2 hours")
+    assert sorted((r.s, r.k) for r in kept.collect()) == [("busy", k) for k in range(93, 100)] + [("quiet", k) for k in range(23, 30)]
+    assert {r.s for r in jobs.still_reached(rows, ["s"], ["ts", "k"], 5, "2 hours", forget="10 hours").collect()} == {"busy"}
+    assert sorted(r.k for r in jobs.still_reached(rows, [], ["ts", "k"], 5, "0 hours").collect()) == list(range(95, 100))
+
+
+def test_a_replayed_batch_of_two_series_finds_the_same_context(spark, place):
+    """The last batch runs twice: its events and its context stay as they were. One row is late but in time, one too late."""
+    t0 = dt.datetime(2024, 1, 1)
+    hour = F.make_dt_interval(hours=(F.col("id") % 120).cast("int"))
+    wave = spark.range(240).select((F.lit(t0) + hour).alias("ts"), F.when(F.col("id") < 120, "a").otherwise("b").alias("s"),
+                                   (F.sin(F.col("id") / 4) + F.when(F.col("id") == 230, 9.0).otherwise(0.0)).alias("v"))
+    packed = blocks.pack(wave.where("v < 5").withColumn("draw", detect.hold_out_draw(["ts"])), ["v", "draw"], ["s"])
+    model = detect.fit_reconstruction_blocks(packed, ["v"], "draw", ks=(2,))
+    scores = detect.reconstruction_score_blocks(blocks.pack(wave, ["v"], ["s"]), ["v"], model)
+    want = sorted(r.window_ts for r in scores.where("score > 0.5").collect())
+    late = (F.col("s") == "b") & (F.col("ts") == F.lit(dt.datetime(2024, 1, 3, 10)))
+    _files(wave.where(~late), place("in"), ["2024-01-03 12:00:00"])
+    wave.where(late).coalesce(1).write.mode("append").parquet(place("in"))
+    old = spark.createDataFrame([(dt.datetime(2023, 12, 1), "b", 99.0)], wave.schema)
+    old.coalesce(1).write.mode("append").parquet(place("in"))
+    events = store.LogTable(spark, place("events"), schemas.ANOMALY_EVENTS)
+    start = lambda: jobs.stream_anomaly(
+        jobs.read_stream(spark, place("in"), wave.schema, files_per_batch=1), place("context"), events, place("cp"), model,
+        ["v"], 0.5, series=["s"], lateness="3 days").awaitTermination()
+    start()
+    got = sorted(r.ts for r in events.rows().collect())
+    assert want and got == want
+    held = jobs.Context(spark, place("context"))
+    last = held.batches()[-1]
+    assert len(held.batches()) <= 2
+    rows_held = lambda: sorted(map(tuple, spark.read.parquet(f"{place('context')}/batch={last}").collect()))
+    before = rows_held()
+    assert before and min(r[1] for r in before) >= dt.datetime(2024, 1, 1)
+    commits = spark._jvm.java.io.File(f"{place('cp')}/commits").listFiles()
+    newest = max((f for f in commits if f.getName().isdigit()), key=lambda f: int(f.getName()))
+    newest.delete()
+    spark._jvm.java.io.File(newest.getParent(), f".{newest.getName()}.crc").delete()
+    start()
+    assert sorted(r.ts for r in events.rows().collect()) == want and rows_held() == before
+
+
 def test_rows_of_any_lateness_reach_the_rollup(spark, rows, place):
     t = dt.datetime(2024, 1, 20, 12)
     raw = store.LogTable(spark, place("raw"), schemas.SPP_PRICES)
