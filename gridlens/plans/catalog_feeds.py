@@ -187,7 +187,7 @@ def _(v):
     return feeds.extract_list_items(v.table("pages"))
 
 
-def _condition_pages(v):
+def _condition_pages(v, conditions=None):
     """An HTML table of labelled values per snapshot."""
     def line(label, cell):
         return F.concat(F.lit(f"<tr><td>{label}</td><td>"), cell, F.lit("</td></tr>"))
@@ -203,7 +203,8 @@ def _condition_pages(v):
         line("Total PVGR Output", F.concat(F.format_number("solar", 2), F.lit(" MW"))),
         line("Operating State &amp; Note", F.lit("<b>Normal</b>")),
         F.lit("<tr><td>lonely</td><td></td></tr></table></html>"))
-    return v.conditions.select(F.col("event_id").alias("page_id"), "ts", body.alias("html"))
+    return (v.conditions if conditions is None else conditions).select(
+        F.col("event_id").alias("page_id"), "ts", body.alias("html"))
 
 
 helper("h_kv", """
@@ -223,7 +224,26 @@ def _(v):
 @query("s13_pick_metric", "page_id", "demand capacity wind solar freq", """
 SELECT event_id AS page_id, round(demand) AS demand, capacity, wind, solar, freq FROM fx_conditions""")
 def _(v):
-    return feeds.pick_metric(feeds.kv_from_rows(feeds.extract_rows(_condition_pages(v))))
+    return feeds.page_figures(_condition_pages(v))
+
+
+@query("s13_pick_from_cells", "page_id", "demand capacity wind solar freq", """
+SELECT event_id AS page_id, round(demand) AS demand, capacity, wind, solar, freq FROM fx_conditions""")
+def _(v):
+    """From cells that lie in rows of their own, whoever took them from the page."""
+    return feeds.pick_metric(feeds.kv_from_cells(feeds.extract_cells(_condition_pages(v))))
+
+
+@query("s13_pick_snapshot", "page_id", "demand capacity wind solar freq", """
+SELECT event_id AS page_id, round(demand) AS demand, capacity, wind,
+  CASE WHEN event_id % 3 = 0 THEN solar ELSE solar * 2 END AS solar, freq FROM fx_conditions""")
+def _(v):
+    """By the wider fragments of snapshots: a page that names its solar figure otherwise still has one."""
+    renamed = F.when(F.col("page_id") % 3 == 0, F.col("html")).otherwise(
+        F.replace("html", F.lit("Total PVGR Output"), F.lit("PVGR Today")))
+    doubled = v.conditions.withColumn("solar", F.when(F.col("event_id") % 3 == 0, F.col("solar")).otherwise(F.col("solar") * 2))
+    pages = _condition_pages(v, doubled).withColumn("html", renamed)
+    return feeds.page_figures(pages, feeds.CONDITION_KEYS | feeds.SNAPSHOT_KEYS)
 
 
 @query("s14_fuel_pivot", "ts", "Wind Solar Natural_Gas Coal Nuclear", """

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from gridlens import schemas
 from gridlens.functions import scalars as fn
-from gridlens.operators import aggregates
+from gridlens.operators import aggregates, blocks
 from gridlens.operators import datasets as ds
 from gridlens.operators import detect, forecast, joins, ordered, reports
 from gridlens.operators import evaluate as ev
@@ -269,20 +270,18 @@ def _smoothed(v):
     rows = _split_readings(v)
     scaler = ds.fit_scaler(rows.where("is_train"), _WINDOW)
     graph = ds.collect_graph(ds.correlation_graph(rows, _WINDOW))
-    smooth, names = forecast.smoothed_features(rows.withColumn("target", F.col("load_mw")), scaler, graph)
-    # Written, so that no plan repeats the sums over all features for each of its windows.
-    return materialise(smooth.select(*READING_ORDER, *names, "target"), "smooth"), names
+    return forecast.smoothed_features(rows.withColumn("target", F.col("load_mw")), scaler, graph)
 
 
 @query("f2_fit_graph_load", "horizon metric", "value")
 def _(v):
+    """Errors over the windows after the training windows, by horizon."""
     smooth, names = _smoothed(v)
+    packed = blocks.pack(smooth, [*names, "target"], order=READING_ORDER, horizon=max(forecast.HORIZONS))
     parts = []
     for horizon in forecast.HORIZONS:
-        windows = ds.sliding_windows(smooth, names, "target", order=READING_ORDER, horizon=horizon)
-        windows = materialise(ds.window_split(windows), "windows")
-        model = forecast.fit_graph_load(windows, horizon)
-        scored = model.predict(windows.where(~F.col("is_train")))
+        model = forecast.fit_window_load(packed, names, "target", horizon)
+        scored = forecast.window_forecasts(packed, model, "target").where(~F.col("is_train"))
         parts.append(scored.agg(ev.mape("y").alias("mape"), ev.mae("y").alias("mae"))
                      .withColumn("horizon", F.lit(horizon)))
     return reports.union_records(parts).unpivot(["horizon"], ["mape", "mae"], "metric", "value")
@@ -296,13 +295,11 @@ FROM (SELECT price_usd_mwh AS x, lead(price_usd_mwh, 1) OVER o AS y, row_number(
 WHERE rn < floor(windows * 0.85::DOUBLE)""")
 def _(v):
     """The window regression where it has a closed form: one row, one feature, squared loss."""
-    windows = ds.sliding_windows(v.prices, ["price_usd_mwh"], "price_usd_mwh", order=ORDER, seq_len=1)
-    windows = materialise(ds.window_split(windows), "windows")
-    fitted = forecast.fit_graph_load(windows, 1, loss="squared", penalty=0.0)
-    slope = float(fitted.model.coefficients[0]) * fitted.scale.std
-    intercept = fitted.scale.mean + fitted.model.intercept * fitted.scale.std
-    return windows.where("is_train").agg(F.count(F.lit(1)).alias("n")).withColumns(
-        {"intercept": F.lit(intercept), "slope": F.lit(slope)})
+    packed = blocks.pack(v.prices, ["price_usd_mwh"], order=ORDER, seq_len=1, horizon=1)
+    fitted = forecast.fit_window_load(packed, ["price_usd_mwh"], "price_usd_mwh", 1, loss="squared", penalty=0.0)
+    scored = forecast.window_forecasts(packed, fitted, "price_usd_mwh")
+    return scored.where("is_train").agg(F.count(F.lit(1)).alias("n")).withColumns(
+        {"intercept": F.lit(fitted.intercept), "slope": F.lit(float(fitted.coefficients[0]))})
 
 
 def _targets_sql():
@@ -345,14 +342,14 @@ def _price_features(v):
     return materialise(ds.engineer_price(rows, SERIES, ORDER), "price_features")
 
 
-def _price_window_models(rows, series, horizons=forecast.HORIZONS):
+def _price_blocks(v, series, seq_len=24):
+    return blocks.pack(_price_features(v), schemas.PRICE_FEATURES, series, ORDER, seq_len, max(forecast.HORIZONS))
+
+
+def _price_window_models(packed):
     """A model per series and horizon, fitted on the training windows of 24 rows."""
-    models = []
-    for h in horizons:
-        windows = ds.sliding_windows(rows, schemas.PRICE_FEATURES, "price_usd_mwh", series, ORDER, horizon=h)
-        train = materialise(ds.window_split(windows).where("is_train"), "windows")
-        models.append(forecast.fit_price_windows(train, series, h))
-    return materialise(reports.union_records(models), "models")
+    models = blocks.fit_ridge(packed, schemas.PRICE_FEATURES, "price_usd_mwh", forecast.HORIZONS, ratio=0.85)
+    return materialise(models, "models")
 
 
 def _short(models):
@@ -361,14 +358,49 @@ def _short(models):
 
 @query("f3_fit_price_windows", "settlement_point market_type horizon n coefficients", "intercept")
 def _(v):
-    return _short(_price_window_models(_price_features(v), SERIES))
+    return _short(_price_window_models(_price_blocks(v, SERIES)))
+
+
+helper("h_two_rows", f"""
+SELECT settlement_point, market_type, h.horizon, y, x1, x2 FROM (
+  SELECT settlement_point, market_type, price_usd_mwh AS x1, lead(price_usd_mwh, 1) OVER w AS x2,
+         lead(price_usd_mwh, 2) OVER w AS y1, lead(price_usd_mwh, 25) OVER w AS y24 FROM fx_spp_prices WINDOW w AS ({_PW})),
+  LATERAL (SELECT unnest([1, 24]) AS horizon, unnest([y1, y24]) AS y) h WHERE y IS NOT NULL""")
+helper("h_two_row_models", """
+SELECT settlement_point, market_type, horizon, n, b1, b2, my - b1 * m1 - b2 * m2 AS intercept FROM (
+  SELECT *, (c1 * v2 - c2 * v12) / (v1 * v2 - v12 * v12) AS b1, (c2 * v1 - c1 * v12) / (v1 * v2 - v12 * v12) AS b2 FROM (
+    SELECT settlement_point, market_type, horizon, count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2,
+      covar_pop(y, x1) AS c1, covar_pop(y, x2) AS c2, covar_pop(x1, x2) AS v12, var_pop(x1) AS v1, var_pop(x2) AS v2
+    FROM h_two_rows GROUP BY 1, 2, 3 HAVING count(*) >= 72))""")
+
+
+def _two_row_models(v):
+    packed = blocks.pack(v.prices, ["price_usd_mwh"], SERIES, ORDER, 2, max(forecast.HORIZONS))
+    models = blocks.fit_ridge(packed, ["price_usd_mwh"], "price_usd_mwh", forecast.HORIZONS, penalty=0.0)
+    return packed, materialise(models, "models")
+
+
+@query("f3_fit_two_rows", "settlement_point market_type horizon n", "intercept b1 b2", "SELECT * FROM h_two_row_models")
+def _(v):
+    """The window regression per series where it has a closed form: two rows, one feature, no penalty."""
+    weights = F.col("coefficients")
+    return _two_row_models(v)[1].withColumns({"b1": weights[0], "b2": weights[1]})
+
+
+@query("f4_predict_two_rows", "event_id horizon", "y_hat", f"""
+SELECT event_id, horizon, intercept + b1 * x1 + b2 * x2 AS y_hat FROM (
+  SELECT settlement_point, market_type, event_id, price_usd_mwh AS x2, lag(price_usd_mwh, 1) OVER w AS x1
+  FROM fx_spp_prices WINDOW w AS ({_PW})) JOIN h_two_row_models USING (settlement_point, market_type)
+WHERE x1 IS NOT NULL""")
+def _(v):
+    packed, models = _two_row_models(v)
+    return blocks.predict(packed, ["price_usd_mwh"], models)
 
 
 @query("f4_predict_windows", "settlement_point market_type window_ts event_id horizon", "y_hat")
 def _(v):
-    rows = _price_features(v)
-    windows = ds.scoring_windows(rows, schemas.PRICE_FEATURES, SERIES, ORDER)
-    return forecast.predict_price_windows(windows, _price_window_models(rows, SERIES), SERIES)
+    packed = _price_blocks(v, SERIES)
+    return blocks.predict(packed, schemas.PRICE_FEATURES, _price_window_models(packed))
 
 
 @query("f5_ensemble", "series horizon ts", "y y_hat", """
@@ -431,10 +463,46 @@ def _(v):
         "version": F.col("version").cast("int")})
 
 
+helper("h_two_price_rows", """
+SELECT * FROM (
+  SELECT ts, price_usd_mwh AS x1, lead(price_usd_mwh, 1) OVER w AS x2, lead(price_usd_mwh, 2) OVER w AS y,
+         row_number() OVER w - 1 AS rn, count(*) OVER () - 2 AS windows FROM fx_spp_prices WINDOW w AS (ORDER BY ts, event_id))
+WHERE rn < floor(windows * 0.85::DOUBLE)""")
+
+
+@query("f8_forecast_latest", "model_id window_ts horizon", "y_hat", """
+SELECT 'load_1h' AS model_id, window_ts, 1 AS horizon, my + b1 * (p1 - m1) + b2 * (p2 - m2) AS y_hat FROM (
+  SELECT *, (c1 * v2 - c2 * v12) / (v1 * v2 - v12 * v12) AS b1, (c2 * v1 - c1 * v12) / (v1 * v2 - v12 * v12) AS b2 FROM (
+    SELECT avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, covar_pop(y, x1) AS c1, covar_pop(y, x2) AS c2,
+      covar_pop(x1, x2) AS v12, var_pop(x1) AS v1, var_pop(x2) AS v2 FROM h_two_price_rows)), (
+  SELECT max(ts) AS window_ts, arg_max(price_usd_mwh, (ts, event_id)) AS p2, arg_min(price_usd_mwh, (ts, event_id)) AS p1
+  FROM (SELECT * FROM fx_spp_prices ORDER BY ts DESC, event_id DESC LIMIT 2))""")
+def _(v):
+    """Fit, store, resolve, load, and forecast from the newest rows: nothing but the registry row and they are read.
+
+    Windows of two rows of one feature, whose regression has a closed form.
+    """
+    rows = v.prices.select("ts", "event_id", "price_usd_mwh")
+    numbered = ordered.chrono_split(rows, [], ORDER)
+    scaler = ds.fit_scaler(numbered.where("is_train"), ["price_usd_mwh"])
+    graph = ds.collect_graph(ds.correlation_graph(rows, ["price_usd_mwh"]))
+    smooth, names = forecast.smoothed_features(rows.withColumn("target", F.col("price_usd_mwh")), scaler, graph)
+    packed = blocks.pack(smooth, [*names, "target"], order=ORDER, seq_len=2, horizon=1)
+    fitted = forecast.fit_window_load(packed, names, "target", 1, loss="squared", penalty=0.0)
+    path = scratch_path(v.spark, "registry")
+    forecast.write_registry(v.spark, path, [
+        forecast.save_model(fitted, path, "load_1h", "load", 1, scaler=scaler, graph=graph)])
+    registry = forecast.read_registry(v.spark, path)
+    asked = v.spark.createDataFrame([("load", "HB_NORTH", 1)], "kind string, hub string, horizon int")
+    found = forecast.resolve_model(asked, registry).first()["model_id"]
+    row = registry.where(F.col("model_id") == found).first()
+    latest = forecast.forecast_latest(row, rows, ties=["event_id"], seq_len=2)
+    return latest.withColumn("model_id", F.lit(found))
+
+
 @query("f8_window_registry", "model_id hub horizon version features n coefficients", "intercept")
 def _(v):
-    hub = ["settlement_point"]
-    models = _price_window_models(_price_features(v), hub)
+    models = _price_window_models(_price_blocks(v, ["settlement_point"]))
     path = scratch_path(v.spark, "registry")
     for version in (1, 2):
         forecast.append_registry(
@@ -447,25 +515,64 @@ def _(v):
 
 # Anomalies and rules ------------------------------------------------------------------------
 
-def _reading_windows(v):
-    rows = materialise(engineered(v), "engineered")
-    scaler = ds.fit_scaler(rows, _WINDOW)
-    return materialise(ds.scoring_windows(scaler.transform(rows), _WINDOW, order=READING_ORDER), "windows")
+def reading_blocks(v):
+    """Scaled readings in blocks, and as rows."""
+    rows = materialise(engineered(v), "engineered").withColumn("draw", detect.hold_out_draw(["ts"]))
+    rows = ds.fit_scaler(rows, _WINDOW).transform(rows)
+    return blocks.pack(rows, [*_WINDOW, "draw"], order=READING_ORDER), rows
 
 
-@query("d1_fit_reconstruction", "k chosen", "hold_out_error")
-def _(v):
-    windows = _reading_windows(v)
-    model = detect.fit_reconstruction(windows)
+def _errors(v, model):
     cells = [F.struct(F.lit(k).alias("k"), F.lit(k == model.k).alias("chosen"), F.lit(e).alias("hold_out_error"))
              for k, e in model.hold_out_error.items()]
     return v.spark.range(1).select(F.inline(F.array(*cells)))
 
 
+@query("d1_fit_reconstruction", "k chosen", "hold_out_error")
+def _(v):
+    return _errors(v, detect.fit_reconstruction_blocks(reading_blocks(v)[0], _WINDOW, "draw"))
+
+
 @query("d2_reconstruction_score", "window_ts", "score")
 def _(v):
-    windows = _reading_windows(v)
-    return detect.reconstruction_score(windows, detect.fit_reconstruction(windows))
+    packed, _ = reading_blocks(v)
+    return detect.reconstruction_score_blocks(
+        packed, _WINDOW, detect.fit_reconstruction_blocks(packed, _WINDOW, "draw"))
+
+
+# Windows of two rows of one feature: principal axes in closed form. The draw follows from the row's id.
+helper("h_two_cells", """
+SELECT *, (event_id * 48271) % 1000000 < greatest(0.12::DOUBLE, 8.0 / count(*) OVER ()) * 1000000 AS held FROM (
+  SELECT ts, event_id, lag(price_usd_mwh, 1) OVER w AS p, price_usd_mwh AS q
+  FROM fx_spp_prices WINDOW w AS (ORDER BY ts, event_id)) WHERE p IS NOT NULL""")
+helper("h_two_cell_axis", """
+SELECT mp, mq, b / sqrt(b * b + (l - a) * (l - a)) AS u, (l - a) / sqrt(b * b + (l - a) * (l - a)) AS v FROM (
+  SELECT *, (a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) AS l FROM (
+    SELECT avg(p) AS mp, avg(q) AS mq, var_samp(p) AS a, covar_samp(p, q) AS b, var_samp(q) AS c
+    FROM h_two_cells WHERE NOT held))""")
+helper("h_two_cell_scores", """
+SELECT ts, event_id, held, greatest(0, ((p - mp) * (p - mp) + (q - mq) * (q - mq)
+  - ((p - mp) * u + (q - mq) * v) * ((p - mp) * u + (q - mq) * v)) / 2) AS score FROM h_two_cells, h_two_cell_axis""")
+
+
+def two_cell_blocks(v):
+    draw = F.pmod(F.col("event_id") * 48271, F.lit(1_000_000)).cast("double")
+    return blocks.pack(v.prices.withColumn("draw", draw), ["price_usd_mwh", "draw"], order=ORDER, seq_len=2)
+
+
+@query("d1_fit_two_cells", "k chosen", "hold_out_error", """
+SELECT 1 AS k, avg(score) <= 0 AS chosen, avg(score) AS hold_out_error FROM h_two_cell_scores WHERE held
+UNION ALL SELECT 2, avg(score) > 0, 0.0 FROM h_two_cell_scores WHERE held""")
+def _(v):
+    return _errors(v, detect.fit_reconstruction_blocks(two_cell_blocks(v), ["price_usd_mwh"], "draw", ks=(1, 2)))
+
+
+@query("d2_score_two_cells", "window_ts event_id", "score",
+       "SELECT ts AS window_ts, event_id, score FROM h_two_cell_scores")
+def _(v):
+    packed = two_cell_blocks(v)
+    model = detect.fit_reconstruction_blocks(packed, ["price_usd_mwh"], "draw", ks=(1,))
+    return detect.reconstruction_score_blocks(packed, ["price_usd_mwh"], model)
 
 
 helper("h_scores", "SELECT l_orderkey, l_linenumber, ts, abs(y - y_hat) AS score FROM fx_pred")
@@ -517,6 +624,44 @@ def _(v):
         F.count(F.lit(1)).alias("n"), F.min("score").alias("low"), F.max("score").alias("high"))
 
 
+#: Three small trees, as a fitted forest holds them: feature (-1 in a leaf), split, children, path length.
+_TREES = [
+    {"feature": [0, 1, -1, -1, -1], "split": [100000.0, 20.0, 0.0, 0.0, 0.0], "left": [1, 3, -1, -1, -1],
+     "right": [2, 4, -1, -1, -1], "depth": [0.0, 0.0, 1.0, 3.5, 2.0]},
+    {"feature": [1, -1, 0, -1, -1], "split": [60.0, 0.0, 250000.0, 0.0, 0.0], "left": [1, -1, 3, -1, -1],
+     "right": [2, -1, 4, -1, -1], "depth": [0.0, 6.25, 0.0, 4.0, 2.0]},
+    {"feature": [0, -1, 1, -1, -1], "split": [30000.0, 0.0, 110.0, 0.0, 0.0], "left": [1, -1, 3, -1, -1],
+     "right": [2, -1, 4, -1, -1], "depth": [0.0, 1.0, 0.0, 5.75, 2.0]}]
+_TREE_ROWS, _TREE_FEATURES = 256, ["load_mw", "temperature_2m"]
+
+
+def _path_sql(tree, node=0):
+    """The path length of a row as nested CASEs."""
+    if tree["feature"][node] < 0:
+        return repr(tree["depth"][node])
+    test = f"{_TREE_FEATURES[tree['feature'][node]]} <= {tree['split'][node]!r}"
+    return f"CASE WHEN {test} THEN {_path_sql(tree, tree['left'][node])} ELSE {_path_sql(tree, tree['right'][node])} END"
+
+
+helper("h_isolation", f"""
+SELECT event_id, pow(2.0, -(({' + '.join(_path_sql(t) for t in _TREES)}) / 3)
+  / (2 * (ln({_TREE_ROWS} - 1) + 0.5772156649015329) - 2 * ({_TREE_ROWS} - 1.0) / {_TREE_ROWS})) AS score
+FROM fx_readings WHERE load_mw IS NOT NULL AND temperature_2m IS NOT NULL""")
+
+
+def _given_forest():
+    trees = [{k: np.asarray(c) for k, c in t.items()} for t in _TREES]
+    return detect.IsolationForest(_TREE_FEATURES, trees, _TREE_ROWS)
+
+
+@query("d6_isolation_score", "event_id label", "score", """
+SELECT event_id, score, CASE WHEN score > t THEN -1 ELSE 1 END AS label
+FROM h_isolation, (SELECT quantile_cont(score, 0.95) AS t FROM h_isolation)""")
+def _(v):
+    """Path lengths, scores and labels of every row by trees that are known."""
+    return detect.isolation_labels(detect.isolation_score(v.readings, _given_forest()), 0.05)
+
+
 @query("d7_anomaly_overlay", "ts method", "load_mw", """
 SELECT ts, load_mw, 'low' AS method FROM fx_grid_load WHERE ts IN (
   SELECT date_trunc('hour', ts) FROM fx_conditions WHERE demand > 80000)

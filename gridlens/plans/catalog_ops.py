@@ -9,10 +9,11 @@ from gridlens import schemas
 from gridlens.functions import scalars as fn
 from gridlens.operators import aggregates, detect
 from gridlens.operators.aggregates import price_rollup
-from gridlens.operators import datasets as ds
+from gridlens.operators.blocks import SEQ_LEN
 from gridlens.operators.ordered import exact_percentile
 from gridlens.plans import queries as q
 from gridlens.plans.catalog_feeds import alert_table
+from gridlens.plans.catalog_models import reading_blocks, two_cell_blocks
 from gridlens.plans.catalog_series import ROLLUP, SERIES
 from gridlens.plans.fixtures import AS_OF, TABLES, VIEWS
 from gridlens.plans.registry import helper, query
@@ -155,6 +156,24 @@ def _paths(v, *labels):
     return [f"{root}/{label}" for label in labels]
 
 
+#: Stretches of time that a query's rows are put into files by, one micro-batch each.
+STRETCHES = 4
+
+
+def _in_stretches(v, rows, label, newest_first=False):
+    """The rows as files written stretch after stretch, and how many files a stretch has at most."""
+    folder = f"{scratch_path(v.spark, label)}/rows"
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    files = int(v.spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = [first + (last - first) * k / STRETCHES for k in range(1, STRETCHES)]
+    spans = list(zip([None, *edges], [*edges, None]))
+    for low, high in reversed(spans) if newest_first else spans:
+        part = rows.where(F.lit(True) if low is None else F.col("ts") >= F.lit(low).cast(rows.schema["ts"].dataType))
+        part = part.where(F.lit(True) if high is None else F.col("ts") < F.lit(high).cast(rows.schema["ts"].dataType))
+        part.repartition(files).write.mode("append").parquet(folder)
+    return folder, files
+
+
 @query("x1_stream_rollup", *ROLLUP, "SELECT * FROM h_rollup")
 def _(v):
     table, checkpoint = _paths(v, "rollup", "checkpoint")
@@ -163,6 +182,29 @@ def _(v):
     return rollup.latest()
 
 
+@query("x1_stream_refresh", *ROLLUP, "SELECT * FROM h_rollup")
+def _(v):
+    """Stretches arrive in reverse: most rows are days late, and their buckets are rebuilt from the raw table."""
+    folder, files = _in_stretches(v, v.prices, "late", newest_first=True)
+    raw_path, table, checkpoint = _paths(v, "raw", "rollup", "checkpoint")
+    rollup, raw = jobs.rollup_table(v.spark, table), store.LogTable(v.spark, raw_path, schemas.SPP_PRICES)
+    stream = jobs.read_stream(v.spark, folder, v.prices.schema, files)
+    jobs.stream_refresh(stream, raw, rollup, checkpoint).awaitTermination()
+    return rollup.latest()
+
+
+@query("x1_partial_rollup", *ROLLUP, "SELECT * FROM h_rollup")
+def _(v):
+    """The same by partial aggregates, half of the days rewritten in between."""
+    folder, files = _in_stretches(v, v.prices, "late", newest_first=True)
+    table, checkpoint = _paths(v, "rollup", "checkpoint")
+    rollup = store.RollupLog(v.spark, table)
+    stream = jobs.read_stream(v.spark, folder, v.prices.schema, files)
+    jobs.stream_partial_rollup(stream, rollup, checkpoint).awaitTermination()
+    rollup.compact(as_of="2024-01-18 00:00:00", older_than_days=2)
+    return rollup.rollup()
+
+
 @query("x2_refresh_rollup", *ROLLUP, """
 SELECT * FROM h_rollup WHERE bucket >= TIMESTAMP '2024-01-17 12:00:00' AND bucket <= TIMESTAMP '2024-01-20 10:00:00'""")
 def _(v):
@@ -207,31 +249,35 @@ def _(v):
     return alerts.rows()
 
 
-def windows_schema():
-    return T.StructType([schemas.GRID_LOAD["ts"], T.StructField("event_id", T.LongType()),
-                         schemas.GRID_LOAD["load_mw"], schemas.WEATHER["temperature_2m"]])
+def _flagged_stream(v, rows, features, model, threshold, seq_len=SEQ_LEN):
+    """Events of the rows, streamed stretch by stretch."""
+    folder, files = _in_stretches(v, rows.select("ts", "event_id", *features), "stretches")
+    context, events_path, checkpoint = _paths(v, "context", "events", "checkpoint")
+    events = store.LogTable(v.spark, events_path, schemas.ANOMALY_EVENTS)
+    schema = rows.select("ts", "event_id", *features).schema
+    jobs.stream_anomaly(jobs.read_stream(v.spark, folder, schema, files), context, events, checkpoint, model, features,
+                        threshold, ties=["event_id"], seq_len=seq_len).awaitTermination()
+    return events.rows()
 
 
-READING_ORDER = ["ts", "event_id"]
-READING_KEY = ["window_ts", "event_id"]
+@query("x6_stream_anomaly", "ts anomaly_type", "severity")
+def _(v):
+    """Windows of 24 rows of all load features, by the model and threshold of the whole table."""
+    packed, rows = reading_blocks(v)
+    model = detect.fit_reconstruction_blocks(packed, schemas.LOAD_FEATURES, "draw")
+    scores = materialise(detect.reconstruction_score_blocks(packed, schemas.LOAD_FEATURES, model), "scores")
+    return _flagged_stream(v, rows, schemas.LOAD_FEATURES, model, exact_percentile(scores, "score", 0.98))
 
 
-@query("x6_stream_anomaly", "ts anomaly_type", "severity")
+@query("x6_stream_two_cells", "ts anomaly_type", "severity", """
+SELECT ts, 'reconstruction' AS anomaly_type, round(score, 4) AS severity
+FROM h_two_cell_scores, (SELECT quantile_cont(score, 0.98) AS t FROM h_two_cell_scores) WHERE score > t""")
 def _(v):
-    features = ["load_mw", "temperature_2m"]
-    rows = v.readings.select("ts", "event_id", *features).dropna()
-    scaler = ds.fit_scaler(rows, features)
-    windows = materialise(ds.scoring_windows(scaler.transform(rows), features, order=READING_ORDER), "windows")
-    model = detect.fit_reconstruction(windows, READING_KEY)
-    scores = materialise(detect.reconstruction_score(windows, model), "scores")
-    threshold = exact_percentile(scores, "score", 0.98)
-    history_path, events_path, checkpoint = _paths(v, "history", "events", "checkpoint")
-    history = store.LogTable(v.spark, history_path, windows_schema(), READING_ORDER)
-    events = store.LogTable(v.spark, events_path, schemas.ANOMALY_EVENTS)
-    stream = scaler.transform(_stream(v, "fx_readings").select("ts", "event_id", *features))
-    jobs.stream_anomaly(stream, history, events, checkpoint, model, features, threshold,
-                        ties=["event_id"]).awaitTermination()
-    return events.rows()
+    """The same for windows of two rows of one feature, whose scores have a closed form."""
+    packed = two_cell_blocks(v)
+    model = detect.fit_reconstruction_blocks(packed, ["price_usd_mwh"], "draw", ks=(1,))
+    scores = materialise(detect.reconstruction_score_blocks(packed, ["price_usd_mwh"], model), "scores")
+    return _flagged_stream(v, v.prices, ["price_usd_mwh"], model, exact_percentile(scores, "score", 0.98), seq_len=2)
 
 
 @query("x7_poll_cadence", "settlement_point market_type n", "", """

@@ -197,6 +197,29 @@ def _(v):
     return aggregates.readiness(rows, ["settlement_point", "market_type"], "price")
 
 
+_GATED = ["price_usd_mwh", "high", "load_mw", "never", "no_such_column"]
+
+
+@query("a11_feature_gate", "settlement_point market_type n_features n_rows ready", "", """
+SELECT settlement_point, market_type, 1 + (count(high) > 0)::INT + (count(load_mw) > 0)::INT AS n_features,
+  count(*) FILTER ((high IS NOT NULL OR NOT any_high) AND (load_mw IS NOT NULL OR NOT any_load)) AS n_rows,
+  1 + (count(high) > 0)::INT + (count(load_mw) > 0)::INT >= 3 AND count(*) FILTER (
+    (high IS NOT NULL OR NOT any_high) AND (load_mw IS NOT NULL OR NOT any_load)) >= 72 AS ready
+FROM (SELECT *, count(high) OVER o > 0 AS any_high, count(load_mw) OVER o > 0 AS any_load FROM (
+        SELECT p.settlement_point, p.market_type, p.price_usd_mwh, g.load_mw,
+               CASE WHEN p.price_usd_mwh > 100 AND p.settlement_point <> 'HB_WEST' THEN p.price_usd_mwh END AS high
+        FROM fx_spp_prices p LEFT JOIN (SELECT * FROM fx_grid_load WHERE load_mw > 200000) g
+          ON date_trunc('hour', p.ts) = g.ts)
+      WINDOW o AS (PARTITION BY settlement_point, market_type)) GROUP BY 1, 2""")
+def _(v):
+    price = F.col("price_usd_mwh")
+    busy = v.load.where("load_mw > 200000").select(F.col("ts").alias("_hour"), "load_mw")
+    rows = (v.prices.withColumns({"_hour": fn.hour_of("ts"), "never": F.lit(float("nan")),
+                                  "high": F.when((price > 100) & (F.col("settlement_point") != "HB_WEST"), price)})
+            .join(busy, "_hour", "left"))
+    return aggregates.feature_gate(rows, SERIES, _GATED)
+
+
 # Ordered operators over every price row, per hub and market -------------------------------------
 
 SERIES = ["settlement_point", "market_type"]
@@ -423,6 +446,17 @@ def _(v):
     return ev.metric_rows(v.pred)
 
 
+@query("e6_hub_metrics", "model_name horizon metric_name notes", "metric_value", """
+SELECT model_name, horizon, 'mape' AS metric_name, avg(abs((y - y_hat) / (y + 1e-8))) * 100 AS metric_value,
+  'settlement_point=HB_' || (l_orderkey % 5) AS notes FROM fx_pred GROUP BY ALL
+UNION ALL SELECT model_name, horizon, 'mae', avg(abs(y - y_hat)), 'settlement_point=HB_' || (l_orderkey % 5)
+FROM fx_pred GROUP BY ALL""")
+def _(v):
+    """Errors of models per hub, whose notes say which hub."""
+    rows = v.pred.withColumn("settlement_point", F.concat(F.lit("HB_"), (F.col("l_orderkey") % 5).cast("string")))
+    return ev.hub_notes(ev.metric_rows(rows, ["model_name", "horizon", "settlement_point"]))
+
+
 @query("e7_residual_table", "l_orderkey l_linenumber ts", "actual predicted residual", """
 SELECT l_orderkey, l_linenumber, ts, y AS actual, y_hat AS predicted, y - y_hat AS residual FROM fx_pred""")
 def _(v):
