@@ -23,14 +23,16 @@ from gridlens.llm.language import FEATURES, features, fit_linear, trigram_counts
 from gridlens.llm.store import written
 from gridlens.llm.textops import NOT_LETTERS, U64, flatten, pieces, prepare, words
 
-#: Labelled documents of each kind (junk, toxic, good) that are fitted on at most, picked by a hash of their id.
+#: Labelled documents of each kind (good, junk, toxic, both) that are fitted on at most, picked by a hash of their id.
 SAMPLE = 1200
 TERMS = 1 << 18
 #: Figures of a text's shape that the style classifier sees beside its trigrams, and the trigrams from which a text
 #: is more itself than the average text.
 SHAPE, ENOUGH = 8, 150
-#: Documents of prior weight for a term's rates, and the log ratio from which a term counts.
-TERM_PRIOR, TERM_FLOOR = 5.0, 1.5
+#: Occurrences of prior weight for a term's rates, and the log ratio from which a term counts.
+TERM_PRIOR, TERM_FLOOR = 3.0, 1.5
+#: Words by which a text's length is raised where its terms are set against it.
+LENGTH = 40
 #: Strength of a prior when sites do not differ at all.
 MOST_STRENGTH = 1e9
 KEEP_FROM = 0.5
@@ -76,11 +78,14 @@ def _style(counts: np.ndarray, shape: np.ndarray) -> np.ndarray:
     return np.concatenate([features(counts), shape], 1) * np.sqrt(seen / (seen + ENOUGH)).astype(np.float32)
 
 
-def _term_features(weights: np.ndarray, bucket: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+def _term_features(weights: np.ndarray, bucket: np.ndarray, owner: np.ndarray, times: np.ndarray, n: int) -> np.ndarray:
+    """The strongest term, and what all terms add up to with all their repeats against the text's length: long texts
+    hold a stray term or two that mean nothing."""
     excess = weights[bucket]
     most = np.zeros(n, np.float32)
     np.maximum.at(most, owner, excess)
-    return np.stack([most, np.minimum(np.bincount(owner, excess, n), 30) / 5], 1).astype(np.float32)
+    whole, words_in = np.bincount(owner, excess * times, n), np.bincount(owner, times, n)
+    return np.stack([most / 5, np.minimum(10 * whole / (LENGTH + words_in) ** 0.75, 10)], 1).astype(np.float32)
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,12 +98,13 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shape = _shape(part, bounds, owner, times)
             edge = np.searchsorted(owner, np.arange(b - a + 1))
             cells = [(np.flatnonzero(c).astype("<u2").tobytes(), c[c > 0].astype("<u4").tobytes(),
-                      bucket[edge[i] : edge[i + 1]].astype("<u4").tobytes(), shape[i].astype("<f4").tobytes())
+                      bucket[edge[i] : edge[i + 1]].astype("<u4").tobytes(),
+                      times[edge[i] : edge[i + 1]].astype("<u4").tobytes(), shape[i].astype("<f4").tobytes())
                      for i, c in enumerate(counts)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a),
-                 *[pa.array([c[i] for c in cells], pa.binary()) for i in range(4)]],
-                names=["kind", "weight", "at", "count", "terms", "shape"])
+                 *[pa.array([c[i] for c in cells], pa.binary()) for i in range(5)]],
+                names=["kind", "weight", "at", "count", "terms", "times", "shape"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -109,9 +115,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ``toxic`` counts as 0, of repeated ids one row counts. With no labels of one kind its classifier is neutral.
     """
     prepare(docs.sparkSession)
-    kind = F.when(F.col("quality") == 0, 0).when(F.coalesce("toxic", F.lit(0)) == 1, 1).otherwise(2)
+    # 0 good, 1 junk, 2 toxic, 3 both: junk that is toxic teaches either classifier.
+    kind = F.when(F.col("quality") == 0, 1).otherwise(0) + F.when(F.coalesce("toxic", F.lit(0)) == 1, 2).otherwise(0)
     told = (labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
-            .agg(F.min(kind).alias("kind")))
+            .agg(F.max(kind).alias("kind")))
     counts = {r["kind"]: r["count"] for r in told.groupBy("kind").count().collect()}
     model = Model(np.zeros(FEATURES + SHAPE + 1, np.float32), np.zeros(TERMS, np.float32), np.zeros(3, np.float32))
     if not counts:
@@ -119,11 +126,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = {k: min(1.0, sample / n) for k, n in counts.items()}
     chance = F.element_at(F.create_map(*[F.lit(x) for kv in share.items() for x in kv]), F.col("kind"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) / F.lit(1 << 20)
-    # At most about three times ``sample`` ids: their size is bounded whatever the tables'.
+    # At most about four times ``sample`` ids: their size is bounded whatever the tables'.
     drawn = F.broadcast(told.filter(draw < chance).select(F.col("doc_id").alias("id"), "kind", (1 / chance).alias("w")))
     rows = (docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(drawn, "id")
             .select("text", "kind", "w").mapInArrow(
-                _examples, "kind int, weight double, at binary, count binary, terms binary, shape binary").collect())
+                _examples, "kind int, weight double, at binary, count binary, terms binary, times binary, shape binary").collect())
     if not rows:
         return model
     label = np.array([r["kind"] for r in rows])
@@ -132,22 +139,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for i, r in enumerate(rows):
         x[i, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["count"], "<u4")
     x = _style(x, np.array([np.frombuffer(r["shape"], "<f4") for r in rows]))
-    junk = np.where(label == 0, 1, -1).astype(np.float32)[:, None]
+    junk = np.where(label % 2 == 1, 1, -1).astype(np.float32)[:, None]
     if abs(junk.mean()) < 1:
         w, b = fit_linear(x, junk, weight, steps=500, ridge=3e-6)
         model.style[:] = np.append(w[:, 0], b)
-    toxic = label == 1
+    toxic = label >= 2
     if toxic.any() and not toxic.all():
         used = np.zeros((2, TERMS))
         terms = [np.frombuffer(r["terms"], "<u4").astype(np.int64) for r in rows]
-        for t, flag in zip(terms, toxic):
-            used[int(flag), t] += 1
-        n = np.array([(~toxic).sum(), toxic.sum()], float)
-        rate = (used + TERM_PRIOR * (n / n.sum())[:, None]) / (n + TERM_PRIOR)[:, None]
-        model.terms[:] = np.maximum(np.log(rate[1] / rate[0]) - TERM_FLOOR, 0)
+        times = [np.frombuffer(r["times"], "<u4").astype(np.int64) for r in rows]
+        n = np.zeros(2)
+        for t, k, flag in zip(terms, times, toxic):
+            used[int(flag), t] += k
+            n[int(flag)] += k.sum()
+        rate = (used + TERM_PRIOR * (n / max(n.sum(), 1.0))[:, None]) / (n + TERM_PRIOR)[:, None]
+        model.terms[:] = np.maximum(np.log(np.maximum(rate[1], 1e-300) / np.maximum(rate[0], 1e-300)) - TERM_FLOOR, 0)
         owner = np.repeat(np.arange(len(rows)), [len(t) for t in terms])
-        f = _term_features(model.terms, np.concatenate(terms), owner, len(rows))
-        w, b = fit_linear(f, np.where(toxic, 1, -1).astype(np.float32)[:, None], weight, steps=400, ridge=1e-4)
+        f = _term_features(model.terms, np.concatenate(terms), owner, np.concatenate(times), len(rows))
+        # Toxic texts weigh as much as all others together: missing one costs more than losing a clean one.
+        even = weight / np.where(toxic, weight[toxic].sum(), weight[~toxic].sum())
+        w, b = fit_linear(f, np.where(toxic, 1, -1).astype(np.float32)[:, None], even, steps=800, ridge=1e-5)
         model.toxic[:] = np.append(w[:, 0], b)
     return model
 
@@ -169,7 +180,7 @@ def _evidence(model, names: list[str], n_carry: int):
                     junk = sigmoid(_style(trigram_counts(part, bounds), shape) @ m.style[:-1] + m.style[-1])
                 toxic = np.zeros(b - a)
                 if m.toxic.any():
-                    toxic = sigmoid(_term_features(m.terms, bucket, owner, b - a) @ m.toxic[:-1] + m.toxic[-1])
+                    toxic = sigmoid(_term_features(m.terms, bucket, owner, times, b - a) @ m.toxic[:-1] + m.toxic[-1])
                 good = np.where(np.bincount(owner, minlength=b - a) > 0, (1 - junk) * (1 - toxic), 0.0)
                 carried = [batch.column(1 + i).slice(a, b - a) for i in range(n_carry)]
                 yield pa.RecordBatch.from_arrays([*carried, pa.array(good.astype(np.float64))], names=names)
