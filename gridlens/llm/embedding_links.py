@@ -31,6 +31,8 @@ COSINE = 0.9
 LINES, WINDOW, MISS = 48, 2.0, 1e-8
 #: Vectors of a block, and those of it that are compared at once.
 BLOCK, ROWS = 2048, 256
+#: Candidates whose cosines are computed at once.
+PAIRS = 1 << 15
 
 
 def calibrated_count(lines: int = LINES, window: float = WINDOW, miss: float = MISS) -> int:
@@ -173,10 +175,10 @@ def _linked(ua: np.ndarray, ub: np.ndarray) -> np.ndarray:
     for i in range(0, len(ua), ROWS):
         passed = collisions(pa_[:, i : i + ROWS], pb, reach) >= need
         r, c = np.nonzero(passed)
-        if len(r) > 4 * ROWS:
-            out[i : i + ROWS] = passed & (ua[i : i + ROWS] @ ub.T >= COSINE)
-        elif len(r):
-            out[i + r, c] = (ua[i + r] * ub[c]).sum(1) >= COSINE
+        # Summed pair by pair, some at a time: a cosine must not depend on what else the block holds.
+        for k in range(0, len(r), PAIRS):
+            x, y = i + r[k : k + PAIRS], c[k : k + PAIRS]
+            out[x, y] = (ua[x] * ub[y]).sum(1) >= COSINE
     return out
 
 
