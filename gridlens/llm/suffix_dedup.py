@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from gridlens.llm.store import written
 from gridlens.llm.textops import (
-    _BASE, _BASE_INV, _BYTE, U64, flatten, mix, partitions, pieces, prepare, slide, window_hashes)
+    _BASE, _BASE_INV, _BYTE, U64, flatten, mix, pieces, prepare, slide, window_hashes)
 
 WIDTH, GRAM = 50, 24
 REACH = WIDTH - GRAM
@@ -32,8 +32,8 @@ SPAN = REACH + WIDTH
 HOARD = 8 << 20
 #: Entries whose windows are ordered at once.
 RUN = 1 << 15
-#: Hash groups of entries for each shuffle partition.
-SPREAD = 4
+#: Bytes of all texts for each hash group of entries, which one worker sorts, and groups at least.
+GROUP_BYTES, LEAST_GROUPS = 8 << 20, 16
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _UP = np.array([pow(_BASE, i, 1 << 64) for i in range(SPAN + 1)], np.uint64)
 _DOWN = np.array([pow(_BASE_INV, i, 1 << 64) for i in range(SPAN + 1)], np.uint64)
@@ -391,7 +391,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.col(f"`{text_col}`")
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.coalesce(text, F.lit("")).alias("text"))
     marked = docs.withColumn("mark", F.hash("text"))
-    spread = SPREAD * partitions(df)
+    # Groups by what there is to sort and not by the session's partitions: a group holds its share of the texts.
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    spread = max(LEAST_GROUPS, -(-size // GROUP_BYTES))
     made: list[str] = []
     entries = marked.filter("doc IS NOT NULL").mapInArrow(_pass_one(spread), BLOB)
     notes = written(entries.groupBy("bucket").applyInArrow(_pass_one_groups, NOTE), "notes", made)
