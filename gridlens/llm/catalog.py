@@ -136,24 +136,27 @@ half AS (SELECT greatest(max(len(w)), 5) AS h FROM bw),
 part AS (
   SELECT item_id, 0 AS side, w[1:(len(w) + 1) // 2] AS w FROM bw
   UNION ALL SELECT item_id, 1, w[(len(w) + 1) // 2 + 1:] FROM bw),
+sized AS (SELECT *, least(len(w), 5) AS sz FROM part WHERE len(w) > 0),
 bs AS (
-  SELECT DISTINCT item_id, side, array_to_string(w[j:j + 4], ' ') AS s
-  FROM (SELECT item_id, side, w, unnest(range(1, len(w) - 3)) AS j FROM part)),
+  SELECT DISTINCT item_id, side, sz, array_to_string(w[j:j + sz - 1], ' ') AS s
+  FROM (SELECT item_id, side, w, sz, unnest(range(1, len(w) - sz + 2)) AS j FROM sized)),
 need AS (SELECT item_id, side, count(*) AS n FROM bs GROUP BY item_id, side),
+sides AS (SELECT item_id, count(*) AS sides FROM need GROUP BY item_id),
 dw AS (SELECT doc_id, {_word_list('text')} AS w FROM documents),
 ds AS (
-  SELECT doc_id, j - 1 AS p, greatest(1, CAST(ceil(len(w) / h) AS BIGINT) - 1) AS passages, h,
-         array_to_string(w[j:j + 4], ' ') AS s
-  FROM (SELECT doc_id, w, h, unnest(range(1, len(w) - 3)) AS j FROM dw, half)),
-hit AS (SELECT ds.*, bs.item_id, bs.side FROM ds JOIN bs USING (s)),
+  SELECT doc_id, sz, j - 1 AS p, greatest(1, CAST(ceil(words / h) AS BIGINT) - 1) AS passages, h,
+         array_to_string(w[j:j + sz - 1], ' ') AS s
+  FROM (SELECT doc_id, w, len(w) AS words, h, sz, unnest(range(1, len(w) - sz + 2)) AS j
+        FROM dw, half, (SELECT DISTINCT sz FROM sized))),
+hit AS (SELECT ds.*, bs.item_id, bs.side FROM ds JOIN bs USING (s, sz)),
 seen AS (
   SELECT doc_id, item_id, side, k, count(DISTINCT s) AS n
   FROM (SELECT *, unnest([p // h, p // h - 1]) AS k FROM hit)
-  WHERE k >= 0 AND k < passages AND p + 5 <= (k + 2) * h GROUP BY doc_id, item_id, side, k),
+  WHERE k >= 0 AND k < passages AND p + sz <= (k + 2) * h GROUP BY doc_id, item_id, side, k),
 found AS (
   SELECT DISTINCT doc_id, item_id FROM (
-    SELECT doc_id, item_id, k FROM seen JOIN need USING (item_id, side)
-    WHERE seen.n >= 0.75 * need.n GROUP BY doc_id, item_id, k HAVING count(*) = 2)),
+    SELECT doc_id, item_id, k FROM seen JOIN need USING (item_id, side) JOIN sides USING (item_id)
+    WHERE seen.n >= 0.75 * need.n GROUP BY doc_id, item_id, k, sides HAVING count(*) = sides)),
 of_doc AS (
   SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items
   FROM found GROUP BY doc_id)
