@@ -57,8 +57,11 @@ def pack(df: DataFrame, columns: Sequence[str], series: Sequence[str] = (), orde
     """Blocks of the rows without a missing cell; windows are to reach ``horizon`` rows ahead at most."""
     columns, series, order = list(dict.fromkeys(columns)), list(series), list(order)
     reach = seq_len - 1 + horizon
-    rows = drop_missing(df.select(*dict.fromkeys([*series, *order, *columns])))
-    rows = rows.select(*series, *order, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)])
+    # Written, since numbering reads them several times and their columns may be long expressions, which a filter
+    # on each would double.
+    rows = materialise(df.select(*dict.fromkeys([*series, *order]), *[
+        F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)]), "rows")
+    rows = drop_missing(rows)
     spread = with_halo(number_rows(rows, series, order, "_rn", total="_total"), "_rn", reach, 0, size)
     kinds = [rows.schema[c] for c in series]
     schema = T.StructType([
@@ -80,7 +83,10 @@ def pack(df: DataFrame, columns: Sequence[str], series: Sequence[str] = (), orde
              pa.array([table.column("_total")[0].as_py()], pa.int64()), pa.array([z.tobytes()], pa.binary()), *lists],
             names=schema.fieldNames())
 
-    blocks = spread.groupBy(*series, "_slice").applyInArrow(lambda table: as_block(table), schema)
+    # Dealt out to as many tasks as the session has for shuffles: every later pass has one for each file.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = spread.repartition(tasks, *series, "_slice")
+    blocks = dealt.groupBy(*series, "_slice").applyInArrow(lambda table: as_block(table), schema)
     return Blocks(materialise(blocks, "blocks"), columns, series, order, seq_len, reach)
 
 
@@ -362,6 +368,21 @@ def _summed(rows: DataFrame) -> np.ndarray:
     return np.array(row["v"] if row else [])
 
 
+def products(rows: DataFrame, moved: Sequence[float]) -> np.ndarray:
+    """The matrix of products of all columns, less ``moved``, summed over complete rows."""
+    wide, off = len(moved), np.array(moved, float)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((wide, wide))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(wide)]) - off
+            held += x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array([held.ravel().tolist()], pa.list_(pa.float64()))], names=["v"])
+
+    found = _summed(rows.mapInArrow(task, "v array<double>"))
+    return found.reshape(wide, wide) if len(found) else np.zeros((wide, wide))
+
+
 def total(blocks: Blocks, of_block: Callable[[Block], np.ndarray]) -> np.ndarray:
     """The sum of ``of_block``'s short vectors over all blocks; empty without blocks."""
     n_series, wide = len(blocks.series), len(blocks.columns)
@@ -401,10 +422,11 @@ def total_matrix(blocks: Blocks, of_block: Callable[[Block], np.ndarray], rows:
     return np.array(out, float) if found else np.zeros((rows, 0))
 
 
-def pooled(blocks: Blocks, features: Sequence[str], target: str | None, horizon: int, ratio: float = 1.0) -> Sums:
-    """The sums over the windows of all series together. Those of each series are put together first, where its first
-    and last rows count."""
-    sums, moved = window_sums(blocks, features, target, [horizon], ratio)
+def pooled(blocks: Blocks, features: Sequence[str], target: str | None, horizons: Sequence[int],
+           ratio: float = 1.0) -> dict[int, Sums]:
+    """By horizon the sums over the windows of all series together. Those of each series are put together first, where
+    its first and last rows count."""
+    sums, moved = window_sums(blocks, features, target, horizons, ratio)
     length, wide = blocks.seq_len, 1 + len(features)
 
     def put(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -412,12 +434,14 @@ def pooled(blocks: Blocks, features: Sequence[str], target: str | None, horizon:
         found = assemble(parts, length, moved)
         rows = [np.concatenate([[found.n, found.target], found.column]), np.concatenate([[0, 0], found.cross]),
                 *np.column_stack([np.zeros((len(found.column), 2)), found.product])]
-        return pd.DataFrame({"i": range(len(rows)), "v": [r.tolist() for r in rows]})
-
-    found = (sums.groupBy(*blocks.series, "horizon").applyInPandas(lambda pdf: put(pdf), "i int, v array<double>")
-             .groupBy("i").agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v")).orderBy("i").collect())
-    if not found:
-        none = np.zeros(length * (wide - 1))
-        return Sums(0, none, np.zeros((len(none), len(none))), 0.0, none, moved)
-    rows = np.array([r["v"] for r in found])
-    return Sums(round(rows[0, 0]), rows[0, 2:], rows[2:, 2:], float(rows[0, 1]), rows[1, 2:], moved)
+        return pd.DataFrame({"horizon": pdf["horizon"].iloc[0], "i": range(len(rows)), "v": [r.tolist() for r in rows]})
+
+    found = (sums.groupBy(*blocks.series, "horizon").applyInPandas(lambda pdf: put(pdf), "horizon int, i int, v array<double>")
+             .groupBy("horizon", "i").agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v"))
+             .orderBy("horizon", "i").collect())
+    none = np.zeros(length * (wide - 1))
+    out = {h: Sums(0, none, np.zeros((len(none), len(none))), 0.0, none, moved) for h in horizons}
+    for h in {r["horizon"] for r in found}:
+        rows = np.array([r["v"] for r in found if r["horizon"] == h])
+        out[h] = Sums(round(rows[0, 0]), rows[0, 2:], rows[2:, 2:], float(rows[0, 1]), rows[1, 2:], moved)
+    return out

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridlens.functions.scalars import (
     above, calendar, derived, drop_missing, nan_as_null, sanitize, wind_proxy, with_cyclic, zero_as_missing)
 from gridlens.operators.aggregates import dedupe_mean
+from gridlens.operators.blocks import products
 from gridlens.operators.ordered import (
     SLICE_ROWS, interpolate_numbered, lags, number_rows, over_slices, past_rolling_mean,
     positional, renumber, rolling_mean, rolling_mean_full)
@@ -216,25 +217,25 @@ Graph = Mapping[str, Mapping[str, float]]
 def correlation_graph(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Absolute correlations of complete rows as edges ``(i, j, w)``, diagonal 1.
 
-    Two aggregates without a group: means, then the sums of products about them, one number a
-    pair. A constant column, found by max = min, has no edges.
+    Means first, then the products about them, one matrix a task. A constant column, found by
+    max = min, has no edges.
     """
     columns = list(columns)
     rows = drop_missing(df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)]))
     names = rows.columns
     first = rows.agg(*[F.avg(c) for c in names], *[F.coalesce(F.max(c) != F.min(c), F.lit(False)) for c in names]).first()
-    mean, moves = first[: len(names)], first[len(names) :]
-    varying = [i for i, m in enumerate(moves) if m]
-    off = {i: F.col(names[i]) - F.lit(mean[i]) for i in varying}
-    pairs = [(i, j) for k, i in enumerate(varying) for j in varying[k:]]
-    product = dict(zip(pairs, rows.agg(*[F.sum(off[i] * off[j]) for i, j in pairs]).first())) if pairs else {}
+    varying = [i for i, moves in enumerate(first[len(names) :]) if moves]
+    product = products(rows.select(*[names[i] for i in varying]), [first[i] for i in varying]) if varying else []
+    place = {i: k for k, i in enumerate(varying)}
 
     def weight(i: int, j: int) -> float:
         if i == j:
             return 1.0
-        i, j = min(i, j), max(i, j)
-        spread = (product.get((i, i)) or 0.0) ** 0.5 * (product.get((j, j)) or 0.0) ** 0.5
-        return min(1.0, abs(product[i, j]) / spread) if (i, j) in product and spread > 0 else 0.0
+        if i not in place or j not in place:
+            return 0.0
+        i, j = place[i], place[j]
+        spread = (product[i, i] * product[j, j]) ** 0.5
+        return float(min(1.0, abs(product[i, j]) / spread)) if spread > 0 else 0.0
 
     edges = [(a, b, weight(i, j)) for i, a in enumerate(columns) for j, b in enumerate(columns)]
     return df.sparkSession.createDataFrame(edges, "i string, j string, w double")

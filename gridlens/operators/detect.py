@@ -112,7 +112,7 @@ def fit_reconstruction_blocks(packed: blocks.Blocks, features: Sequence[str], dr
     """
     length, at, by = packed.seq_len, packed.at(features), packed.columns.index(draw)
     wide = length * len(at)
-    sums = blocks.pooled(packed, features, None, 0)
+    sums = blocks.pooled(packed, features, None, [0])[0]
     if sums.n < MIN_WINDOWS:
         raise ValueError(f"need at least {MIN_WINDOWS} windows, got {sums.n}")
     limit = int(max(hold_out, HOLD_OUT_ROWS / sums.n) * 1_000_000)

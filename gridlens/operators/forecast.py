@@ -104,7 +104,7 @@ def fit_graph_load(windows: DataFrame, horizon: int, loss: str = "huber", delta:
 
 #: Rounds of the robust fit at most, rounds without a better validation error that end it, and the
 #: change of a standardised coefficient that counts as none.
-ROUNDS, PATIENCE, SETTLED = 60, 12, 1e-7
+ROUNDS, PATIENCE, SETTLED = 60, 12, 1e-5
 
 
 @dataclass(frozen=True)
@@ -141,105 +141,131 @@ def _residuals(packed: blocks.Blocks, features: Sequence[str], target: str, hori
     return of_block
 
 
-def fit_window_load(packed: blocks.Blocks, features: Sequence[str], target: str, horizon: int, ratio: float = 0.85,
-                    loss: str = "huber", delta: float = 1.35, penalty: float = 1e-4, rounds: int = ROUNDS,
-                    patience: int | None = PATIENCE) -> WindowLoad:
-    """Robust or plain linear regression of the scaled target on the first ``ratio`` of each series' windows.
+class _Fit:
+    """The regression of one horizon, on the driver: sums over the windows, and where its rounds have got to."""
+
+    def __init__(self, sums: blocks.Sums, horizon: int, length: int, d: int, penalty: float):
+        self.horizon, self.n, self.penalty = horizon, float(sums.n), penalty
+        moved = np.tile(sums.moved[:d], length)
+        self.mean = moved + sums.column / self.n
+        product = sums.product - np.outer(sums.column, sums.column) / self.n
+        spread = np.sqrt(np.maximum(np.diag(product) / self.n, 0.0))
+        self.varies = spread > 1e-9 * np.maximum(1.0, np.abs(moved))
+        self.unit = np.where(self.varies, spread, 1.0)
+        self.system = product / np.outer(self.unit, self.unit) / self.n * np.outer(self.varies, self.varies)
+        self.centre = float(sums.moved[-1] + sums.target / self.n)
+        self.cross = (sums.cross - sums.column * sums.target / self.n) / self.unit / self.n * self.varies
+        self.scale = TargetScale(self.centre, 1.0)
+        self.b0, self.b, self.sigma = 0.0, np.zeros(len(self.unit)), 1.0
+        self.errors: list[float] = []
+        self.best, self.at_best, self.done, self.loss, self.share = (0.0, self.b, 1.0), 0, False, np.inf, 1.0
+
+    def start(self, squares: float) -> None:
+        """Least squares, with the deviation of the targets as their unit."""
+        deviation = float(np.sqrt(squares / self.n))
+        flat = deviation <= 1e-12 * max(1.0, abs(self.centre))
+        self.scale = TargetScale(self.centre, max(0.0 if flat else deviation, 1e-6))
+        eye = np.eye(len(self.unit))
+        self.b = np.linalg.lstsq(self.system + self.penalty * eye, self.cross / self.scale.std, rcond=1e-12)[0]
+        self.best = (self.b0, self.b, self.sigma)
+
+    def raw(self, b0: float, b: np.ndarray) -> tuple[float, np.ndarray]:
+        """Intercept and coefficients in the features' and the target's own units."""
+        own = b / self.unit * self.scale.std
+        return self.scale.mean + b0 * self.scale.std - float(own @ self.mean), own
+
+    def step(self, got: np.ndarray, delta: float, patience: int | None, settled: float) -> None:
+        """One round on the sums of a pass: pulled residuals, their squares inside the bound, how many lie outside,
+        loss and number of the later windows, loss of these, and the residuals' products with the windows."""
+        pulled, inside, outside, later, n_later, loss = got[:6]
+        error = float(later / n_later) if n_later else 0.0
+        if not self.errors or error < min(self.errors) - 1e-12:
+            self.best, self.at_best = (self.b0, self.b, self.sigma), len(self.errors)
+        self.errors.append(error)
+        if patience is not None and n_later and len(self.errors) - 1 - self.at_best >= patience:
+            self.done = True
+            return
+        # Only rows inside the bound resist a step; should the loss rise for it, steps are as short as is safe.
+        self.share = max(1.0 - outside / self.n, 0.05) if loss <= self.loss * (1 + 1e-9) else 1.0
+        self.loss = loss
+        pull = (got[6:] - self.mean * pulled) / self.unit / self.n * self.varies
+        shrink = self.penalty * self.sigma / 2
+        move = np.linalg.solve(self.share * self.system + (shrink + 1e-12) * np.eye(len(pull)), pull - shrink * self.b)
+        shift = pulled / self.n / self.share
+        free = self.n - delta ** 2 * outside
+        sigma = float(np.sqrt(max(inside, 1e-18) / free)) if free > 0 else self.sigma
+        moved_by = max(float(np.abs(move).max()), abs(shift), abs(sigma - self.sigma))
+        self.b, self.b0, self.sigma = self.b + move, self.b0 + shift, sigma
+        if patience is None or not n_later:
+            self.best, self.at_best = (self.b0, self.b, self.sigma), len(self.errors)
+        self.done = moved_by < settled
+
+
+def fit_window_loads(packed: blocks.Blocks, features: Sequence[str], target: str, horizons: Sequence[int],
+                     ratio: float = 0.85, loss: str = "huber", delta: float = 1.35, penalty: float = 1e-4,
+                     rounds: int = ROUNDS, patience: int | None = PATIENCE, settled: float = SETTLED) -> list[WindowLoad]:
+    """Robust or plain linear regressions of the scaled target on the first ``ratio`` of each series' windows, one
+    for each horizon.
 
     The robust loss is that of Spark's robust regression: squares within ``delta`` deviations, straight lines beyond,
-    the deviation fitted with the coefficients. Each round is one pass over the packed rows: residuals beyond
-    the bound are pulled back to it and regressed on the windows. The matrix of that regression is the same in every
-    round, it comes from `blocks.pooled` once. The later windows are the validation: after ``patience`` rounds
-    without a smaller loss there, the best round's coefficients are taken; None fits until nothing moves.
+    the deviation fitted with the coefficients. Each round is one pass over the packed rows for all horizons:
+    residuals beyond the bound are pulled back to it and regressed on the windows. The matrix of that regression is
+    the same in every round, it comes from `blocks.pooled` once. The later windows are the validation: after
+    ``patience`` rounds without a smaller loss there, the best round's coefficients are taken; None fits until
+    nothing moves.
     """
     features, length, d = list(features), packed.seq_len, len(features)
-    sums = blocks.pooled(packed, features, target, horizon, ratio)
-    wide = length * d
-    if not sums.n:
+    wide, at, y_at = length * d, packed.at(features), packed.columns.index(target)
+    sums = blocks.pooled(packed, features, target, horizons, ratio)
+    if any(not s.n for s in sums.values()):
         raise ValueError("no windows to fit")
-    n = float(sums.n)
-    moved = np.tile(sums.moved[:d], length)
-    mean = moved + sums.column / n
-    product = sums.product - np.outer(sums.column, sums.column) / n
-    spread = np.sqrt(np.maximum(np.diag(product) / n, 0.0))
-    varies = spread > 1e-9 * np.maximum(1.0, np.abs(moved))
-    unit = np.where(varies, spread, 1.0)
-    system = product / np.outer(unit, unit) / n * np.outer(varies, varies)
-    at, centre = packed.at(features), float(sums.moved[-1] + sums.target / n)
-    none = _residuals(packed, features, target, horizon, 0.0, np.zeros(wide))
-
-    def squares(b: blocks.Block) -> np.ndarray:
-        _, window, y, _ = none(b)
-        train = window < np.floor(b.windows(length, horizon) * ratio)
-        return np.array([((y[train] - centre) ** 2).sum()])
-
-    deviation = float(np.sqrt(blocks.total(packed, squares)[0] / n))
-    scale = TargetScale(centre, max(deviation if deviation > 1e-12 * max(1.0, abs(centre)) else 0.0, 1e-6))
-    cross = (sums.cross - sums.column * sums.target / n) / unit / n * varies / scale.std
-    eye = np.eye(wide)
-
-    def raw(b0: float, b: np.ndarray) -> tuple[float, np.ndarray]:
-        """Intercept and coefficients in the features' and the target's own units."""
-        own = b / unit * scale.std
-        return scale.mean + b0 * scale.std - float(own @ mean), own
-
-    b0, b = 0.0, np.linalg.lstsq(system + penalty * eye, cross, rcond=1e-12)[0]
-    if loss != "huber":
-        intercept, own = raw(b0, b)
-        return WindowLoad(features, scale, horizon, intercept, own, 1.0, [], 0)
+    fits = [_Fit(sums[h], h, length, d, penalty) for h in horizons]
     delta = max(delta, 1.0001)
 
-    def passed(b0: float, b: np.ndarray, sigma: float):
-        intercept, own = raw(b0, b)
-        of_block = _residuals(packed, features, target, horizon, intercept, own)
-
-        def sums_of(block: blocks.Block) -> np.ndarray:
-            place, window, y, y_hat = of_block(block)
-            r = (y - y_hat) / scale.std
-            train = window < np.floor(block.windows(length, horizon) * ratio)
-            bound = delta * sigma
-            pulled = np.where(train, np.clip(r, -bound, bound), 0.0)
-            inside = train & (np.abs(r) <= bound)
-            later = np.abs(r[~train])
-            loss = np.where(later <= bound, later ** 2, 2 * bound * later - bound ** 2).sum()
-            out = np.zeros(5 + wide)
-            out[:5] = pulled.sum(), (r[inside] ** 2).sum(), (train & ~inside).sum(), loss, len(later)
-            if len(place):
-                z = block.z[:, at]
-                for t in range(length):
-                    rows = place[0] - (length - 1 + horizon) + t
-                    out[5 + t * d : 5 + (t + 1) * d] = pulled @ z[rows : rows + len(place)]
-            return out
-        return blocks.total(packed, sums_of)
-
-    sigma = float(np.sqrt(passed(b0, b, 1e9)[1] / n)) or 1e-9
-    errors: list[float] = []
-    best = (b0, b, sigma)
-    at_best = 0
-    for i in range(rounds):
-        got = passed(b0, b, sigma)
-        error = float(got[3] / got[4]) if got[4] else 0.0
-        if not errors or error < min(errors) - 1e-12:
-            best, at_best = (b0, b, sigma), i
-        errors.append(error)
-        if patience is not None and got[4] and i - at_best >= patience:
-            break
-        pull = (got[5:] - mean * got[0]) / unit / n * varies
-        shrink = penalty * sigma / 2
-        step = np.linalg.solve(system + (shrink + 1e-12) * eye, pull - shrink * b)
-        b, b0 = b + step, b0 + got[0] / n
-        free = n - delta ** 2 * got[2]
-        fresh = float(np.sqrt(max(got[1], 1e-18) / free)) if free > 0 else sigma
-        moved_by = max(float(np.abs(step).max()), abs(got[0] / n), abs(fresh - sigma))
-        sigma = fresh
-        if moved_by < SETTLED:
-            if patience is None or not got[4]:
-                best, at_best = (b0, b, sigma), i + 1
-            break
-    if patience is None:
-        best, at_best = (b0, b, sigma), len(errors)
-    intercept, own = raw(*best[:2])
-    return WindowLoad(features, scale, horizon, intercept, own, best[2], errors, at_best)
+    def passed(now: list[_Fit], bounded: bool) -> list[np.ndarray]:
+        """The sums of a round for each fit; not ``bounded``, only the squares, whatever their size."""
+        state = [(f.horizon, *f.raw(f.b0, f.b), f.scale.std, delta * f.sigma if bounded else np.inf) for f in now]
+
+        def of_block(block: blocks.Block) -> np.ndarray:
+            out = np.zeros((len(state), 6 + wide))
+            z = block.z[:, at]
+            for row, (horizon, intercept, own, std, bound) in zip(out, state):
+                place, seen = over_windows(block, at, own.reshape(length, d, 1), length, horizon)
+                if not len(place):
+                    continue
+                window = block.first + place - (length - 1 + horizon)
+                r = (block.z[place, y_at] - seen[:, 0] - intercept) / std
+                train = window < np.floor(block.windows(length, horizon) * ratio)
+                far = np.abs(r) > bound
+                pulled = np.where(train, np.clip(r, -bound, bound), 0.0)
+                costs = np.where(far, 2 * bound * np.abs(r) - bound ** 2, r ** 2) if bounded else r ** 2
+                row[:6] = (pulled.sum(), (r[train & ~far] ** 2).sum(), (train & far).sum(), costs[~train].sum(),
+                           (~train).sum(), costs[train].sum())
+                if bounded:
+                    for t in range(length):
+                        rows = place[0] - (length - 1 + horizon) + t
+                        row[6 + t * d : 6 + (t + 1) * d] = pulled @ z[rows : rows + len(place)]
+            return out.ravel()
+        return list(blocks.total(packed, of_block).reshape(len(now), -1))
+
+    for f, got in zip(fits, passed(fits, False)):  # with no coefficients: the targets about their mean
+        f.start(got[1])
+    if loss == "huber":
+        for f, got in zip(fits, passed(fits, False)):
+            f.sigma = float(np.sqrt(got[1] / f.n)) or 1e-9
+            f.best = (f.b0, f.b, f.sigma)
+        for _ in range(rounds):
+            now = [f for f in fits if not f.done]
+            if not now:
+                break
+            for f, got in zip(now, passed(now, True)):
+                f.step(got, delta, patience, settled)
+    return [WindowLoad(features, f.scale, f.horizon, *f.raw(*f.best[:2]), f.best[2], f.errors, f.at_best) for f in fits]
+
+
+def fit_window_load(packed: blocks.Blocks, features: Sequence[str], target: str, horizon: int, **settings) -> WindowLoad:
+    """`fit_window_loads` for one horizon."""
+    return fit_window_loads(packed, features, target, [horizon], **settings)[0]
 
 
 def window_forecasts(packed: blocks.Blocks, model: WindowLoad, target: str, ratio: float = 0.85) -> DataFrame:

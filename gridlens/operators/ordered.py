@@ -56,23 +56,24 @@ def running_before(counts: DataFrame, series: Sequence[str], keys: str | Sequenc
             .drop("_up", "_before_up"))
 
 
-def carried(edges: DataFrame, series: Sequence[str], key: str, value: str, out: str, back: bool = True) -> DataFrame:
-    """The nearest ``value`` that is not null among the rows of the same series with a smaller ``key``
-    (``back``), or with a greater one. In two levels, as `running_before`."""
-    grouped = edges.withColumn("_up", F.floor(F.col(key) / GROUP_KEYS))
-    way = (lambda c: F.col(c)) if back else (lambda c: F.col(c).desc())
-    nearest = F.max_by if back else F.min_by
-    known = F.when(F.col(value).isNotNull(), F.col(key))
-    groups = grouped.groupBy(*series, "_up").agg(nearest(value, known).alias("_v"))
+def carried(edges: DataFrame, series: Sequence[str], key: str, before: tuple[str, str], after: tuple[str, str]) -> DataFrame:
+    """For (value, name) ``before``, the nearest value that is not null among the rows of the same series with a
+    smaller ``key``, as ``name``; for ``after`` that among those with a greater one. In two levels, as `running_before`."""
+    ways = [(*before, F.max_by, lambda c: F.col(c)), (*after, F.min_by, lambda c: F.col(c).desc())]
     # Looking ahead is looking back in reverse order: Spark extends a frame that grows
     # from the start, but rebuilds one that runs to the end for every row.
-    before = (Window.unboundedPreceding, -1)
-    over_groups = Window.partitionBy(*series).orderBy(way("_up")).rowsBetween(*before)
-    groups = groups.select(*series, "_up", F.last("_v", ignorenulls=True).over(over_groups).alias("_from_up"))
-    inside = Window.partitionBy(*series, "_up").orderBy(way(key)).rowsBetween(*before)
-    near = F.last(value, ignorenulls=True).over(inside)
-    return (join_on(grouped, groups, [*series, "_up"]).withColumn(out, F.coalesce(near, "_from_up"))
-            .drop("_up", "_from_up"))
+    frame = (Window.unboundedPreceding, -1)
+    grouped = edges.withColumn("_up", F.floor(F.col(key) / GROUP_KEYS))
+    groups = grouped.groupBy(*series, "_up").agg(*[
+        nearest(value, F.when(F.col(value).isNotNull(), F.col(key))).alias(f"_v_{out}") for value, out, nearest, _ in ways])
+    groups = groups.select(*series, "_up", *[
+        F.last(f"_v_{out}", ignorenulls=True).over(Window.partitionBy(*series).orderBy(way("_up")).rowsBetween(*frame))
+        .alias(f"_up_{out}") for _, out, _, way in ways])
+    inside = {out: F.last(value, ignorenulls=True).over(
+        Window.partitionBy(*series, "_up").orderBy(way(key)).rowsBetween(*frame)) for value, out, _, way in ways}
+    return (join_on(grouped, groups, [*series, "_up"])
+            .withColumns({out: F.coalesce(near, f"_up_{out}") for out, near in inside.items()})
+            .drop("_up", *[f"_up_{out}" for out in inside]))
 
 
 def _whole(df: DataFrame, column: str) -> Column:
@@ -262,8 +263,7 @@ def interpolate_numbered(df: DataFrame, series: Sequence[str], column: str,
     known = F.when(F.col(column).isNotNull(), F.struct(F.col(rn).alias("at"), F.col(column).alias("v")))
     edges = sliced.groupBy(*series, "_slice").agg(
         F.min(known).alias("_lo"), F.max(known).alias("_hi"))
-    anchors = carried(edges, series, "_slice", "_hi", "_from")
-    anchors = carried(anchors, series, "_slice", "_lo", "_to", back=False)
+    anchors = carried(edges, series, "_slice", ("_hi", "_from"), ("_lo", "_to"))
     anchors = anchors.select(*series, "_slice", F.explode(F.array("_from", "_to")).alias("_anchor"))
     anchors = anchors.where(F.col("_anchor").isNotNull()).select(
         *series, "_slice", F.col("_anchor.at").alias(rn), F.col("_anchor.v").alias(column),

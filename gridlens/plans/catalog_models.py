@@ -249,7 +249,7 @@ def _(v):
 # Forecasts ----------------------------------------------------------------------------------
 
 def _split_readings(v):
-    rows = ordered.chrono_split(engineered(v), [], READING_ORDER)
+    rows = ordered.chrono_split(materialise(engineered(v), "engineered"), [], READING_ORDER)
     return materialise(rows, "split")
 
 
@@ -279,11 +279,10 @@ def _(v):
     smooth, names = _smoothed(v)
     packed = blocks.pack(smooth, [*names, "target"], order=READING_ORDER, horizon=max(forecast.HORIZONS))
     parts = []
-    for horizon in forecast.HORIZONS:
-        model = forecast.fit_window_load(packed, names, "target", horizon)
+    for model in forecast.fit_window_loads(packed, names, "target", forecast.HORIZONS):
         scored = forecast.window_forecasts(packed, model, "target").where(~F.col("is_train"))
         parts.append(scored.agg(ev.mape("y").alias("mape"), ev.mae("y").alias("mae"))
-                     .withColumn("horizon", F.lit(horizon)))
+                     .withColumn("horizon", F.lit(model.horizon)))
     return reports.union_records(parts).unpivot(["horizon"], ["mape", "mae"], "metric", "value")
 
 

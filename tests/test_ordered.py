@@ -190,9 +190,8 @@ def test_known_values_are_carried_over_groups_of_slices(spark, monkeypatch):
     values = [float(v) if v % 5 == 0 else None for v in rng.integers(0, 40, 200)]
     df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)] + [("b", 3, None), ("b", 9, 1.0)],
                                "s string, i int, v double")
-    for back in (True, False):
-        got = {(r.s, r.i): r.o for r in ordered.carried(df, ["s"], "i", "v", "o", back).collect()}
-        for i in range(200):
-            near = values[:i][::-1] if back else values[i + 1 :]
-            assert got["a", i] == next((v for v in near if v is not None), None)
-        assert got["b", 3] == (None if back else 1.0) and got["b", 9] is None
+    got = {(r.s, r.i): (r.b, r.f) for r in ordered.carried(df, ["s"], "i", ("v", "b"), ("v", "f")).collect()}
+    first = lambda values: next((v for v in values if v is not None), None)
+    for i in range(200):
+        assert got["a", i] == (first(values[:i][::-1]), first(values[i + 1 :]))
+    assert got["b", 3] == (None, 1.0) and got["b", 9] == (None, None)

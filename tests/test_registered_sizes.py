@@ -24,7 +24,7 @@ def test_boosted_load_is_fitted_on_all_features_at_full_size(views, monkeypatch)
 
 
 @pytest.mark.parametrize("name, module, fit, copies", [
-    ("f2_fit_graph_load", forecast, "fit_window_load", 2),
+    ("f2_fit_graph_load", forecast, "fit_window_loads", 2),
     ("d1_fit_reconstruction", detect, "fit_reconstruction_blocks", 1),
     ("d2_reconstruction_score", detect, "fit_reconstruction_blocks", 1),
     ("x6_stream_anomaly", detect, "fit_reconstruction_blocks", 1)])
