@@ -53,15 +53,16 @@ class Blocks:
 
 
 def pack(df: DataFrame, columns: Sequence[str], series: Sequence[str] = (), order: Sequence[str] = ("ts",),
-         seq_len: int = SEQ_LEN, horizon: int = 0, size: int = BLOCK_SIZE) -> Blocks:
-    """Blocks of the rows without a missing cell; windows are to reach ``horizon`` rows ahead at most."""
+         seq_len: int = SEQ_LEN, horizon: int = 0, size: int = BLOCK_SIZE, stored: bool = False) -> Blocks:
+    """Blocks of the rows without a missing cell; windows are to reach ``horizon`` rows ahead at most. ``stored`` says
+    that ``df`` is a written table already."""
     columns, series, order = list(dict.fromkeys(columns)), list(series), list(order)
     reach = seq_len - 1 + horizon
     # Written, since numbering reads them several times and their columns may be long expressions, which a filter
     # on each would double.
-    rows = materialise(df.select(*dict.fromkeys([*series, *order]), *[
-        F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)]), "rows")
-    rows = drop_missing(rows)
+    rows = df.select(*dict.fromkeys([*series, *order]), *[
+        F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)])
+    rows = drop_missing(rows if stored else materialise(rows, "rows"))
     spread = with_halo(number_rows(rows, series, order, "_rn", total="_total"), "_rn", reach, 0, size)
     kinds = [rows.schema[c] for c in series]
     schema = T.StructType([

@@ -157,7 +157,7 @@ def _paths(v, *labels):
 
 
 #: Stretches of time that a query's rows are put into files by, one micro-batch each.
-STRETCHES = 4
+STRETCHES = 3
 
 
 def _in_stretches(v, rows, label, newest_first=False):
@@ -289,6 +289,23 @@ def _(v):
     return table.rows().groupBy(*SERIES).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("a10_sketch_threshold", "n days near", "", """
+SELECT count(*) AS n, count(DISTINCT date_trunc('day', ts)) AS days, true AS near FROM fx_pred""")
+def _(v):
+    """The threshold of all scores from sketches by day, kept in three batches and rewritten; ``near`` says that its
+    rank among the scores is within thrice the error that the sketch states."""
+    scores = v.pred.select("l_orderkey", F.col("ts").alias("window_ts"), F.abs(F.col("y") - F.col("y_hat")).alias("score"))
+    log = store.SketchLog(v.spark, scratch_path(v.spark, "sketches"), grain="month")
+    for k in range(3):
+        log.add(scores.where(F.col("l_orderkey") % 3 == k), k)
+        if k == 1:
+            log.compact()
+    threshold, n, error = log.threshold(0.98)
+    days = log.latest().agg(F.count(F.lit(1)).alias("days"))
+    at = scores.agg((F.count_if(F.col("score") <= threshold) / F.count("score")).alias("rank")).first()["rank"]
+    return days.select(F.lit(n).cast("long").alias("n"), "days", F.lit(abs(at - 0.98) <= 3 * error).alias("near"))
+
+
 # Lifecycle ------------------------------------------------------------------------------------
 
 @query("l1_retain", "metric_id ts model_name", "metric_value", """

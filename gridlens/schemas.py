@@ -26,6 +26,7 @@ ALERTS = _struct(ts=_TS, alert_id=_S, alert_type=_S, severity=_S, title=_S, desc
 PRICES_HOURLY = _struct(bucket=_TS, settlement_point=_S, market_type=_S, avg_price_usd_mwh=_D,
                         max_price_usd_mwh=_D, min_price_usd_mwh=_D)
 PRICE_PARTIALS = _struct(bucket=_TS, settlement_point=_S, market_type=_S, total=_D, n=T.LongType(), most=_D, least=_D)
+SCORE_SKETCHES = _struct(day=_TS, sketch=T.BinaryType(), n=T.LongType())
 CONDITIONS = _struct(ts=_TS, demand=_D, capacity=_D, wind=_D, solar=_D, freq=_D)
 DEMAND_FEED = _struct(period=_S, type=_S, value=_S)
 WEATHER_FEED = _struct(

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from gridlens.functions.scalars import days_before, since
 from gridlens.operators.ordered import first_per_key, join_on, latest_per_key
-from gridlens.schemas import PRICE_PARTIALS
+from gridlens.schemas import PRICE_PARTIALS, SCORE_SKETCHES
 
 _ORDER = ["_batch", "_pos", "load"]
 #: Commit files after which they are merged into a snapshot.
@@ -320,6 +320,45 @@ class RollupLog(LogTable):
                                     F.col("most").alias("max_price_usd_mwh"), F.col("least").alias("min_price_usd_mwh"), "dt")
 
 
+#: Size of a quantile sketch; its rank error falls with it.
+SKETCH_K = 4096
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    """How far the rank of a sketch's quantile is from the wanted one, as a share of all values, in 99 of 100 cases."""
+    return 2.296 / k ** 0.9021
+
+
+class SketchLog(LogTable):
+    """Mergeable quantile sketches of scores by day. A threshold over any days is read from their sketches and no old
+    score is read again; batches, rewritten days and late scores only merge. `exact_percentile` is the exact way."""
+
+    def __init__(self, spark: SparkSession, path: str, k: int = SKETCH_K, grain: str = "day"):
+        super().__init__(spark, path, SCORE_SKETCHES, ["day"], ts="day", grain=grain)
+        self.k = k
+
+    def add(self, scores: DataFrame, batch: int | None = None, writer: str = "main", ts: str = "window_ts",
+            score: str = "score") -> None:
+        """The batch's scores, missing ones left out."""
+        value = F.col(score).cast("double")
+        rows = scores.select(F.date_trunc("day", ts).alias("day"), value.alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
+        days = rows.groupBy("day").agg(F.kll_sketch_agg_double("v", self.k).alias("sketch"), F.count(F.lit(1)).alias("n"))
+        self.append(days, batch, writer=writer, unique=True, small_days=True)
+
+    def _fold(self, rows: DataFrame, mode: str) -> DataFrame:
+        return rows.groupBy(*self.keys, "dt").agg(
+            F.kll_merge_agg_double("sketch", self.k).alias("sketch"), F.sum("n").alias("n"),
+            F.max("_pos").alias("_pos"), F.max("_batch").alias("_batch"), F.max("load").alias("load"))
+
+    def threshold(self, p: float, first: str | None = None, last: str | None = None) -> tuple[float | None, int, float]:
+        """The percentile of the scores of the days ``first`` to ``last`` (ISO dates; all without), how many there are,
+        and the error of its rank."""
+        rows = self.log(first, last)
+        row = rows.agg(F.kll_merge_agg_double("sketch", self.k).alias("s"), F.sum("n").alias("n")).select(
+            F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("s", F.lit(float(p)))).alias("q"), "n").first()
+        return row["q"], row["n"] or 0, rank_error(self.k)
+
+
 def upsert_last(log: DataFrame, keys: Sequence[str], order: Sequence[str] = ("_seq",)) -> DataFrame:
     """Last write per key wins, for every measure at once."""
     return latest_per_key(log, list(keys), list(order))

@@ -251,7 +251,7 @@ def stream_anomaly(rows: DataFrame, context: str, events: LogTable, checkpoint:
             mine = mine.select(*keys, *features, F.lit(1.0).alias("_new"))
             known = without_known(known, mine, keys)
             both = materialise(known.withColumn("_new", F.lit(0.0)).unionByName(mine), "context")
-            packed = pack(both, [*features, "_new"], series, order, seq_len)
+            packed = pack(both, [*features, "_new"], series, order, seq_len, stored=True)
             scored = reconstruction_score_blocks(packed, features, model, only="_new")
             events.append(event_record(anomaly_events(flag(scored, threshold))), n, writer=_writer(checkpoint))
             # Last, so that a replay after a failure still finds the context without this batch.

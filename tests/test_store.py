@@ -274,3 +274,25 @@ def test_partial_aggregates_merge_to_the_rollup(spark, views):
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
     log.compact()
     assert log.rollup().withColumn("avg_price_usd_mwh", F.round("avg_price_usd_mwh", 8)).select(*names).exceptAll(want).isEmpty()
+
+
+def test_sketches_of_days_merge_to_the_percentile(spark):
+    hours = F.make_dt_interval(hours=F.floor(F.col("id") / 100).cast("int"))
+    scores = spark.range(20000).select((F.lit(TS(2024, 1, 1)) + hours).alias("window_ts"),
+                                       F.pmod(F.xxhash64("id"), F.lit(1_000_003)).cast("double").alias("score"))
+    log = store.SketchLog(spark, scratch_path(spark, "sketches"))
+    assert log.threshold(0.9) == (None, 0, store.rank_error())
+    for k in range(4):
+        log.add(scores.where(F.col("score") % 4 == k), k)
+        log.add(scores.where(F.col("score") % 4 == k), k)  # a replay
+        if k == 2:
+            log.compact(as_of="2024-01-05 00:00:00", older_than_days=1)
+    log.add(scores.limit(0).unionByName(spark.createDataFrame([(TS(2024, 1, 2), float("nan")), (TS(2024, 1, 2), None)],
+                                                              scores.schema)), 4)
+    found, n, error = log.threshold(0.98)
+    rank = scores.where(F.col("score") <= found).count() / 20000
+    assert n == 20000 and abs(rank - 0.98) <= 3 * error
+    part, n, _ = log.threshold(0.5, first="2024-01-02", last="2024-01-03")
+    inside = scores.where("window_ts >= '2024-01-02' AND window_ts < '2024-01-04'")
+    assert n == inside.count() and abs(inside.where(F.col("score") <= part).count() / n - 0.5) <= 3 * error
+    assert log.latest().agg(F.sum("n"), F.count("*")).first()[:] == (20000, 9)
