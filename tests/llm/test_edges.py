@@ -66,6 +66,32 @@ def test_every_assistant_turn_is_an_example_with_its_prefix(spark):
     assert chat_format.read_back(chat_format.expand_prefix_targets(df.limit(0))).count() == 0
 
 
+def test_the_digest_is_read_from_examples_that_hold_their_whole_context(spark):
+    said = [("user" if t % 2 == 0 else "assistant", f"turn {t} é\U0001f600 <s>") for t in range(9)]
+    df = spark.createDataFrame([(c, t, r, x) for c in (5, 6) for t, (r, x) in enumerate(said)],
+                               "conv_id long, turn long, role string, text string").coalesce(1)
+    rows = chat_format.expand_prefix_targets(df, part=16)  # parts end inside turns and marks
+    whole = {}
+    for r in rows.collect():
+        whole.setdefault((r["conv"], r["example"]), []).append(r)
+    assert set(whole) == {(c, e) for c in (5, 6) for e in (0, 1, 2, 3, None)}
+    for (_, e), parts in whole.items():
+        assert [r["part"] for r in parts] == list(range(len(parts))) and {len(r["text"]) for r in parts[:-1]} == {16}
+        text = "".join(r["text"] for r in parts)
+        assert chat_format.parse(text) == said[: 2 * e + 2 if e is not None else 9]
+        if e is not None:
+            assert chat_format.unescape(text[parts[0]["loss_start"] : parts[0]["loss_end"]]) == said[2 * e + 1][1]
+    one, many = (by_id(chat_format.read_back(x), "conv_id") for x in (chat_format.expand_prefix_targets(df), rows))
+    assert one == many and one[5]["turns_sha256"] == brute.sha("".join(f"{r}\n{x}\n" for r, x in said))
+    assert one[5]["loss_sha256"] == brute.sha("".join(x for r, x in said if r == "assistant"))
+    # An example with another context than the turns before it does not go unnoticed.
+    for part in (16, 1000):
+        wrong = chat_format.expand_prefix_targets(df, part=part).withColumn(
+            "text", F.when(F.expr("example = 2 AND part = 0"), F.replace("text", F.lit("turn 0"), F.lit("turn 8"))).otherwise(F.col("text")))
+        with pytest.raises(Exception, match="context of an example"):
+            chat_format.read_back(wrong).collect()
+
+
 # --- embeddings
 
 def test_vectors_that_cannot_link(spark):
