@@ -221,6 +221,17 @@ def rtm_from_pages(pages: DataFrame, hubs: Sequence[str] = HUBS, key: str = "pag
 _ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
 
 
+def _element(name: str) -> str:
+    """The pattern of an element's content, up to its first end tag.
+
+    It goes from one ``<`` to the next and gives nothing back, where a lazy ``.*?`` tries the end tag at every character.
+    """
+    return f"(?is)<{name}[^>]*>([^<]*+(?:<(?!/{name}>)[^<]*+)*+)</{name}>"
+
+
+TABLE, ROW, CELL, HEADER = _element("table"), _element("tr"), _element("t[dh]"), "(?is)<th[ >]"
+
+
 def _spaced(text: Column) -> Column:
     return F.regexp_replace(text, r"\s+", " ")
 
@@ -234,18 +245,22 @@ def _plain(markup: Column) -> Column:
     return F.trim(F.when(markup.contains("&"), _spaced(decoded)).otherwise(untagged))
 
 
-def extract_rows(pages: DataFrame, key: str = "page_id", html: str = "html",
-                 block: str = "(?is)<table[^>]*>(.*?)</table>",
-                 row: str = "(?is)<tr[^>]*>(.*?)</tr>",
-                 cell: str = "(?is)<t[dh][^>]*>(.*?)</t[dh]>",
-                 header: str = "(?is)<th[ >]") -> DataFrame:
-    """Table rows of each page: ``(key, block, row, is_header, cells)``. Needs no shuffle."""
+def _row_texts(pages: DataFrame, key: str, html: str, block: str, row: str) -> DataFrame:
     blocks = pages.select(key, F.posexplode(
         F.regexp_extract_all(_spaced(F.col(html)), F.lit(block), 1)).alias("block", "_block"))
-    rows = blocks.select(key, "block", F.posexplode(
+    return blocks.select(key, "block", F.posexplode(
         F.regexp_extract_all("_block", F.lit(row), 1)).alias("row", "_row"))
-    return rows.select(key, "block", "row", F.col("_row").rlike(header).alias("is_header"),
-                       F.transform(F.regexp_extract_all("_row", F.lit(cell), 1), _plain).alias("cells"))
+
+
+def _cells_of(row: str, cell: str) -> Column:
+    return F.transform(F.regexp_extract_all(row, F.lit(cell), 1), _plain)
+
+
+def extract_rows(pages: DataFrame, key: str = "page_id", html: str = "html", block: str = TABLE, row: str = ROW,
+                 cell: str = CELL, header: str = HEADER) -> DataFrame:
+    """Table rows of each page: ``(key, block, row, is_header, cells)``. Needs no shuffle."""
+    return _row_texts(pages, key, html, block, row).select(
+        key, "block", "row", F.col("_row").rlike(header).alias("is_header"), _cells_of("_row", cell).alias("cells"))
 
 
 def named_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -255,10 +270,10 @@ def named_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
     page's row; the driver sees only the distinct names, which are few in a feed.
     """
     blocks = pages.select(key, F.explode(F.regexp_extract_all(
-        _spaced(F.col(html)), F.lit("(?is)<table[^>]*>(.*?)</table>"), 1)).alias("_block"))
-    lines = F.transform(F.regexp_extract_all("_block", F.lit("(?is)<tr[^>]*>(.*?)</tr>"), 1), lambda r: F.struct(
-        r.rlike("(?is)<th[ >]").alias("is_header"),
-        F.transform(F.regexp_extract_all(r, F.lit("(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1), _plain).alias("cells")))
+        _spaced(F.col(html)), F.lit(TABLE), 1)).alias("_block"))
+    lines = F.transform(F.regexp_extract_all("_block", F.lit(ROW), 1), lambda r: F.struct(
+        r.rlike(HEADER).alias("is_header"),
+        F.transform(F.regexp_extract_all(r, F.lit(CELL), 1), _plain).alias("cells")))
     header = F.get(F.filter("_lines", lambda r: r["is_header"]), F.lit(0))["cells"]
     rows = (blocks.select(key, lines.alias("_lines")).select(key, header.alias("_names"), F.explode("_lines").alias("_line"))
             .where(F.col("_names").isNotNull() & ~F.col("_line.is_header")).select(key, "_names", "_line.cells"))
@@ -267,15 +282,17 @@ def named_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
     return rows.select(key, *[F.nullif(at(n), F.lit("")).alias(n) for n in names if n != key])
 
 
-def extract_cells(pages: DataFrame, key: str = "page_id", html: str = "html", **patterns: str) -> DataFrame:
-    """Cells of each page as rows ``(key, block, row, cell, text, is_header)``."""
-    return extract_rows(pages, key, html, **patterns).select(
-        key, "block", "row", "is_header", F.posexplode("cells").alias("cell", "text"))
+def extract_cells(pages: DataFrame, key: str = "page_id", html: str = "html", block: str = TABLE, row: str = ROW,
+                  cell: str = CELL, header: str = HEADER) -> DataFrame:
+    """Cells of each page as rows ``(key, block, row, is_header, cell, text)``."""
+    # The cells are exploded where they are parsed: of a column of them Spark would derive a filter that parses them again.
+    return _row_texts(pages, key, html, block, row).select(
+        key, "block", "row", F.col("_row").rlike(header).alias("is_header"),
+        F.posexplode(_cells_of("_row", cell)).alias("cell", "text"))
 
 
 # The patterns that read a list item as a row of one cell.
-LIST_PATTERNS = {"block": "(?is)<[uo]l[^>]*>(.*?)</[uo]l>", "row": "(?is)<li[^>]*>(.*?)</li>",
-                 "cell": "(?is)^(.*)$"}
+LIST_PATTERNS = {"block": _element("[uo]l"), "row": _element("li"), "cell": "(?is)^(.*)$"}
 
 
 def extract_list_items(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -291,7 +308,14 @@ def rows_of_cells(cells: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def kv_from_cells(cells: DataFrame, key: str = "page_id") -> DataFrame:
-    return kv_from_rows(rows_of_cells(cells, key), key)
+    """`kv_from_rows` of the rows that the cells make up, which are not put together: of a row only its first and its
+    last filled cell and their number are kept."""
+    filled = cells.where(~F.col("is_header") & (F.col("text") != ""))
+    # Dealt out by page, once for the grouping by row, the one by label and the one by page in `pick_metric`.
+    ends = filled.repartition(key).groupBy(key, "block", "row").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("cell", "text"))["text"].alias("label"),
+        F.max(F.struct("cell", "text"))["text"].alias("text"))
+    return _by_label(ends.select(key, _place(), "n", "label", "text"), key)
 
 
 def kv_from_rows(rows: DataFrame, key: str = "page_id") -> DataFrame:
@@ -304,19 +328,27 @@ def kv_from_rows(rows: DataFrame, key: str = "page_id") -> DataFrame:
     filled = F.array(F.filter("cells", lambda c: c != ""))
     pairs = F.transform(filled, lambda f: F.struct(
         F.size(f).alias("n"), F.get(f, F.lit(0)).alias("label"), F.get(f, F.size(f) - 1).alias("text")))
-    usable = (rows.where(~F.col("is_header"))
-              .select(key, F.shiftleft(F.col("block").cast("bigint"), 32).bitwiseOR(
-                  F.col("row").cast("bigint")).alias("_at"), F.inline(pairs))
-              .where(F.col("n") >= 2))
+    # Dealt out by page, once for the grouping by label here and the one by page in `pick_metric`.
+    return _by_label(rows.where(~F.col("is_header")).select(key, _place(), F.inline(pairs)), key, deal=True)
+
+
+def _place() -> Column:
+    return F.shiftleft(F.col("block").cast("bigint"), 32).bitwiseOR(F.col("row").cast("bigint")).alias("_at")
+
+
+def _by_label(ends: DataFrame, key: str, deal: bool = False) -> DataFrame:
+    usable = ends.where(F.col("n") >= 2)
     value = F.col("text")
     for unit in VALUE_UNITS:
         value = F.replace(value, F.lit(unit), F.lit(""))
-    # Dealt out by page, once for the grouping by label here and the one by page in `pick_metric`.
-    named = usable.repartition(key).select(key, "_at", F.translate(F.lower("label"), " ()", "_").alias("name"),
-                          "text", value.try_cast("double").alias("value"))
-    return named.groupBy(key, "name").agg(
-        F.min("_at").alias("pos"), F.max_by("text", "_at").alias("text"),
-        F.max_by("value", "_at").alias("value"))
+    named = (usable.repartition(key) if deal else usable).select(
+        key, "_at", F.translate(F.lower("label"), " ()", "_").alias("name"), "text", value.try_cast("double").alias("value"))
+
+    def last(column: str) -> Column:
+        # Over structs, which Spark sorts for: rows come almost in order, and hardly two are of one label.
+        return F.max(F.when(F.col("_at").isNotNull(), F.struct("_at", column)))[column].alias(column)
+
+    return named.groupBy(key, "name").agg(F.min("_at").alias("pos"), last("text"), last("value"))
 
 
 def kv_maps(kv: DataFrame, key: str = "page_id") -> DataFrame:
@@ -348,11 +380,11 @@ def page_figures(pages: DataFrame, wanted: Mapping[str, Sequence[str]] = CONDITI
     Per figure the first fragment that a label holds whose last value is a number; of its
     labels the one that came first. Pages without a labelled value are left out.
     """
-    found = F.regexp_extract_all(_spaced(F.col(html)), F.lit("(?is)<table[^>]*>(.*?)</table>"), 1)
-    lines = F.flatten(F.transform(found, lambda b: F.regexp_extract_all(b, F.lit("(?is)<tr[^>]*>(.*?)</tr>"), 1)))
-    plain = F.filter(lines, lambda r: ~r.rlike("(?is)<th[ >]"))
+    found = F.regexp_extract_all(_spaced(F.col(html)), F.lit(TABLE), 1)
+    lines = F.flatten(F.transform(found, lambda b: F.regexp_extract_all(b, F.lit(ROW), 1)))
+    plain = F.filter(lines, lambda r: ~r.rlike(HEADER))
     cells = F.transform(plain, lambda r: F.filter(
-        F.transform(F.regexp_extract_all(r, F.lit("(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1), _plain), lambda c: c != ""))
+        F.transform(F.regexp_extract_all(r, F.lit(CELL), 1), _plain), lambda c: c != ""))
 
     def pair(c: Column) -> Column:
         value = F.get(c, F.size(c) - 1)

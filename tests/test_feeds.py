@@ -174,3 +174,33 @@ def test_pages_of_several_layouts_become_prices(rows):
     got = feeds.dam_from_pages(rows("page_id int, html string", (1, one), (2, two), (3, None), (4, "")), "2024-05-01")
     assert sorted((r.page_id, r.ts, r.price_usd_mwh) for r in got.collect()) == [
         (1, TS(2024, 1, 1, 1), 5.0), (2, TS(2024, 5, 1, 2), 7.0)]
+
+
+def test_cells_are_parsed_once_and_rows_not_put_together(rows):
+    pages = rows("page_id int, html string", (1, PAGE))
+    picked = feeds.pick_metric(feeds.kv_from_cells(feeds.extract_cells(pages)))
+    plan = picked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<t[dh]") == 1 and "collect_list" not in plan
+    assert picked.select("demand", "freq").first() == (50123.5, 59.9)
+
+
+def test_patterns_of_elements_end_where_lazy_ones_do(spark):
+    odd = ["<tr><td>a</td><TD x='1'>b</tD></tr><tr><td>open<tr><td>c</td></TR>", "<tr>a < b </t <b>c</b></tr>", "<tr></tr>",
+           "<tr>\n<td>x\n</td>", "<track><tr>1</tr></track>", "<tr" * 3, "</tr><tr>a</tr", "<tr><td>" + "<b>x</b>" * 50_000 + "</td></tr>", None]
+    df = spark.createDataFrame(list(enumerate(odd)), "i int, x string")
+    for name in ("tr", "t[dh]", "[uo]l", "li", "table"):
+        old = F.regexp_extract_all("x", F.lit(f"(?is)<{name}[^>]*>(.*?)</{name}>"), 1)
+        new = F.regexp_extract_all("x", F.lit(feeds._element(name)), 1)
+        assert df.where(~old.eqNullSafe(new)).count() == 0
+
+
+def test_rows_of_cells_from_elsewhere(rows):
+    schema = "page_id int, block int, row int, is_header boolean, cell int, text string"
+    cells = [(1, 0, 0, False, 2, "7 MW"), (1, 0, 0, False, 0, ""), (1, 0, 0, False, 1, "Demand"), (1, 0, 0, False, 3, None),
+             (1, 0, 0, True, 0, "Head"), (1, 0, 1, False, 0, "lonely"), (1, 0, 2, None, 0, "a"), (1, 0, 2, None, 1, "b"),
+             (1, None, 0, False, 0, "Freq"), (1, None, 0, False, 1, "60 Hz"), (None, 0, 0, False, 5, "8"), (None, 0, 0, False, 4, "Wind"),
+             (1, 1, 0, False, 1, "9"), (1, 1, 0, False, 0, "Demand"), (2, 0, 0, False, 1, "z"), (2, 0, 0, False, 1, "y")]
+    df = rows(schema, *cells)
+    got = {tuple(r) for r in feeds.kv_from_cells(df).collect()}
+    assert got == {tuple(r) for r in feeds.kv_from_rows(feeds.rows_of_cells(df)).collect()}
+    assert got == {(1, "demand", 0, "9", 9.0), (1, "freq", None, None, None), (None, "wind", 0, "8", 8.0), (2, "y", 0, "z", None)}
