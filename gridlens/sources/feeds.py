@@ -233,7 +233,8 @@ TABLE, ROW, CELL, HEADER = _element("table"), _element("tr"), _element("t[dh]"),
 
 
 def _spaced(text: Column) -> Column:
-    return F.regexp_replace(text, r"\s+", " ")
+    """Runs of white space as one space. Single spaces, the most of them, are no match and stay."""
+    return F.regexp_replace(text, r" \s+|[\t\n\x0B\f\r]\s*", " ")
 
 
 def _plain(markup: Column) -> Column:
@@ -286,9 +287,12 @@ def extract_cells(pages: DataFrame, key: str = "page_id", html: str = "html", bl
                   cell: str = CELL, header: str = HEADER) -> DataFrame:
     """Cells of each page as rows ``(key, block, row, is_header, cell, text)``."""
     # The cells are exploded where they are parsed: of a column of them Spark would derive a filter that parses them again.
-    return _row_texts(pages, key, html, block, row).select(
+    # Their texts are made from rows, in compiled code, where lambdas over arrays are interpreted; held in a one-element
+    # array and exploded, so that a filter on the text makes it once.
+    found = _row_texts(pages, key, html, block, row).select(
         key, "block", "row", F.col("_row").rlike(header).alias("is_header"),
-        F.posexplode(_cells_of("_row", cell)).alias("cell", "text"))
+        F.posexplode(F.regexp_extract_all("_row", F.lit(cell), 1)).alias("cell", "_cell"))
+    return found.select(key, "block", "row", "is_header", "cell", F.explode(F.array(_plain(F.col("_cell")))).alias("text"))
 
 
 # The patterns that read a list item as a row of one cell.
@@ -312,9 +316,10 @@ def kv_from_cells(cells: DataFrame, key: str = "page_id") -> DataFrame:
     last filled cell and their number are kept."""
     filled = cells.where(~F.col("is_header") & (F.col("text") != ""))
     # Dealt out by page, once for the grouping by row, the one by label and the one by page in `pick_metric`.
-    ends = filled.repartition(key).groupBy(key, "block", "row").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("cell", "text"))["text"].alias("label"),
-        F.max(F.struct("cell", "text"))["text"].alias("text"))
+    # A cell and its text travel as the struct that they are compared as, and are not put together for each comparison.
+    held = filled.select(key, "block", "row", F.struct("cell", "text").alias("_cell"))
+    ends = held.repartition(key).groupBy(key, "block", "row").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_cell")["text"].alias("label"), F.max("_cell")["text"].alias("text"))
     return _by_label(ends.select(key, _place(), "n", "label", "text"), key)
 
 
@@ -336,13 +341,21 @@ def _place() -> Column:
     return F.shiftleft(F.col("block").cast("bigint"), 32).bitwiseOR(F.col("row").cast("bigint")).alias("_at")
 
 
+def _label(text: Column) -> Column:
+    """A label's name. Replaced text by text, which takes a fraction of what `translate` does character by character."""
+    name = F.lower(text)
+    for mark, instead in ((" ", "_"), ("(", ""), (")", "")):
+        name = F.replace(name, F.lit(mark), F.lit(instead))
+    return name
+
+
 def _by_label(ends: DataFrame, key: str, deal: bool = False) -> DataFrame:
     usable = ends.where(F.col("n") >= 2)
     value = F.col("text")
     for unit in VALUE_UNITS:
         value = F.replace(value, F.lit(unit), F.lit(""))
     named = (usable.repartition(key) if deal else usable).select(
-        key, "_at", F.translate(F.lower("label"), " ()", "_").alias("name"), "text", value.try_cast("double").alias("value"))
+        key, "_at", _label(F.col("label")).alias("name"), "text", value.try_cast("double").alias("value"))
 
     def last(column: str) -> Column:
         # Over structs, which Spark sorts for: rows come almost in order, and hardly two are of one label.
@@ -390,7 +403,7 @@ def page_figures(pages: DataFrame, wanted: Mapping[str, Sequence[str]] = CONDITI
         value = F.get(c, F.size(c) - 1)
         for unit in VALUE_UNITS:
             value = F.replace(value, F.lit(unit), F.lit(""))
-        return F.struct(F.translate(F.lower(F.get(c, F.lit(0))), " ()", "_").alias("name"),
+        return F.struct(_label(F.get(c, F.lit(0))).alias("name"),
                         value.try_cast("double").alias("value"))
 
     pairs = F.transform(F.filter(cells, lambda c: F.size(c) >= 2), pair)

@@ -204,3 +204,28 @@ def test_rows_of_cells_from_elsewhere(rows):
     got = {tuple(r) for r in feeds.kv_from_cells(df).collect()}
     assert got == {tuple(r) for r in feeds.kv_from_rows(feeds.rows_of_cells(df)).collect()}
     assert got == {(1, "demand", 0, "9", 9.0), (1, "freq", None, None, None), (None, "wind", 0, "8", 8.0), (2, "y", 0, "z", None)}
+
+
+def test_texts_of_cells_are_made_once_and_outside_of_lambdas(rows):
+    page = ("<table><tr><td> A\t\n(B)  C </td><td>x &amp;<i>\r y</i> 1</td></tr><tr><td>a_b_c</td><td></td><td>7,0 MW</td></tr>"
+            "<tr><td> </td><td><b> </b></td></tr></table>")
+    pages = rows("page_id int, html string", (1, page), (2, None))
+    cells = feeds.extract_cells(pages)
+    got = {(r.block, r.row, r.cell): r.text for r in cells.collect()}
+    assert got == {(0, 0, 0): "A (B) C", (0, 0, 1): "x & y 1", (0, 1, 0): "a_b_c", (0, 1, 1): "", (0, 1, 2): "7,0 MW",
+                   (0, 2, 0): "", (0, 2, 1): ""}
+    kv = feeds.kv_from_cells(cells)
+    assert [tuple(r) for r in kv.collect()] == [(1, "a_b_c", 0, "7,0 MW", 70.0)]
+    plan = feeds.pick_metric(kv)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<[^>]*>") == 2 and "transform(" not in plan and "translate(" not in plan  # one text has two branches
+
+
+def test_white_space_is_closed_up_as_before(spark):
+    odd = ["", " ", "  ", "a b", "a  b", "a\tb", " \t a\n\n b\x0b\x0c\r\n ", "\t", "a \t", "   ", None]
+    df = spark.createDataFrame([(x,) for x in odd], "x string")
+    assert df.where(~F.regexp_replace("x", r"\s+", " ").eqNullSafe(feeds._spaced(F.col("x")))).count() == 0
+
+
+def test_names_of_labels_are_those_of_translate(spark):
+    df = spark.createDataFrame([(x,) for x in ["", "Total (MW) now", "((", "_a b_", "É (x)", None]], "x string")
+    assert df.where(~F.translate(F.lower("x"), " ()", "_").eqNullSafe(feeds._label(F.col("x")))).count() == 0
