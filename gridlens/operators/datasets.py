@@ -107,13 +107,19 @@ class Scaler:
         return df.withColumns(scaled)
 
 
-def fit_scaler(train: DataFrame, columns: Sequence[str]) -> Scaler:
-    """Population mean and deviation; a constant column gets deviation 1."""
+def fit_scaler(train: DataFrame, columns: Sequence[str], at_once: int | None = None) -> Scaler:
+    """Population mean and deviation; a constant column gets deviation 1.
+
+    A written table of many columns is read ``at_once`` columns at a time: the code that Spark makes of one aggregate
+    over all of them is too long for the JVM to compile, and takes thrice as long a row.
+    """
+    columns = list(columns)
     aggs = []
     for c in columns:
         value = F.col(c).cast("double")
         aggs += [F.avg(value), F.when(F.max(value) == F.min(value), F.lit(1.0)).otherwise(F.stddev_pop(value))]
-    row = train.agg(*aggs).first()
+    step = 2 * (at_once or len(columns) or 1)
+    row = [x for k in range(0, len(aggs), step) for x in train.agg(*aggs[k : k + step]).first()]
     mean = {c: row[2 * k] if row[2 * k] is not None else 0.0 for k, c in enumerate(columns)}
     std = {c: row[2 * k + 1] if row[2 * k + 1] is not None else 1.0 for k, c in enumerate(columns)}
     return Scaler(mean, std)

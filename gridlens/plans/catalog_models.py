@@ -517,8 +517,10 @@ def _(v):
 def reading_blocks(v):
     """Scaled readings in blocks, and as rows."""
     rows = materialise(engineered(v), "engineered").withColumn("draw", detect.hold_out_draw(["ts"]))
-    rows = ds.fit_scaler(rows, _WINDOW).transform(rows)
-    return blocks.pack(rows, [*_WINDOW, "draw"], order=READING_ORDER), rows
+    # Scaled once and written, for the blocks and for whatever reads the rows after them.
+    scaled = ds.fit_scaler(rows, _WINDOW, at_once=6).transform(rows).select(*READING_ORDER, *_WINDOW, "draw")
+    rows = materialise(scaled, "scaled")
+    return blocks.pack(rows, [*_WINDOW, "draw"], order=READING_ORDER, stored=True), rows
 
 
 def _errors(v, model):

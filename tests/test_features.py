@@ -55,6 +55,14 @@ def test_scaler_constant_and_missing(rows):
     assert [tuple(r) for r in scaler.transform(df).collect()] == [(-1.0, 0.0), (1.0, 0.0), (0.0, 0.0)]
 
 
+def test_scaler_reads_a_few_columns_at_a_time(rows, monkeypatch):
+    df = rows("a double, b double, c double", (1.0, 7.0, None), (3.0, 7.5, 0.1), (None, 9.0, 0.2))
+    whole, widths, agg = ds.fit_scaler(df, ["a", "b", "c"]), [], type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *aggs: widths.append(len(aggs)) or agg(self, *aggs))
+    assert ds.fit_scaler(df, ["a", "b", "c"], at_once=2) == whole and widths == [4, 2]
+    assert ds.fit_scaler(df, ["a", "b", "c"]) == whole and widths == [4, 2, 6]
+
+
 def test_target_scale_of_a_constant(rows):
     scale = ds.fit_target(rows("y double", (5.0,), (5.0,)), "y")
     assert scale.std == 1e-6
