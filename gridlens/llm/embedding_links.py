@@ -7,8 +7,9 @@ are refuted, the rest is verified by cosine in double precision.
 
 Vectors are sorted along the direction in which they spread most and cut into blocks. Block pairs whose stretches lie
 further apart than linked vectors can, or whose ranges overlap on too few lines for the count, are never compared.
-The rest is counted block against block, and what leaves a task is a row per linked vector: its number of links and
-the smallest vector it is connected with there. Equal vectors are one node with a weight.
+The rest is counted block against block. A task reads two parts of the written blocks, so that no vector is moved once for
+each block it meets; what leaves a task is a row per linked vector: its number of links and the smallest vector it
+is connected with there. Equal vectors are one node with a weight.
 """
 
 from __future__ import annotations
@@ -16,14 +17,15 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlens.llm.components import connected
-from gridlens.llm.store import written
+from gridlens.llm.store import remove, shuffles_dropped, written
 from gridlens.llm.textops import prepare
 
 COSINE = 0.9
@@ -33,6 +35,10 @@ LINES, WINDOW, MISS = 48, 2.0, 1e-8
 BLOCK, ROWS = 2048, 256
 #: Candidates whose cosines are computed at once.
 PAIRS = 1 << 15
+#: Bytes of vectors of a part that a task meets with another, and of prepared blocks that a task keeps.
+PART, KEPT = 32 << 20, 64 << 20
+#: How far apart linked vectors can lie, and a step of the coarse projections.
+FAR, STEP = math.sqrt(2 - 2 * COSINE), 10 / 255
 
 
 def calibrated_count(lines: int = LINES, window: float = WINDOW, miss: float = MISS) -> int:
@@ -165,84 +171,133 @@ def collisions(a: np.ndarray, b: np.ndarray, reach: int) -> np.ndarray:
     return count
 
 
-def _linked(ua: np.ndarray, ub: np.ndarray) -> np.ndarray:
-    """Which pairs of rows collide often enough and have a cosine of at least the bound."""
-    at, step = lines(ua.shape[1]), 10 / 255
-    far = math.sqrt(2 - 2 * COSINE)
-    reach = math.ceil(WINDOW * far / step) + 1
-    pa_, pb = (np.clip(np.round((u @ at + 5) / step), 0, 255).astype(np.uint8).T.copy() for u in (ua, ub))
-    need, out = calibrated_count(), np.zeros((len(ua), len(ub)), bool)
+def _steps(units: np.ndarray) -> np.ndarray:
+    """Projections (lines x rows) in whole steps from 0 to 255."""
+    return np.clip(np.round((units @ lines(units.shape[1]) + 5) / STEP), 0, 255).astype(np.uint8).T.copy()
+
+
+def _linked(ua: np.ndarray, ub: np.ndarray, pa_: np.ndarray, pb: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows that collide often enough and have a cosine of at least the bound, a strip of rows at a time."""
+    reach, need = math.ceil(WINDOW * FAR / STEP) + 1, calibrated_count()
     for i in range(0, len(ua), ROWS):
-        passed = collisions(pa_[:, i : i + ROWS], pb, reach) >= need
-        r, c = np.nonzero(passed)
+        r, c = np.nonzero(collisions(pa_[:, i : i + ROWS], pb, reach) >= need)
+        r += i
         # Summed pair by pair, some at a time: a cosine must not depend on what else the block holds.
-        for k in range(0, len(r), PAIRS):
-            x, y = i + r[k : k + PAIRS], c[k : k + PAIRS]
-            out[x, y] = (ua[x] * ub[y]).sum(1) >= COSINE
-    return out
+        near = [(ua[r[k : k + PAIRS]] * ub[c[k : k + PAIRS]]).sum(1) >= COSINE for k in range(0, len(r), PAIRS)]
+        if near:
+            near = np.concatenate(near)
+            yield r[near], c[near]
+
+
+def _root(parent: np.ndarray, x: np.ndarray) -> np.ndarray:
+    at = parent[x]
+    while not np.array_equal(at, up := parent[at]):
+        at = up
+    parent[x] = at
+    return at
+
+
+def _join(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Put each x and its y in one group; a group is known by the smallest place in it."""
+    while len(x):
+        x, y = _root(parent, x), _root(parent, y)
+        apart = x != y
+        x, y = x[apart], y[apart]
+        np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
 
 
 def _compare(kind: str, dim: int):
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.sort_by("side").to_pylist()
-        ids, weights, units = ([np.frombuffer(r[c], t) for r in rows] for c, t in (("ids", "<i8"), ("weights", "<i8"), ("raw", kind)))
-        units = [_units(u.reshape(-1, dim)) for u in units]
-        if len(rows) == 1:  # a block with itself
-            link = _linked(units[0], units[0])
-            np.fill_diagonal(link, False)
-            node, times = ids[0], link @ weights[0]
-            r, c = np.nonzero(link)
-        else:
-            link = _linked(*units)
-            node = np.concatenate(ids)
-            times = np.concatenate([link @ weights[1], weights[0] @ link])
-            r, c = np.nonzero(link)
-            c = c + len(ids[0])
-        root = node.copy()
-        while len(r):
-            before = root.copy()
-            least = np.minimum(root[r], root[c])
-            np.minimum.at(root, r, least)
-            np.minimum.at(root, c, least)
-            if np.array_equal(before, root):
-                break
-        hit = np.flatnonzero(times)
-        return pa.Table.from_arrays([pa.array(node[hit]), pa.array(times[hit].astype(np.int64)), pa.array(root[hit])],
-                                    names=["node", "times", "root"])
+    """Block pairs (a, b, and ids, weights, raw of both) to a row per vector linked in this task: its links here and the
+    smallest vector it is connected with here."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: dict[int, int] = {}
+        nodes, times, parent, ready, held = [], [], np.zeros(0, np.int64), {}, 0
+        at: dict[int, int] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                sides = []
+                for side in ("a", "b"):
+                    block = row[side]
+                    if block not in first:
+                        first[block], at[block] = len(parent), len(nodes)
+                        nodes.append(np.frombuffer(row[f"ids_{side}"], "<i8"))
+                        times.append(np.zeros(len(nodes[-1]), np.int64))
+                        parent = np.concatenate([parent, np.arange(len(parent), len(parent) + len(nodes[-1]))])
+                    if block not in ready:
+                        units = _units(np.frombuffer(row[f"raw_{side}"], kind).reshape(-1, dim))
+                        if held + units.nbytes > KEPT:
+                            ready, held = {}, 0
+                        ready[block], held = (units, _steps(units)), held + units.nbytes
+                    sides.append(ready[block])
+                a, b = row["a"], row["b"]
+                wa, wb = (np.frombuffer(row[c], "<i8") for c in ("weights_a", "weights_b"))
+                for r, c in _linked(sides[0][0], sides[1][0], sides[0][1], sides[1][1]):
+                    if a == b:  # a block with itself
+                        r, c = r[r != c], c[r != c]
+                    else:
+                        np.add.at(times[at[b]], c, wa[r])
+                    np.add.at(times[at[a]], r, wb[c])
+                    _join(parent, first[a] + r, first[b] + c)
+        if nodes:
+            node, times, least = np.concatenate(nodes), np.concatenate(times), np.concatenate(nodes)
+            group = _root(parent, np.arange(len(parent)))
+            np.minimum.at(least, group, node)
+            hit = np.flatnonzero(times)
+            yield pa.RecordBatch.from_arrays([pa.array(node[hit]), pa.array(times[hit]), pa.array(least[group[hit]])],
+                                             names=["node", "times", "root"])
     return run
 
 
-def _block_pairs(blocks: DataFrame) -> DataFrame:
-    """Pairs (a, b), a <= b, of blocks that may hold a link."""
-    far = math.sqrt(2 - 2 * COSINE)
-    reach, need = WINDOW * far + 10 / 255, calibrated_count()
-    known = blocks.select("block", "low", "high", "least", "most")
-    cell = lambda c: F.floor(c / F.lit(far)).cast("long")
-    left = known.withColumn("cell", F.explode(F.sequence(cell(F.col("low") - far), cell(F.col("high") + far))))
-    right = known.select(*[F.col(c).alias(f"{c}_b") for c in known.columns]).withColumn(
-        "cell", F.explode(F.sequence(cell(F.col("low_b")), cell(F.col("high_b")))))
-    shared = " + ".join(f"int(least[{j}] - {reach} <= most_b[{j}] AND least_b[{j}] - {reach} <= most[{j}])"
+def _near() -> str:
+    """Whether blocks a <= b may hold a link."""
+    reach, need = WINDOW * FAR + STEP, calibrated_count()
+    shared = " + ".join(f"int(least_a[{j}] - {reach} <= most_b[{j}] AND least_b[{j}] - {reach} <= most_a[{j}])"
                         for j in range(LINES))
-    near = f"low - {far} <= high_b AND low_b - {far} <= high AND {shared} >= {need}"
-    return (left.join(right, "cell").filter(f"block <= block_b AND {near}")
-            .select(F.col("block").alias("a"), F.col("block_b").alias("b")).distinct())
+    return f"a <= b AND low_a - {FAR} <= high_b AND low_b - {FAR} <= high_a AND {shared} >= {need}"
+
+
+def _parts(spark: SparkSession, n: int, size: int) -> int:
+    """Parts of which each meets each: enough to keep all cores busy, and none too large to be held."""
+    return max(1, min(-(-n // BLOCK), max(math.isqrt(16 * spark.sparkContext.defaultParallelism), -(-n * size // PART))))
 
 
 def _links(classes: DataFrame, kind: str, dim: int, made: list[str]) -> DataFrame:
-    """(node, times, root) of the linked classes (id, weight, raw) of one dimension, a row per block pair."""
+    """(node, times, root) of the linked classes (id, weight, raw) of one dimension, a row per vector and pair of parts."""
     axis = widest(classes, kind, dim)
     along = classes.mapInArrow(_along(axis, kind), "id long, weight long, raw binary, along double")
     n = classes.count()
+    parts = _parts(classes.sparkSession, n, dim * np.dtype(kind).itemsize + 16)
     # Sampled ranges may differ when a task runs again, so the blocks are written before anything refers to them.
-    blocks = (along.repartitionByRange(max(1, -(-n // BLOCK)), "along").sortWithinPartitions("along", "id")
-              .mapInArrow(_blocks(kind, dim), BLOCKS))
-    blocks = written(blocks, "blocks", made)
-    pairs = written(_block_pairs(blocks), "pairs", made)
-    sides = pairs.select("a", "b", F.lit(0).alias("side"), F.col("a").alias("block")).unionByName(
-        pairs.filter("a < b").select("a", "b", F.lit(1).alias("side"), F.col("b").alias("block")))
-    dealt = sides.join(blocks.select("block", "ids", "weights", "raw"), "block")
-    return (dealt.select("a", "b", "side", "ids", "weights", "raw").groupBy("a", "b")
-            .applyInArrow(_compare(kind, dim), "node long, times long, root long"))
+    blocks = along.repartitionByRange(parts, "along").sortWithinPartitions("along", "id").mapInArrow(_blocks(kind, dim), BLOCKS)
+    blocks = written(blocks, "blocks", made).coalesce(parts)
+    a, b = (blocks.select(F.col("block").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in blocks.columns[1:]]) for x in "ab")
+    # Each task reads two parts of the written blocks: dealing blocks out by pair would move each once per partner.
+    pairs = a.join(b.hint("shuffle_replicate_nl"), F.expr(_near())).select(
+        "a", "b", *[f"{c}_{x}" for x in "ab" for c in ("ids", "weights", "raw")])
+    return pairs.mapInArrow(_compare(kind, dim), "node long, times long, root long")
+
+
+def _found(rows: DataFrame, kind: str, made: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows (id, dim, same), their classes (dim, same, rep, weight), and (node, times, root) of linked classes."""
+    spark = rows.sparkSession
+    read, whole, cut = [], [], []
+    told = written(rows.mapInArrow(_digests, "id long, dim int, same binary, raw binary"), "vectors", read)
+    classes = written(told.filter("id IS NOT NULL AND same IS NOT NULL").groupBy("dim", "same").agg(
+        F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("raw").alias("raw")), "classes", whole)
+    told = written(told.select("id", "dim", "same"), "told", made)
+    remove(spark, read)
+    pairs = []
+    for row in classes.select("dim").distinct().orderBy("dim").collect():
+        own = classes.filter(F.col("dim") == row["dim"]).select(F.col("rep").alias("id"), "weight", "raw")
+        pairs.append(_links(own, kind, row["dim"], cut))
+    classes = written(classes.select("dim", "same", "rep", "weight"), "classes", made)
+    remove(spark, whole)
+    if pairs:
+        found = written(reduce(DataFrame.unionByName, pairs), "links", made)
+    else:
+        found = classes.selectExpr("rep AS node", "weight AS times", "rep AS root").limit(0)
+    remove(spark, cut)
+    return told, classes, found
 
 
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -254,28 +309,20 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     compared by itself. Equal vectors link. Rows that share an id are vectors of their own and one node of the
     components. Other columns are not carried. An empty table gives an empty table.
     """
-    prepare(df.sparkSession)
+    spark = prepare(df.sparkSession)
     made: list[str] = []
     kind = "<f8" if df.schema[vector_col].dataType.elementType.simpleString() == "double" else "<f4"
     vector = F.col(f"`{vector_col}`").cast("array<double>" if kind == "<f8" else "array<float>")
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), vector.alias("v"))
-    told = written(rows.mapInArrow(_digests, "id long, dim int, same binary, raw binary"), "vectors", made)
-    usable = told.filter("id IS NOT NULL AND same IS NOT NULL")
-    classes = written(usable.groupBy("dim", "same").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("raw").alias("raw")), "classes", made)
-    found = None
-    for row in classes.select("dim").distinct().orderBy("dim").collect():
-        own = classes.filter(F.col("dim") == row["dim"]).select(F.col("rep").alias("id"), "weight", "raw")
-        part = _links(own, kind, row["dim"], made)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = classes.selectExpr("rep AS node", "weight AS times", "rep AS root").limit(0)
-    found = written(found, "links", made)
-    times = found.groupBy("node").agg(F.sum("times").alias("times"))
-    edges = found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
-        usable.join(classes.select("dim", "same", "rep"), ["dim", "same"]).select(
-            F.col("id").alias("a"), F.col("rep").alias("b")))
-    roots = connected(written(edges, "edges", made), made).withColumnRenamed("node", "id")
+    # Vectors lie on disk in as few copies as can be: each table or shuffle of them goes when the next is written.
+    with shuffles_dropped(spark):
+        told, classes, found = _found(rows, kind, made)
+        usable = told.filter("id IS NOT NULL AND same IS NOT NULL")
+        times = found.groupBy("node").agg(F.sum("times").alias("times"))
+        edges = found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
+            usable.join(classes.select("dim", "same", "rep"), ["dim", "same"]).select(
+                F.col("id").alias("a"), F.col("rep").alias("b")))
+        roots = connected(written(edges, "edges", made), made).withColumnRenamed("node", "id")
     per_row = (told.select("id", "dim", "same")
                .join(classes.select("dim", "same", F.col("rep").alias("node"), "weight"), ["dim", "same"], "left")
                .join(times, "node", "left").join(roots, "id", "left"))

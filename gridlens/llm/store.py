@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlens.session import scratch_path
@@ -26,3 +28,18 @@ def remove(spark: SparkSession, paths: list[str]) -> None:
         at = jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(conf).delete(at, True)
     paths.clear()
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Inside, Spark deletes a query's shuffle files when it ends, and not when the driver next collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

@@ -126,6 +126,36 @@ def test_chains_and_blocks_match_all_pairs(spark, monkeypatch):
         v: (int(near[i].sum()) - 1, groups.root(v)) for i, v in enumerate(ids)}
 
 
+def test_blocks_are_not_dealt_out_by_pair(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(embedding_links, "BLOCK", 32)
+    v = np.random.default_rng(8).standard_normal((640, 16)).astype(np.float32)
+    v[1::8] = v[::8] + np.float32(0.2) * v[2::8]
+    unit = v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None]
+    plans, links = [], embedding_links._links
+
+    def told(*given):
+        out = links(*given)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(embedding_links, "_links", told)
+    monkeypatch.setattr("gridlens.session.checkpoint_root", lambda spark: f"file://{tmp_path}")
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_links.near_vectors(df).collect()}
+    assert got == {i: int(n) - 1 for i, n in enumerate((unit @ unit.T >= 0.9).sum(1))} and sum(got.values()) > 100
+    # A shuffle here would move each block once for every block it meets.
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    kept = {p.name.split("-")[1] for p in (tmp_path / "gridlens").iterdir()}
+    assert not kept & {"vectors", "blocks", "pairs"}
+
+
+def test_vectors_of_one_group_join_across_blocks():
+    parent = np.arange(9)
+    embedding_links._join(parent, np.array([7, 5, 3, 8]), np.array([5, 3, 2, 7]))
+    embedding_links._join(parent, np.array([1, 4, 1]), np.array([0, 4, 6]))
+    assert embedding_links._root(parent, np.arange(9)).tolist() == [0, 0, 2, 2, 4, 2, 0, 2, 2]
+
+
 def test_count_is_calibrated():
     assert embedding_links.calibrated_count(10, 50.0, 1e-8) == 10
     assert 30 <= embedding_links.calibrated_count() < 48
