@@ -7,9 +7,13 @@ are refuted, the rest is verified by cosine in double precision.
 
 Vectors are sorted along the direction in which they spread most and cut into blocks. Block pairs whose stretches lie
 further apart than linked vectors can, or whose ranges overlap on too few lines for the count, are never compared.
-The rest is counted block against block. A task reads two parts of the written blocks, so that no vector is moved once for
-each block it meets; what leaves a task is a row per linked vector: its number of links and the smallest vector it
-is connected with there. Equal vectors are one node with a weight.
+A task reads two parts of the written blocks, so that no vector is moved once for each block it meets; what leaves it is
+a row per linked vector: its number of links and the smallest vector it is connected with there. Equal vectors are one
+node with a weight.
+
+Collisions are counted for all pairs of two blocks, or, where that is less work, for those that share a key: the signs of
+their projections on a few further lines. There are so many keys, each of lines of its own, that a pair at the bound shares
+one with a known chance too, and keys, signs and counts together miss no more than one in a hundred million such pairs.
 """
 
 from __future__ import annotations
@@ -31,36 +35,78 @@ from gridlens.llm.textops import prepare
 COSINE = 0.9
 #: Lines, half a window in standard deviations of a pair at the bound, and the chance to miss such a pair.
 LINES, WINDOW, MISS = 48, 2.0, 1e-8
-#: Vectors of a block, and those of it that are compared at once.
-BLOCK, ROWS = 2048, 256
-#: Candidates whose cosines are computed at once.
-PAIRS = 1 << 15
-#: Bytes of vectors of a part that a task meets with another, and of prepared blocks that a task keeps.
-PART, KEPT = 32 << 20, 64 << 20
+#: Signs of a key, and the further signs of which a pair must share most: of the first, then of all.
+BITS, SIGNS = 16, (128, 256)
+#: Vectors of a block at least, those of a tile in it, and those of a tile that are compared at once.
+BLOCK, TILE, ROWS = 2048, 2048, 256
+#: Pairs whose cosines are computed at once, those that are picked by a key at once, and the most that are held.
+PAIRS, TAKEN, HELD = 1 << 12, 1 << 15, 1 << 23
+#: Bytes of a block, of blocks of a part that a task meets with another, and of blocks with signs that a task keeps.
+BYTES, PART, KEPT = 7 << 20, 21 << 20, 128 << 20
+#: Pairs whose collisions on all lines are counted while one pair is taken from a key, and while one key's table is made.
+PICKED, SORTED = 3, 1 << 14
 #: How far apart linked vectors can lie, and a step of the coarse projections.
 FAR, STEP = math.sqrt(2 - 2 * COSINE), 10 / 255
+#: The chance that a pair at the bound lies on one side of a plane through the origin.
+SIDE = 1 - math.acos(COSINE) / math.pi
+
+
+def _below(count: int, lines: int, hit: float) -> float:
+    """The chance of fewer than ``count`` hits on ``lines``."""
+    return sum(math.comb(lines, k) * hit**k * (1 - hit) ** (lines - k) for k in range(count))
+
+
+def _reached(lines: int, hit: float, miss: float) -> int:
+    """The most hits on ``lines`` that are reached but for a chance of ``miss``."""
+    return next((count for count in range(lines) if _below(count + 1, lines, hit) > miss), lines)
 
 
 def calibrated_count(lines: int = LINES, window: float = WINDOW, miss: float = MISS) -> int:
     """The most collisions that a pair at the bound reaches but for a chance of ``miss``."""
-    hit = math.erf(window / math.sqrt(2))
-    below = 0.0
-    for count in range(lines + 1):
-        below += math.comb(lines, count) * hit**count * (1 - hit) ** (lines - count)
-        if below > miss:
-            return count
-    return lines
+    return _reached(lines, math.erf(window / math.sqrt(2)), miss)
+
+
+#: Signs that a pair must share: a pair at the bound shares fewer with a chance of at most a tenth of MISS each.
+SHARED = [_reached(signs, SIDE, MISS / 10) for signs in SIGNS]
+
+
+def keys(bits: int = BITS, miss: float = MISS) -> int:
+    """How many keys of ``bits`` signs a pair at the bound needs to share one, so that keys, signs and collisions together
+    miss it with a chance of at most ``miss``."""
+    hit = math.erf(WINDOW / math.sqrt(2))
+    left = miss - _below(calibrated_count(miss=miss), LINES, hit) - sum(
+        _below(need, signs, SIDE) for need, signs in zip(SHARED, SIGNS))
+    return math.ceil(math.log(left) / math.log1p(-(SIDE**bits)))
+
+
+KEYS = keys()
+#: Bytes of the signs of a vector: its keys, and those to share.
+MARKS = (KEYS * BITS + SIGNS[-1]) // 8
 
 
 def lines(dim: int) -> np.ndarray:
     return np.random.default_rng(dim).standard_normal((dim, LINES))
 
 
-def _units(raw: np.ndarray) -> np.ndarray:
-    """Rows of length one, in double precision."""
+def _planes(dim: int) -> np.ndarray:
+    return np.random.default_rng([dim, KEYS]).standard_normal((dim, MARKS * 8), np.float32)
+
+
+def _scales(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The largest component of each row, and the row's length in units of it."""
     wide = raw.astype(np.float64)
-    wide /= np.abs(wide).max(1, keepdims=True)
-    return wide / np.sqrt((wide * wide).sum(1, keepdims=True))
+    most = np.abs(wide).max(1, keepdims=True)
+    wide /= most
+    return most, np.sqrt((wide * wide).sum(1, keepdims=True))
+
+
+def _units(raw: np.ndarray, most: np.ndarray | None = None, length: np.ndarray | None = None) -> np.ndarray:
+    """Rows of length one, in double precision."""
+    if most is None:
+        most, length = _scales(raw)
+    wide = raw / most
+    wide /= length
+    return wide
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray | None]:
@@ -125,12 +171,12 @@ def _along(axis: np.ndarray, kind: str):
 BLOCKS = "block long, low double, high double, least array<float>, most array<float>, ids binary, weights binary, raw binary"
 
 
-def _blocks(kind: str, dim: int):
-    """Sorted vectors to blocks, numbered by partition and place in it."""
+def _blocks(kind: str, dim: int, most: int):
+    """Sorted vectors to blocks of about ``most``, numbered by partition and place in it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        at, part, held = lines(dim), TaskContext.get().partitionId(), []
+        at, part, held, number = lines(dim), TaskContext.get().partitionId(), [], 0
 
         def emit(table: pa.Table, number: int) -> pa.RecordBatch:
             p = (_units(_rows(table.column("raw"), kind, dim)) @ at).astype(np.float32)
@@ -144,17 +190,20 @@ def _blocks(kind: str, dim: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds)],
                                               names=[x.split()[0] for x in BLOCKS.split(", ")])
 
-        number = 0
         for batch in batches:
             held.append(batch)
-            if sum(b.num_rows for b in held) >= BLOCK:
+            if sum(b.num_rows for b in held) >= 2 * most:
                 table = pa.Table.from_batches(held)
-                while table.num_rows >= BLOCK:
-                    yield emit(table.slice(0, BLOCK), number)
-                    table, number = table.slice(BLOCK), number + 1
+                while table.num_rows >= 2 * most:
+                    yield emit(table.slice(0, most), number)
+                    table, number = table.slice(most), number + 1
                 held = table.combine_chunks().to_batches()
-        if sum(b.num_rows for b in held):
-            yield emit(pa.Table.from_batches(held), number)
+        if rest := sum(b.num_rows for b in held):
+            table = pa.Table.from_batches(held)
+            size = rest if 4 * rest <= 5 * most else -(-rest // 2)
+            for k in range(0, rest, size):
+                yield emit(table.slice(k, size), number)
+                number += 1
     return run
 
 
@@ -176,17 +225,132 @@ def _steps(units: np.ndarray) -> np.ndarray:
     return np.clip(np.round((units @ lines(units.shape[1]) + 5) / STEP), 0, 255).astype(np.uint8).T.copy()
 
 
-def _linked(ua: np.ndarray, ub: np.ndarray, pa_: np.ndarray, pb: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows that collide often enough and have a cosine of at least the bound, a strip of rows at a time."""
-    reach, need = math.ceil(WINDOW * FAR / STEP) + 1, calibrated_count()
-    for i in range(0, len(ua), ROWS):
-        r, c = np.nonzero(collisions(pa_[:, i : i + ROWS], pb, reach) >= need)
-        r += i
-        # Summed pair by pair, some at a time: a cosine must not depend on what else the block holds.
-        near = [(ua[r[k : k + PAIRS]] * ub[c[k : k + PAIRS]]).sum(1) >= COSINE for k in range(0, len(r), PAIRS)]
-        if near:
-            near = np.concatenate(near)
-            yield r[near], c[near]
+REACH = math.ceil(WINDOW * FAR / STEP) + 1
+
+
+class _Block:
+    """The vectors of a block; all else is made when it is needed."""
+
+    def __init__(self, raw: bytes, planes: np.ndarray, kind: str):
+        self.raw, self.planes = np.frombuffer(raw, kind).reshape(-1, len(planes)), planes
+        self.scales = self.keys = self.signs = None
+        self.orders: dict[int, np.ndarray] = {}
+        self.cut: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def __len__(self) -> int:
+        return len(self.raw)
+
+    def mark(self) -> None:
+        """Keys (keys x rows) and further signs (words x rows): on which side of each plane a vector lies."""
+        if self.keys is None:
+            marks = np.concatenate([np.packbits(_units(self.raw[k : k + ROWS]).astype(np.float32) @ self.planes > 0, axis=1)
+                                    for k in range(0, len(self), ROWS)])
+            self.keys = marks[:, : KEYS * BITS // 8].copy().view(np.uint16).T.copy()
+            self.signs = marks[:, KEYS * BITS // 8 :].copy().view(np.uint64).T.copy()
+
+    def units(self, rows: np.ndarray) -> np.ndarray:
+        if self.scales is None:
+            tiles = [_scales(self.raw[k : k + TILE]) for k in range(0, len(self), TILE)]
+            self.scales = [np.concatenate(x) for x in zip(*tiles)]
+        return _units(self.raw[rows], *(x[rows] for x in self.scales))
+
+    def order(self, key: int) -> np.ndarray:
+        """Rows in order of a key."""
+        if key not in self.orders:
+            self.orders[key] = np.argsort(self.keys[key], kind="stable").astype(np.int32)
+        return self.orders[key]
+
+    def tiles(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Steps of rows, a tile at a time, and the least and the most of each line."""
+        if not self.cut:
+            steps = [_steps(_units(self.raw[k : k + TILE])) for k in range(0, len(self), TILE)]
+            self.cut = [(x, x.min(1).astype(int), x.max(1).astype(int)) for x in steps]
+        return self.cut
+
+
+def _differ(a: _Block, b: _Block, x: np.ndarray, y: np.ndarray, words: int) -> np.ndarray:
+    """How many of the first signs differ, pair by pair."""
+    count = np.zeros(len(x), np.uint16)
+    for word in range(words):
+        count += np.bitwise_count(a.signs[word][x] ^ b.signs[word][y])
+    return count
+
+
+def _distinct(found: list[np.ndarray]) -> np.ndarray:
+    pairs = np.concatenate(found)
+    pairs.sort()
+    return pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]]
+
+
+def _by_keys(a: _Block, b: _Block) -> np.ndarray | None:
+    """Pairs of rows (a * len(b) + b) that share a key and most signs, in order; None if counting all pairs is less work."""
+    n, pairs = 1 << BITS, len(a) * len(b)
+    if KEYS * SORTED >= pairs:
+        return None
+    a.mark()
+    b.mark()
+    counts = [np.bincount(a.keys[k], minlength=n)[b.keys[k]].sum() for k in range(0, KEYS, KEYS // 8)]
+    if KEYS * (SORTED + PICKED * np.mean(counts)) >= pairs:
+        return None
+    found, held = [np.zeros(0, np.int64)], 0
+    for key in range(KEYS):
+        order, count = a.order(key), np.bincount(a.keys[key], minlength=n)
+        start = (np.cumsum(count) - count)[b.keys[key]]
+        count = count[b.keys[key]]
+        end = np.cumsum(count)
+        first = 0
+        while first < len(b):
+            # Rows of b with about TAKEN candidates together.
+            last = max(first + 1, int(np.searchsorted(end, end[first] - count[first] + TAKEN, "right")))
+            some = count[first:last]
+            y = np.repeat(np.arange(first, last), some)
+            x = np.repeat(start[first:last] - end[first:last] + some, some) + np.arange(
+                end[first] - count[first], end[last - 1])
+            x = order[x].astype(np.int64)
+            for signs, need in zip(SIGNS, SHARED):
+                near = _differ(a, b, x, y, signs // 64) <= signs - need
+                if a is b:  # each pair once
+                    near &= x < y
+                x, y = x[near], y[near]
+            found.append(x * len(b) + y)
+            held += len(x)
+            first = last
+            if held > HELD:  # most came by many keys
+                found = [_distinct(found)]
+                held = len(found[0])
+                if held > HELD // 2:
+                    return None
+    return _distinct(found)
+
+
+def _linked(a: _Block, b: _Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows that collide often enough and have a cosine of at least the bound, some at a time."""
+    need, by_keys = calibrated_count(), _by_keys(a, b)
+
+    def near(r: np.ndarray, c: np.ndarray, counted: bool):
+        # Summed pair by pair: a cosine must not depend on what else the block holds.
+        for k in range(0, len(r), PAIRS):
+            x, y = r[k : k + PAIRS], c[k : k + PAIRS]
+            ua, ub = a.units(x), b.units(y)
+            if not counted:
+                apart = _steps(ua).astype(np.int16) - _steps(ub)
+                often = (np.abs(apart) <= REACH).sum(0) >= need
+                x, y, ua, ub = x[often], y[often], ua[often], ub[often]
+            link = (ua * ub).sum(1) >= COSINE
+            yield x[link], y[link]
+            if a is b and not counted:
+                yield y[link], x[link]
+
+    if by_keys is not None:
+        yield from near(*np.divmod(by_keys, len(b)), False)
+        return
+    for i, (pa_, least_a, most_a) in enumerate(a.tiles()):
+        for j, (pb, least_b, most_b) in enumerate(b.tiles()):
+            if ((least_a - REACH <= most_b) & (least_b - REACH <= most_a)).sum() < need:
+                continue
+            for k in range(0, pa_.shape[1], ROWS):
+                r, c = np.nonzero(collisions(pa_[:, k : k + ROWS], pb, REACH) >= need)
+                yield from near(r + (i * TILE + k), c + j * TILE, True)
 
 
 def _root(parent: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -210,34 +374,34 @@ def _compare(kind: str, dim: int):
     """Block pairs (a, b, and ids, weights, raw of both) to a row per vector linked in this task: its links here and the
     smallest vector it is connected with here."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first: dict[int, int] = {}
-        nodes, times, parent, ready, held = [], [], np.zeros(0, np.int64), {}, 0
-        at: dict[int, int] = {}
+        planes, at, ready, left = _planes(dim), {}, {}, None
+        firsts, nodes, times, parent = [], [], [], np.zeros(0, np.int64)
         for batch in batches:
-            for row in batch.to_pylist():
-                sides = []
-                for side in ("a", "b"):
-                    block = row[side]
-                    if block not in first:
-                        first[block], at[block] = len(parent), len(nodes)
-                        nodes.append(np.frombuffer(row[f"ids_{side}"], "<i8"))
+            for i in range(batch.num_rows):
+                cell = {name: batch.column(name)[i] for name in batch.schema.names}
+                a, b = cell["a"].as_py(), cell["b"].as_py()
+                if left not in (None, a):
+                    ready[left].orders.clear()
+                left = a
+                for side, block in (("a", a), ("b", b)):
+                    if block not in at:
+                        at[block] = len(nodes)
+                        nodes.append(np.frombuffer(cell[f"ids_{side}"].as_py(), "<i8"))
                         times.append(np.zeros(len(nodes[-1]), np.int64))
+                        firsts.append(len(parent))
                         parent = np.concatenate([parent, np.arange(len(parent), len(parent) + len(nodes[-1]))])
                     if block not in ready:
-                        units = _units(np.frombuffer(row[f"raw_{side}"], kind).reshape(-1, dim))
-                        if held + units.nbytes > KEPT:
-                            ready, held = {}, 0
-                        ready[block], held = (units, _steps(units)), held + units.nbytes
-                    sides.append(ready[block])
-                a, b = row["a"], row["b"]
-                wa, wb = (np.frombuffer(row[c], "<i8") for c in ("weights_a", "weights_b"))
-                for r, c in _linked(sides[0][0], sides[1][0], sides[0][1], sides[1][1]):
+                        if (sum(map(len, ready.values())) + len(nodes[at[block]])) * _size(kind, dim, MARKS) > KEPT:
+                            ready = {x: ready[x] for x in (a,) if x in ready}
+                        ready[block] = _Block(cell[f"raw_{side}"].as_py(), planes, kind)
+                wa, wb = (np.frombuffer(cell[f"weights_{x}"].as_buffer(), "<i8") for x in "ab")
+                for r, c in _linked(ready[a], ready[b]):
                     if a == b:  # a block with itself
                         r, c = r[r != c], c[r != c]
                     else:
                         np.add.at(times[at[b]], c, wa[r])
                     np.add.at(times[at[a]], r, wb[c])
-                    _join(parent, first[a] + r, first[b] + c)
+                    _join(parent, firsts[at[a]] + r, firsts[at[b]] + c)
         if nodes:
             node, times, least = np.concatenate(nodes), np.concatenate(times), np.concatenate(nodes)
             group = _root(parent, np.arange(len(parent)))
@@ -256,20 +420,31 @@ def _near() -> str:
     return f"a <= b AND low_a - {FAR} <= high_b AND low_b - {FAR} <= high_a AND {shared} >= {need}"
 
 
-def _parts(spark: SparkSession, n: int, size: int) -> int:
-    """Parts of which each meets each: enough to keep all cores busy, and none too large to be held."""
-    return max(1, min(-(-n // BLOCK), max(math.isqrt(16 * spark.sparkContext.defaultParallelism), -(-n * size // PART))))
+def _parts(spark: SparkSession, n: int, size: int, most: int) -> int:
+    """Into how many parts of at most ``most`` bytes to cut ``n`` vectors: enough for all cores when each part meets each."""
+    return max(1, min(-(-n // BLOCK), math.isqrt(16 * spark.sparkContext.defaultParallelism)), -(-n * size // most))
 
 
-def _links(classes: DataFrame, kind: str, dim: int, made: list[str]) -> DataFrame:
-    """(node, times, root) of the linked classes (id, weight, raw) of one dimension, a row per vector and pair of parts."""
+def _size(kind: str, dim: int, more: int = 16) -> int:
+    """Bytes of a vector, and what goes with it."""
+    return dim * np.dtype(kind).itemsize + more
+
+
+def _laid(classes: DataFrame, kind: str, dim: int, made: list[str]) -> DataFrame:
+    """The classes (id, weight, raw) of one dimension in blocks, along the direction of their greatest spread."""
     axis = widest(classes, kind, dim)
     along = classes.mapInArrow(_along(axis, kind), "id long, weight long, raw binary, along double")
     n = classes.count()
-    parts = _parts(classes.sparkSession, n, dim * np.dtype(kind).itemsize + 16)
+    parts = _parts(classes.sparkSession, n, _size(kind, dim), BYTES)
     # Sampled ranges may differ when a task runs again, so the blocks are written before anything refers to them.
-    blocks = along.repartitionByRange(parts, "along").sortWithinPartitions("along", "id").mapInArrow(_blocks(kind, dim), BLOCKS)
-    blocks = written(blocks, "blocks", made).coalesce(parts)
+    return written(along.repartitionByRange(parts, "along").sortWithinPartitions("along", "id")
+                   .mapInArrow(_blocks(kind, dim, max(1, -(-n // parts))), BLOCKS), "blocks", made)
+
+
+def _links(blocks: DataFrame, kind: str, dim: int) -> DataFrame:
+    """(node, times, root) of the linked classes of one dimension, a row per vector and pair of parts."""
+    n = blocks.agg(F.sum(F.length("ids")).alias("n")).first()["n"] // 8
+    blocks = blocks.coalesce(_parts(blocks.sparkSession, n, _size(kind, dim), PART))
     a, b = (blocks.select(F.col("block").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in blocks.columns[1:]]) for x in "ab")
     # Each task reads two parts of the written blocks: dealing blocks out by pair would move each once per partner.
     pairs = a.join(b.hint("shuffle_replicate_nl"), F.expr(_near())).select(
@@ -286,12 +461,12 @@ def _found(rows: DataFrame, kind: str, made: list[str]) -> tuple[DataFrame, Data
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("raw").alias("raw")), "classes", whole)
     told = written(told.select("id", "dim", "same"), "told", made)
     remove(spark, read)
-    pairs = []
-    for row in classes.select("dim").distinct().orderBy("dim").collect():
-        own = classes.filter(F.col("dim") == row["dim"]).select(F.col("rep").alias("id"), "weight", "raw")
-        pairs.append(_links(own, kind, row["dim"], cut))
+    dims = [row["dim"] for row in classes.select("dim").distinct().orderBy("dim").collect()]
+    laid = [_laid(classes.filter(F.col("dim") == dim).select(F.col("rep").alias("id"), "weight", "raw"), kind, dim, cut)
+            for dim in dims]
     classes = written(classes.select("dim", "same", "rep", "weight"), "classes", made)
     remove(spark, whole)
+    pairs = [_links(blocks, kind, dim) for blocks, dim in zip(laid, dims)]
     if pairs:
         found = written(reduce(DataFrame.unionByName, pairs), "links", made)
     else:

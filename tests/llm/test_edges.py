@@ -149,6 +149,30 @@ def test_blocks_are_not_dealt_out_by_pair(spark, monkeypatch, tmp_path):
     assert not kept & {"vectors", "blocks", "pairs"}
 
 
+def test_pairs_by_keys_are_those_of_all_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    v = rng.standard_normal((4000, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    side = rng.standard_normal((4000, 64))
+    side -= (side * v).sum(1)[:, None] * v
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    cosine = rng.uniform(0.89, 0.92, 4000)[:, None]
+    w = cosine * v + np.sqrt(1 - cosine**2) * side
+    planes = embedding_links._planes(64)
+    blocks = [embedding_links._Block(x.astype("<f4").tobytes(), planes, "<f4") for x in (v, w)]
+    units = [embedding_links._units(b.raw) for b in blocks]
+    want = {(i, j) for i, j in zip(*(x.tolist() for x in np.nonzero(units[0] @ units[1].T >= 0.9)))}
+
+    def linked(a, b):
+        return [(i, j) for r, c in embedding_links._linked(a, b) for i, j in zip(r.tolist(), c.tolist())]
+
+    assert embedding_links.KEYS > 200 and len(embedding_links._by_keys(*blocks)) < 8000
+    assert len(want) > 2000 and sorted(linked(*blocks)) == sorted(want)
+    assert {(i, j) for i, j in linked(blocks[0], blocks[0])} == {(i, i) for i in range(4000)}
+    monkeypatch.setattr(embedding_links, "HELD", 2000)
+    assert embedding_links._by_keys(*blocks) is None and sorted(linked(*blocks)) == sorted(want)
+
+
 def test_vectors_of_one_group_join_across_blocks():
     parent = np.arange(9)
     embedding_links._join(parent, np.array([7, 5, 3, 8]), np.array([5, 3, 2, 7]))
